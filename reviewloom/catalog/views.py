@@ -8,9 +8,10 @@ from __future__ import annotations
 
 import re
 
+from ..functions.scalar import PUNCTUATION
 from ..functions.sentiment import (
     AFTER_CONTRAST, BEFORE_CONTRAST, CAPITALS, DEGREE, DISTANCE_FACTORS, EXCLAMATION, MANY_QUESTIONS,
-    MAX_EXCLAMATIONS, MAX_QUESTIONS, NEGATION, NORMALISER, PUNCTUATION, QUESTION,
+    MAX_EXCLAMATIONS, MAX_QUESTIONS, NEGATION, NORMALISER, QUESTION,
 )
 from ..sources.driver_tables import CORPUS_KEYWORDS, CORPUS_LEXICON, DEAL_DAY
 
@@ -39,7 +40,7 @@ def sentiment_views(prefix: str, source: str, key: str, text: str) -> dict[str,
     """Views ending in ``{prefix}`` with (key, compound) for every row of ``source``."""
     return {
         f"{prefix}_tokens": f"""SELECT {key}, unnest(ws) AS w, generate_subscripts(ws, 1) AS pos FROM (
-            SELECT {key}, list_filter(string_split_regex({text}, '\\s+'), x -> x <> '') AS ws FROM {source} WHERE {text} IS NOT NULL) q""",
+            SELECT {key}, list_filter(string_split_regex({text}, '\\s+'), lambda x: x <> '') AS ws FROM {source} WHERE {text} IS NOT NULL) q""",
         f"{prefix}_words": f"""SELECT {key}, pos, word, lower(word) AS lw, upper(word) = word AND lower(word) <> word AS loud
             FROM (SELECT *, CASE WHEN trim(w, '{_PUNCT}') = '' THEN w ELSE trim(w, '{_PUNCT}') END AS word FROM {prefix}_tokens) q""",
         f"{prefix}_near": f"""SELECT t.{key}, t.pos, l.v, t.loud,
@@ -154,6 +155,6 @@ def with_views(body: str, extra: dict[str, str] | None = None) -> str:
 
 
 def keyword_counts(text: str) -> list[str]:
-    return [
-        f"len(regexp_extract_all(lower({text}), '\\b({'|'.join(words)})\\b'))" for words in CORPUS_KEYWORDS.values()
-    ]
+    """Hits per topic as SQL expressions."""
+    words = f"list_transform(string_split_regex(lower({text}), '\\s+'), lambda w: trim(w, '{_PUNCT}'))"
+    return [f"len(list_filter({words}, lambda w: w IN ({_words(ws)})))" for ws in CORPUS_KEYWORDS.values()]

@@ -15,6 +15,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .scalar import split_words
+
 # Fixed values of the published method.
 DEGREE = 0.293
 CAPITALS = 0.733
@@ -25,8 +27,6 @@ EXCLAMATION, MAX_EXCLAMATIONS = 0.292, 4
 QUESTION, MAX_QUESTIONS, MANY_QUESTIONS = 0.18, 3, 0.96
 NORMALISER = 15.0
 
-PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
-
 # A small lexicon of our own, by strength; pass a larger one as a parameter.
 _STRENGTHS = {
     3.0: "love loved loves adore amazing awesome excellent outstanding perfect superb fantastic wonderful best",
@@ -82,6 +82,11 @@ def _valence(word: Column, lexicon: Lexicon) -> Column:
     return out
 
 
+# A word with capitals and without small letters, and any other word.
+_SHOUTED = r"(?<!\S)[^\s\p{Ll}]*\p{Lu}[^\s\p{Ll}]*(?!\S)"
+_NOT_SHOUTED = r"(?<!\S)(?:[^\s\p{Lu}]+(?!\S)|\S*\p{Ll})"
+
+
 def _is_shouted(word: Column) -> Column:
     return (F.upper(word) == word) & (F.lower(word) != word)
 
@@ -89,62 +94,76 @@ def _is_shouted(word: Column) -> Column:
 def compound(text: str, lexicon: Lexicon = DEFAULT_LEXICON) -> Column:
     """Sentiment of a text column in -1..1, null for null."""
     body = F.col(text)
+    in_lexicon = list(lexicon.valence)
 
-    def strip(token):
-        bare = F.btrim(token, F.lit(PUNCTUATION))
-        return F.when(bare == "", token).otherwise(bare)
+    # Each bind() puts values into a one-element array, so that the next step finds them
+    # computed once per row instead of once per word.
+    def bind(value, step):
+        return F.element_at(F.transform(F.array(value), step), 1)
 
-    words = F.filter(F.transform(F.split(body, r"\s+"), strip), lambda w: w != "")
-    lowered = F.transform(words, F.lower)
-    in_lexicon = list(lexicon.valence)
+    def context(s):
+        places = F.filter(
+            F.sequence(F.lit(0), F.size(s["lowered"]) - 1),
+            lambda i: F.get(s["lowered"], i).isin(in_lexicon),
+        )
+        return F.struct(
+            s["words"].alias("words"),
+            s["lowered"].alias("lowered"),
+            F.array_position(s["lowered"], lexicon.contrast).alias("contrast_at"),
+            s["mixed"].alias("mixed"),
+            places.alias("places"),
+        )
 
-    def score(words, lowered):
-        # Emphasis by capitals counts only in a text that is not all capitals.
-        mixed = F.exists(words, _is_shouted) & F.exists(words, lambda w: ~_is_shouted(w))
-        contrast_at = F.array_position(lowered, lexicon.contrast)
+    def total(s):
+        def near(i):
+            return F.struct(
+                i.alias("i"),
+                _valence(F.get(s["lowered"], i), lexicon).alias("value"),
+                *[F.get(s["lowered"], i - d).alias(f"p{d}") for d in (1, 2, 3)],
+                *[(s["mixed"] & _is_shouted(F.get(s["words"], i - d))).alias(f"s{d}") for d in (0, 1, 2, 3)],
+            )
 
-        def word_score(i):
-            value = _valence(F.get(lowered, i), lexicon)
-            sign = F.signum(value)
-            value = value + F.when(mixed & _is_shouted(F.get(words, i)), sign * CAPITALS).otherwise(0.0)
+        def word_score(n):
+            sign = F.signum(n["value"])
+            value = n["value"] + F.when(n["s0"], sign * CAPITALS).otherwise(0.0)
             for distance, factor in enumerate(DISTANCE_FACTORS, start=1):
-                before = F.get(lowered, i - distance)
+                before = n[f"p{distance}"]
                 usable = before.isNotNull() & ~before.isin(in_lexicon)
-                step = F.when(before.isin(*lexicon.raising), DEGREE).when(before.isin(*lexicon.lowering), -DEGREE)
-                loud = F.when(mixed & _is_shouted(F.get(words, i - distance)), CAPITALS).otherwise(0.0)
-                step = (step + F.signum(step) * loud) * sign * factor
-                value = value + F.when(usable, F.coalesce(step, F.lit(0.0))).otherwise(0.0)
+                size = F.lit(DEGREE) + F.when(n[f"s{distance}"], CAPITALS).otherwise(0.0)
+                up = F.when(before.isin(*lexicon.raising), 1.0).when(before.isin(*lexicon.lowering), -1.0)
+                step = up.otherwise(0.0) * size * sign * factor
+                value = value + F.when(usable, step).otherwise(0.0)
                 value = value * F.when(usable & before.isin(*lexicon.negating), NEGATION).otherwise(1.0)
-            place = (i + 1).cast("long")
+            place = (n["i"] + 1).cast("long")
             weight = (
-                F.when(contrast_at == 0, 1.0)
-                .when(place < contrast_at, BEFORE_CONTRAST)
-                .when(place > contrast_at, AFTER_CONTRAST)
-                .otherwise(1.0)
+                F.when((s["contrast_at"] == 0) | (place == s["contrast_at"]), 1.0)
+                .when(place < s["contrast_at"], BEFORE_CONTRAST)
+                .otherwise(AFTER_CONTRAST)
             )
             return value * weight
 
-        places = F.filter(
-            F.sequence(F.lit(0), F.greatest(F.size(lowered) - 1, F.lit(0))),
-            lambda i: F.get(lowered, i).isin(in_lexicon),
-        )
-        return F.aggregate(F.transform(places, word_score), F.lit(0.0), lambda acc, x: acc + x)
+        scores = F.transform(F.transform(s["places"], near), word_score)
+        return F.aggregate(scores, F.lit(0.0), lambda acc, x: acc + x)
 
-    # A one-element array binds words and lowered once, so each is computed once per row.
-    bound = F.transform(F.array(F.struct(words.alias("w"), lowered.alias("l"))), lambda s: score(s["w"], s["l"]))
-    total = F.element_at(bound, 1)
+    def loudness(s):
+        few = F.least(s["marks"], F.lit(MAX_EXCLAMATIONS)) * EXCLAMATION
+        asks = F.when(s["asks"] <= 1, 0.0).when(s["asks"] <= MAX_QUESTIONS, s["asks"] * QUESTION)
+        return s["total"] + F.signum(s["total"]) * (few + asks.otherwise(MANY_QUESTIONS))
 
-    def finish(total):
-        marks = F.least(F.length(body) - F.length(F.replace(body, F.lit("!"), F.lit(""))), F.lit(MAX_EXCLAMATIONS))
-        asks = F.length(body) - F.length(F.replace(body, F.lit("?"), F.lit("")))
-        emphasis = marks * EXCLAMATION + F.when(asks <= 1, 0.0).when(asks <= MAX_QUESTIONS, asks * QUESTION).otherwise(
-            MANY_QUESTIONS
-        )
-        loud = total + F.signum(total) * emphasis
-        return F.round(loud / F.sqrt(loud * loud + NORMALISER), 4)
+    def count(mark):
+        return F.length(body) - F.length(F.replace(body, F.lit(mark), F.lit("")))
 
-    done = F.element_at(F.transform(F.array(total), finish), 1)
-    return F.when(body.isNotNull(), done)
+    # Emphasis by capitals counts only in a text that is not all capitals; others need no cased words.
+    mixed = body.rlike(_SHOUTED) & body.rlike(_NOT_SHOUTED)
+    split = F.struct(
+        F.when(mixed, F.split(body, r"\s+")).alias("words"), mixed.alias("mixed"),
+        split_words(F.lower(body)).alias("lowered"),
+    )
+    summed = F.struct(
+        bind(bind(split, context), total).alias("total"), count("!").alias("marks"), count("?").alias("asks")
+    )
+    score = bind(bind(summed, loudness), lambda x: F.round(x / F.sqrt(x * x + NORMALISER), 4))
+    return F.when(body.isNotNull(), score)
 
 
 def keyword_score(text: str, lexicon: Lexicon = DEFAULT_LEXICON) -> Column:

@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalar import is_blank
+from ..functions.scalar import is_blank, split_words
 
 # The four topics.
 TOPICS = (
@@ -36,10 +36,6 @@ def scale_confidence(classes: DataFrame) -> DataFrame:
     return classes.withColumn("confidence_score", F.col("confidence_score") * 100)
 
 
-def keyword_hits(text: str, words: tuple[str, ...]) -> Column:
-    return F.regexp_count(F.lower(F.col(text)), F.lit(r"\b(" + "|".join(words) + r")\b"))
-
-
 def classify_by_keywords(
     df: DataFrame, text: str = "description", keywords: Mapping[str, tuple[str, ...]] = KEYWORDS
 ) -> DataFrame:
@@ -49,13 +45,19 @@ def classify_by_keywords(
     blank text has no topic and confidence 0.0.
     """
     topics = list(keywords)
-    hits = F.array(*[keyword_hits(text, tuple(keywords[t])) for t in topics])
+    known = [w for t in topics for w in keywords[t]]
+    words = F.filter(split_words(F.lower(F.col(text))), lambda w: w.isin(known))
+
+    def count(ws, topic):
+        return F.size(F.filter(ws, lambda w: w.isin(*keywords[topic])))
+
+    hits = F.transform(F.array(words), lambda ws: F.array(*[count(ws, t) for t in topics]))
     best = F.array_max("_hits")
     total = F.aggregate("_hits", F.lit(0), lambda a, x: a + x)
     names = F.array(*[F.lit(t) for t in topics])
     blank = is_blank(text)
     return (
-        df.withColumn("_hits", hits)
+        df.withColumn("_hits", F.element_at(hits, 1))
         .withColumns(
             {
                 "category_review": F.when(

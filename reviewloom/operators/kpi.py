@@ -10,11 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.scalar import n_rows
 from .joins import top_products  # noqa: F401  (part of the report set)
 
-ROWS = F.count(F.lit(1))
-
-
 def _relevant() -> Column:
     return F.col("relevant_status") == "RELEVANT"
 
@@ -25,10 +23,10 @@ def _flag_sum(column: str) -> Column:
 
 # --- exploration ---------------------------------------------------------------
 def rating_distribution(df: DataFrame) -> DataFrame:
-    total = df.where(F.col("rating").isNotNull()).agg(ROWS).scalar()
+    total = df.where(F.col("rating").isNotNull()).agg(n_rows()).scalar()
     return (
         df.where(F.col("rating").isNotNull())
-        .groupBy("rating").agg(ROWS.alias("nb_reviews"))
+        .groupBy("rating").agg(n_rows().alias("nb_reviews"))
         .withColumn("percentage", F.col("nb_reviews") / total * 100)
         .orderBy("rating")
     )
@@ -41,7 +39,7 @@ def dataset_summary(df: DataFrame) -> DataFrame:
     the column's declared size, so that state is small at any number of rows.
     """
     return df.agg(
-        ROWS.alias("total_reviews"),
+        n_rows().alias("total_reviews"),
         _flag_sum("has_image").alias("with_images"),
         (F.avg(F.col("has_image").cast("int")) * 100).alias("pct_images"),
         _flag_sum("has_orders").alias("with_orders"),
@@ -64,7 +62,7 @@ def images_by_rating(df: DataFrame) -> DataFrame:
 
 
 def class_counts(df: DataFrame, column: str) -> DataFrame:
-    return df.groupBy(column).agg(ROWS.alias("nb_reviews")).orderBy(F.desc("nb_reviews"), column)
+    return df.groupBy(column).agg(n_rows().alias("nb_reviews")).orderBy(F.desc("nb_reviews"), column)
 
 
 def mean_confidence(df: DataFrame) -> DataFrame:
@@ -81,7 +79,7 @@ def reviews_by_product(reviews: DataFrame) -> DataFrame:
     return (
         reviews.groupBy("p_id", "product_name")
         .agg(
-            ROWS.alias("total_reviews"),
+            n_rows().alias("total_reviews"),
             F.avg("rating").alias("avg_rating"),
             _flag_sum("has_image").alias("reviews_with_images"),
             F.min("ingestion_timestamp").alias("first_review"),
@@ -96,19 +94,19 @@ def reviews_by_category(reviews: DataFrame, approximate: bool = False) -> DataFr
     return (
         reviews.where(F.col("category").isNotNull())
         .groupBy("category")
-        .agg(ROWS.alias("total_reviews"), F.avg("rating").alias("avg_rating"), products.alias("unique_products"))
+        .agg(n_rows().alias("total_reviews"), F.avg("rating").alias("avg_rating"), products.alias("unique_products"))
         .orderBy(F.desc("total_reviews"), "category")
     )
 
 
 def data_quality_view(reviews: DataFrame) -> DataFrame:
     return reviews.agg(
-        ROWS.alias("total_reviews"),
+        n_rows().alias("total_reviews"),
         F.count_distinct("review_id").alias("unique_reviews"),
         F.count_distinct("buyer_id").alias("unique_buyers"),
         F.count_distinct("p_id").alias("unique_products"),
         F.avg("rating").alias("avg_rating"),
-        (_flag_sum("has_image") / ROWS * 100).alias("pct_with_images"),
+        (_flag_sum("has_image") / n_rows() * 100).alias("pct_with_images"),
         F.count_if(F.col("description").isNull() | (F.col("description") == "")).alias("empty_descriptions"),
     )
 
@@ -128,7 +126,7 @@ def create_views(reviews: DataFrame) -> None:
 # --- dashboard -----------------------------------------------------------------
 def kpi_global(scored: DataFrame) -> DataFrame:
     return scored.agg(
-        ROWS.alias("total_reviews"),
+        n_rows().alias("total_reviews"),
         F.count_if(_relevant()).alias("nb_relevant"),
         *[
             F.round(F.avg(c), 2).alias(f"avg_{c}")
@@ -138,16 +136,16 @@ def kpi_global(scored: DataFrame) -> DataFrame:
 
 
 def kpi_status(scored: DataFrame) -> DataFrame:
-    return scored.groupBy("relevant_status").agg(ROWS.alias("nb_reviews"))
+    return scored.groupBy("relevant_status").agg(n_rows().alias("nb_reviews"))
 
 
 def kpi_category(scored: DataFrame) -> DataFrame:
     return (
         scored.groupBy("category")
         .agg(
-            ROWS.alias("nb_reviews"),
+            n_rows().alias("nb_reviews"),
             F.count_if(_relevant()).alias("nb_relevant"),
-            F.round(F.count_if(_relevant()) / ROWS, 3).alias("pourcentage_relevant"),
+            F.round(F.count_if(_relevant()) / n_rows(), 3).alias("pourcentage_relevant"),
             F.round(F.avg("rating"), 2).alias("avg_rating"),
         )
         .orderBy(F.desc("nb_reviews"), "category")
@@ -156,7 +154,7 @@ def kpi_category(scored: DataFrame) -> DataFrame:
 
 def _count_by(df: DataFrame, keys: list[str], name: str, limit: int | None, ascending: bool = False) -> DataFrame:
     order = F.asc(name) if ascending else F.desc(name)
-    out = df.groupBy(*keys).agg(ROWS.alias(name)).orderBy(order, *keys)
+    out = df.groupBy(*keys).agg(n_rows().alias(name)).orderBy(order, *keys)
     return out if limit is None else out.limit(limit)
 
 
@@ -184,9 +182,9 @@ def kpi5_active_buyers(scored: DataFrame, limit: int = 20) -> DataFrame:
     return (
         scored.groupBy("buyer_id")
         .agg(
-            ROWS.alias("total_reviews"),
+            n_rows().alias("total_reviews"),
             F.count_if(_relevant()).alias("nb_relevant"),
-            F.round(F.count_if(_relevant()) / ROWS, 3).alias("pct_relevant"),
+            F.round(F.count_if(_relevant()) / n_rows(), 3).alias("pct_relevant"),
         )
         .orderBy(F.desc("total_reviews"), "buyer_id")
         .limit(limit)

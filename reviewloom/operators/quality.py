@@ -12,15 +12,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalar import is_blank, is_trim_empty, percent
+from ..functions.scalar import is_blank, is_trim_empty, n_rows, percent
 from ..schemas import (
     CHECKS, DECLARED_REASONS, FOREIGN_KEYS, KNOWN_REASONS, PRIMARY_KEYS, REQUIRED, TEXT_LIMITS, UNIQUE_KEYS,
     ForeignKey,
 )
 
-ROWS = F.count(F.lit(1))
-
-
 def _union(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
@@ -35,7 +32,7 @@ def _result(df: DataFrame, name: str, failed: Column, total: Column, passed: Col
 # --- expectations ------------------------------------------------------------
 def expect_rows(df: DataFrame, name: str = "not_empty") -> DataFrame:
     """One row at least; stops at the first row found."""
-    one = df.limit(1).agg(ROWS.alias("n"))
+    one = df.limit(1).agg(n_rows().alias("n"))
     return _result(one, name, F.when(F.col("n") > 0, 0).otherwise(1), F.col("n"))
 
 
@@ -46,12 +43,12 @@ def expect_between(df: DataFrame, column: str, low=None, high=None, name: str |
         inside = inside & (F.col(column) >= low)
     if high is not None:
         inside = inside & (F.col(column) <= high)
-    found = df.agg(F.count_if(~inside).alias("bad"), ROWS.alias("n"))
+    found = df.agg(F.count_if(~inside).alias("bad"), n_rows().alias("n"))
     return _result(found, name or f"{column}_range", F.col("bad"), F.col("n"))
 
 
 def key_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return df.groupBy(*keys).agg(ROWS.alias("n"))
+    return df.groupBy(*keys).agg(n_rows().alias("n"))
 
 
 def expect_unique(df: DataFrame, keys: Sequence[str], name: str | None = None) -> DataFrame:
@@ -65,7 +62,7 @@ def expect_unique(df: DataFrame, keys: Sequence[str], name: str | None = None) -
 
 def expect_not_null(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One row per column, all counted in one pass."""
-    one = df.agg(ROWS.alias("n"), *[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
+    one = df.agg(n_rows().alias("n"), *[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
     rows = F.array(*[F.struct(F.lit(f"{c}_not_null").alias("name"), F.col(c).alias("bad"), F.col("n")) for c in columns])
     return one.select(F.inline(rows)).select(
         "name", (F.col("bad") == 0).alias("passed"), F.col("bad").alias("failed"), F.col("n").alias("checked")
@@ -74,7 +71,7 @@ def expect_not_null(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def expect_text(df: DataFrame, column: str, max_empty_percent: float = 10.0, name: str | None = None) -> DataFrame:
     """Fewer empty texts than the tolerance."""
-    found = df.agg(F.count_if(is_blank(column)).alias("bad"), ROWS.alias("n"))
+    found = df.agg(F.count_if(is_blank(column)).alias("bad"), n_rows().alias("n"))
     ok = percent(F.col("failed"), F.col("checked")) < max_empty_percent
     return _result(found, name or f"{column}_not_empty", F.col("bad"), F.col("n"), ok)
 
@@ -93,15 +90,15 @@ def references(child: DataFrame, column: str, parent: DataFrame, parent_column:
 
     Child keys are counted before the join, so a key on a third of the rows is one row.
     """
-    keys = child.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("k")).agg(ROWS.alias("n"))
+    keys = child.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("k")).agg(n_rows().alias("n"))
     known = parent.select(F.col(parent_column).alias("k")).where(F.col("k").isNotNull()).distinct()
     known = known.withColumn("known", F.lit(True))
     bad = F.col("known").isNull()
     return keys.join(known, "k", "left").agg(
-        ROWS.alias("keys"),
+        n_rows().alias("keys"),
         F.count_if(bad).alias("orphan_keys"),
         F.coalesce(F.sum(F.when(bad, F.col("n"))), F.lit(0)).alias("orphan_rows"),
-        F.when(ROWS > 0, (1 - F.count_if(bad) / ROWS) * 100).otherwise(100.0).alias("valid_pct"),
+        F.when(n_rows() > 0, (1 - F.count_if(bad) / n_rows()) * 100).otherwise(100.0).alias("valid_pct"),
     )
 
 
@@ -132,10 +129,10 @@ def quality_report(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 def report_summary(report: DataFrame) -> DataFrame:
     return report.agg(
-        ROWS.alias("total_tests"),
+        n_rows().alias("total_tests"),
         F.count_if("passed").alias("passed"),
         F.count_if(~F.col("passed")).alias("failed"),
-        F.round(F.count_if("passed") / ROWS * 100, 1).alias("success_rate"),
+        F.round(F.count_if("passed") / n_rows() * 100, 1).alias("success_rate"),
     )
 
 
@@ -256,7 +253,7 @@ def rejection_statistics(review: DataFrame) -> DataFrame:
         "null_buyers": F.col("buyer_id").isNull(),
         "empty_descriptions": is_trim_empty("r_desc"),
     }
-    per_id = review.groupBy("review_id").agg(ROWS.alias("n"), *[F.count_if(t).alias(c) for c, t in tests.items()])
+    per_id = review.groupBy("review_id").agg(n_rows().alias("n"), *[F.count_if(t).alias(c) for c, t in tests.items()])
     any_problem = reduce(lambda a, b: a | b, [F.col(c) > 0 for c in tests])
     problem = F.col("review_id").isNotNull() & ((F.col("n") > 1) | any_problem)
     sums = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n", *tests)]
@@ -286,7 +283,7 @@ def duplicate_count(review: DataFrame) -> DataFrame:
 
 # --- rejects and run checks ---------------------------------------------------------
 def reject_reasons(rejected: DataFrame) -> DataFrame:
-    return rejected.groupBy("rejection_reason").agg(ROWS.alias("nb_reviews"))
+    return rejected.groupBy("rejection_reason").agg(n_rows().alias("nb_reviews"))
 
 
 def reason_vocabulary(rejected: DataFrame) -> DataFrame:
@@ -316,7 +313,7 @@ def failed_tables(status: DataFrame) -> DataFrame:
     """(failed, total, names) over load status rows (table_name, location, error); at most one row per table."""
     bad = F.col("location").isNull()
     return status.agg(
-        F.count_if(bad).alias("failed"), ROWS.alias("total"),
+        F.count_if(bad).alias("failed"), n_rows().alias("total"),
         F.array_join(F.sort_array(F.collect_list(F.when(bad, F.col("table_name")))), ", ").alias("names"),
     )
 

@@ -15,7 +15,10 @@ from ..schemas import JOIN_TABLES, REQUIRED_TABLES, SCORING_COLUMNS, schema_of
 
 # The text of a lake CSV file: header, quotes doubled, line ends allowed inside quotes.
 # multiLine files are not split; the default lake format is parquet for that reason.
-CSV_OPTIONS = {"header": "true", "escape": '"', "multiLine": "true"}
+CSV_OPTIONS = {
+    "header": "true", "escape": '"', "multiLine": "true",
+    "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
+}
 MAX_LEXICON = 50_000
 
 

@@ -15,7 +15,7 @@ def write_lake(df: DataFrame, path: str, fmt: str = "parquet") -> str:
     """Overwrite one lake table; CSV has a header and doubles quotes."""
     writer = df.write.mode("overwrite")
     if fmt == "csv":
-        writer.option("header", True).option("escape", '"').csv(path)
+        writer.csv(path, header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
     else:
         writer.format(fmt).save(path)
     return path
