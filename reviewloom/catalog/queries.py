@@ -646,6 +646,15 @@ def _histogram_sql(column: str, bins: int) -> str:
         ON least(floor((v - lo) / w), {bins - 1}) = b.bin GROUP BY b.bin, lo, w"""
 
 
+@query(
+    "score_quantiles_by_range",
+    " UNION ALL ".join(f"SELECT {p}E0 AS p, round(quantile_cont(relevance_score, {p}), 6) AS value FROM f_scored" for p in _PROBABILITIES),
+)
+def _(w):
+    # The way taken for a column of very many distinct values.
+    return _rounded(distribution.exact_quantiles(w.review_relevant, "relevance_score", _PROBABILITIES, small=0), value=6)
+
+
 @query("histogram", _histogram_sql("relevance_score", 50))
 def _(w):
     return _rounded(distribution.histogram(w.review_relevant, "relevance_score", 50), low=6, high=6)

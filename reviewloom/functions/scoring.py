@@ -22,7 +22,7 @@ CONFIDENCE_THRESHOLD, RELEVANCE_THRESHOLD = 78.3, 58.8
 
 
 def text_length_score(column: str = "text_length") -> Column:
-    gap = F.col(column) - OPTIMAL_LENGTH
+    gap = F.col(column).cast("double") - OPTIMAL_LENGTH
     return F.exp(-(gap * gap) / (2.0 * LENGTH_SPREAD * LENGTH_SPREAD))
 
 

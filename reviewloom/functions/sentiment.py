@@ -95,6 +95,10 @@ def compound(text: str, lexicon: Lexicon = DEFAULT_LEXICON) -> Column:
     """Sentiment of a text column in -1..1, null for null."""
     body = F.col(text)
     in_lexicon = list(lexicon.valence)
+    # A word with a valence of its own modifies no other word.
+    raising, lowering, negating = (
+        sorted(words - set(in_lexicon)) for words in (lexicon.raising, lexicon.lowering, lexicon.negating)
+    )
 
     # Each bind() puts values into a one-element array, so that the next step finds them
     # computed once per row instead of once per word.
@@ -116,24 +120,20 @@ def compound(text: str, lexicon: Lexicon = DEFAULT_LEXICON) -> Column:
 
     def total(s):
         def near(i):
-            return F.struct(
-                i.alias("i"),
-                _valence(F.get(s["lowered"], i), lexicon).alias("value"),
-                *[F.get(s["lowered"], i - d).alias(f"p{d}") for d in (1, 2, 3)],
-                *[(s["mixed"] & _is_shouted(F.get(s["words"], i - d))).alias(f"s{d}") for d in (0, 1, 2, 3)],
-            )
+            before = [F.get(s["lowered"], i - d).alias(f"p{d}") for d in (1, 2, 3)]
+            return F.struct(i.alias("i"), _valence(F.get(s["lowered"], i), lexicon).alias("value"), *before)
 
         def word_score(n):
+            def capitals(distance):
+                return F.when(s["mixed"] & _is_shouted(F.get(s["words"], n["i"] - distance)), CAPITALS).otherwise(0.0)
+
             sign = F.signum(n["value"])
-            value = n["value"] + F.when(n["s0"], sign * CAPITALS).otherwise(0.0)
+            value = n["value"] + sign * capitals(0)
             for distance, factor in enumerate(DISTANCE_FACTORS, start=1):
                 before = n[f"p{distance}"]
-                usable = before.isNotNull() & ~before.isin(in_lexicon)
-                size = F.lit(DEGREE) + F.when(n[f"s{distance}"], CAPITALS).otherwise(0.0)
-                up = F.when(before.isin(*lexicon.raising), 1.0).when(before.isin(*lexicon.lowering), -1.0)
-                step = up.otherwise(0.0) * size * sign * factor
-                value = value + F.when(usable, step).otherwise(0.0)
-                value = value * F.when(usable & before.isin(*lexicon.negating), NEGATION).otherwise(1.0)
+                size = (F.lit(DEGREE) + capitals(distance)) * sign * factor
+                value = value + F.when(before.isin(raising), size).when(before.isin(lowering), -size).otherwise(0.0)
+                value = value * F.when(before.isin(negating), NEGATION).otherwise(1.0)
             place = (n["i"] + 1).cast("long")
             weight = (
                 F.when((s["contrast_at"] == 0) | (place == s["contrast_at"]), 1.0)

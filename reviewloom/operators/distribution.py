@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 BINS = 4096
+SMALL = 500_000
 
 
 def _counts(df: DataFrame, column: str) -> DataFrame:
@@ -28,14 +29,31 @@ def _holding(cells: DataFrame, ranks, partition: list[str]) -> DataFrame:
     )
 
 
-def exact_quantiles(df: DataFrame, column: str, probabilities: Sequence[float], bins: int = BINS) -> DataFrame:
-    """(p, value) with linear interpolation, exact, without sorting the column in one task.
+def exact_quantiles(
+    df: DataFrame, column: str, probabilities: Sequence[float], small: int = SMALL
+) -> DataFrame:
+    """(p, value) with linear interpolation, exact.
+
+    A column of at most ``small`` distinct values (checked first) is solved from its
+    value counts in one aggregate; any other by narrowing the value range.
+    """
+    counts = _counts(df, column)
+    distinct = counts.limit(small + 1).count()
+    if distinct > small:
+        return _quantiles_by_range(counts, probabilities)
+    spots = F.array(*[F.lit(float(p)) for p in probabilities])
+    return counts.agg(F.percentile("v", [float(p) for p in probabilities], F.col("c")).alias("q")).select(
+        F.inline(F.arrays_zip(spots.alias("p"), F.col("q").alias("value")))
+    )
+
+
+def _quantiles_by_range(counts: DataFrame, probabilities: Sequence[float], bins: int = BINS) -> DataFrame:
+    """Quantiles of (v, c) without bringing the values together in one task.
 
     Two rounds of counting find, for each wanted rank, a slice of 1/bins**2 of the value
     range; only the distinct values inside those slices are put in order. Each
     single-group window below runs over at most ``bins`` cells.
     """
-    counts = _counts(df, column)
     span = counts.agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.sum("c").alias("n"))
     bounds = span.select(F.struct("lo", "hi", "n")).scalar()
     width = F.col("s.hi") - F.col("s.lo")

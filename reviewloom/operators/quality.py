@@ -160,10 +160,7 @@ def foreign_key_orphans(
     present = [k for k in keys if k.table in tables and k.parent in tables]
     return _union(
         [
-            references(
-                tables[k.table].select(F.col(k.column).cast("string")), k.column,
-                tables[k.parent].select(F.col(k.parent_column).cast("string")), k.parent_column,
-            ).select(F.lit(k.name).alias("foreign_key"), "keys", "orphan_keys", "orphan_rows")
+            references(tables[k.table], k.column, tables[k.parent], k.parent_column).select(F.lit(k.name).alias("foreign_key"), "keys", "orphan_keys", "orphan_rows")
             for k in present
         ]
     )

@@ -7,6 +7,7 @@ folder under the application's id, so another application never meets them.
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Mapping
 from dataclasses import dataclass, field
 from functools import cached_property
 
@@ -15,13 +16,42 @@ from pyspark.sql import functions as F
 
 from ..operators.clean import clean_rows, join_and_flag, rejected_rows
 from ..session import scratch_path
-from ..sources.driver_tables import CORPUS_LEXICON, base_tables, review_class, source_tables
+from ..sources.driver_tables import BUILDERS, CORPUS_LEXICON, base_tables, review_class
 from ..sources.writers import as_review_relevant, as_reviews
 from .jobs import score_reviews, stage_flagged
 
 INGESTED_AT = "2024-01-15 00:00:00"
 
 
+# Tables that are aggregates of a given table; stored once rather than aggregated per use.
+STORED = ("cart_items", "seller_products", "wishlist_item")
+
+
+class Sources(Mapping[str, DataFrame]):
+    """Source tables of a folder, each built at first use."""
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self._base = base_tables(spark, folder)
+        self._spark = spark
+        self._built: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            df = BUILDERS[name](self._base)
+            if name in STORED:
+                path = scratch_path(self._spark, name)
+                df.write.parquet(path)
+                df = self._spark.read.schema(df.schema).parquet(path)
+            self._built[name] = df
+        return self._built[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(BUILDERS)
+
+    def __len__(self) -> int:
+        return len(BUILDERS)
+
+
 @dataclass
 class Warehouse:
     spark: SparkSession
@@ -29,8 +59,8 @@ class Warehouse:
     statistics: dict = field(default_factory=dict)
 
     @cached_property
-    def sources(self) -> dict[str, DataFrame]:
-        return source_tables(self.spark, self.folder)
+    def sources(self) -> Mapping[str, DataFrame]:
+        return Sources(self.spark, self.folder)
 
     @cached_property
     def classes(self) -> DataFrame:
