@@ -16,7 +16,7 @@ from ..functions import scalar, scoring, sentiment
 from ..operators import classify, clean, distribution, joins, kpi, quality, serve, shop, skew
 from ..plans import jobs
 from ..plans.warehouse import INGESTED_AT, Warehouse, warehouse
-from ..session import scratch_path
+from ..session import scratch_path, spread_scan
 from ..sources import extract, readers, writers
 from ..sources.driver_tables import CORPUS_KEYWORDS, CORPUS_LEXICON, DEAL_DAY, base_tables
 from .views import KEEP_ORDER, keyword_counts, sentiment_views, with_views
@@ -358,15 +358,7 @@ def _given() -> dict[str, tuple[str, ...]]:
 
 @query("fk_orphans", _fk_sql())
 def _(w):
-    given = {t: w.sources[t] for t in _given()}
-    from ..schemas import FOREIGN_KEYS
-
-    keys = [
-        k for k in FOREIGN_KEYS
-        if k.table in given and k.parent in given and k.column in given[k.table].columns
-        and k.parent_column in given[k.parent].columns
-    ]
-    return quality.foreign_key_orphans(given, keys)
+    return quality.foreign_key_orphans(w.sources)
 
 
 def _pk_sql() -> str:
@@ -508,13 +500,13 @@ def _(w):
 
 @query("sentiment", "SELECT doc_id, compound FROM f_doc_sentiment", sentiment_views("f_doc_sentiment", "documents", "doc_id", "text"))
 def _(w):
-    docs = base_tables(w.spark, w.folder)["documents"]
+    docs = spread_scan(base_tables(w.spark, w.folder)["documents"].select("doc_id", "text"), "doc_id")
     return docs.select("doc_id", sentiment.compound("text", CORPUS_LEXICON).alias("compound"))
 
 
 @query("sentiment_default_lexicon")
 def _(w):
-    docs = base_tables(w.spark, w.folder)["documents"]
+    docs = spread_scan(base_tables(w.spark, w.folder)["documents"].select("doc_id", "text"), "doc_id")
     return docs.select("doc_id", sentiment.compound("text").alias("compound"))
 
 
@@ -583,7 +575,7 @@ _TOPIC_CASE = " ".join(f"WHEN h{i + 1} = best THEN '{t}'" for i, t in enumerate(
     {", ".join(f"{h} AS h{i + 1}" for i, h in enumerate(_HITS))} FROM documents) a) b""",
 )
 def _(w):
-    docs = base_tables(w.spark, w.folder)["documents"].select("doc_id", "text")
+    docs = spread_scan(base_tables(w.spark, w.folder)["documents"].select("doc_id", "text"), "doc_id")
     found = classify.classify_by_keywords(docs, "text", CORPUS_KEYWORDS)
     return _rounded(found, confidence_score=6).drop("text")
 
@@ -605,7 +597,7 @@ def _load_length_scorer():
     FROM (SELECT *, text IS NULL OR regexp_full_match(text, '[\s\p{Z}]*') AS blank FROM documents) q""",
 )
 def _(w):
-    docs = base_tables(w.spark, w.folder)["documents"].select("doc_id", "text")
+    docs = spread_scan(base_tables(w.spark, w.folder)["documents"].select("doc_id", "text"), "doc_id")
     found = classify.classify_with_model(docs, _load_length_scorer, "text")
     return _rounded(found, confidence_score=6).drop("text")
 
@@ -1004,7 +996,9 @@ def _(w):
 )
 def _(w):
     done = _checkout(w)
-    nested = shop.order_documents(done.orders, done.order_items, done.payments, done.shipments)
+    # Orders have as many lines as their carts, so the stored cart lines tell which are vast.
+    vast = skew.find_hot(w.sources["cart_items"].select(F.col("cart_id").alias("order_id")), "order_id", joins.LIST_ROWS)
+    nested = shop.order_documents(done.orders, done.order_items, done.payments, done.shipments, hot=vast)
     items = F.transform("items", lambda i: F.concat(i["p_id"], F.lit(":"), i["qty"].cast("string")))
     sent = F.transform("shipments", lambda s: s["p_id"])
     return nested.select(

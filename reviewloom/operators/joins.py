@@ -186,12 +186,15 @@ def reviews_with_images(reviews: DataFrame, review_images: DataFrame, part_rows:
     )
 
 
-def collect_parts(df: DataFrame, key: str, value, items: str, part: str, part_rows: int) -> DataFrame:
+def collect_parts(
+    df: DataFrame, key: str, value, items: str, part: str, part_rows: int, hot: HotKeys | None = None
+) -> DataFrame:
     """Sorted list of ``value`` per key; a hot key yields several lists instead of one vast one."""
     rows = df.select(key, value.alias("_item"))
-    hot = find_hot(rows, key, part_rows)
+    hot = find_hot(rows, key, part_rows) if hot is None else hot
     if hot:
-        rows = rows.join(hot.frame(rows), F.col(key) == F.col("_hot_key"), "left")
+        marks = hot.frame(rows)
+        rows = rows.join(marks, rows[key] == marks["_hot_key"], "left")
         shares = F.coalesce("_shares", F.lit(1))
         rows = rows.withColumn(part, F.pmod(spread_hash("_item"), shares).cast("int"))
     else:

@@ -88,17 +88,21 @@ def expect_type(df: DataFrame, column: str, expected: str, name: str | None = No
 def references(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
     """Distinct referenced keys, orphan keys, orphan rows, and share of valid keys; null keys pass.
 
-    Child keys are counted before the join, so a key on a third of the rows is one row.
+    Both tables go through one aggregate over the key instead of a join: one shuffle of
+    map-side combined keys, whatever the share of the most frequent one.
     """
-    keys = child.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("k")).agg(n_rows().alias("n"))
-    known = parent.select(F.col(parent_column).alias("k")).where(F.col("k").isNotNull()).distinct()
-    known = known.withColumn("known", F.lit(True))
-    bad = F.col("known").isNull()
-    return keys.join(known, "k", "left").agg(
-        n_rows().alias("keys"),
+    uses = child.select(F.col(column).alias("k"), F.lit(1).alias("used"), F.lit(0).alias("known"))
+    keys = parent.select(F.col(parent_column).alias("k"), F.lit(0).alias("used"), F.lit(1).alias("known"))
+    per_key = uses.union(keys).where(F.col("k").isNotNull()).groupBy("k").agg(
+        F.sum("used").alias("used"), F.max("known").alias("known")
+    )
+    used, bad = F.col("used") > 0, F.col("known") == 0
+    return per_key.agg(
+        F.count_if(used).alias("keys"),
         F.count_if(bad).alias("orphan_keys"),
-        F.coalesce(F.sum(F.when(bad, F.col("n"))), F.lit(0)).alias("orphan_rows"),
-        F.when(n_rows() > 0, (1 - F.count_if(bad) / n_rows()) * 100).otherwise(100.0).alias("valid_pct"),
+        F.coalesce(F.sum(F.when(bad, F.col("used"))), F.lit(0)).alias("orphan_rows"),
+    ).withColumn(
+        "valid_pct", F.when(F.col("keys") > 0, (1 - F.col("orphan_keys") / F.col("keys")) * 100).otherwise(100.0)
     )
 
 
@@ -153,41 +157,120 @@ def joined_checks(joined: DataFrame) -> DataFrame:
 
 
 # --- declared constraints ------------------------------------------------------
+_WHOLE = ("tinyint", "smallint", "int", "bigint")
+
+
+def _family(df: DataFrame, column: str) -> str:
+    """Type a key is compared in: whole numbers together, dates apart, all else as text."""
+    kind = df.schema[column].dataType.simpleString()
+    return "bigint" if kind in _WHOLE else kind if kind == "date" else "string"
+
+
 def foreign_key_orphans(
     tables: Mapping[str, DataFrame], keys: Sequence[ForeignKey] = FOREIGN_KEYS
 ) -> DataFrame:
-    """Orphans per declared foreign key whose two tables are given."""
-    present = [k for k in keys if k.table in tables and k.parent in tables]
-    return _union(
-        [
-            references(tables[k.table], k.column, tables[k.parent], k.parent_column).select(F.lit(k.name).alias("foreign_key"), "keys", "orphan_keys", "orphan_rows")
-            for k in present
-        ]
+    """Orphans per declared foreign key whose two columns are given; null keys pass.
+
+    All keys of one type are checked in a single aggregate. A parent key column forms a
+    space; its own rows and those of every child column pointing at it are counted per
+    (space, key), so parents are read once and nothing is joined.
+    """
+    present = [
+        k for k in keys
+        if k.table in tables and k.column in tables[k.table].columns
+        and k.parent in tables and k.parent_column in tables[k.parent].columns
+    ]
+    families: dict[str, dict[tuple[str, str], list[ForeignKey]]] = {}
+    for k in present:
+        kinds = {_family(tables[k.table], k.column), _family(tables[k.parent], k.parent_column)}
+        kind = kinds.pop() if len(kinds) == 1 else "string"
+        families.setdefault(kind, {}).setdefault((k.parent, k.parent_column), []).append(k)
+    return _union([_orphans_of_type(tables, kind, spaces) for kind, spaces in families.items()])
+
+
+def _orphans_of_type(tables, kind: str, spaces: dict[tuple[str, str], list[ForeignKey]]) -> DataFrame:
+    def rows(table: str, column: str, space: int, slot: int) -> DataFrame:
+        key = F.col(column).cast(kind).alias("k")
+        return tables[table].select(F.lit(space).alias("space"), F.lit(slot).alias("slot"), key)
+
+    parts, names = [], []
+    for space, ((parent, column), children) in enumerate(spaces.items()):
+        parts.append(rows(parent, column, space, -1))
+        for slot, k in enumerate(children):
+            parts.append(rows(k.table, k.column, space, slot))
+            names.append((space, slot, k.name))
+    slots = range(max(slot for _, slot, _ in names) + 1)
+    per_key = _union(parts).where(F.col("k").isNotNull()).groupBy("space", "k").agg(
+        F.max(F.col("slot") == -1).alias("known"), *[F.count_if(F.col("slot") == s).alias(f"n{s}") for s in slots]
+    )
+    known = F.col("known")
+    per_space = per_key.groupBy("space").agg(
+        *[F.count_if(F.col(f"n{s}") > 0).alias(f"keys{s}") for s in slots],
+        *[F.count_if((F.col(f"n{s}") > 0) & ~known).alias(f"bad{s}") for s in slots],
+        *[F.sum(F.when(~known, F.col(f"n{s}")).otherwise(0)).alias(f"rows{s}") for s in slots],
+    )
+    counted = per_space.select(
+        "space",
+        F.inline(
+            F.array(
+                *[
+                    F.struct(
+                        F.lit(s).alias("slot"), F.col(f"keys{s}").alias("keys"),
+                        F.col(f"bad{s}").alias("orphan_keys"), F.col(f"rows{s}").alias("orphan_rows"),
+                    )
+                    for s in slots
+                ]
+            )
+        ),
+    )
+    spark = next(iter(tables.values())).sparkSession
+    declared = spark.createDataFrame(names, "space int, slot int, foreign_key string")
+    zero = F.lit(0).cast("long")
+    return declared.join(counted, ["space", "slot"], "left").select(
+        "foreign_key", *[F.coalesce(c, zero).alias(c) for c in ("keys", "orphan_keys", "orphan_rows")]
     )
 
 
 def key_violations(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Repeated and null keys per declared primary or unique key (nulls are allowed in unique keys)."""
-    frames = []
+    """Repeated and null keys per declared primary or unique key (nulls are allowed in unique keys).
+
+    Keys of the same types are counted together, one shuffle per combination of types.
+    """
+    rules = []
     for table, df in tables.items():
         declared = [("primary", PRIMARY_KEYS[table])] + [("unique", k) for k in UNIQUE_KEYS.get(table, ())]
-        for kind, columns in declared:
-            if not set(columns) <= set(df.columns):
-                continue
-            null = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in columns])
-            frames.append(
-                key_counts(df, columns)
-                .agg(
-                    F.count_if((F.col("n") > 1) & ~null).alias("repeated_keys"),
-                    F.coalesce(F.sum(F.when(null, F.col("n"))), F.lit(0)).alias("null_rows"),
-                )
-                .select(
-                    F.lit(table).alias("table_name"), F.lit(kind).alias("kind"),
-                    F.lit(",".join(columns)).alias("columns"), "repeated_keys",
-                    (F.col("null_rows") if kind == "primary" else F.lit(0).cast("long")).alias("null_rows"),
+        rules += [(table, kind, columns) for kind, columns in declared if set(columns) <= set(df.columns)]
+    families: dict[tuple[str, ...], list[int]] = {}
+    for i, (table, _, columns) in enumerate(rules):
+        families.setdefault(tuple(_family(tables[table], c) for c in columns), []).append(i)
+    frames = []
+    for kinds, members in families.items():
+        names = [f"k{j}" for j in range(len(kinds))]
+        keys = _union(
+            [
+                tables[rules[i][0]].select(
+                    F.lit(i).alias("rule"),
+                    *[F.col(c).cast(kind).alias(n) for c, kind, n in zip(rules[i][2], kinds, names)],
                 )
+                for i in members
+            ]
+        )
+        null = reduce(lambda a, b: a | b, [F.col(n).isNull() for n in names])
+        frames.append(
+            key_counts(keys, ["rule", *names]).groupBy("rule").agg(
+                F.count_if((F.col("n") > 1) & ~null).alias("repeated_keys"),
+                F.coalesce(F.sum(F.when(null, F.col("n"))), F.lit(0)).alias("null_rows"),
             )
-    return _union(frames)
+        )
+    spark = next(iter(tables.values())).sparkSession
+    listed = [(i, t, kind, ",".join(columns)) for i, (t, kind, columns) in enumerate(rules)]
+    declared = spark.createDataFrame(listed, "rule int, table_name string, kind string, columns string")
+    zero = F.lit(0).cast("long")
+    return declared.join(_union(frames), "rule", "left").select(
+        "table_name", "kind", "columns",
+        F.coalesce("repeated_keys", zero).alias("repeated_keys"),
+        F.when(F.col("kind") == "primary", F.coalesce("null_rows", zero)).otherwise(zero).alias("null_rows"),
+    )
 
 
 def _per_table(df: DataFrame, table: str, rules: list[tuple[str, Column]]) -> DataFrame:

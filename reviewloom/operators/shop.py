@@ -9,15 +9,12 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import estimated_delivery
 from .joins import LIST_ROWS, collect_parts
-from .skew import HOT_ROWS, find_hot, salted_join, spread_hash
+from .skew import HOT_ROWS, HotKeys, find_hot, salted_join, spread_hash
 
 
-def price_items(
-    cart_items: DataFrame, product: DataFrame, hot_rows: int = HOT_ROWS, how: str = "left"
-) -> DataFrame:
-    """Cart lines with the product price; a best-seller's lines are cut into shares."""
-    lines = cart_items.select("cart_id", "p_id", "qty")
-    return salted_join(lines, product, find_hot(lines, "p_id", hot_rows), spread_hash("cart_id"), how)
+def price_items(lines: DataFrame, offers: DataFrame, hot: HotKeys) -> DataFrame:
+    """Cart lines with the columns of their product; a best-seller's lines are cut into shares."""
+    return salted_join(lines.select("cart_id", "p_id", "qty"), offers, hot, spread_hash("cart_id"), "inner")
 
 
 def upsert_cart_items(cart_items: DataFrame, added: DataFrame) -> DataFrame:
@@ -28,7 +25,7 @@ def upsert_cart_items(cart_items: DataFrame, added: DataFrame) -> DataFrame:
 
 
 def cart_totals(cart_items: DataFrame, product: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    priced = price_items(cart_items, product.select("p_id", "price"), hot_rows, "inner")
+    priced = price_items(cart_items, product.select("p_id", "price"), find_hot(cart_items, "p_id", hot_rows))
     return priced.groupBy("cart_id").agg(
         F.sum("qty").alias("total_qty"), F.sum(F.col("price") * F.col("qty")).alias("total_price")
     )
@@ -53,7 +50,7 @@ def deal_totals(
     offers = product.select("p_id", "price").join(deals, "p_id", "left").withColumn(
         "discount", F.coalesce("discount", F.lit(0.0))
     )
-    lines = price_items(cart_items, offers, hot_rows, "inner")
+    lines = price_items(cart_items, offers, find_hot(cart_items, "p_id", hot_rows))
     gross = F.col("price") * F.col("qty")
     per_cart = lines.groupBy("cart_id").agg(
         F.sum(gross).alias("gross"), F.sum(gross * F.col("discount") / 100).alias("discount_total")
@@ -104,7 +101,9 @@ def checkout(
         cart_items.select("cart_id", "p_id", "qty"), carts.where(F.col("_qty").isNotNull()).select("cart_id"),
         find_hot(cart_items, "cart_id", hot_rows), spread_hash("p_id"), "inner",
     )
-    order_items = price_items(ordered, product.select("p_id", "price"), hot_rows, "inner").select(
+    order_items = price_items(
+        ordered, product.select("p_id", "price"), find_hot(cart_items, "p_id", hot_rows)
+    ).select(
         order_id.alias("order_id"), "p_id", "qty", F.col("price").alias("price_at_purchase")
     )
     shipments = ordered.select(
@@ -132,16 +131,25 @@ def checkout(
 
 
 def order_documents(
-    orders: DataFrame, order_items: DataFrame, payments: DataFrame, shipments: DataFrame, part_rows: int = LIST_ROWS
+    orders: DataFrame,
+    order_items: DataFrame,
+    payments: DataFrame,
+    shipments: DataFrame,
+    part_rows: int = LIST_ROWS,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
-    """Orders with nested items, payment and shipments; a vast order comes in several parts."""
+    """Orders with nested items, payment and shipments; a vast order comes in several parts.
+
+    An item has one shipment, so the orders with many items are those with many shipments.
+    """
+    hot = find_hot(order_items, "order_id", part_rows) if hot is None else hot
     items = collect_parts(
-        order_items, "order_id", F.struct("p_id", "qty", "price_at_purchase"), "items", "part", part_rows
+        order_items, "order_id", F.struct("p_id", "qty", "price_at_purchase"), "items", "part", part_rows, hot
     )
     sent = collect_parts(
         shipments, "order_id",
         F.struct("p_id", "shipping_id", "carrier_id", "shipment_type", "status", "est_delivery_date"),
-        "shipments", "part", part_rows,
+        "shipments", "part", part_rows, hot,
     )
     paid = payments.select("order_id", F.struct("payment_id", "method", "status", "created_at").alias("payment"))
     nested = items.join(sent, ["order_id", "part"], "full")

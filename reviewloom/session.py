@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _OWN_DIRS: dict[str, str] = {}
 
@@ -52,3 +52,13 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder, never used before."""
     return f"{shared_dir(spark)}/reviewloom/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+
+
+def spread_scan(df: DataFrame, key: str) -> DataFrame:
+    """Hash a plain scan over all cores where the files give fewer partitions than there are cores.
+
+    Meant for costly expressions over a few large files; a large table has more
+    partitions than cores and is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
