@@ -18,7 +18,7 @@ from ..plans import jobs
 from ..plans.warehouse import INGESTED_AT, Warehouse, warehouse
 from ..session import scratch_path, spread_scan
 from ..sources import extract, readers, writers
-from ..sources.driver_tables import CORPUS_KEYWORDS, CORPUS_LEXICON, DEAL_DAY, base_tables
+from ..sources.driver_tables import CORPUS_KEYWORDS, CORPUS_LEXICON, DEAL_DAY
 from .views import KEEP_ORDER, keyword_counts, sentiment_views, with_views
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -500,13 +500,13 @@ def _(w):
 
 @query("sentiment", "SELECT doc_id, compound FROM f_doc_sentiment", sentiment_views("f_doc_sentiment", "documents", "doc_id", "text"))
 def _(w):
-    docs = spread_scan(base_tables(w.spark, w.folder)["documents"].select("doc_id", "text"), "doc_id")
+    docs = spread_scan(w.base["documents"].select("doc_id", "text"), "doc_id")
     return docs.select("doc_id", sentiment.compound("text", CORPUS_LEXICON).alias("compound"))
 
 
 @query("sentiment_default_lexicon")
 def _(w):
-    docs = spread_scan(base_tables(w.spark, w.folder)["documents"].select("doc_id", "text"), "doc_id")
+    docs = spread_scan(w.base["documents"].select("doc_id", "text"), "doc_id")
     return docs.select("doc_id", sentiment.compound("text").alias("compound"))
 
 
@@ -575,7 +575,7 @@ _TOPIC_CASE = " ".join(f"WHEN h{i + 1} = best THEN '{t}'" for i, t in enumerate(
     {", ".join(f"{h} AS h{i + 1}" for i, h in enumerate(_HITS))} FROM documents) a) b""",
 )
 def _(w):
-    docs = spread_scan(base_tables(w.spark, w.folder)["documents"].select("doc_id", "text"), "doc_id")
+    docs = spread_scan(w.base["documents"].select("doc_id", "text"), "doc_id")
     found = classify.classify_by_keywords(docs, "text", CORPUS_KEYWORDS)
     return _rounded(found, confidence_score=6).drop("text")
 
@@ -597,7 +597,7 @@ def _load_length_scorer():
     FROM (SELECT *, text IS NULL OR regexp_full_match(text, '[\s\p{Z}]*') AS blank FROM documents) q""",
 )
 def _(w):
-    docs = spread_scan(base_tables(w.spark, w.folder)["documents"].select("doc_id", "text"), "doc_id")
+    docs = spread_scan(w.base["documents"].select("doc_id", "text"), "doc_id")
     found = classify.classify_with_model(docs, _load_length_scorer, "text")
     return _rounded(found, confidence_score=6).drop("text")
 
@@ -925,7 +925,7 @@ def _(w):
     UNION ALL SELECT o_orderkey, CAST(o_custkey AS VARCHAR), 2 FROM orders) q GROUP BY cart_id, p_id""",
 )
 def _(w):
-    added = base_tables(w.spark, w.folder)["orders"].select(
+    added = w.base["orders"].select(
         F.col("o_orderkey").alias("cart_id"), F.col("o_custkey").cast("string").alias("p_id"), F.lit(2).alias("qty")
     )
     return shop.upsert_cart_items(w.sources["cart_items"], added)

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..operators.clean import clean_rows, join_and_flag, rejected_rows
 from ..session import scratch_path
-from ..sources.driver_tables import BUILDERS, CORPUS_LEXICON, base_tables, review_class
+from ..sources.driver_tables import BUILDERS, CORPUS_LEXICON, BaseTables, review_class
 from ..sources.writers import as_review_relevant, as_reviews
 from .jobs import score_reviews, stage_flagged
 
@@ -30,9 +30,8 @@ STORED = ("cart_items", "seller_products", "wishlist_item")
 class Sources(Mapping[str, DataFrame]):
     """Source tables of a folder, each built at first use."""
 
-    def __init__(self, spark: SparkSession, folder: str):
-        self._base = base_tables(spark, folder)
-        self._spark = spark
+    def __init__(self, spark: SparkSession, base: BaseTables):
+        self._spark, self._base = spark, base
         self._built: dict[str, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
@@ -59,12 +58,16 @@ class Warehouse:
     statistics: dict = field(default_factory=dict)
 
     @cached_property
-    def sources(self) -> Mapping[str, DataFrame]:
-        return Sources(self.spark, self.folder)
+    def base(self) -> BaseTables:
+        return BaseTables(self.spark, self.folder)
+
+    @cached_property
+    def sources(self) -> Sources:
+        return Sources(self.spark, self.base)
 
     @cached_property
     def classes(self) -> DataFrame:
-        return review_class(base_tables(self.spark, self.folder))
+        return review_class(self.base)
 
     @cached_property
     def flagged(self) -> DataFrame:

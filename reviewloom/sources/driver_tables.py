@@ -7,6 +7,8 @@ on whole tables, none of which is cut down.
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Mapping
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,8 +39,23 @@ CORPUS_KEYWORDS = {
 }
 
 
-def base_tables(spark: SparkSession, folder: str, names: tuple[str, ...] = BASE) -> dict[str, DataFrame]:
-    return {n: spark.read.parquet(f"{folder.rstrip('/')}/{n}.parquet") for n in names}
+class BaseTables(Mapping[str, DataFrame]):
+    """The given tables of a folder, each opened at first use."""
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self._spark, self._folder = spark, folder.rstrip("/")
+        self._open: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._open:
+            self._open[name] = self._spark.read.parquet(f"{self._folder}/{name}.parquet")
+        return self._open[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(BASE)
+
+    def __len__(self) -> int:
+        return len(BASE)
 
 
 def _rows(df: DataFrame) -> int:
@@ -198,5 +215,5 @@ BUILDERS = {
 
 
 def source_tables(spark: SparkSession, folder: str, names: tuple[str, ...] | None = None) -> dict[str, DataFrame]:
-    base = base_tables(spark, folder)
+    base = BaseTables(spark, folder)
     return {n: BUILDERS[n](base) for n in (names or tuple(BUILDERS))}
