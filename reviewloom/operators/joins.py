@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import JOINED_COLUMNS
-from .skew import HOT_ROWS, HotKeys, find_hot, salted_join, split_hot, spread_hash, two_sided_join
+from .skew import HOT_ROWS, HotKeys, find_all_hot, find_hot, salted_join, split_hot, spread_hash, two_sided_join
 
 # Longest list put into one row; longer ones come in parts.
 LIST_ROWS = 100_000
@@ -31,7 +31,7 @@ def orders_per_buyer(orders: DataFrame) -> DataFrame:
     return orders.groupBy("buyer_id").agg(F.count(F.lit(1)).alias("order_count"))
 
 
-def product_links(tables: Mapping[str, DataFrame], hot_rows: int, product_id: str | None = None) -> DataFrame:
+def product_links(tables: Mapping[str, DataFrame], hot: HotKeys, product_id: str | None = None) -> DataFrame:
     """(review_id, p_id, product_name, category) per link.
 
     Built from the narrow side first, so that the review text takes no part in the
@@ -47,7 +47,7 @@ def product_links(tables: Mapping[str, DataFrame], hot_rows: int, product_id: st
         product.join(category, "category_id", "left")
         .select("p_id", F.lit(True).alias("_known"), "product_name", "category")
     )
-    joined = salted_join(links, named, find_hot(links, "p_id", hot_rows), spread_hash("review_id"))
+    joined = salted_join(links, named, hot, spread_hash("review_id"))
     return joined.select(
         "review_id", F.when(F.col("_known"), F.col("p_id")).alias("p_id"), "product_name", "category"
     )
@@ -87,12 +87,14 @@ def join_parts(
     over review_id (see clean.py) needs no further shuffle of the text.
     """
     review = tables["review"].select("review_id", "buyer_id", "r_desc", "title", "rating")
-    links = product_links(tables, hot_rows, product_id)
+    linked = tables["product_reviews"]
+    many_rows, many_links, hot_buyers, hot_products = find_all_hot(
+        hot_rows, (review, "review_id"), (linked.where(F.col("review_id").isNotNull()), "review_id"),
+        (review, "buyer_id"), (linked, "p_id"),
+    )
+    links = product_links(tables, hot_products, product_id)
     images = first_image(tables["review_images"].where(F.col("review_id").isNotNull()))
     how = "left" if product_id is None else "inner"
-    many_rows = find_hot(review, "review_id", hot_rows)
-    many_links = find_hot(tables["product_reviews"].where(F.col("review_id").isNotNull()), "review_id", hot_rows)
-    hot_buyers = find_hot(review, "buyer_id", hot_rows)
     keys = many_rows.merge(many_links)
 
     regular, hot = split_hot(review, keys)
@@ -158,12 +160,12 @@ def review_sample(
     chosen = F.broadcast(chosen.select("p_id", F.col("p_name").alias("product_name"), "category"))
     links = tables["product_reviews"].join(chosen, "p_id").select("review_id", "p_id", "product_name", "category")
     review = tables["review"].select("review_id", "buyer_id", "title", "r_desc", "rating")
-    hot = find_hot(review, "review_id", hot_rows)
+    hot, hot_buyers = find_all_hot(hot_rows, (review, "review_id"), (review, "buyer_id"))
     spread = spread_hash("buyer_id", "title", "r_desc")
     rows = salted_join(review, links.distinct(), hot, spread, "inner")
     images = tables["review_images"].select("review_id").distinct().withColumn("has_image", F.lit(1))
     rows = salted_join(rows, images, hot, spread)
-    rows = _with_orders_flag(rows, tables["orders"], find_hot(review, "buyer_id", hot_rows))
+    rows = _with_orders_flag(rows, tables["orders"], hot_buyers)
     return rows.select(
         "review_id", "buyer_id", "title", F.col("r_desc").alias("description"), "rating",
         F.length("r_desc").alias("text_length"), F.coalesce("has_image", F.lit(0)).alias("has_image"),

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import estimated_delivery
 from .joins import LIST_ROWS, collect_parts
-from .skew import HOT_ROWS, HotKeys, find_hot, salted_join, spread_hash
+from .skew import HOT_ROWS, HotKeys, find_all_hot, find_hot, salted_join, spread_hash
 
 
 def price_items(lines: DataFrame, offers: DataFrame, hot: HotKeys) -> DataFrame:
@@ -87,9 +87,10 @@ def checkout(
     """Order every non-empty cart at once.
 
     Ids derive from the cart id, so a repeated task writes the same ids: order id is
-    ``first_order_id`` + cart id, shipping ids hash (order, product), payment ids are
-    name-based UUIDs of the order.
+    ``first_order_id`` + cart id, a shipping id is "order-product" (one shipment per
+    line), payment ids are name-based UUIDs of the order.
     """
+    vast_carts, best_sellers = find_all_hot(hot_rows, (cart_items, "cart_id"), (cart_items, "p_id"))
     filled = cart_items.groupBy("cart_id").agg(F.sum("qty").alias("_qty")).where(F.col("_qty") > 0)
     carts = cart.select("cart_id", "buyer_id").join(filled, "cart_id", "left")
     order_id = F.col("cart_id") + F.lit(first_order_id)
@@ -99,15 +100,13 @@ def checkout(
     )
     ordered = salted_join(
         cart_items.select("cart_id", "p_id", "qty"), carts.where(F.col("_qty").isNotNull()).select("cart_id"),
-        find_hot(cart_items, "cart_id", hot_rows), spread_hash("p_id"), "inner",
+        vast_carts, spread_hash("p_id"), "inner",
     )
-    order_items = price_items(
-        ordered, product.select("p_id", "price"), find_hot(cart_items, "p_id", hot_rows)
-    ).select(
+    order_items = price_items(ordered, product.select("p_id", "price"), best_sellers).select(
         order_id.alias("order_id"), "p_id", "qty", F.col("price").alias("price_at_purchase")
     )
     shipments = ordered.select(
-        F.xxhash64(order_id, F.col("p_id")).alias("shipping_id"), order_id.alias("order_id"), "p_id",
+        F.concat_ws("-", order_id.cast("string"), F.col("p_id")).alias("shipping_id"), order_id.alias("order_id"), "p_id",
         F.lit(None).cast("int").alias("carrier_id"), F.lit("NP").alias("shipment_type"),
         F.lit("processing").alias("status"), day.alias("_day"),
         F.lit(None).cast("date").alias("actual_delivery_date"),

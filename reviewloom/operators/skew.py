@@ -12,6 +12,7 @@ The null key counts as a key here: rows without a key can be the hottest of all.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -48,12 +49,19 @@ class HotKeys:
 def find_hot(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> HotKeys:
     counted = df.groupBy(F.col(key).alias("k")).agg(F.count(F.lit(1)).alias("n"))
     while True:
-        found = counted.where(F.col("n") >= hot_rows).limit(MAX_HOT + 1).collect()
+        # Sorted so that Spark takes the few largest in one job, whatever the number of partitions.
+        found = counted.where(F.col("n") >= hot_rows).orderBy(F.desc("n")).limit(MAX_HOT + 1).collect()
         if len(found) <= MAX_HOT:
             return HotKeys(key, {row["k"]: -(-row["n"] // hot_rows) for row in found})
         hot_rows *= 8
 
 
+def find_all_hot(hot_rows: int, *columns: tuple[DataFrame, str]) -> list[HotKeys]:
+    """``find_hot`` for several (table, key) pairs, as Spark jobs side by side."""
+    with ThreadPoolExecutor(len(columns)) as pool:
+        return list(pool.map(lambda c: find_hot(c[0], c[1], hot_rows), columns))
+
+
 def spread_hash(*columns: str) -> Column:
     """Hash that spreads rows over the shares of a hot key.
 
