@@ -56,3 +56,10 @@ def test_collect_parts_keeps_every_item(sides, part_rows):
     assert all(p["items"] == sorted(p["items"]) for p in parts)
     if part_rows == 10**6:
         assert all(p["part"] == 0 for p in parts)
+
+
+def test_hot_keys_from_a_sample(spark):
+    df = spark.range(400_000).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("k"))
+    found = find_hot(df, "k", 50_000)
+    assert set(found.shares) == {-1} and found.shares[-1] in (2, 3)
+    assert not find_hot(df, "k", 300_000)
