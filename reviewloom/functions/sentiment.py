@@ -82,6 +82,8 @@ def _valence(word: Column, lexicon: Lexicon) -> Column:
     return out
 
 
+# A capital not followed by a small letter: quick to test, and every word in capitals has one.
+_LONE_CAPITAL = r"\p{Lu}(?!\p{Ll})"
 # A word with capitals and without small letters, and any other word.
 _SHOUTED = r"(?<!\S)[^\s\p{Ll}]*\p{Lu}[^\s\p{Ll}]*(?!\S)"
 _NOT_SHOUTED = r"(?<!\S)(?:[^\s\p{Lu}]+(?!\S)|\S*\p{Ll})"
@@ -111,7 +113,8 @@ def compound(text: str, lexicon: Lexicon = DEFAULT_LEXICON) -> Column:
             lambda i: F.get(s["lowered"], i).isin(in_lexicon),
         )
         return F.struct(
-            s["words"].alias("words"),
+            # Only a mixed text needs its words as written.
+            F.when(s["mixed"], F.split(body, r"\s+")).alias("words"),
             s["lowered"].alias("lowered"),
             F.array_position(s["lowered"], lexicon.contrast).alias("contrast_at"),
             s["mixed"].alias("mixed"),
@@ -153,12 +156,9 @@ def compound(text: str, lexicon: Lexicon = DEFAULT_LEXICON) -> Column:
     def count(mark):
         return F.length(body) - F.length(F.replace(body, F.lit(mark), F.lit("")))
 
-    # Emphasis by capitals counts only in a text that is not all capitals; others need no cased words.
-    mixed = body.rlike(_SHOUTED) & body.rlike(_NOT_SHOUTED)
-    split = F.struct(
-        F.when(mixed, F.split(body, r"\s+")).alias("words"), mixed.alias("mixed"),
-        split_words(F.lower(body)).alias("lowered"),
-    )
+    # Emphasis by capitals counts only in a text that is not all capitals.
+    mixed = body.rlike(_LONE_CAPITAL) & body.rlike(_SHOUTED) & body.rlike(_NOT_SHOUTED)
+    split = F.struct(mixed.alias("mixed"), split_words(F.lower(body)).alias("lowered"))
     summed = F.struct(
         bind(bind(split, context), total).alias("total"), count("!").alias("marks"), count("?").alias("asks")
     )
