@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalar import n_rows
-from .joins import top_products  # noqa: F401  (part of the report set)
 
 def _relevant() -> Column:
     return F.col("relevant_status") == "RELEVANT"

@@ -18,6 +18,7 @@ from ..schemas import (
     ForeignKey,
 )
 
+
 def _union(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 

@@ -6,7 +6,6 @@ import random
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from reviewloom.functions import scalar, scoring, sentiment
 from reviewloom.operators import classify, distribution

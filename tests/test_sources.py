@@ -3,7 +3,6 @@
 import datetime
 
 import pytest
-from pyspark.sql import functions as F
 
 from reviewloom.functions.sentiment import compound
 from reviewloom.operators import quality, serve
