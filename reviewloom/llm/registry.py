@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import line_dedup, quality, sql, tokens
+from . import line_dedup, lz_fingerprint, ngram_join, packing, quality, sql, tokens, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -37,6 +37,16 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+@query("op1_ngram_jaccard")
+def _(spark, folder):
+    return ngram_join.linked_groups(documents(spark, folder))
+
+
+@query("op2_lz_fingerprint")
+def _(spark, folder):
+    return lz_fingerprint.compare_next(documents(spark, folder))
+
+
 @query("op3_line_dedup", sql.LINES)
 def _(spark, folder):
     return line_dedup.line_report(documents(spark, folder))
@@ -47,6 +57,16 @@ def _(spark, folder):
     return quality.quality_verdicts(documents(spark, folder))
 
 
+@query("op7_warc", sql.WARC)
+def _(spark, folder):
+    return warc.round_trip(spark.read.parquet(f"{folder}/pages.parquet"))
+
+
+@query("op8_best_fit_packing")
+def _(spark, folder):
+    return packing.pack_documents(documents(spark, folder), tokenizer_path())
+
+
 @query("op10_token_counts")
 def _(spark, folder):
     return tokens.count_tokens(documents(spark, folder), tokenizer_path())

@@ -62,3 +62,18 @@ odd AS (
     JOIN bounds b USING (ratio, lang, source) WHERE bucket > high OR (ratio = 1 AND bucket < low))
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
     NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM odd) AS kept FROM measured"""
+
+
+_BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+#: SHA-1 as bare upper-case base32: five bits of the digest a letter.
+WARC = f"""
+WITH hashed AS (SELECT page_id, encode(coalesce(html, '')) AS payload, sha1(coalesce(html, '')) AS hex FROM pages),
+numbered AS (
+    SELECT page_id, octet_length(payload) AS payload_bytes, min(page_id) OVER (PARTITION BY hex) AS first_page, hex,
+        list_transform(range(8), lambda g: CAST('0x' || substr(hex, 5 * g + 1, 5) AS BIGINT)) AS words FROM hashed)
+SELECT page_id, payload_bytes,
+    list_aggregate(list_transform(range(32), lambda k: substr('{_BASE32}', 1 + CAST((words[1 + k // 4] >> (15 - 5 * (k % 4))) & 31 AS INT), 1)),
+        'string_agg', '') AS payload_digest,
+    CASE WHEN page_id = first_page THEN 'response' ELSE 'revisit' END AS record_type,
+    CASE WHEN page_id <> first_page THEN first_page END AS refers_to
+FROM numbered"""

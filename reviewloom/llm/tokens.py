@@ -1,15 +1,15 @@
 """Token counts by batch encoding in Arrow functions.
 
-A byte-level BPE first cuts a text into words by a fixed pattern and then merges inside
-each word. Wherever the pattern always ends a match, a text can be cut without changing
-a token: before a run of ``space + non-space`` characters, and around the white space that
-the pattern takes alone. ``SPANS`` finds these spans. Long and short texts alike become
-spans; spans not seen before are joined by line feeds (always one token of their own
-between two spans), in strings of about ``BATCH_BYTES`` bytes, and encoded as a batch.
-Known spans come from a table of bounded size, kept per Python worker.
-
-Where the rule isn't proven (another kind of tokenizer, special strings inside a text,
-control characters that count as white space in Python only) the whole text is encoded.
+Batches are cut by bytes, and only lengths return. Long texts are split where a token can't reach across: the
+pattern of a byte-level BPE always ends a match before a space that stands between two characters
+other than white space, and merges stay inside a match.
+
+The ids are those of the ``tokenizers`` library. Where that is proven, a faster engine makes them from the same file:
+it merges the two neighbours whose joined bytes have the lowest rank, while the file lists pairs. The two agree
+if ids follow the order of the merges and each entry of the vocabulary, encoded alone, is itself: then at its rank the
+bytes of an entry can only lie there as its own pair. ``_agrees`` checks this for a file, once
+per Python worker. Texts with special strings, or with characters outside ``SETTLED`` (whose
+classes might differ between Unicode versions), and other kinds of files go through the library itself.
 """
 
 from __future__ import annotations
@@ -17,102 +17,100 @@ from __future__ import annotations
 import json
 import os
 import re
-from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from sentencepiece import SentencePieceProcessor
+from tokenizers import Tokenizer, models
 
 from .tables import map_arrow, slices, whole_text
 
-SPANS = re.compile(r" ?\S+|\s+(?!\S)|\s")
-#: White space for Python but not in Unicode's property, or the other way round in some versions.
-UNSURE = re.compile("[\x1c-\x1f\x85\u180e]")
-BATCH_BYTES = 1 << 16
-MOST_SPANS = 400_000
+#: The published pattern of byte-level BPE (a fixed value).
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Latin, Cyrillic, general punctuation, kana, Han and Hangul of early Unicode; no white space in doubt.
+SETTLED = "\x00-\x1b\x20-\x84\x86-\u021f\u0410-\u044f\u2010-\u2027\u2030-\u2046\u20ac\u3041-\u3094\u30a1-\u30fa\u4e00-\u9fa5\uac00-\ud7a3"
+UNSETTLED = re.compile(f"[^{SETTLED}]")
+LONG = 1 << 16
+_CUT = re.compile(r"(?<=\S) (?=\S)")
+
+
+def _byte_characters() -> dict[str, int]:
+    """Characters that stand for bytes in byte-level vocabularies: printable ones for themselves, others from 256 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    other = [b for b in range(256) if b not in plain]
+    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(other)}
+
+
+def _agrees(model: dict, specials: set[str]) -> dict[bytes, int] | None:
+    """Ranks of the vocabulary's bytes if the faster engine gives the same ids, else None."""
+    byte = _byte_characters()
+    vocabulary = {t: i for t, i in model["vocab"].items() if t not in specials}
+    if any(c not in byte for t in vocabulary for c in t) or any(c not in vocabulary for c in byte):
+        return None
+    pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
+    made = [vocabulary.get(a + b, -1) for a, b in pairs]
+    if made != sorted(set(made)) or len(made) + 256 != len(vocabulary) or made and made[0] <= max(vocabulary[c] for c in byte):
+        return None
+    alone = Tokenizer(models.BPE(vocab=vocabulary, merges=pairs))
+    entries = list(vocabulary)
+    if any(e.ids != [vocabulary[t]] for t, e in zip(entries, alone.encode_batch(entries), strict=True)):
+        return None
+    return {bytes(byte[c] for c in t): i for t, i in vocabulary.items()}
 
 
 class Encoder:
-    """Encodes whole texts with one tokenizer file; ``value`` turns the ids of a span into what is kept of it."""
+    """Ids of whole texts by one tokenizer file, without special tokens added."""
 
-    def __init__(self, path: str, value) -> None:
+    def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.value = value
-        self.known: dict[str, object] = {}
+        self.fast = None
         if path.endswith(".model"):
-            from sentencepiece import SentencePieceProcessor
-
-            model = SentencePieceProcessor(model_file=path)
-            self.whole = lambda texts: model.encode(texts, num_threads=1)
-            self.cuts = False
+            pieces = SentencePieceProcessor(model_file=path)
+            self.whole = lambda text: pieces.encode(text, num_threads=1)
             return
-        from tokenizers import Tokenizer
-
         tokenizer = Tokenizer.from_file(path)
-        self.whole = lambda texts: [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+        self.whole = lambda text: tokenizer.encode(text, add_special_tokens=False).ids
         with open(path, encoding="utf-8") as file:
             kind = json.load(file)
-        steps = kind.get("pre_tokenizer") or {}
-        self.special = re.compile("|".join(re.escape(t["content"]) for t in kind.get("added_tokens", ())) or r"(?!)")
-        feed = tokenizer.encode("\n", add_special_tokens=False).ids
-        self.cuts = (
-            steps.get("type") == "ByteLevel" and steps.get("use_regex", True) and not steps.get("add_prefix_space")
-            and not kind.get("normalizer") and not kind.get("truncation") and not kind.get("padding") and len(feed) == 1
-        )
-        self.feed = feed[0] if self.cuts else None
-
-    def _learn(self, spans: list[str]) -> None:
-        """Encode spans not known yet, in strings balanced by bytes."""
-        groups: list[list[str]] = [[]]
-        size = 0
-        for span in spans:
-            if span.isspace():
-                self.known[span] = self.value(self.whole([span])[0])
-                continue
-            if size > BATCH_BYTES:
-                groups.append([])
-                size = 0
-            groups[-1].append(span)
-            size += len(span)
-        if not groups[0]:
-            return
-        for group, ids in zip(groups, self.whole(["\n".join(g) for g in groups]), strict=True):
-            ids = np.asarray(ids, dtype=np.uint32)
-            ends = [*np.flatnonzero(ids == self.feed).tolist(), len(ids)]
-            start = 0
-            for span, end in zip(group, ends, strict=True):
-                self.known[span] = self.value(ids[start:end])
-                start = end + 1
-
-    def encode(self, texts: list[str]) -> Iterator[list]:
-        """Per text the values of its spans, in order."""
-        cut = [self.cuts and not self.special.search(t) and not UNSURE.search(t) for t in texts]
-        spans = [SPANS.findall(t) if c else None for t, c in zip(texts, cut, strict=True)]
-        whole = iter(self.whole([t for t, c in zip(texts, cut, strict=True) if not c]))
-        if len(self.known) > MOST_SPANS:
-            self.known.clear()
-        known = self.known
-        self._learn(list({s for found in spans if found for s in found if s not in known}))
-        for found in spans:
-            yield [self.value(next(whole))] if found is None else [known[s] for s in found]
-
-
-def as_bytes(ids) -> bytes:
-    """Ids as little-endian unsigned 32-bit numbers."""
-    return np.asarray(ids, dtype="<u4").tobytes()
-
-
-@lru_cache(maxsize=4)
-def length_encoder(path: str) -> Encoder:
-    return Encoder(path, len)
+        steps, model = kind.get("pre_tokenizer") or {}, kind["model"]
+        specials = {t["content"] for t in kind.get("added_tokens", ())}
+        plain = not any(kind.get(k) for k in ("normalizer", "truncation", "padding"))
+        plain = plain and not any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges"))
+        if plain and steps.get("type") == "ByteLevel" and steps.get("use_regex", True) and not steps.get("add_prefix_space"):
+            if ranks := model.get("type") == "BPE" and _agrees(model, specials):
+                self.fast = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+                self.special = re.compile("|".join(map(re.escape, specials)) or r"(?!)")
+                self.settled: set[str] = set()
+
+    def _proven(self, text: str) -> bool:
+        if self.fast is None or self.special.search(text):
+            return False
+        new = set(text) - self.settled
+        if UNSETTLED.search("".join(new)):
+            return False
+        self.settled |= new
+        return True
+
+    def encode(self, text: str) -> list[np.ndarray]:
+        """Ids of a whole text, in parts: one part, or several for a long text."""
+        if not self._proven(text):
+            return [np.asarray(self.whole(text), np.uint32)]
+        parts, start = [], 0
+        while len(text) - start > LONG and (cut := _CUT.search(text, start + LONG)):
+            parts.append(text[start : cut.start()])
+            start = cut.start()
+        return [self.fast.encode_to_numpy(part, disallowed_special=()) for part in [*parts, text[start:]]]
 
 
 @lru_cache(maxsize=4)
-def id_encoder(path: str) -> Encoder:
-    return Encoder(path, as_bytes)
+def encoder(path: str) -> Encoder:
+    """One encoder per file and Python worker."""
+    return Encoder(path)
 
 
 def count_tokens(docs: DataFrame, path: str, limit: int = 512, id_column: str = "doc_id", text_column: str = "text"):
@@ -124,9 +122,9 @@ def count_tokens(docs: DataFrame, path: str, limit: int = 512, id_column: str =
     """
 
     def lengths(batches):
-        encoder = length_encoder(path)
+        tokens = encoder(path)
         for batch in slices(batches, 1):
-            counts = [sum(values) for values in encoder.encode(batch.column(1).to_pylist())]
+            counts = [sum(map(len, tokens.encode(text))) for text in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pc.binary_length(batch.column(1)).cast(pa.int64()),
                  pa.array(counts, pa.int64())], names=["id", "n_bytes", "n_tokens"])
