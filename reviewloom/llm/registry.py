@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import line_dedup, lz_fingerprint, ngram_join, packing, quality, sql, tokens, warc
+from . import line_dedup, lz_fingerprint, mixing, ngram_join, packing, quality, rendering, sql, tokens, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -57,6 +57,16 @@ def _(spark, folder):
     return quality.quality_verdicts(documents(spark, folder))
 
 
+@query("op5_html_extraction")
+def _(spark, folder):
+    return rendering.extract_text(spark.read.parquet(f"{folder}/pages.parquet"))
+
+
+@query("op6_toxicity")
+def _(spark, folder):
+    return toxicity.severity(documents(spark, folder), spark.read.parquet(f"{folder}/labels.parquet"))
+
+
 @query("op7_warc", sql.WARC)
 def _(spark, folder):
     return warc.round_trip(spark.read.parquet(f"{folder}/pages.parquet"))
@@ -67,6 +77,11 @@ def _(spark, folder):
     return packing.pack_documents(documents(spark, folder), tokenizer_path())
 
 
+@query("op9_source_mixing")
+def _(spark, folder):
+    return mixing.mixture(documents(spark, folder))
+
+
 @query("op10_token_counts")
 def _(spark, folder):
     return tokens.count_tokens(documents(spark, folder), tokenizer_path())

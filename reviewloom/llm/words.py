@@ -37,17 +37,18 @@ _VALUES = {lower: _byte_values(lower) for lower in (False, True)}
 
 @dataclass(frozen=True)
 class Words:
-    """Hashes of all words in order; words of row i are ``hashes[first[i]:first[i + 1]]``."""
+    """Hashes of all words in order; words of row i are ``hashes[first[i]:first[i + 1]]``. ``stems``: of their first bytes."""
 
     hashes: np.ndarray
     first: np.ndarray
+    stems: np.ndarray | None = None
 
     def row(self, i: int) -> np.ndarray:
         return self.hashes[self.first[i] : self.first[i + 1]]
 
 
-def _word_hashes(data: np.ndarray, starts_row: np.ndarray, lower: bool) -> tuple[np.ndarray, np.ndarray]:
-    """(positions at which words start, their hashes) of one buffer; ``starts_row``: where rows begin."""
+def _word_hashes(data: np.ndarray, starts_row: np.ndarray, lower: bool, stem: int) -> tuple[np.ndarray, ...]:
+    """(positions at which words start, their hashes, their stems' hashes) of one buffer; ``starts_row``: where rows begin."""
     inside = ~_SPACE[data]
     begins = inside.copy()
     begins[1:] &= ~inside[:-1]
@@ -55,16 +56,21 @@ def _word_hashes(data: np.ndarray, starts_row: np.ndarray, lower: bool) -> tuple
     begins[rows] = inside[rows]
     at = np.flatnonzero(begins)
     if not len(at):
-        return at, np.zeros(0, np.uint64)
+        return at, np.zeros(0, np.uint64), np.zeros(0, np.uint64)
     within = np.arange(len(data), dtype=np.int64)
     within -= np.repeat(np.concatenate([[0], at]), np.diff(np.concatenate([[0], at, [len(data)]])))
     # White space has the value 0 and may follow a word in its stretch: it adds nothing but a longer table.
     powers = np.cumprod(np.full(int(within.max()) + 1, _GOLDEN, np.uint64))
-    return at, mix(np.add.reduceat(_VALUES[lower][data] * powers[within], at))
+    parts = _VALUES[lower][data] * powers[within]
+    hashes = mix(np.add.reduceat(parts, at))
+    if not stem:
+        return at, hashes, hashes[:0]
+    parts[within >= stem] = 0
+    return at, hashes, mix(np.add.reduceat(parts, at) + _GOLDEN)
 
 
-def words_of(texts: pa.Array, lower: bool = True) -> Words:
-    """Words of a string column without nulls."""
+def words_of(texts: pa.Array, lower: bool = True, stem: int = 0) -> Words:
+    """Words of a string column without nulls, with the hashes of their first ``stem`` bytes if wanted."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
     texts = texts.cast(pa.large_string())
@@ -72,8 +78,8 @@ def words_of(texts: pa.Array, lower: bool = True) -> Words:
     edges = np.frombuffer(offsets, np.int64)[texts.offset : texts.offset + len(texts) + 1]
     data = np.frombuffer(data, np.uint8)[edges[0] : edges[-1]] if data is not None else np.zeros(0, np.uint8)
     edges = edges - edges[0]
-    at, hashes = _word_hashes(data, edges[:-1], lower)
-    return Words(hashes, np.searchsorted(at, edges))
+    at, hashes, stems = _word_hashes(data, edges[:-1], lower, stem)
+    return Words(hashes, np.searchsorted(at, edges), stems if stem else None)
 
 
 def shingle_sets(words: Words, size: int) -> Iterator[np.ndarray]:
