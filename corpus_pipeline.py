@@ -4,9 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reviewloom.llm import line_dedup, quality
+from reviewloom.llm import line_dedup, mixing, ngram_join, packing, quality
+from reviewloom.llm.registry import tokenizer_path
 from reviewloom.llm.tables import stored
 
+#: No source loses a document: the least budget that gives each a whole pass, small sources at most two.
+MIXTURE = mixing.Targets(entropy=0.95, most_passes=2.0, budget=None)
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and the limits of their language and source."""
@@ -18,16 +22,35 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     return line_dedup.dedup_documents(docs)
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group linked by a similarity of 0.8 or more over five-word shingles."""
+    return ngram_join.first_of_groups(docs, size=5, percent=80)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as its source's weight asks for."""
+    return mixing.mixed_documents(docs, MIXTURE)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces with their place in sequences of 2048 tokens."""
+    return packing.pack_documents(docs, tokenizer_path())
+
+
 STAGES = [
     ("quality_rules", quality_rules),
     ("line_dedup", drop_repeated_lines),
+    ("ngram_jaccard", drop_near_copies),
+    ("source_mixing", mix_sources),
+    ("best_fit_packing", pack),
 ]
 
-#: Sketches, similarity search and packing are beyond SQL; tests compare with a brute-force version.
+#: Similarity search, seeded permutations and packing are beyond SQL; tests compare with a brute-force version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last stage's rows for the documents of ``sf_dir``."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), name)

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .components import components
-from .tables import map_arrow, slices, stored, whole_text
+from .tables import SPACES, map_arrow, slices, stored, whole_text
 from .words import shingle_sets, words_of
 
 #: One text in SAMPLED is looked at for frequent shingles; SEEN texts of the sample make one frequent.
@@ -349,17 +349,9 @@ def group_pairs(tiled: DataFrame, found: DataFrame, groups: DataFrame, percent:
     return map_arrow(rows, cells, "a long, b long").distinct()
 
 
-def linked_groups(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFrame:
-    """(doc_id, n_shingles, component_id) for every row of ``docs``.
-
-    The set of a text: its distinct runs of ``size`` words, A-Z as a-z; with fewer words the whole sequence as one.
-    Two documents link when 100 * intersection >= ``percent`` * union. A null or empty text has the empty set and links
-    with nothing. ``component_id`` is the smallest id reachable; rows without an id are reached last, and a group
-    of such rows alone has none. Rows that repeat an id are rows of their own. An empty table gives an empty
-    result. Other columns are not read.
-    """
+def _members(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """``signatures`` of (doc_id, text), and (sig, doc_id, hash, component) per class."""
     spark: SparkSession = docs.sparkSession
-    docs = docs.select("doc_id", whole_text().alias("text"))
     table = spark.sparkContext.broadcast(frequent_shingles(docs.select("text"), size))
     signed = stored(signatures(docs, size, percent, table), "signatures")
     found = classes(signed)
@@ -373,10 +365,39 @@ def linked_groups(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFram
     if not rest.isEmpty():
         links = links.unionAll(verified(rest, found, docs, size, percent).where("linked").select("a", "b"))
         groups = components(links)
-    member = found.select("node", "sig", "doc_id").join(groups, "node", "left")
-    member = member.select("sig", "doc_id", F.coalesce("component", "node").alias("component"))
+    member = found.select("node", "sig", "doc_id", "hash").join(groups, "node", "left")
+    return signed, member.select("sig", "doc_id", "hash", F.coalesce("component", "node").alias("component"))
+
+
+def linked_groups(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFrame:
+    """(doc_id, n_shingles, component_id) for every row of ``docs``.
+
+    The set of a text: its distinct runs of ``size`` words, A-Z as a-z; with fewer words the whole sequence as one.
+    Two documents link when 100 * intersection >= ``percent`` * union. A null or empty text has the empty set and links
+    with nothing. ``component_id`` is the smallest id reachable; rows without an id are reached last, and a group
+    of such rows alone has none. Rows that repeat an id are rows of their own. An empty table gives an empty
+    result. Other columns are not read.
+    """
+    signed, member = _members(docs.select("doc_id", whole_text().alias("text")), size, percent)
     least = member.groupBy("component").agg(F.min("doc_id").alias("least"))
     of_class = member.join(least, "component").select(F.col("sig").alias("_sig"), "least")
     met = signed.select("doc_id", "n", "sig").join(of_class, F.col("sig") == F.col("_sig"), "left")
     own = F.when(F.col("sig").isNull(), F.col("doc_id")).otherwise(F.col("least"))
     return met.select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"))
+
+
+def first_of_groups(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs``, with their columns, but one of each group of linked documents: that with the smallest id.
+
+    See ``linked_groups`` for links. Texts without words link with nothing and stay. Of rows with the same id and text one
+    stays; a group without ids keeps one row.
+    """
+    _, member = _members(docs.select("doc_id", whole_text().alias("text")), size, percent)
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "hash")
+    first = member.groupBy("component").agg(F.min(order).alias("f"))
+    last = F.lit((1 << 63) - 1)
+    first = first.select(F.coalesce(F.col("f.doc_id").cast("long"), last).alias("_id"), F.col("f.hash").alias("_hash"))
+    row = docs.select(F.struct(*docs.columns).alias("_row"), F.coalesce(F.col("doc_id").cast("long"), last).alias("_id"), F.xxhash64(whole_text()).alias("_hash"))
+    empty = F.btrim(F.coalesce("_row.text", F.lit("")), F.lit(SPACES)) == ""
+    chosen = row.where(~empty).join(first, ["_id", "_hash"], "left_semi").groupBy("_id", "_hash").agg(F.first("_row").alias("_row"))
+    return chosen.select("_row.*").unionAll(row.where(empty).select("_row.*"))

@@ -70,7 +70,10 @@ def figures(docs: DataFrame, text_column: str = "text") -> DataFrame:
     covered = F.array_union(
         F.array_union("_at", F.transform("_at", lambda i: i + 1)), F.transform("_at", lambda i: i + 2)
     )
-    df = df.withColumn("n_repeat_words", F.when(F.col("_at").isNotNull(), F.size(covered)).otherwise(0).cast("long"))
+    # The partition id, always true, keeps later filters above this projection: pushed below it, they would work out the
+    # arrays again for each of their elements.
+    repeated = F.when(F.col("_at").isNotNull() & (F.spark_partition_id() >= 0), F.size(covered)).otherwise(0)
+    df = df.withColumn("n_repeat_words", repeated.cast("long"))
     return df.drop("_words", "_lines", "_windows", "_placed", "_at")
 
 
