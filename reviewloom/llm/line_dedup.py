@@ -101,38 +101,41 @@ def _kept_text(lines: Column, places: Column, text: Column) -> Column:
     return F.when(places.isNull(), text).otherwise(joined)
 
 
-def dedup_lines(docs: DataFrame, batches: int = BATCHES, least_chars: int = LEAST_CHARS) -> DataFrame:
-    """``docs`` with the lines of ``text`` that go dropped, and ``_n_lines``, ``_n_dropped``.
+def _deduped(docs: DataFrame, batches: int, least_chars: int) -> DataFrame:
+    """(_row, _kept, _lines, _dropped): each row of ``docs`` with its text after the lines went, and two counts."""
+    gone = dropped_places(docs, batches, least_chars)
+    gone = gone.select(F.col("doc").alias("_doc"), F.col("copy").alias("_copy"), F.col("places").alias("_places"))
+    row = docs.select(
+        F.struct(*docs.columns).alias("_row"), F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("_id"),
+        F.xxhash64(whole_text()).alias("_hash"), whole_text().alias("_text"),
+    )
+    met = row.join(gone.hint("shuffle_hash"), (F.col("_id") == F.col("_doc")) & (F.col("_hash") == F.col("_copy")), "left")
+    met = met.withColumn("_split", _lines(F.col("_text")))
+    return met.select(
+        "_row", _kept_text(F.col("_split"), F.col("_places"), F.col("_text")).alias("_kept"),
+        F.size("_split").cast("long").alias("_lines"), F.coalesce(F.size("_places"), F.lit(0)).cast("long").alias("_dropped"),
+    )
+
+
+def dedup_documents(docs: DataFrame, batches: int = BATCHES, least_chars: int = LEAST_CHARS) -> DataFrame:
+    """``docs`` with the lines that go dropped from ``text``, and ``n_chars`` to match where there is one.
 
     A line goes if its key has ``least_chars`` code points or more and a document with a smaller id holds
     the key too; within the smallest document all its lines stay. A null or empty text is one empty line and
     becomes the empty text. Rows that repeat an id are one document. A null id comes after all others. An
     empty table gives an empty result. Other columns are kept as they are.
     """
-    gone = dropped_places(docs, batches, least_chars)
-    gone = gone.select(F.col("doc").alias("_doc"), F.col("copy").alias("_copy"), F.col("places").alias("_places"))
-    row = docs.select(F.struct(*docs.columns).alias("_row"), F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("_id"),
-                      F.xxhash64(whole_text()).alias("_hash"))
-    met = row.join(gone.hint("shuffle_hash"), (F.col("_id") == F.col("_doc")) & (F.col("_hash") == F.col("_copy")), "left")
-    met = met.select("_row", "_places", F.coalesce("_row.text", F.lit("")).alias("_text"))
-    met = met.withColumn("_split", _lines(F.col("_text")))
-    kept = _kept_text(F.col("_split"), F.col("_places"), F.col("_text"))
-    columns = [kept.alias("text") if c == "text" else F.col(f"_row.{c}").alias(c) for c in docs.columns]
-    counts = [F.size("_split").cast("long").alias("_n_lines"), F.coalesce(F.size("_places"), F.lit(0)).cast("long").alias("_n_dropped")]
-    return met.select(*columns, *counts)
+    new = {"text": F.col("_kept")}
+    if "n_chars" in docs.columns:
+        new["n_chars"] = F.length("_kept").cast(docs.schema["n_chars"].dataType)
+    kept = _deduped(docs, batches, least_chars)
+    return kept.select(*[new.get(c, F.col("_row").getField(c)).alias(c) for c in docs.columns])
 
 
 def line_report(docs: DataFrame, batches: int = BATCHES) -> DataFrame:
-    """(doc_id, n_lines, n_dropped, kept_sha256) for every row; see ``dedup_lines``."""
-    kept = dedup_lines(docs.select("doc_id", "text"), batches)
+    """(doc_id, n_lines, n_dropped, kept_sha256) for every row; see ``dedup_documents``."""
+    kept = _deduped(docs.select("doc_id", "text"), batches, LEAST_CHARS)
     return kept.select(
-        "doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_dropped").alias("n_dropped"),
-        F.sha2(F.col("text"), 256).alias("kept_sha256"),
+        "_row.doc_id", F.col("_lines").alias("n_lines"), F.col("_dropped").alias("n_dropped"),
+        F.sha2(F.col("_kept"), 256).alias("kept_sha256"),
     )
-
-
-def dedup_documents(docs: DataFrame) -> DataFrame:
-    """``docs`` with the lines dropped from ``text`` and ``n_chars`` to match, all columns in place."""
-    kept = dedup_lines(docs)
-    length = F.length("text").cast(docs.schema["n_chars"].dataType)
-    return kept.select(*[length.alias(c) if c == "n_chars" else F.col(c) for c in docs.columns])
