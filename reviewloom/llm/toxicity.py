@@ -22,10 +22,10 @@ from .tables import map_arrow, slices, whole_text
 from .words import Words, words_of
 
 #: Labelled rows of either class that the model is fitted on, at most.
-SAMPLE = 8_000
+SAMPLE = 4_000
 STEM = 5
-#: A feature is kept if this many documents of the sample have it and its log odds are so many standard errors from zero.
-LEAST_DOCUMENTS, LEAST_SCORE = 4, 4.0
+#: A feature is kept if this many documents of the sample have it and its likelihood ratio (G) against chance is as high.
+LEAST_DOCUMENTS, LEAST_RATIO = 4, 20.0
 MOST_FEATURES = 50_000
 
 
@@ -96,6 +96,13 @@ def graded(features: list[np.ndarray], toxic: np.ndarray, grades: int = 2) -> np
     return np.where(toxic == 1, 1 + np.searchsorted(cuts, marks, side="left"), 0)
 
 
+def _likelihood_ratio(yes: np.ndarray, no: np.ndarray, all_yes: int, all_no: int) -> np.ndarray:
+    """G of the two-by-two tables of having a feature and being toxic."""
+    total, having = all_yes + all_no, yes + no
+    cells = [(yes, having * all_yes), (no, having * all_no), (all_yes - yes, (total - having) * all_yes), (all_no - no, (total - having) * all_no)]
+    return 2 * sum(np.where(seen > 0, seen * np.log(np.maximum(seen, 1) * total / np.maximum(chance, 1)), 0) for seen, chance in cells)
+
+
 def fit(features: list[np.ndarray], grade: np.ndarray, rounds: int = 400, decay: float = 1e-3) -> Model:
     """Maximum likelihood with decay, by full steps of Adam; the order of rows doesn't matter.
 
@@ -108,11 +115,8 @@ def fit(features: list[np.ndarray], grade: np.ndarray, rounds: int = 400, decay:
     unique, column = np.unique(values, return_inverse=True)
     positive = grade > 0
     yes, no = np.bincount(column, positive[row], len(unique)), np.bincount(column, ~positive[row], len(unique))
-    all_yes, all_no = positive.sum(), (~positive).sum()
-    odds = np.log((yes + 0.5) / (all_yes - yes + 0.5)) - np.log((no + 0.5) / (all_no - no + 0.5))
-    error = np.sqrt(1 / (yes + 0.5) + 1 / (all_yes - yes + 0.5) + 1 / (no + 0.5) + 1 / (all_no - no + 0.5))
-    strength = np.where(yes + no >= LEAST_DOCUMENTS, np.abs(odds) / error, 0)
-    kept = np.flatnonzero(strength >= LEAST_SCORE)
+    strength = np.where(yes + no >= LEAST_DOCUMENTS, _likelihood_ratio(yes, no, positive.sum(), (~positive).sum()), 0)
+    kept = np.flatnonzero(strength >= LEAST_RATIO)
     if len(kept) > MOST_FEATURES:
         kept = np.sort(kept[np.argsort(-strength[kept], kind="stable")[:MOST_FEATURES]])
     place = np.full(len(unique), -1)
