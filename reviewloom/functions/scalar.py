@@ -69,8 +69,8 @@ def null_spellings(column: str, spellings: tuple[str, ...] = ("NULL", "null", ""
     return F.when(F.col(column).isin(*spellings), None).otherwise(F.col(column))
 
 
-def estimated_delivery(column: str, days: int = 7) -> Column:
-    return F.date_add(F.col(column), days)
+def estimated_delivery(day: Column | str, days: int = 7) -> Column:
+    return F.date_add(day, days)
 
 
 def number_or_zero(column: str) -> Column:

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalar import is_blank
 from .joins import join_parts
-from .skew import HOT_ROWS, first_of_hot, first_of_regular, mark_first, spread_hash
+from .skew import HotKeys, first_of_hot, first_of_regular, mark_first, spread_hash
 
 REASON = "rejection_reason"
 REQUIRED_FIELDS = ("review_id", "rating")
@@ -71,25 +72,29 @@ def _apply(df: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
     return df.select("*", reason.alias(REASON), details.alias("error_details")).drop("is_first")
 
 
-def flag_rejects(df: DataFrame, rules: tuple[Rule, ...] = FULL_RULES, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Add ``rejection_reason`` (null for a clean row) and ``error_details`` to any review DataFrame."""
-    return _apply(mark_first(df, "review_id", keep_order(df.columns), hot_rows), rules)
+def flag_rejects(
+    df: DataFrame, rules: tuple[Rule, ...] = FULL_RULES, hot_rows: int | None = None, hot: HotKeys | None = None
+) -> DataFrame:
+    """Add ``rejection_reason`` (null for a clean row) and ``error_details`` to any review DataFrame.
+
+    ``hot``: hot review ids where they are known; otherwise they are counted over ``df``.
+    """
+    return _apply(mark_first(df, "review_id", keep_order(df.columns), hot_rows, hot=hot), rules)
 
 
 def join_and_flag(
     tables: Mapping[str, DataFrame],
     product_id: str | None = None,
     rules: tuple[Rule, ...] = FULL_RULES,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Join and flag as one plan: the duplicate check reuses the partitioning of the join."""
-    regular, hot, keys = join_parts(tables, product_id, hot_rows)
-    order = keep_order(regular.columns)
-    marked = first_of_regular(regular, "review_id", order)
+    parts, hot, keys = join_parts(tables, product_id, hot_rows)
+    order = keep_order(parts[0].columns)
+    marked = [first_of_regular(part, "review_id", order) for part in parts]
     if hot is not None:
-        spread = spread_hash("p_id", "buyer_id", "title", "description")
-        marked = marked.unionByName(first_of_hot(hot, order, keys, spread))
-    return _apply(marked, rules)
+        marked.append(first_of_hot(hot, order, keys, spread_hash("p_id", "buyer_id", "title", "description")))
+    return _apply(reduce(DataFrame.unionByName, marked), rules)
 
 
 def fill_defaults(df: DataFrame) -> DataFrame:
@@ -123,7 +128,7 @@ def rejected_rows(flagged: DataFrame, rejected_at: Column | None = None) -> Data
 
 
 def clean_and_validate(
-    df: DataFrame, rules: tuple[Rule, ...] = FULL_RULES, hot_rows: int = HOT_ROWS
+    df: DataFrame, rules: tuple[Rule, ...] = FULL_RULES, hot_rows: int | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """(clean, rejected) of any review DataFrame; the full rules also fill defaults."""
     flagged = flag_rejects(df, rules, hot_rows)

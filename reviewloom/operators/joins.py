@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import JOINED_COLUMNS
-from .skew import HOT_ROWS, HotKeys, find_all_hot, find_hot, salted_join, split_hot, spread_hash, two_sided_join
+from .skew import HotKeys, find_all_hot, find_hot, salted_join, split_hot, spread_hash, two_sided_join
 
-# Longest list put into one row; longer ones come in parts.
-LIST_ROWS = 100_000
+# Items that one row of a list holds, about: a list of n items comes in ceil(n / PART_ITEMS) parts.
+PART_ITEMS = 100_000
 
 
 def first_image(review_images: DataFrame) -> DataFrame:
@@ -60,6 +61,13 @@ def _with_orders_flag(reviews: DataFrame, orders: DataFrame, hot_buyers: HotKeys
     )
 
 
+def _ordering_buyers(review: DataFrame, orders: DataFrame, hot_buyers: HotKeys) -> DataFrame:
+    """(review_id, _buyers): per review id those of its buyers who ordered. Only ids take part; usually one buyer."""
+    ids = review.where(F.col("review_id").isNotNull()).select("review_id", "buyer_id")
+    known = _with_orders_flag(ids, orders, hot_buyers).where("has_orders = 1")
+    return known.groupBy("review_id").agg(F.collect_set("buyer_id").alias("_buyers"))
+
+
 def _project(df: DataFrame) -> DataFrame:
     return df.select(
         "buyer_id",
@@ -78,13 +86,13 @@ def _project(df: DataFrame) -> DataFrame:
 
 
 def join_parts(
-    tables: Mapping[str, DataFrame], product_id: str | None = None, hot_rows: int = HOT_ROWS
-) -> tuple[DataFrame, DataFrame | None, HotKeys]:
-    """The six-table join in two parts: ordinary review ids, and hot ones (if any) with their keys.
+    tables: Mapping[str, DataFrame], product_id: str | None = None, hot_rows: int | None = None
+) -> tuple[list[DataFrame], DataFrame | None, HotKeys]:
+    """The six-table join in parts: ordinary reviews with and without an id, and hot review ids (if any) with their keys.
 
-    The buyer join comes first; after it the ordinary part is shuffled by review_id
-    once for both remaining joins and leaves partitioned by it, so that a window
-    over review_id (see clean.py) needs no further shuffle of the text.
+    All other sides are first brought to narrow rows per review id. The text of the ordinary part is shuffled by
+    review_id once, for all joins, and leaves partitioned by it, so that a window over review_id (see clean.py)
+    needs no further shuffle. Reviews without an id meet nothing but the orders of their buyer.
     """
     review = tables["review"].select("review_id", "buyer_id", "r_desc", "title", "rating")
     linked = tables["product_reviews"]
@@ -98,30 +106,36 @@ def join_parts(
     keys = many_rows.merge(many_links)
 
     regular, hot = split_hot(review, keys)
-    regular = _with_orders_flag(regular, tables["orders"], hot_buyers)
-    regular = _project(regular.join(links, "review_id", how).join(images, "review_id", "left"))
+    buyers = _ordering_buyers(regular, tables["orders"], hot_buyers)
+    named, unnamed = regular.where(F.col("review_id").isNotNull()), regular.where(F.col("review_id").isNull())
+    named = named.join(links, "review_id", how).join(images, "review_id", "left").join(buyers, "review_id", "left")
+    ordered = F.coalesce(F.array_contains("_buyers", F.col("buyer_id")), F.lit(False)).cast("int")
+    parts = [_project(named.withColumn("has_orders", ordered))]
+    if how == "left":
+        empty = [F.lit(None).cast("string").alias(c) for c in ("p_id", "product_name", "category", "review_img")]
+        parts.append(_project(_with_orders_flag(unnamed, tables["orders"], hot_buyers).select("*", *empty)))
     if hot is None:
-        return regular, None, keys
+        return parts, None, keys
 
     hot = _with_orders_flag(hot, tables["orders"], hot_buyers)
     hot = two_sided_join(
         hot, links, many_rows, many_links, spread_hash("buyer_id", "title", "r_desc"), spread_hash("p_id"), how
     )
     # one image row per hot review id
-    hot_images = images.join(keys.frame(images).withColumnRenamed("_hot_key", "review_id"), "review_id", "left_semi")
-    return regular, _project(hot.join(F.broadcast(hot_images), "review_id", "left")), keys
+    hot_images = images.join(keys.table.withColumnRenamed("_hot_key", "review_id"), "review_id", "left_semi")
+    return parts, _project(salted_join(hot, hot_images, keys, spread_hash("buyer_id", "title", "p_id"))), keys
 
 
 def join_reviews(
-    tables: Mapping[str, DataFrame], product_id: str | None = None, hot_rows: int = HOT_ROWS
+    tables: Mapping[str, DataFrame], product_id: str | None = None, hot_rows: int | None = None
 ) -> DataFrame:
     """One row per (review, product): review with first image, product, category and buyer flag."""
-    regular, hot, _ = join_parts(tables, product_id, hot_rows)
-    return regular if hot is None else regular.unionByName(hot)
+    parts, hot, _ = join_parts(tables, product_id, hot_rows)
+    return reduce(DataFrame.unionByName, parts if hot is None else [*parts, hot])
 
 
 def top_products(
-    tables: Mapping[str, DataFrame], min_reviews: int = 15, limit: int = 20, hot_rows: int = HOT_ROWS
+    tables: Mapping[str, DataFrame], min_reviews: int = 15, limit: int = 20, hot_rows: int | None = None
 ) -> DataFrame:
     """Products with most reviews.
 
@@ -152,7 +166,7 @@ def top_products(
 
 
 def review_sample(
-    tables: Mapping[str, DataFrame], min_reviews: int = 15, top: int = 10, hot_rows: int = HOT_ROWS
+    tables: Mapping[str, DataFrame], min_reviews: int = 15, top: int = 10, hot_rows: int | None = None
 ) -> DataFrame:
     """Distinct reviews of the ``top`` products by review count, with their flags."""
     chosen = top_products(tables, min_reviews, 20, hot_rows).orderBy(F.desc("nb_reviews"), "p_id").limit(top)
@@ -173,12 +187,11 @@ def review_sample(
     ).distinct()
 
 
-def reviews_with_images(reviews: DataFrame, review_images: DataFrame, part_rows: int = LIST_ROWS) -> DataFrame:
+def reviews_with_images(reviews: DataFrame, review_images: DataFrame, part_rows: int = PART_ITEMS) -> DataFrame:
     """All images of each review in one pass; ``reviews`` has one row per review_id.
 
-    ``images`` is sorted. The images of a review with very many of them come in parts
-    of about ``part_rows`` (``image_part`` 0, 1, ...); every other review has part 0
-    alone, and a review without images has an empty list.
+    ``images`` is sorted. A review with more than ``part_rows`` images has several rows (``image_part`` 0, 1, ...);
+    every other review has part 0 alone, and a review without images has an empty list.
     """
     lists = collect_parts(review_images, "review_id", F.col("review_img"), "images", "image_part", part_rows)
     return (
@@ -188,17 +201,18 @@ def reviews_with_images(reviews: DataFrame, review_images: DataFrame, part_rows:
     )
 
 
-def collect_parts(
-    df: DataFrame, key: str, value, items: str, part: str, part_rows: int, hot: HotKeys | None = None
-) -> DataFrame:
-    """Sorted list of ``value`` per key; a hot key yields several lists instead of one vast one."""
-    rows = df.select(key, value.alias("_item"))
-    hot = find_hot(rows, key, part_rows) if hot is None else hot
-    if hot:
-        marks = hot.frame(rows)
-        rows = rows.join(marks, rows[key] == marks["_hot_key"], "left")
-        shares = F.coalesce("_shares", F.lit(1))
-        rows = rows.withColumn(part, F.pmod(spread_hash("_item"), shares).cast("int"))
-    else:
-        rows = rows.withColumn(part, F.lit(0))
+def collect_parts(df: DataFrame, key: str, value: Column, items: str, part: str, part_rows: int = PART_ITEMS) -> DataFrame:
+    """Sorted lists of ``value`` per key, of about ``part_rows`` items each; null values are left out.
+
+    A key of n items has ceil(n / part_rows) parts, numbered from 0, of which some may be empty and
+    missing. The part of an item follows from the item and its number among equal ones, never from where it
+    was read, so the rows are the same for any layout of the input. Items are counted per (key, item) first:
+    many equal ones travel as one row, and no task holds a key's items beyond a part.
+    """
+    counted = df.select(key, value.alias("_item")).where(F.col("_item").isNotNull())
+    counted = counted.groupBy(key, "_item").agg(F.count(F.lit(1)).alias("_c"))
+    sizes = counted.groupBy(F.col(key).alias("_key")).agg(F.ceil(F.sum("_c") / part_rows).alias("_parts"))
+    rows = counted.join(sizes, F.col(key).eqNullSafe(F.col("_key")))
+    rows = rows.withColumn("_number", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_c"))))
+    rows = rows.withColumn(part, F.pmod(F.xxhash64("_item", "_number"), F.col("_parts")).cast("int"))
     return rows.groupBy(key, part).agg(F.sort_array(F.collect_list("_item")).alias(items))

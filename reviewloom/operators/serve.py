@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import contains_ignoring_case, image_list, number_or_zero
-from .joins import LIST_ROWS, reviews_with_images
+from .joins import PART_ITEMS, reviews_with_images
 
 RELEVANT = "RELEVANT"
 
@@ -24,7 +24,8 @@ def lookup(df: DataFrame, **keys) -> DataFrame:
 
 
 def lookup_stripped(df: DataFrame, column: str, text: str) -> DataFrame:
-    return df.where(F.col(column) == F.trim(F.lit(text)))
+    """Rows whose column equals the text without white space of any kind at its ends."""
+    return lookup(df, **{column: text.strip()})
 
 
 def page(df: DataFrame, key: str, skip: int = 0, limit: int = 100) -> DataFrame:
@@ -117,7 +118,7 @@ def reviews_by_confidence(scored: DataFrame, p_id: str, limit: int = 5) -> DataF
 
 def buyer_reviews_with_images(
     scored: DataFrame, review_images: DataFrame, buyer_id: str | None = None, p_id: str | None = None,
-    part_rows: int = LIST_ROWS,
+    part_rows: int = PART_ITEMS,
 ) -> DataFrame:
     """Relevant reviews by confidence with all their images, for one (buyer, product) or for all."""
     rows = scored.where(F.col("relevant_status") == RELEVANT)

@@ -8,13 +8,27 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalar import estimated_delivery
-from .joins import LIST_ROWS, collect_parts
-from .skew import HOT_ROWS, HotKeys, find_all_hot, find_hot, salted_join, spread_hash
+from .joins import PART_ITEMS, collect_parts
+from .skew import HotKeys, find_hot, salted_join, spread_hash
+
+UNKNOWN_PRODUCT = "Product does not exist"
+NO_CART, NOTHING = "Cart is empty or does not exist", "Cart has nothing to order"
 
 
 def price_items(lines: DataFrame, offers: DataFrame, hot: HotKeys) -> DataFrame:
-    """Cart lines with the columns of their product; a best-seller's lines are cut into shares."""
-    return salted_join(lines.select("cart_id", "p_id", "qty"), offers, hot, spread_hash("cart_id"), "inner")
+    """All cart lines with the columns of their product and ``known``; a best-seller's lines are cut into shares.
+
+    The columns of a line whose product is unknown are null, ``known`` is false.
+    """
+    marked = offers.withColumn("known", F.lit(True))
+    met = salted_join(lines.select("cart_id", "p_id", "qty"), marked, hot, spread_hash("cart_id"))
+    return met.withColumn("known", F.coalesce("known", F.lit(False)))
+
+
+def rejected_lines(cart_items: DataFrame, product: DataFrame, hot_rows: int | None = None) -> DataFrame:
+    """Cart lines without a known product; they are in no total and no order."""
+    priced = price_items(cart_items, product.select("p_id"), find_hot(cart_items, "p_id", hot_rows))
+    return priced.where(~F.col("known")).select("cart_id", "p_id", "qty", F.lit(UNKNOWN_PRODUCT).alias("error_details"))
 
 
 def upsert_cart_items(cart_items: DataFrame, added: DataFrame) -> DataFrame:
@@ -24,10 +38,14 @@ def upsert_cart_items(cart_items: DataFrame, added: DataFrame) -> DataFrame:
     return both.groupBy("cart_id", "p_id").agg(F.sum("qty").alias("qty"))
 
 
-def cart_totals(cart_items: DataFrame, product: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def cart_totals(cart_items: DataFrame, product: DataFrame, hot_rows: int | None = None) -> DataFrame:
+    """Totals over the lines with a known product, and how many lines have none (see ``rejected_lines``)."""
     priced = price_items(cart_items, product.select("p_id", "price"), find_hot(cart_items, "p_id", hot_rows))
+    zero = F.lit(0)
     return priced.groupBy("cart_id").agg(
-        F.sum("qty").alias("total_qty"), F.sum(F.col("price") * F.col("qty")).alias("total_price")
+        F.coalesce(F.sum(F.when(F.col("known"), F.col("qty"))), zero).alias("total_qty"),
+        F.coalesce(F.sum(F.col("price") * F.col("qty")), F.lit(0.0)).alias("total_price"),
+        F.count_if(~F.col("known")).alias("rejected_lines"),
     )
 
 
@@ -38,13 +56,13 @@ def deal_totals(
     day,
     minimum_price: float = 0.0,
     totals: DataFrame | None = None,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Cart totals after the deals of one day, never below the minimum price.
 
     Deals join the products first (one row per product), so the cart lines are joined
     once. Discounts are not negative, hence flooring the final total equals flooring
-    after each line.
+    after each line. Lines without a known product count nothing; ``rejected_lines`` has them.
     """
     deals = daily_deals.where(F.col("deal_date") == F.lit(day)).select("p_id", "discount")
     offers = product.select("p_id", "price").join(deals, "p_id", "left").withColumn(
@@ -53,7 +71,8 @@ def deal_totals(
     lines = price_items(cart_items, offers, find_hot(cart_items, "p_id", hot_rows))
     gross = F.col("price") * F.col("qty")
     per_cart = lines.groupBy("cart_id").agg(
-        F.sum(gross).alias("gross"), F.sum(gross * F.col("discount") / 100).alias("discount_total")
+        F.coalesce(F.sum(gross), F.lit(0.0)).alias("gross"),
+        F.coalesce(F.sum(gross * F.col("discount") / 100), F.lit(0.0)).alias("discount_total"),
     )
     if totals is not None:
         per_cart = per_cart.join(totals.select("cart_id", "total_price"), "cart_id").withColumn(
@@ -73,6 +92,7 @@ class Checkout:
     payments: DataFrame
     carts: DataFrame
     rejected: DataFrame
+    rejected_lines: DataFrame
 
 
 def checkout(
@@ -82,51 +102,54 @@ def checkout(
     day: Column,
     method: str = "card",
     first_order_id: int = 0,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
 ) -> Checkout:
-    """Order every non-empty cart at once.
+    """Order every cart with something to order, all at once.
 
-    Ids derive from the cart id, so a repeated task writes the same ids: order id is
-    ``first_order_id`` + cart id, a shipping id is "order-product" (one shipment per
-    line), payment ids are name-based UUIDs of the order.
+    A line whose product is unknown is rejected, a cart without any other line is rejected as a whole; items and
+    rejected lines together are all lines, and only items are shipped. Everything stays on the cart id, whose
+    order id is ``first_order_id`` + cart id, to the end. Ids derive from the cart id, so a repeated task writes the
+    same ids: a shipping id is "order-product" (one shipment per line), payment ids are name-based UUIDs of the order.
     """
-    vast_carts, best_sellers = find_all_hot(hot_rows, (cart_items, "cart_id"), (cart_items, "p_id"))
-    filled = cart_items.groupBy("cart_id").agg(F.sum("qty").alias("_qty")).where(F.col("_qty") > 0)
+    priced = price_items(cart_items, product.select("p_id", "price"), find_hot(cart_items, "p_id", hot_rows))
+    known = F.when(F.col("known"), F.col("qty"))
+    filled = priced.groupBy("cart_id").agg(F.sum(known).alias("_qty"), F.count(F.lit(1)).alias("_lines"))
     carts = cart.select("cart_id", "buyer_id").join(filled, "cart_id", "left")
+    full = F.coalesce(F.col("_qty") > 0, F.lit(False))
+    vast_carts = find_hot(cart_items, "cart_id", hot_rows)
+    met = salted_join(priced, carts.select("cart_id", full.alias("ordered")), vast_carts, spread_hash("p_id"))
+    good = F.col("known") & F.coalesce("ordered", F.lit(False))
+    lines = met.where(good)
     order_id = F.col("cart_id") + F.lit(first_order_id)
-    orders = carts.where(F.col("_qty").isNotNull()).select(
+    orders = carts.where(full).select(
         order_id.alias("order_id"), "buyer_id", F.lit(None).cast("int").alias("discount_id"),
         F.lit(None).cast("int").alias("payment_id"), day.alias("order_date"),
     )
-    ordered = salted_join(
-        cart_items.select("cart_id", "p_id", "qty"), carts.where(F.col("_qty").isNotNull()).select("cart_id"),
-        vast_carts, spread_hash("p_id"), "inner",
-    )
-    order_items = price_items(ordered, product.select("p_id", "price"), best_sellers).select(
-        order_id.alias("order_id"), "p_id", "qty", F.col("price").alias("price_at_purchase")
-    )
-    shipments = ordered.select(
-        F.concat_ws("-", order_id.cast("string"), F.col("p_id")).alias("shipping_id"), order_id.alias("order_id"), "p_id",
-        F.lit(None).cast("int").alias("carrier_id"), F.lit("NP").alias("shipment_type"),
-        F.lit("processing").alias("status"), day.alias("_day"),
-        F.lit(None).cast("date").alias("actual_delivery_date"),
-    ).select(
-        "shipping_id", "order_id", "p_id", "carrier_id", "shipment_type", "status",
-        estimated_delivery("_day").alias("est_delivery_date"), "actual_delivery_date",
-    )
+    order_items = lines.select(order_id.alias("order_id"), "p_id", "qty", F.col("price").alias("price_at_purchase"))
+    shipments = lines.select(*shipment_columns(order_id, day))
     digest = F.md5(F.concat(F.lit("payment-"), F.col("order_id").cast("string")))
     parts = [F.substring(digest, *p) for p in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]
     payments = orders.select(
         F.concat_ws("-", *parts).alias("payment_id"), "order_id", F.lit(method).alias("method"),
         F.lit("completed").alias("status"), F.col("order_date").cast("timestamp").alias("created_at"),
     )
-    emptied = carts.where(F.col("_qty").isNotNull()).select(
+    emptied = carts.where(full).select(
         "cart_id", "buyer_id", F.lit(0).alias("total_qty"), F.lit(0.0).alias("total_price")
     )
-    rejected = carts.where(F.col("_qty").isNull()).select(
-        "cart_id", "buyer_id", F.lit("Cart is empty or does not exist").alias("error_details")
-    )
-    return Checkout(orders, order_items, shipments, payments, emptied, rejected)
+    why = F.when(F.col("_lines").isNull(), NO_CART).otherwise(NOTHING)
+    rejected = carts.where(~full).select("cart_id", "buyer_id", why.alias("error_details"))
+    refused = F.when(~F.col("known"), UNKNOWN_PRODUCT).when(F.col("ordered").isNull(), NO_CART).otherwise(NOTHING)
+    unknown = met.where(~good).select("cart_id", "p_id", "qty", refused.alias("error_details"))
+    return Checkout(orders, order_items, shipments, payments, emptied, rejected, unknown)
+
+
+def shipment_columns(order_id: Column, day: Column) -> list[Column]:
+    """The shipment of an order line."""
+    return [
+        F.concat_ws("-", order_id.cast("string"), F.col("p_id")).alias("shipping_id"), order_id.alias("order_id"), F.col("p_id"),
+        F.lit(None).cast("int").alias("carrier_id"), F.lit("NP").alias("shipment_type"), F.lit("processing").alias("status"),
+        estimated_delivery(day).alias("est_delivery_date"), F.lit(None).cast("date").alias("actual_delivery_date"),
+    ]
 
 
 def order_documents(
@@ -134,30 +157,28 @@ def order_documents(
     order_items: DataFrame,
     payments: DataFrame,
     shipments: DataFrame,
-    part_rows: int = LIST_ROWS,
-    hot: HotKeys | None = None,
+    part_rows: int = PART_ITEMS,
 ) -> DataFrame:
-    """Orders with nested items, payment and shipments; a vast order comes in several parts.
+    """Orders with nested items, payment and shipments; an order of more than ``part_rows`` lines comes in several parts.
 
-    An item has one shipment, so the orders with many items are those with many shipments.
+    An item and its shipment are brought together first and stay in one part.
     """
-    hot = find_hot(order_items, "order_id", part_rows) if hot is None else hot
-    items = collect_parts(
-        order_items, "order_id", F.struct("p_id", "qty", "price_at_purchase"), "items", "part", part_rows, hot
-    )
-    sent = collect_parts(
-        shipments, "order_id",
-        F.struct("p_id", "shipping_id", "carrier_id", "shipment_type", "status", "est_delivery_date"),
-        "shipments", "part", part_rows, hot,
+    sent = shipments.select(
+        "order_id", "p_id",
+        F.struct("p_id", "shipping_id", "carrier_id", "shipment_type", "status", "est_delivery_date").alias("shipment"),
     )
+    item = F.struct("p_id", "qty", "price_at_purchase").alias("item")
+    both = order_items.select("order_id", "p_id", item).join(sent, ["order_id", "p_id"], "full")
+    lines = collect_parts(both, "order_id", F.struct("item", "shipment"), "lines", "part", part_rows)
+    present = lambda name: F.filter(F.transform("lines", lambda x: x[name]), lambda x: x.isNotNull())
+    nested = lines.select("order_id", "part", present("item").alias("items"), present("shipment").alias("shipments"))
     paid = payments.select("order_id", F.struct("payment_id", "method", "status", "created_at").alias("payment"))
-    nested = items.join(sent, ["order_id", "part"], "full")
     return orders.join(paid, "order_id", "left").join(nested, "order_id", "left").withColumn(
         "part", F.coalesce("part", F.lit(0))
     )
 
 
-def cart_documents(cart: DataFrame, cart_items: DataFrame, part_rows: int = LIST_ROWS) -> DataFrame:
+def cart_documents(cart: DataFrame, cart_items: DataFrame, part_rows: int = PART_ITEMS) -> DataFrame:
     """Carts with nested items; an empty cart has an empty list."""
     items = collect_parts(cart_items, "cart_id", F.struct("p_id", "qty"), "items", "part", part_rows)
     empty = F.array().cast(items.schema["items"].dataType)

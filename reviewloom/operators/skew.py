@@ -1,74 +1,79 @@
 """Joins and first-per-key that stay balanced when one key holds much of the data.
 
-A *hot* key is one with at least ``hot_rows`` rows. Hot keys are looked up before a
-plan is built, by a count over the key column alone. A table of N rows has about
-N / hot_rows of them at most and never more than ``MAX_HOT`` are taken (the threshold rises
-until they fit), so the list is small whatever the data. Each hot key is cut into
-``ceil(n / hot_rows)`` shares, and no task sees much more than ``hot_rows`` rows of
-one key. Without hot keys the plans are plain joins and windows.
+A *hot* key is one whose rows take more than one share: ``hot_rows`` rows, or, where that is not given, as many
+as make up ``SHARE_BYTES`` at the average row size of the table. Hot keys are looked up before a plan is built, by a
+count over the key column alone. They are kept as a stored table, however many there are: its size is known to the
+optimiser, which sends it to all tasks if it is small and shuffles it otherwise. Each hot key is cut into
+as many shares as its rows make up, and no task sees much more than a share of one key. Without hot keys the
+plans are plain joins and windows.
 
 The null key counts as a key here: rows without a key can be the hottest of all.
 """
 
 from __future__ import annotations
 
-import math
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-HOT_ROWS = 1_000_000
-MAX_HOT = 20_000
+from ..session import stored
+
+SHARE_BYTES = 256 << 20
 SAMPLED = 2_000
 
 
 @dataclass(frozen=True)
 class HotKeys:
-    """The hot values of one key column with their shares; false when there are none."""
+    """The hot values of one key column with their shares, as (_hot_key, _shares); false when there are none."""
 
     key: str
-    shares: dict
+    table: DataFrame | None = None
 
     def __bool__(self) -> bool:
-        return bool(self.shares)
-
-    def frame(self, like: DataFrame) -> DataFrame:
-        """(_hot_key, _shares), at most MAX_HOT rows, marked for broadcast."""
-        schema = T.StructType(
-            [T.StructField("_hot_key", like.schema[self.key].dataType), T.StructField("_shares", T.IntegerType())]
-        )
-        return F.broadcast(like.sparkSession.createDataFrame(list(self.shares.items()), schema))
+        return self.table is not None
 
     def merge(self, other: HotKeys) -> HotKeys:
         """Keys hot in either table; a key's pairs are cut by both."""
-        both = {k: self.shares.get(k, 1) * other.shares.get(k, 1) for k in {**self.shares, **other.shares}}
-        return HotKeys(self.key, both)
+        tables = [h.table for h in (self, other) if h]
+        if len(tables) < 2:
+            return HotKeys(self.key, tables[0] if tables else None)
+        both = reduce(DataFrame.unionAll, tables).groupBy("_hot_key")
+        # At most two rows per key: the product of their shares.
+        return HotKeys(self.key, both.agg((F.min("_shares") * F.when(F.count("*") > 1, F.max("_shares")).otherwise(1)).alias("_shares")))
+
+    def shares(self) -> dict:
+        """Shares by key, for tests and reports."""
+        return {r["_hot_key"]: r["_shares"] for r in self.table.collect()} if self else {}
+
 
+def rows_per_share(df: DataFrame) -> int:
+    """Rows of ``df`` that make up ``SHARE_BYTES``, by the size that the optimiser knows and a count from file footers."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    rows = df.count()
+    return max(1, SHARE_BYTES * rows // max(size, rows, 1)) if rows else 1
 
-def find_hot(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> HotKeys:
-    """Keys with about ``hot_rows`` rows or more.
 
-    Counted over a sample in which such a key still has some 2,000 rows; a miss by a few
-    percent changes the plan, never the result. The sample keeps the count's shuffle
-    small: without it every distinct key would travel.
+def find_hot(df: DataFrame, key: str, hot_rows: int | None = None) -> HotKeys:
+    """Keys with about ``hot_rows`` rows or more (by default as ``rows_per_share`` says for ``df``).
+
+    Counted over a sample in which such a key still has some 2,000 rows; a miss by a few percent changes the
+    balance of a join, never its result. The sample keeps the count's shuffle small: without it every distinct
+    key would travel.
     """
+    hot_rows = rows_per_share(df) if hot_rows is None else hot_rows
     fraction = min(1.0, SAMPLED / hot_rows)
-    keys = df.select(F.col(key).alias("k"))
+    keys = df.select(F.col(key).alias("_hot_key"))
     if fraction < 1.0:
         keys = keys.sample(fraction=fraction, seed=7)
-    counted = keys.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
-    while True:
-        # Sorted so that Spark takes the few largest in one job, whatever the number of partitions.
-        found = counted.where(F.col("n") >= hot_rows * fraction).orderBy(F.desc("n")).limit(MAX_HOT + 1).collect()
-        if len(found) <= MAX_HOT:
-            return HotKeys(key, {row["k"]: math.ceil(row["n"] / fraction / hot_rows) for row in found})
-        hot_rows *= 8
+    counted = keys.groupBy("_hot_key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= hot_rows * fraction)
+    table = stored(counted.select("_hot_key", F.ceil(F.col("n") / (fraction * hot_rows)).cast("int").alias("_shares")), "hot-keys")
+    return HotKeys(key, None if table.isEmpty() else table)
 
 
-def find_all_hot(hot_rows: int, *columns: tuple[DataFrame, str]) -> list[HotKeys]:
+def find_all_hot(hot_rows: int | None, *columns: tuple[DataFrame, str]) -> list[HotKeys]:
     """``find_hot`` for several (table, key) pairs, as Spark jobs side by side."""
     with ThreadPoolExecutor(len(columns)) as pool:
         return list(pool.map(lambda c: find_hot(c[0], c[1], hot_rows), columns))
@@ -85,7 +90,9 @@ def spread_hash(*columns: str) -> Column:
 
 def _marked(df: DataFrame, hot: HotKeys, shares: str = "_shares") -> DataFrame:
     """Add the number of shares of each row's key, 1 for an ordinary key."""
-    marks = hot.frame(df)
+    if not hot:
+        return df.withColumn(shares, F.lit(1))
+    marks = hot.table
     return (
         df.join(marks, df[hot.key].eqNullSafe(marks["_hot_key"]), "left")
         .withColumn(shares, F.coalesce("_shares", F.lit(1)))
@@ -142,7 +149,7 @@ def two_sided_join(
     matched = l.join(r, [key, "_a", "_b"], "inner").drop("_a", "_b")
     if how == "inner":
         return matched
-    partners = F.broadcast(right.select(key).distinct())  # hot keys only
+    partners = right.select(key).distinct()  # hot keys only
     extra = [f for f in right.schema.fields if f.name != key]
     alone = left.join(partners, key, "left_anti").select(
         "*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in extra]
@@ -151,15 +158,14 @@ def two_sided_join(
 
 
 def _only(df: DataFrame, hot: HotKeys) -> DataFrame:
-    marks = hot.frame(df)
-    return df.join(marks, df[hot.key].eqNullSafe(marks["_hot_key"]), "left_semi")
+    return df.join(hot.table, df[hot.key].eqNullSafe(hot.table["_hot_key"]), "left_semi")
 
 
 def split_hot(df: DataFrame, hot: HotKeys) -> tuple[DataFrame, DataFrame | None]:
     """(rows of ordinary keys, rows of hot keys or None)."""
     if not hot:
         return df, None
-    marks = hot.frame(df)
+    marks = hot.table
     return df.join(marks, df[hot.key].eqNullSafe(marks["_hot_key"]), "left_anti"), _only(df, hot)
 
 
@@ -187,10 +193,14 @@ def first_of_hot(
 
 
 def mark_first(
-    df: DataFrame, key: str, order: list[Column], hot_rows: int = HOT_ROWS, flag: str = "is_first"
+    df: DataFrame, key: str, order: list[Column], hot_rows: int | None = None, flag: str = "is_first",
+    hot: HotKeys | None = None,
 ) -> DataFrame:
-    """Mark exactly one row per key (the first in ``order``) of any DataFrame."""
-    hot = find_hot(df, key, hot_rows)
+    """Mark exactly one row per key (the first in ``order``) of any DataFrame.
+
+    Hot keys known from the narrow inputs of ``df`` spare a count over ``df`` itself, which runs it once more.
+    """
+    hot = find_hot(df, key, hot_rows) if hot is None else hot
     regular, hot_part = split_hot(df, hot)
     marked = first_of_regular(regular, key, order, flag)
     if hot_part is None:

@@ -13,8 +13,7 @@ from ..functions.scoring import CONFIDENCE_THRESHOLD, RELEVANCE_THRESHOLD, WEIGH
 from ..functions.sentiment import DEFAULT_LEXICON, Lexicon
 from ..operators.classify import with_precomputed
 from ..operators.clean import FULL_RULES, REASON, Rule, clean_rows, join_and_flag, rejected_rows
-from ..operators.skew import HOT_ROWS
-from ..session import scratch_path
+from ..session import remove_path, scratch_path
 from ..sources.readers import load_tables
 from ..sources.writers import run_metadata, save_metadata, save_rejected, save_reviews
 
@@ -50,15 +49,20 @@ def process_tables(
     metadata_path: str,
     product_id: str | None = None,
     rules: tuple[Rule, ...] = FULL_RULES,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
     run_id: str | None = None,
     ingested_at: Column | None = None,
+    staging: str | None = None,
 ) -> dict[str, int]:
-    """Join, clean, store clean and rejected rows, record the run; returns its statistics."""
+    """Join, clean, store clean and rejected rows, record the run; returns its statistics.
+
+    The flagged rows are staged under ``staging`` (by default in the shared folder) and deleted when both sinks are written.
+    """
     run_id = run_id or new_run_id()
     spark = next(iter(tables.values())).sparkSession
     flagged = join_and_flag(tables, product_id, rules, hot_rows)
-    staged, counts = stage_flagged(flagged, scratch_path(spark, "flagged"))
+    staging = staging or scratch_path(spark, "flagged")
+    staged, counts = stage_flagged(flagged, staging)
     clean = clean_rows(staged.where(F.col("verdict") == "clean").drop("verdict"), fill=rules is FULL_RULES)
     statistics = {
         "total_records_processed": counts["total"],
@@ -71,6 +75,7 @@ def process_tables(
         rejected = rejected_rows(staged.where(F.col("verdict") == "rejected").drop("verdict"))
         statistics["reject_inserts"] = save_rejected(rejected, reject_path, run_id)
     save_metadata(run_metadata(spark, run_id, statistics), metadata_path)
+    remove_path(spark, staging)
     return statistics
 
 

@@ -16,7 +16,9 @@ from pyspark.sql import functions as F
 
 from ..operators.clean import clean_rows, join_and_flag, rejected_rows
 from ..session import scratch_path
-from ..sources.driver_tables import BUILDERS, CORPUS_LEXICON, BaseTables, review_class
+from ..sources.driver_tables import (
+    BUILDERS, CORPUS_LEXICON, STORED_CONFIDENCE, STORED_RELEVANCE, BaseTables, review_class,
+)
 from ..sources.writers import as_review_relevant, as_reviews
 from .jobs import score_reviews, stage_flagged
 
@@ -89,7 +91,10 @@ class Warehouse:
 
     @cached_property
     def review_relevant(self) -> DataFrame:
-        scored = as_review_relevant(score_reviews(self.reviews, self.classes, CORPUS_LEXICON))
+        scored = score_reviews(
+            self.reviews, self.classes, CORPUS_LEXICON, confidence=STORED_CONFIDENCE, relevance=STORED_RELEVANCE
+        )
+        scored = as_review_relevant(scored)
         path = scratch_path(self.spark, "review_relevant")
         scored.write.parquet(path)
         return self.spark.read.schema(scored.schema).parquet(path)
@@ -98,8 +103,9 @@ class Warehouse:
 _OPEN: dict[tuple[str, str], Warehouse] = {}
 
 
-def warehouse(spark: SparkSession, folder: str) -> Warehouse:
+def warehouse(spark: SparkSession, folder: str, refresh: bool = False) -> Warehouse:
+    """The folder's warehouse; its stored tables are kept for the application unless ``refresh`` asks for new ones."""
     key = (spark.sparkContext.applicationId, folder)
-    if key not in _OPEN:
+    if refresh or key not in _OPEN:
         _OPEN[key] = Warehouse(spark, folder)
     return _OPEN[key]

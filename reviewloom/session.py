@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,6 +20,9 @@ def build_session(app: str = "reviewloom", cpus: int | None = None, **conf: str)
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(cpus))
+        # A scan of few large files still gives every core a part.
+        .config("spark.sql.files.minPartitionNum", str(cpus))
+        .config("spark.sql.files.openCostInBytes", "65536")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "12g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
@@ -55,11 +59,23 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/reviewloom/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
-def spread_scan(df: DataFrame, key: str) -> DataFrame:
-    """Hash a plain scan over all cores where the files give fewer partitions than there are cores.
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write to the shared folder and read back: computed once, its size known, readable by every executor."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
-    Meant for costly expressions over a few large files; a large table has more
-    partitions than cores and is left as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a staging path of our own, in whatever file system it is."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(target, True)
+
+
+def share_package(spark: SparkSession) -> None:
+    """Let Python workers find this package where the driver found it; on a cluster it is installed or sent along."""
+    root = str(Path(__file__).resolve().parents[1])
+    known = spark.sparkContext.environment
+    paths = known.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        known["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])

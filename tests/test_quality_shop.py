@@ -134,6 +134,36 @@ def test_checkout(spark, shop_data, hot_rows):
     assert [d["items"] for d in carts if d["cart_id"] == 11] == [[]]
 
 
+@pytest.mark.parametrize("hot_rows", [2, 10**6])
+def test_lines_of_unknown_products_are_rejected(spark, shop_data, hot_rows):
+    products, items, deals, day, cart, cart_items, product, daily_deals = shop_data
+    odd = spark.createDataFrame([(0, "gone", 2), (11, "gone", 1), (99, "p0", 1)], schema_of("cart_items"))
+    lines = cart_items.unionByName(odd)
+    done = shop.checkout(cart, lines, product, F.lit(day), "card", 500, hot_rows)
+    ordered = sorted((r["order_id"] - 500, r["p_id"]) for r in done.order_items.collect())
+    refused = sorted((r["cart_id"], r["p_id"], r["error_details"]) for r in done.rejected_lines.collect())
+    assert ordered == sorted(items) == sorted((r["order_id"] - 500, r["p_id"]) for r in done.shipments.collect())
+    unknown = shop.UNKNOWN_PRODUCT
+    assert refused == [(0, "gone", unknown), (11, "gone", unknown), (99, "p0", "Cart is empty or does not exist")]
+    assert len(ordered) + len(refused) == lines.count()
+    assert [(r["cart_id"], r["error_details"]) for r in done.rejected.collect()] == [(11, "Cart has nothing to order")]
+    totals = {r["cart_id"]: r for r in shop.cart_totals(lines, product, hot_rows).collect()}
+    assert (totals[11]["total_qty"], totals[11]["total_price"], totals[11]["rejected_lines"]) == (0, 0.0, 1)
+    assert totals[0]["rejected_lines"] == 1 and totals[0]["total_qty"] == sum(q for (c, _), q in items.items() if c == 0)
+    assert sorted(r["cart_id"] for r in shop.rejected_lines(lines, product, hot_rows).collect()) == [0, 11]
+    assert len(shop.deal_totals(lines, product, daily_deals, day, hot_rows=hot_rows).collect()) == len(totals)
+
+
+@pytest.mark.parametrize("partitions", [2, 7])
+def test_parts_of_an_order_are_whole(spark, shop_data, partitions):
+    _, items, _, day, cart, cart_items, product, _ = shop_data
+    done = shop.checkout(cart, cart_items.repartition(partitions), product, F.lit(day))
+    documents = shop.order_documents(done.orders, done.order_items, done.payments, done.shipments, 2).collect()
+    for d in documents:
+        assert [i["p_id"] for i in d["items"]] == [s["p_id"] for s in d["shipments"]]
+    assert sum(len(d["items"]) for d in documents) == len(items)
+
+
 def test_upsert(spark, shop_data):
     _, items, _, _, _, cart_items, _, _ = shop_data
     added = [(0, "p0", 3), (0, "p0", 1), (11, "p7", 2)]

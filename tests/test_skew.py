@@ -5,7 +5,7 @@ import random
 import pytest
 
 from reviewloom.operators.joins import collect_parts
-from reviewloom.operators.skew import find_hot, salted_join, spread_hash, two_sided_join
+from reviewloom.operators.skew import find_hot, rows_per_share, salted_join, spread_hash, two_sided_join
 from pyspark.sql import functions as F
 
 
@@ -40,7 +40,7 @@ def test_salted_join(sides, how, hot_rows):
 def test_two_sided_join(sides, how, hot_rows):
     left, _, many = sides
     hot_left, hot_right = find_hot(left, "k", hot_rows), find_hot(many, "k", hot_rows)
-    both = list(hot_left.merge(hot_right).shares)
+    both = list(hot_left.merge(hot_right).shares())
     keep = F.col("k").isin([k for k in both if k]) | (F.col("k").isNull() & F.lit(None in both))
     part = left.where(keep)
     found = two_sided_join(part, many, hot_left, hot_right, spread_hash("l"), spread_hash("r"), how)
@@ -61,5 +61,32 @@ def test_collect_parts_keeps_every_item(sides, part_rows):
 def test_hot_keys_from_a_sample(spark):
     df = spark.range(400_000).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("k"))
     found = find_hot(df, "k", 50_000)
-    assert set(found.shares) == {-1} and found.shares[-1] in (2, 3)
+    assert set(found.shares()) == {-1} and found.shares()[-1] in (2, 3)
     assert not find_hot(df, "k", 300_000)
+
+
+def test_more_hot_keys_than_any_list_would_hold(spark):
+    left = spark.range(60_000).select((F.col("id") % 25_000).alias("k"), F.col("id").alias("l"))
+    right = spark.range(30_000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("r"))
+    hot = find_hot(left, "k", 2)
+    assert hot.table.count() == 25_000
+    found = salted_join(left, right, hot, spread_hash("l"))
+    assert found.count() == 60_000 and found.where("r <> 2 * k OR r IS NULL").count() == 0
+
+
+def test_shares_follow_the_size_of_rows(spark):
+    wide = spark.range(1000).select(F.lit(1).alias("k"), F.lit("x" * 4000).alias("t"))
+    narrow = spark.range(1000).select(F.lit(1).alias("k"))
+    assert rows_per_share(wide) < rows_per_share(narrow)
+
+
+@pytest.mark.parametrize("part_rows", [1, 10, 1000])
+def test_parts_do_not_depend_on_the_layout(spark, part_rows):
+    rows = [(k, f"item {i % 700}") for k in ("a", "b") for i in range(3000 if k == "a" else 9)]
+    df = spark.createDataFrame(rows, "k string, v string")
+    found = [
+        sorted((r["k"], r["part"], tuple(r["items"])) for r in collect_parts(df.repartition(n), "k", F.col("v"), "items", "part", part_rows).collect())
+        for n in (2, 7, 16)
+    ]
+    assert found[0] == found[1] == found[2]
+    assert max(len(items) for k, _, items in found[0]) <= part_rows + 6 * part_rows**0.5 + 6
