@@ -1,21 +1,23 @@
-"""Lexicon sentiment as one column expression.
+"""Lexicon sentiment, computed in Arrow batches.
 
-Rules after Hutto & Gilbert, "VADER" (ICWSM 2014): valence per word, capitals,
-degree words and negations among the three words before, contrast word, emphasis
-marks, then normalisation to -1..1. The expression works on the word array of
-each row, so scoring adds no shuffle and no Python to a plan.
+Rules after Hutto & Gilbert, "VADER" (ICWSM 2014): valence per word, capitals, degree words and negations
+among the three words before, contrast word, emphasis marks, then normalisation to -1..1. Tokens of one
+character count for nothing, not even as distance. A word is looked up in a dictionary, so the cost doesn't
+grow with the lexicon; scoring adds no shuffle to a plan.
 """
 
 from __future__ import annotations
 
-from collections import defaultdict
-from collections.abc import Mapping
-from dataclasses import dataclass, field
+import math
+from collections.abc import Iterator, Mapping
+from dataclasses import dataclass, replace
 
-from pyspark.sql import Column
+import pandas as pd
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-from .scalar import split_words
+from ..session import share_package
+from .scalar import PUNCTUATION
 
 # Fixed values of the published method.
 DEGREE = 0.293
@@ -43,8 +45,14 @@ _STRENGTHS = {
 }
 
 
+# Verbs whose negations are written with "n't" or, carelessly, with "nt".
+_VERBS = "ai are ca could dare did do does had has have is might must need ought sha should was were wo would".split()
+
+
 @dataclass(frozen=True)
 class Lexicon:
+    """Valences and modifying words, all in lower case. Any word with "n't" in it negates too."""
+
     valence: Mapping[str, float]
     raising: frozenset[str] = frozenset(
         "very really extremely so absolutely completely totally highly incredibly especially most truly "
@@ -54,116 +62,76 @@ class Lexicon:
         "barely hardly slightly somewhat partly almost scarcely marginally kinda sorta occasionally less little".split()
     )
     negating: frozenset[str] = frozenset(
-        "not no never none nor neither nobody nothing nowhere cannot without rarely seldom despite isn't wasn't "
-        "aren't weren't don't doesn't didn't won't wouldn't can't couldn't shouldn't hasn't haven't hadn't ain't".split()
-    )
+        "not no never none nor neither nobody nothing nowhere cannot cant without rarely seldom despite nope".split()
+    ) | frozenset(f"{verb}nt" for verb in _VERBS)
     contrast: str = "but"
-    by_value: Mapping[float, list[str]] = field(init=False)
 
-    def __post_init__(self):
-        groups = defaultdict(list)
-        for word, value in self.valence.items():
-            groups[float(value)].append(word)
-        object.__setattr__(self, "by_value", dict(groups))
+    def negates(self, word: str) -> bool:
+        return word in self.negating or "n't" in word
 
 
 DEFAULT_LEXICON = Lexicon({w: v for v, words in _STRENGTHS.items() for w in words.split()})
 
 
-def lexicon_from_rows(rows) -> Lexicon:
-    """Lexicon from (word, valence) pairs, e.g. the collected rows of a small lexicon file."""
-    return Lexicon({word.lower(): float(value) for word, value in rows})
-
-
-def _valence(word: Column, lexicon: Lexicon) -> Column:
-    out = None
-    for value, words in lexicon.by_value.items():
-        out = F.when(word.isin(words), value) if out is None else out.when(word.isin(words), value)
-    return out
-
-
-# A capital not followed by a small letter: quick to test, and every word in capitals has one.
-_LONE_CAPITAL = r"\p{Lu}(?!\p{Ll})"
-# A word with capitals and without small letters, and any other word.
-_SHOUTED = r"(?<!\S)[^\s\p{Ll}]*\p{Lu}[^\s\p{Ll}]*(?!\S)"
-_NOT_SHOUTED = r"(?<!\S)(?:[^\s\p{Lu}]+(?!\S)|\S*\p{Ll})"
-
-
-def _is_shouted(word: Column) -> Column:
-    return (F.upper(word) == word) & (F.lower(word) != word)
+def lexicon_from_rows(rows, **modifiers) -> Lexicon:
+    """Lexicon from (word, valence) pairs; ``raising``, ``lowering`` and ``negating`` words replace the default ones."""
+    given = {name: frozenset(w.lower() for w in words) for name, words in modifiers.items()}
+    return replace(Lexicon({word.lower(): float(value) for word, value in rows}), **given)
+
+
+def _emphasis(text: str) -> float:
+    asks = text.count("?")
+    loud = min(text.count("!"), MAX_EXCLAMATIONS) * EXCLAMATION
+    return loud + (0.0 if asks <= 1 else asks * QUESTION if asks <= MAX_QUESTIONS else MANY_QUESTIONS)
+
+
+def score_text(text: str, lexicon: Lexicon) -> float:
+    """Sentiment of one text in -1..1."""
+    words = [w.strip(PUNCTUATION) or w for w in text.split() if len(w) > 1]
+    lowered = [w.lower() for w in words]
+    valence = lexicon.valence
+    places = [i for i, w in enumerate(lowered) if w in valence]
+    if not places:
+        return 0.0
+    shouted = sum(map(str.isupper, words))
+    mixed = 0 < shouted < len(words)
+    turn = lowered.index(lexicon.contrast) if lexicon.contrast in lowered else None
+    total = 0.0
+    for i in places:
+        value = valence[lowered[i]]
+        sign = (value > 0) - (value < 0)
+        if mixed and words[i].isupper():
+            value += sign * CAPITALS
+        for distance, factor in enumerate(DISTANCE_FACTORS, start=1):
+            before = lowered[i - distance] if i >= distance else None
+            # A word with a valence of its own modifies no other word.
+            if before is None or before in valence:
+                continue
+            degree = DEGREE if before in lexicon.raising else -DEGREE if before in lexicon.lowering else 0.0
+            if degree:
+                if mixed and words[i - distance].isupper():
+                    degree += CAPITALS
+                value += sign * degree * factor
+            if lexicon.negates(before):
+                value *= NEGATION
+        if turn is not None and i != turn:
+            value *= BEFORE_CONTRAST if i < turn else AFTER_CONTRAST
+        total += value
+    total += ((total > 0) - (total < 0)) * _emphasis(text)
+    return round(total / math.sqrt(total * total + NORMALISER), 4)
 
 
 def compound(text: str, lexicon: Lexicon = DEFAULT_LEXICON) -> Column:
     """Sentiment of a text column in -1..1, null for null."""
-    body = F.col(text)
-    in_lexicon = list(lexicon.valence)
-    # A word with a valence of its own modifies no other word.
-    raising, lowering, negating = (
-        sorted(words - set(in_lexicon)) for words in (lexicon.raising, lexicon.lowering, lexicon.negating)
-    )
+    if spark := SparkSession.getActiveSession():
+        share_package(spark)
 
-    # Each bind() puts values into a one-element array, so that the next step finds them
-    # computed once per row instead of once per word.
-    def bind(value, step):
-        return F.element_at(F.transform(F.array(value), step), 1)
-
-    def context(s):
-        places = F.filter(
-            F.sequence(F.lit(0), F.size(s["lowered"]) - 1),
-            lambda i: F.get(s["lowered"], i).isin(in_lexicon),
-        )
-        return F.struct(
-            # Only a mixed text needs its words as written.
-            F.when(s["mixed"], F.split(body, r"\s+")).alias("words"),
-            s["lowered"].alias("lowered"),
-            F.array_position(s["lowered"], lexicon.contrast).alias("contrast_at"),
-            s["mixed"].alias("mixed"),
-            places.alias("places"),
-        )
-
-    def total(s):
-        def near(i):
-            before = [F.get(s["lowered"], i - d).alias(f"p{d}") for d in (1, 2, 3)]
-            return F.struct(i.alias("i"), _valence(F.get(s["lowered"], i), lexicon).alias("value"), *before)
-
-        def word_score(n):
-            def capitals(distance):
-                return F.when(s["mixed"] & _is_shouted(F.get(s["words"], n["i"] - distance)), CAPITALS).otherwise(0.0)
-
-            sign = F.signum(n["value"])
-            value = n["value"] + sign * capitals(0)
-            for distance, factor in enumerate(DISTANCE_FACTORS, start=1):
-                before = n[f"p{distance}"]
-                size = (F.lit(DEGREE) + capitals(distance)) * sign * factor
-                value = value + F.when(before.isin(raising), size).when(before.isin(lowering), -size).otherwise(0.0)
-                value = value * F.when(before.isin(negating), NEGATION).otherwise(1.0)
-            place = (n["i"] + 1).cast("long")
-            weight = (
-                F.when((s["contrast_at"] == 0) | (place == s["contrast_at"]), 1.0)
-                .when(place < s["contrast_at"], BEFORE_CONTRAST)
-                .otherwise(AFTER_CONTRAST)
-            )
-            return value * weight
-
-        scores = F.transform(F.transform(s["places"], near), word_score)
-        return F.aggregate(scores, F.lit(0.0), lambda acc, x: acc + x)
-
-    def loudness(s):
-        few = F.least(s["marks"], F.lit(MAX_EXCLAMATIONS)) * EXCLAMATION
-        asks = F.when(s["asks"] <= 1, 0.0).when(s["asks"] <= MAX_QUESTIONS, s["asks"] * QUESTION)
-        return s["total"] + F.signum(s["total"]) * (few + asks.otherwise(MANY_QUESTIONS))
-
-    def count(mark):
-        return F.length(body) - F.length(F.replace(body, F.lit(mark), F.lit("")))
-
-    # Emphasis by capitals counts only in a text that is not all capitals.
-    mixed = body.rlike(_LONE_CAPITAL) & body.rlike(_SHOUTED) & body.rlike(_NOT_SHOUTED)
-    split = F.struct(mixed.alias("mixed"), split_words(F.lower(body)).alias("lowered"))
-    summed = F.struct(
-        bind(bind(split, context), total).alias("total"), count("!").alias("marks"), count("?").alias("asks")
-    )
-    score = bind(bind(summed, loudness), lambda x: F.round(x / F.sqrt(x * x + NORMALISER), 4))
-    return F.when(body.isNotNull(), score)
+    @F.pandas_udf("double")
+    def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            yield pd.Series([None if t is None else score_text(t, lexicon) for t in texts], dtype="float64")
+
+    return scored(F.col(text))
 
 
 def keyword_score(text: str, lexicon: Lexicon = DEFAULT_LEXICON) -> Column:

@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-BINS = 4096
-SMALL = 500_000
+#: Ranges into which the distinct values of a column are cut, a power of two.
+RANGES = 1024
 
 
 def _counts(df: DataFrame, column: str) -> DataFrame:
@@ -29,79 +29,45 @@ def _holding(cells: DataFrame, ranks, partition: list[str]) -> DataFrame:
     )
 
 
-def exact_quantiles(
-    df: DataFrame, column: str, probabilities: Sequence[float], small: int = SMALL
-) -> DataFrame:
-    """(p, value) with linear interpolation, exact.
+def _ranged(counts: DataFrame) -> DataFrame:
+    """(v, c, cell): the range of each value; ranges hold about as many distinct values each, however these are spread.
 
-    A column of about ``small`` distinct values or fewer (estimated first, to 2 %) is solved
-    from its value counts in one aggregate; any other by narrowing the value range.
+    The edges are approximate quantiles of the distinct values, as one scalar subquery; a value's range is found
+    by binary search among them.
     """
-    counts = _counts(df, column)
-    distinct = df.agg(F.approx_count_distinct(F.col(column), 0.02).alias("n")).first()["n"]
-    if distinct > small:
-        return _quantiles_by_range(counts, probabilities)
-    spots = F.array(*[F.lit(float(p)) for p in probabilities])
-    return counts.agg(F.percentile("v", [float(p) for p in probabilities], F.col("c")).alias("q")).select(
-        F.inline(F.arrays_zip(spots.alias("p"), F.col("q").alias("value")))
-    )
-
-
-def _quantiles_by_range(counts: DataFrame, probabilities: Sequence[float], bins: int = BINS) -> DataFrame:
-    """Quantiles of (v, c) without bringing the values together in one task.
-
-    Two rounds of counting find, for each wanted rank, a slice of 1/bins**2 of the value
-    range; only the distinct values inside those slices are put in order. Each
-    single-group window below runs over at most ``bins`` cells.
+    shares = [F.lit(i / RANGES) for i in range(1, RANGES)]
+    edges = counts.agg(F.array_sort(F.percentile_approx("v", F.array(*shares), 10 * RANGES)).alias("e")).scalar()
+    df = counts.withColumn("e", edges).withColumn("cell", F.lit(0))
+    step = RANGES // 2
+    while step:
+        ahead = F.coalesce(F.get("e", F.col("cell") + (step - 1)) <= F.col("v"), F.lit(False))
+        df = df.withColumn("cell", F.col("cell") + F.when(ahead, step).otherwise(0))
+        step //= 2
+    return df.drop("e")
+
+
+def exact_quantiles(df: DataFrame, column: str, probabilities: Sequence[float]) -> DataFrame:
+    """(p, value) with linear interpolation, exact, by one way for columns of any size.
+
+    Counts per value are cut into ranges of about equal numbers of distinct values; totals per range say which
+    ranges hold the wanted ranks, and only values of those are put in order, each range in a task of its own.
+    Nothing runs before the result is asked for.
     """
-    span = counts.agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.sum("c").alias("n"))
-    bounds = span.select(F.struct("lo", "hi", "n")).scalar()
-    width = F.col("s.hi") - F.col("s.lo")
-    x1 = F.when(width > 0, (F.col("v") - F.col("s.lo")) / width * bins).otherwise(0.0)
-    placed = (
-        counts.withColumn("s", bounds)
-        .withColumn("x1", x1)
-        .withColumn("b1", F.least(F.floor("x1"), F.lit(bins - 1)))
-        .withColumn("b2", F.least(F.floor((F.col("x1") - F.col("b1")) * bins), F.lit(bins - 1)))
-        .select("v", "c", "b1", "b2")
-    )
+    placed = _ranged(_counts(df, column))
     spots = F.array(*[F.lit(float(p)) for p in probabilities])
-    wanted = span.select(
-        F.array_distinct(
-            F.flatten(
-                F.transform(
-                    spots,
-                    lambda p: F.array(F.floor(p * (F.col("n") - 1)), F.ceil(p * (F.col("n") - 1))),
-                )
-            )
-        )
-    )
-
-    cells = placed.groupBy(F.col("b1").alias("cell")).agg(F.sum("c").alias("c"))
-    first = _holding(
-        cells.withColumn("base", F.lit(0)).withColumn("one", F.lit(1)).withColumn("_want", wanted.scalar()),
-        F.col("_want"), ["one"],
-    ).select(F.col("cell").alias("b1"), "_rank", "base")
-    # one row per wanted rank from here on
-    cells = (
-        placed.join(F.broadcast(first), "b1")
-        .groupBy("_rank", "b1", "base", F.col("b2").alias("cell")).agg(F.sum("c").alias("c"))
-        .withColumnRenamed("_rank", "_want")
-    )
-    second = _holding(cells, F.array("_want"), ["_want"]).select("b1", F.col("cell").alias("b2"), "_rank", "base")
-    cells = placed.join(F.broadcast(second), ["b1", "b2"]).select(
-        F.col("_rank").alias("_want"), "base", F.col("v").alias("cell"), "c"
-    )
-    values = _holding(cells, F.array("_want"), ["_want"]).groupBy().agg(
-        F.map_from_entries(F.collect_list(F.struct("_rank", "cell"))).alias("at")
-    )
-    return (
-        span.select(F.col("n"), values.scalar().alias("at"), F.explode(spots).alias("p"))
-        .withColumn("_spot", F.col("p") * (F.col("n") - 1))
-        .withColumn("_low", F.try_element_at("at", F.floor("_spot")))
-        .withColumn("_high", F.try_element_at("at", F.ceil("_spot")))
-        .select("p", (F.col("_low") + (F.col("_high") - F.col("_low")) * (F.col("_spot") - F.floor("_spot"))).alias("value"))
+    cells = placed.groupBy("cell").agg(F.sum("c").alias("c"))
+    # At most RANGES rows, and then one per wanted rank.
+    total = F.sum("c").over(Window.partitionBy())
+    wanted = F.array_distinct(F.flatten(F.transform(spots, lambda p: F.array(F.floor(p * (F.col("n") - 1)), F.ceil(p * (F.col("n") - 1))))))
+    first = _holding(cells.withColumn("base", F.lit(0)).withColumn("n", total).withColumn("_want", wanted), F.col("_want"), [])
+    first = first.select("cell", F.col("_rank").alias("_want"), "base", "n")
+    values = placed.join(first, "cell").select("_want", "base", "n", F.col("v").alias("cell"), "c")
+    at = _holding(values, F.array("_want"), ["_want"]).groupBy().agg(
+        F.map_from_entries(F.collect_list(F.struct("_rank", "cell"))).alias("at"), F.max("n").alias("n")
     )
+    spot = F.col("p") * (F.col("n") - 1)
+    low, high = F.try_element_at("at", F.floor(spot)), F.try_element_at("at", F.ceil(spot))
+    return at.select("at", "n", F.explode(spots).alias("p")).select("p", (low + (high - low) * (spot - F.floor(spot))).alias("value"))
 
 
 def histogram(df: DataFrame, column: str, bins: int = 50) -> DataFrame:
@@ -136,7 +102,8 @@ def histogram(df: DataFrame, column: str, bins: int = 50) -> DataFrame:
 def density(df: DataFrame, column: str, points: int = 200) -> DataFrame:
     """Gaussian kernel density at ``points`` places over [min, max], bandwidth by Scott's rule.
 
-    Exact: every distinct value contributes to every place, weighted by its count.
+    Exact: every distinct value contributes to every place, weighted by its count. The places are columns of one
+    aggregate, so no row is repeated and each task sends one row of sums.
     """
     counts = _counts(df, column)
     stats = (
@@ -145,15 +112,13 @@ def density(df: DataFrame, column: str, points: int = 200) -> DataFrame:
         .select(F.struct("lo", "hi", "n", (F.col("sd") * F.pow("n", F.lit(-0.2))).alias("h")))
         .scalar()
     )
-    place = F.col("s.lo") + (F.col("s.hi") - F.col("s.lo")) * F.col("place") / (points - 1)
-    z = (F.col("x") - F.col("v")) / F.col("s.h")
-    scale = F.first("s.n") * F.first("s.h") * F.sqrt(F.lit(2.0) * F.pi())
-    return (
-        counts.withColumn("s", stats)
-        .withColumn("place", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
-        .withColumn("x", place)
-        .groupBy("place")
-        .agg(F.first("x").alias("x"), (F.sum(F.col("c") * F.exp(-z * z / 2)) / scale).alias("density"))
+    place = lambda i: F.col("s.lo") + (F.col("s.hi") - F.col("s.lo")) * i / (points - 1)
+    rows = counts.withColumn("s", stats)
+    z = [(place(i) - F.col("v")) / F.col("s.h") for i in range(points)]
+    sums = rows.agg(F.first("s").alias("s"), F.array(*[F.sum(F.col("c") * F.exp(-x * x / 2)) for x in z]).alias("sums"))
+    scale = F.col("s.n") * F.col("s.h") * F.sqrt(F.lit(2.0) * F.pi())
+    return sums.select("s", F.posexplode("sums").alias("place", "sum")).select(
+        "place", place(F.col("place")).alias("x"), (F.col("sum") / scale).alias("density")
     )
 
 

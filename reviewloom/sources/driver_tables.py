@@ -19,6 +19,8 @@ BASE = (
     "embeddings", "pages", "benchmark", "labels", "conversations",
 )
 DEAL_DAY = "2024-01-15"
+# Thresholds of the stored scores: low enough for products with more relevant reviews than the reports show.
+STORED_CONFIDENCE, STORED_RELEVANCE = 50.0, 15.0
 
 # The given texts are invented prose, so scoring them needs words that occur in it.
 CORPUS_LEXICON = Lexicon(
@@ -90,7 +92,10 @@ def product(base) -> DataFrame:
 
 
 def category(base) -> DataFrame:
-    return base["nation"].select(F.col("n_nationkey").alias("category_id"), F.col("n_name").alias("name"))
+    return base["nation"].select(
+        F.col("n_nationkey").alias("category_id"), F.col("n_name").alias("name"),
+        F.repeat(F.col("n_name"), F.col("n_regionkey")).alias("c_desc"),
+    )
 
 
 def product_reviews(base) -> DataFrame:
@@ -98,7 +103,7 @@ def product_reviews(base) -> DataFrame:
     # English texts go to twenty popular products, one per source.
     spread = _text((F.col("doc_id") * 11) % (parts + 20))
     first = base["documents"].select(
-        F.when(F.col("lang") == "en", F.substring("source", 4, 10)).otherwise(spread).alias("p_id"),
+        F.when(F.col("lang") == "en", F.expr("substring(source, 4)")).otherwise(spread).alias("p_id"),
         F.col("doc_id").alias("review_id"),
     )
     second = base["labels"].where(F.col("toxic") == 1).select(
@@ -117,6 +122,8 @@ def review_images(base) -> DataFrame:
 def orders(base) -> DataFrame:
     return base["orders"].select(
         F.col("o_orderkey").alias("order_id"), _text(F.col("o_custkey")).alias("buyer_id"),
+        F.when(F.col("o_orderkey") % 3 == 0, (F.col("o_orderkey") % 30).cast("int")).alias("discount_id"),
+        (F.col("o_custkey") * 2 + F.col("o_orderkey") % 5 % 2).cast("int").alias("payment_id"),
         F.col("o_orderdate").cast("date").alias("order_date"),
     )
 
@@ -135,13 +142,18 @@ def review_class(base) -> DataFrame:
 
 def cart(base) -> DataFrame:
     return base["orders"].select(
-        F.col("o_orderkey").alias("cart_id"), _text(F.col("o_custkey")).alias("buyer_id")
+        F.col("o_orderkey").alias("cart_id"), _text(F.col("o_custkey")).alias("buyer_id"),
+        F.when(F.col("o_orderkey") % 71 == 0, -1).otherwise(F.col("o_orderkey") % 9).cast("int").alias("total_qty"),
+        F.col("o_totalprice").alias("total_price"),
     )
 
 
 def cart_items(base) -> DataFrame:
+    # One part in fifty is no longer sold; a cart in forty holds nothing else.
+    gone = (F.col("l_partkey") % 50 == 7) | (F.col("l_orderkey") % 40 == 3)
+    sold = F.when(gone, F.concat(F.lit("X"), _text(F.col("l_partkey")))).otherwise(_text(F.col("l_partkey")))
     return (
-        base["lineitem"].groupBy(F.col("l_orderkey").alias("cart_id"), _text(F.col("l_partkey")).alias("p_id"))
+        base["lineitem"].groupBy(F.col("l_orderkey").alias("cart_id"), sold.alias("p_id"))
         .agg(F.sum("l_quantity").cast("int").alias("qty"))
     )
 
@@ -165,7 +177,7 @@ def buyer(base) -> DataFrame:
 def customer(base) -> DataFrame:
     return base["customer"].select(
         _text(F.col("c_custkey")).alias("c_id"), F.col("c_name").alias("fname"), F.col("c_mktsegment").alias("lname"),
-        F.col("c_name").alias("email"), _text(F.col("c_acctbal")).alias("phone"),
+        F.col("c_name").alias("email"), _text(F.col("c_acctbal")).alias("phone"), F.md5("c_name").alias("pwd"),
     )
 
 
@@ -195,7 +207,7 @@ def shipment(base) -> DataFrame:
 def returns(base) -> DataFrame:
     return base["lineitem"].where(F.col("l_returnflag") == "R").select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("return_id"),
-        _text(F.col("l_partkey")).alias("p_id"), F.col("l_orderkey").alias("order_id"),
+        _text(F.col("l_suppkey") * 40).alias("buyer_id"), _text(F.col("l_partkey")).alias("p_id"), F.col("l_orderkey").alias("order_id"),
     )
 
 
@@ -205,11 +217,73 @@ def wishlist_item(base) -> DataFrame:
     ).distinct()
 
 
+def customer_payment(base) -> DataFrame:
+    c = F.col("c_custkey")
+    return base["customer"].select(
+        (c * 2 + c % 11 % 2).cast("int").alias("payment_id"), _text(c + F.when(c % 97 == 0, 1_000_000).otherwise(0)).alias("c_id"),
+        F.when(c % 50 == 0, "X").otherwise(_text(c % 2)).alias("is_default"),
+    )
+
+
+def customer_shipping(base) -> DataFrame:
+    c = F.col("c_custkey")
+    return base["customer"].select(
+        (c + F.when(c % 89 == 0, 1_000_000).otherwise(0)).cast("int").alias("address_id"), _text(c).alias("c_id"),
+        F.when(c % 60 == 0, None).when(c % 61 == 0, "10").otherwise(_text(c % 2)).alias("is_default"),
+    )
+
+
+def discount(base) -> DataFrame:
+    n = base["nation"]
+    return n.select(
+        F.col("n_nationkey").alias("discount_id"), F.repeat("n_name", F.col("n_regionkey") + 1).alias("discount_name"),
+        F.col("n_name").alias("d_desc"), (F.col("n_regionkey") - 1).cast("double").alias("discount_amt"),
+    )
+
+
+def payment_details(base) -> DataFrame:
+    c = F.col("c_custkey")
+    return base["customer"].select(
+        (c * 2).cast("int").alias("payment_id"), F.when(c % 101 == 0, None).otherwise(c * 1_000_003).alias("card_no"),
+        (c % 1000).cast("smallint").alias("cvv"), F.date_add(F.lit("2026-01-01").cast("date"), (c % 900).cast("int")).alias("expiry_date"),
+        F.concat_ws(", ", "c_mktsegment", "c_name").alias("billing_address"),
+    )
+
+
+def product_images(base) -> DataFrame:
+    k = F.col("p_partkey")
+    known = _text(k + F.when(k % 83 == 0, 1_000_000).otherwise(0)).alias("p_id")
+    return base["part"].select(known, F.concat(F.col("p_name"), F.lit(".jpg")).alias("p_image"))
+
+
+def seller_reviews(base) -> DataFrame:
+    d = F.col("doc_id")
+    sellers = _rows(base["supplier"])
+    return base["documents"].select(_text(d % (sellers + 5)).alias("seller_id"), d.alias("review_id"))
+
+
+def shipping_details(base) -> DataFrame:
+    return base["customer"].select(
+        F.col("c_custkey").cast("int").alias("address_id"), F.col("c_name").alias("street_address"),
+        F.col("c_mktsegment").alias("city"), _text(F.col("c_nationkey")).alias("state"), _text(F.col("c_custkey") * 997).alias("zip"),
+        F.lit("FR").alias("country"), _text(F.col("c_acctbal")).alias("phone"),
+    )
+
+
+def subscription(base) -> DataFrame:
+    day = F.col("o_orderdate").cast("date")
+    return base["orders"].select(
+        F.col("o_orderkey").cast("int").alias("subscription_id"), _text(F.col("o_custkey") + F.col("o_orderkey") % 3).alias("c_id"),
+        day.alias("start_date"), F.when(F.col("o_orderkey") % 45 == 0, None).otherwise(F.date_add(day, 365)).alias("end_date"),
+    )
+
+
 BUILDERS = {
     f.__name__: f
     for f in (
         review, product, category, product_reviews, review_images, orders, cart, cart_items, daily_deals, buyer,
-        customer, seller, seller_products, carrier, shipment, returns, wishlist_item,
+        customer, seller, seller_products, carrier, shipment, returns, wishlist_item, customer_payment,
+        customer_shipping, discount, payment_details, product_images, seller_reviews, shipping_details, subscription,
     )
 }
 

@@ -42,7 +42,7 @@ def extract_tables(
             paths[table] = extract_table(read(table), table, root, fmt=fmt, salt=salt)
         except Exception as exc:  # noqa: BLE001  reported per table
             paths[table] = None
-            error = (str(exc).splitlines() or [type(exc).__name__])[0][:500]
+            error = str(exc) or type(exc).__name__
         status.append((table, paths[table], error))
     return paths, spark.createDataFrame(status, "table_name string, location string, error string")
 

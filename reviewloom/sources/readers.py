@@ -19,7 +19,21 @@ CSV_OPTIONS = {
     "header": "true", "escape": '"', "multiLine": "true",
     "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
 }
-MAX_LEXICON = 50_000
+
+
+def relation_options(
+    url: str, table: str, query: str | None = None, partition_column: str | None = None,
+    bounds: tuple | None = None, partitions: int = 64,
+) -> dict[str, str]:
+    """Options of a JDBC read; in ranges of ``partition_column`` where its bounds are given."""
+    source = f"({query}) AS q" if query else table
+    found = {"url": url, "dbtable": source}
+    if partition_column and bounds:
+        found |= {
+            "partitionColumn": partition_column, "lowerBound": str(bounds[0]), "upperBound": str(bounds[1]),
+            "numPartitions": str(partitions),
+        }
+    return found
 
 
 def read_relation(
@@ -28,22 +42,25 @@ def read_relation(
     table: str,
     query: str | None = None,
     partition_column: str | None = None,
-    bounds: tuple[int, int] | None = None,
+    bounds: tuple | None = None,
     partitions: int = 64,
     **options: str,
 ) -> DataFrame:
-    """A table or query over JDBC, read in parallel ranges of ``partition_column`` if given."""
-    reader = spark.read.format("jdbc").option("url", url).options(**options)
-    if partition_column and bounds:
+    """A table or query over JDBC, read in parallel ranges of ``partition_column``.
+
+    Where bounds aren't given, the database is asked for the smallest and largest value first; rows
+    beyond the bounds and nulls are read all the same.
+    """
+
+    def load(**found: str) -> DataFrame:
+        return spark.read.format("jdbc").options(**found, **options).load()
+
+    if partition_column and bounds is None:
         source = f"({query}) AS q" if query else table
-        return (
-            reader.option("dbtable", source)
-            .option("partitionColumn", partition_column)
-            .option("lowerBound", str(bounds[0])).option("upperBound", str(bounds[1]))
-            .option("numPartitions", str(partitions))
-            .load()
-        )
-    return (reader.option("query", query) if query else reader.option("dbtable", table)).load()
+        ask = f"SELECT min({partition_column}) AS low, max({partition_column}) AS high FROM {source}"
+        row = load(**relation_options(url, table, ask)).head()
+        bounds = None if row["low"] is None else (row["low"], row["high"])
+    return load(**relation_options(url, table, query, partition_column, bounds, partitions))
 
 
 def read_csv(
@@ -75,9 +92,10 @@ def lake_paths(root: str, prefix: str = "raw", tables: tuple[str, ...] = JOIN_TA
     return {t: f"{root}/{prefix}/{t}" for t in tables}
 
 
-def read_lake_table(spark: SparkSession, table: str, path: str, fmt: str = "parquet") -> DataFrame:
+def read_lake_table(spark: SparkSession, table: str, path: str, fmt: str = "parquet", multiline: bool = True) -> DataFrame:
+    """A lake table under its schema. CSV without line ends inside fields (``multiline`` off) is read in splits."""
     if fmt == "csv":
-        return read_csv(spark, path, schema_of(table))
+        return read_csv(spark, path, schema_of(table), multiline=multiline)
     return spark.read.schema(schema_of(table)).format(fmt).load(path)
 
 
@@ -87,7 +105,7 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def load_tables(
-    spark: SparkSession, paths: Mapping[str, str | None], fmt: str = "parquet"
+    spark: SparkSession, paths: Mapping[str, str | None], fmt: str = "parquet", multiline: bool = True
 ) -> tuple[dict[str, DataFrame], DataFrame]:
     """(tables, status). A missing optional table is empty under its schema; a required one raises."""
     tables: dict[str, DataFrame] = {}
@@ -97,9 +115,9 @@ def load_tables(
         try:
             if path is None or not _exists(spark, path):
                 raise FileNotFoundError(f"no files for {name}: {path}")
-            tables[name] = read_lake_table(spark, name, path, fmt)
+            tables[name] = read_lake_table(spark, name, path, fmt, multiline)
         except Exception as exc:  # noqa: BLE001  one bad table must not stop the others
-            error = str(exc).splitlines()[0][:500]
+            error = str(exc) or type(exc).__name__
         status.append((name, None if error else path, error))
     missing = [t for t in REQUIRED_TABLES if t not in tables]
     if missing:
@@ -118,23 +136,32 @@ def read_precomputed_scores(spark: SparkSession, path: str, schema: T.StructType
     return scale_confidence(read_csv(spark, path, schema))
 
 
-def read_lexicon(spark: SparkSession, path: str) -> Lexicon:
-    """Tab-separated word and mean valence (further columns ignored); at most 50,000 words."""
-    rows = (
-        spark.read.csv(path, sep="\t", schema="word string, valence double, rest string", quote="")
-        .where(F.col("valence").isNotNull()).select("word", "valence").limit(MAX_LEXICON + 1).collect()
-    )
-    if len(rows) > MAX_LEXICON:
-        raise ValueError(f"lexicon has more than {MAX_LEXICON} words")
-    return lexicon_from_rows(rows)
+def read_words(spark: SparkSession, path: str) -> list[str]:
+    """One word or phrase a line, e.g. degree or negation words."""
+    return [r["value"].strip() for r in spark.read.text(path).where(F.trim("value") != "").collect()]
+
+
+def read_lexicon(
+    spark: SparkSession, path: str, raising: str | None = None, lowering: str | None = None, negating: str | None = None
+) -> Lexicon:
+    """Lexicon from a tab-separated file of word and mean valence (further columns ignored).
+
+    Degree and negation words come from files of one word a line; those not given stay as they are by default. A
+    lexicon is a dictionary that every Python worker holds, as the published ones of some thousand words are.
+    """
+    rows = spark.read.csv(path, sep="\t", schema="word string, valence double, rest string", quote="")
+    rows = rows.where(F.col("valence").isNotNull()).select("word", "valence").collect()
+    given = {n: read_words(spark, p) for n, p in (("raising", raising), ("lowering", lowering), ("negating", negating)) if p}
+    return lexicon_from_rows(rows, **given)
 
 
 def list_tables(spark: SparkSession, database: str | None = None) -> DataFrame:
     return spark.sql("SHOW TABLES" + (f" IN {database}" if database else ""))
 
 
-def sample_rows(df: DataFrame, n: int = 5, fraction: float = 0.01, seed: int = 0) -> DataFrame:
-    return df.sample(fraction=fraction, seed=seed).limit(n)
+def sample_rows(df: DataFrame, n: int, fraction: float | None = None, seed: int = 0) -> DataFrame:
+    """Some ``n`` rows to look at; of a random sample if a fraction is given."""
+    return (df if fraction is None else df.sample(fraction=fraction, seed=seed)).limit(n)
 
 
 def shape(df: DataFrame) -> DataFrame:

@@ -175,3 +175,46 @@ def test_null_image_sorts_first(spark):
 
     images = spark.createDataFrame([(1, None), (1, "a"), (2, "c"), (2, "b")], schema_of("review_images"))
     assert sorted(tuple(r) for r in first_image(images).collect()) == [(1, None), (2, "b")]
+
+
+def test_jdbc_options():
+    whole = readers.relation_options("jdbc:x", "t")
+    assert whole == {"url": "jdbc:x", "dbtable": "t"}
+    parts = readers.relation_options("jdbc:x", "t", "SELECT 1", "id", (3, 90), 8)
+    assert parts["dbtable"] == "(SELECT 1) AS q"
+    assert [parts[k] for k in ("partitionColumn", "lowerBound", "upperBound", "numPartitions")] == ["id", "3", "90", "8"]
+
+
+def test_errors_are_told_in_full(spark, tables, tmp_path, monkeypatch):
+    paths, _ = extract.extract_tables(spark, tables.__getitem__, str(tmp_path))
+    plain = readers.read_lake_table
+
+    def read(spark, table, *rest):
+        if table == "orders":
+            raise ValueError
+        if table == "category":
+            raise ValueError("first line\n" + "x" * 900)
+        return plain(spark, table, *rest)
+
+    monkeypatch.setattr(readers, "read_lake_table", read)
+    _, status = readers.load_tables(spark, {t: paths[t] for t in readers.JOIN_TABLES})
+    errors = {r["table_name"]: r["error"] for r in status.collect() if r["error"]}
+    assert errors == {"orders": "ValueError", "category": "first line\n" + "x" * 900}
+
+
+def test_modifier_words_from_files(spark, tmp_path):
+    for name, text in (("v", "plouf\t2.0\n"), ("up", "tres\n"), ("no", "pas\n\n")):
+        (tmp_path / name).write_text(text)
+    lexicon = readers.read_lexicon(spark, str(tmp_path / "v"), raising=str(tmp_path / "up"), negating=str(tmp_path / "no"))
+    assert lexicon.raising == {"tres"} and lexicon.negating == {"pas"} and "barely" in lexicon.lowering
+
+
+def test_staging_is_deleted(spark, tables, tmp_path):
+    target = [str(tmp_path / n) for n in ("reviews", "rejected", "runs")]
+    jobs.process_tables(tables, *target, staging=str(tmp_path / "staged"))
+    assert not (tmp_path / "staged").exists() and (tmp_path / "reviews").exists()
+
+
+def test_splittable_csv(spark, tables, tmp_path):
+    path = writers.write_lake(tables["category"], str(tmp_path / "c"), "csv")
+    assert readers.read_lake_table(spark, "category", path, "csv", multiline=False).count() == tables["category"].count()
