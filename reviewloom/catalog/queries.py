@@ -6,17 +6,21 @@ rounded on both sides and nullable integers are given as text.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import PIPELINE_VERSION
 from ..functions import scalar, scoring, sentiment
 from ..operators import classify, clean, distribution, joins, kpi, quality, serve, shop, skew
 from ..plans import jobs
 from ..plans.warehouse import INGESTED_AT, Warehouse, warehouse
-from ..session import scratch_path, spread_scan
+from ..schemas import COLUMNS, REVIEW_RELEVANT_COLUMNS, schema_of
+from ..session import scratch_path
 from ..sources import extract, readers, writers
 from ..sources.driver_tables import CORPUS_KEYWORDS, CORPUS_LEXICON, DEAL_DAY
 from .views import KEEP_ORDER, keyword_counts, sentiment_views, with_views
@@ -89,17 +93,19 @@ def _(w):
     return joins.orders_per_buyer(w.sources["orders"])
 
 
-_TOP = """SELECT p.p_id, p.p_name, p.price, c.name AS category, count(pr.review_id) AS nb_reviews, round(avg(r.rating), 2) AS avg_rating
-    FROM f_product p JOIN f_product_reviews pr ON p.p_id = pr.p_id JOIN f_review r ON pr.review_id = r.review_id
-    LEFT JOIN f_category c ON p.category_id = c.category_id GROUP BY p.p_id, p.p_name, p.price, c.name
-    HAVING count(pr.review_id) >= 15 ORDER BY nb_reviews DESC, p.p_id LIMIT 20"""
-_SAMPLE = """SELECT DISTINCT r.review_id, r.buyer_id, r.title, r.r_desc AS description, r.rating, length(r.r_desc) AS text_length,
-    CASE WHEN ri.review_id IS NOT NULL THEN 1 ELSE 0 END AS has_image,
-    CASE WHEN EXISTS (SELECT 1 FROM f_orders o WHERE o.buyer_id = r.buyer_id) THEN 1 ELSE 0 END AS has_orders,
-    p.p_id, p.p_name AS product_name, c.name AS category
-    FROM f_review r JOIN f_product_reviews pr ON r.review_id = pr.review_id JOIN f_product p ON pr.p_id = p.p_id
-    LEFT JOIN f_category c ON p.category_id = c.category_id LEFT JOIN f_review_images ri ON r.review_id = ri.review_id
-    WHERE pr.p_id IN (SELECT p_id FROM f_top ORDER BY nb_reviews DESC, p_id LIMIT 10)"""
+# Links and ratings are counted apart; names and categories are looked up for the twenty that remain.
+_TOP = """SELECT p_id, goods.p_name, goods.price, kind.name AS category, nb_reviews, avg_rating FROM (
+        SELECT links.p_id, CAST(sum(told.n) AS BIGINT) AS nb_reviews, round(sum(told.stars) / sum(told.rated), 2) AS avg_rating
+        FROM f_product_reviews links
+        JOIN (SELECT review_id, count(*) AS n, sum(rating) AS stars, count(rating) AS rated FROM f_review GROUP BY review_id) told USING (review_id)
+        WHERE links.p_id IN (SELECT p_id FROM f_product) GROUP BY links.p_id HAVING sum(told.n) >= 15) most
+    JOIN f_product goods USING (p_id) LEFT JOIN f_category kind USING (category_id)
+    QUALIFY row_number() OVER (ORDER BY nb_reviews DESC, p_id) <= 20"""
+_SAMPLE = """SELECT DISTINCT review_id, told.buyer_id, told.title, told.r_desc AS description, told.rating, length(told.r_desc) AS text_length,
+        CAST(review_id IN (SELECT review_id FROM f_review_images) AS INT) AS has_image,
+        CAST(coalesce(told.buyer_id IN (SELECT buyer_id FROM f_orders), false) AS INT) AS has_orders, p_id, best.p_name AS product_name, best.category
+    FROM (SELECT *, row_number() OVER (ORDER BY nb_reviews DESC, p_id) AS place FROM f_top) best
+    JOIN f_product_reviews USING (p_id) JOIN f_review told USING (review_id) WHERE place <= 10"""
 _SAMPLE_VIEWS = {"f_top": _TOP, "f_sample": _SAMPLE}
 
 
@@ -125,7 +131,8 @@ def _(w):
 )
 def _(w):
     sample = joins.review_sample(w.sources)
-    marked = skew.mark_first(sample, "review_id", clean.keep_order(sample.columns))
+    known = skew.find_hot(w.sources["review"], "review_id")
+    marked = skew.mark_first(sample, "review_id", clean.keep_order(sample.columns), hot=known)
     return marked.where("is_first").select("review_id", "p_id", "title")
 
 
@@ -169,7 +176,7 @@ def _(w):
     WHEN buyer_id IS NULL THEN 'missing_buyer_id' END AS rejection_reason FROM f_ranked""",
 )
 def _(w):
-    flagged = clean.flag_rejects(joins.join_reviews(w.sources), clean.LIGHT_RULES)
+    flagged = clean.join_and_flag(w.sources, rules=clean.LIGHT_RULES)
     return _texts(flagged, "review_id").select("review_id", "p_id", "rejection_reason")
 
 
@@ -188,13 +195,16 @@ def _(w):
 
 
 # --- source quality ------------------------------------------------------------------
-_MOTIVES = """f_motives AS (SELECT count(*) AS total_reviews,
-    (SELECT count(*) FROM (SELECT review_id FROM f_review GROUP BY review_id HAVING count(*) > 1) q) AS duplicates,
-    count(*) FILTER (rating IS NULL) AS null_ratings, count(*) FILTER (rating < 1 OR rating > 5) AS invalid_ratings,
-    count(*) FILTER (buyer_id IS NULL) AS null_buyers, count(*) FILTER (r_desc IS NULL OR trim(r_desc) = '') AS empty_descriptions,
-    (SELECT count(DISTINCT review_id) FROM f_review WHERE review_id IN (SELECT review_id FROM f_review GROUP BY review_id HAVING count(*) > 1)
-      OR rating IS NULL OR rating < 1 OR rating > 5 OR buyer_id IS NULL OR r_desc IS NULL OR trim(r_desc) = '') AS rejected_reviews FROM f_review)"""
-_MOTIVES_VIEW = {"f_motives": _MOTIVES.removeprefix("f_motives AS (")[:-1]}
+# One row per review id with its number of copies and of rows with each problem; then sums over the ids.
+_MOTIVES_VIEW = {
+    "f_told": """SELECT review_id, count(*) AS copies, sum(CAST(rating IS NULL AS INT)) AS no_stars,
+        sum(CAST(coalesce(rating NOT BETWEEN 1 AND 5, false) AS INT)) AS odd_stars, sum(CAST(buyer_id IS NULL AS INT)) AS no_buyer,
+        sum(CAST(coalesce(trim(r_desc), '') = '' AS INT)) AS no_text FROM f_review GROUP BY review_id""",
+    "f_motives": """SELECT CAST(sum(copies) AS BIGINT) AS total_reviews, count(*) FILTER (copies > 1) AS duplicates,
+        CAST(sum(no_stars) AS BIGINT) AS null_ratings, CAST(sum(odd_stars) AS BIGINT) AS invalid_ratings,
+        CAST(sum(no_buyer) AS BIGINT) AS null_buyers, CAST(sum(no_text) AS BIGINT) AS empty_descriptions,
+        count(*) FILTER (review_id IS NOT NULL AND (copies > 1 OR no_stars + odd_stars + no_buyer + no_text > 0)) AS rejected_reviews FROM f_told""",
+}
 
 
 @query(
@@ -334,26 +344,10 @@ def _fk_sql() -> str:
 
 
 def _given() -> dict[str, tuple[str, ...]]:
-    """Columns of the derived source tables."""
-    return {
-        "review": ("review_id", "buyer_id", "r_desc", "title", "rating", "seller_product_flag"),
-        "product": ("p_id", "p_name", "p_desc", "price", "qty", "category_id"),
-        "category": ("category_id", "name"),
-        "product_reviews": ("p_id", "review_id"),
-        "review_images": ("review_id", "review_img"),
-        "orders": ("order_id", "buyer_id", "order_date"),
-        "cart": ("cart_id", "buyer_id"),
-        "cart_items": ("cart_id", "p_id", "qty"),
-        "daily_deals": ("p_id", "deal_date", "discount"),
-        "buyer": ("buyer_id",),
-        "customer": ("c_id", "fname", "lname", "email", "phone"),
-        "seller": ("seller_id", "seller_type"),
-        "seller_products": ("seller_id", "p_id"),
-        "carrier": ("carrier_id", "carrier_name"),
-        "shipment": ("shipping_id", "order_id", "p_id", "carrier_id", "shipment_type", "status", "est_delivery_date"),
-        "returns": ("return_id", "p_id", "order_id"),
-        "wishlist_item": ("product_id", "buyer_id"),
-    }
+    """Columns of the derived source tables: all those declared but one, which nothing here holds."""
+    left_out = {"shipment": ("actual_delivery_date",)}
+    names = {t: [c.split()[0] for c in text.split(",")] for t, text in COLUMNS.items()}
+    return {t: tuple(c for c in columns if c not in left_out.get(t, ())) for t, columns in names.items()}
 
 
 @query("fk_orphans", _fk_sql())
@@ -500,13 +494,17 @@ def _(w):
 
 @query("sentiment", "SELECT doc_id, compound FROM f_doc_sentiment", sentiment_views("f_doc_sentiment", "documents", "doc_id", "text"))
 def _(w):
-    docs = spread_scan(w.base["documents"].select("doc_id", "text"), "doc_id")
+    docs = w.base["documents"].select("doc_id", "text")
     return docs.select("doc_id", sentiment.compound("text", CORPUS_LEXICON).alias("compound"))
 
 
-@query("sentiment_default_lexicon")
+@query(
+    "sentiment_default_lexicon",
+    "SELECT doc_id, compound FROM f_doc_sentiment",
+    sentiment_views("f_doc_sentiment", "documents", "doc_id", "text", sentiment.DEFAULT_LEXICON),
+)
 def _(w):
-    docs = spread_scan(w.base["documents"].select("doc_id", "text"), "doc_id")
+    docs = w.base["documents"].select("doc_id", "text")
     return docs.select("doc_id", sentiment.compound("text").alias("compound"))
 
 
@@ -543,7 +541,8 @@ def _(w):
 
 _RELEVANT_SQL = """SELECT review_id, buyer_id, p_id, product_name, category, title, description, rating, text_length, has_image, has_orders,
     round(text_length_score, 6) AS text_length_score, is_extreme_rating, round(keyword_score, 6) AS keyword_score, round(relevance_score, 6) AS relevance_score,
-    category_review, confidence_score, review_img, relevant_status FROM f_scored"""
+    category_review, confidence_score, review_img, CASE WHEN confidence_score >= 78.3 AND relevance_score >= 58.8 THEN 'RELEVANT' ELSE 'IRRELEVANT' END AS relevant_status
+    FROM f_scored"""
 
 
 @query("relevant_status", _RELEVANT_SQL)
@@ -575,33 +574,11 @@ _TOPIC_CASE = " ".join(f"WHEN h{i + 1} = best THEN '{t}'" for i, t in enumerate(
     {", ".join(f"{h} AS h{i + 1}" for i, h in enumerate(_HITS))} FROM documents) a) b""",
 )
 def _(w):
-    docs = spread_scan(w.base["documents"].select("doc_id", "text"), "doc_id")
+    docs = w.base["documents"].select("doc_id", "text")
     found = classify.classify_by_keywords(docs, "text", CORPUS_KEYWORDS)
     return _rounded(found, confidence_score=6).drop("text")
 
 
-def _load_length_scorer():
-    """Stand-in for a model: topic by text length, to exercise the batch path."""
-
-    def score(texts, topics):
-        return [(topics[len(t) % len(topics)], 1.0 / (1 + len(t) % 7)) for t in texts]
-
-    return score
-
-
-@query(
-    "classify_model",
-    r"""SELECT doc_id, CASE WHEN blank THEN NULL ELSE CASE length(text) % 4 WHEN 0 THEN 'product quality or satisfaction'
-    WHEN 1 THEN 'product defect or damaged item' WHEN 2 THEN 'delivery issue or shipping delay' ELSE 'customer service or support' END END AS category_review,
-    round(CASE WHEN blank THEN 0.0E0 ELSE 1.0E0 / (1 + length(text) % 7) END, 6) AS confidence_score
-    FROM (SELECT *, text IS NULL OR regexp_full_match(text, '[\s\p{Z}]*') AS blank FROM documents) q""",
-)
-def _(w):
-    docs = spread_scan(w.base["documents"].select("doc_id", "text"), "doc_id")
-    found = classify.classify_with_model(docs, _load_length_scorer, "text")
-    return _rounded(found, confidence_score=6).drop("text")
-
-
 def _sweep_sql() -> str:
     parts = [
         f"""SELECT '{n}' AS strategy, round(tc, 6) AS confidence_threshold, round(tr, 6) AS relevance_threshold,
@@ -638,13 +615,17 @@ def _histogram_sql(column: str, bins: int) -> str:
         ON least(floor((v - lo) / w), {bins - 1}) = b.bin GROUP BY b.bin, lo, w"""
 
 
+# Nearly all values of this column lie within a billionth of its range.
+_FAR = "CASE WHEN review_id % 200 = 1 THEN 1e12 * rating ELSE relevance_score END"
+
+
 @query(
-    "score_quantiles_by_range",
-    " UNION ALL ".join(f"SELECT {p}E0 AS p, round(quantile_cont(relevance_score, {p}), 6) AS value FROM f_scored" for p in _PROBABILITIES),
+    "outlier_quantiles",
+    " UNION ALL ".join(f"SELECT {p}E0 AS p, round(quantile_cont(x, {p}), 6) AS value FROM (SELECT {_FAR} AS x FROM f_scored) q" for p in _PROBABILITIES),
 )
 def _(w):
-    # The way taken for a column of very many distinct values.
-    return _rounded(distribution.exact_quantiles(w.review_relevant, "relevance_score", _PROBABILITIES, small=0), value=6)
+    far = w.review_relevant.select(F.expr(_FAR).alias("x"))
+    return _rounded(distribution.exact_quantiles(far, "x", _PROBABILITIES), value=6)
 
 
 @query("histogram", _histogram_sql("relevance_score", 50))
@@ -835,7 +816,7 @@ def _(w):
 
 @query("image_list", f"SELECT review_id, {_IMAGES_SQL} AS images FROM (SELECT review_id, string_agg(review_img, ' , ' ORDER BY review_img) AS review_img FROM f_review_images GROUP BY review_id) q")
 def _(w):
-    lists = joins.collect_parts(w.sources["review_images"], "review_id", F.col("review_img"), "l", "part", joins.LIST_ROWS)
+    lists = joins.collect_parts(w.sources["review_images"], "review_id", F.col("review_img"), "l", "part")
     text = lists.select("review_id", F.array_join("l", " , ").alias("review_img"))
     return text.select("review_id", F.array_join(scalar.image_list("review_img"), "|").alias("images"))
 
@@ -866,6 +847,48 @@ def _(w):
     return found.select("order_id", F.col("order_date").cast("string").alias("order_date"))
 
 
+@query("lookup_customer", "SELECT c_id, fname, email FROM f_customer WHERE email = 'Customer#000000013'")
+def _(w):
+    return serve.lookup(w.sources["customer"], email="Customer#000000013").select("c_id", "fname", "email")
+
+
+@query("lookup_order", "SELECT order_id, buyer_id, CAST(order_date AS VARCHAR) AS order_date FROM f_orders WHERE order_id = 77")
+def _(w):
+    found = serve.lookup(w.sources["orders"], order_id=77)
+    return _texts(found.select("order_id", "buyer_id", "order_date"), "order_date")
+
+
+@query("lookup_product_images", "SELECT p_id, p_image FROM f_product_images WHERE p_id = '11'")
+def _(w):
+    return serve.images_of_product(w.sources["product_images"], "11")
+
+
+@query(
+    "best_reviews_of_products",
+    f"""SELECT p_id, review_id, rank FROM (SELECT p_id, review_id, row_number() OVER (PARTITION BY p_id ORDER BY relevance_score DESC NULLS LAST, review_id) AS rank
+    FROM f_scored WHERE {_REL} AND p_id IN (SELECT p_id FROM f_product WHERE p_desc LIKE 'STANDARD%')) q WHERE rank <= 10""",
+)
+def _(w):
+    wanted = w.sources["product"].where(F.col("p_desc").startswith("STANDARD"))
+    return serve.best_reviews_per_product(w.review_relevant, products=wanted).select("p_id", "review_id", "rank")
+
+
+_BUYER_OF_11 = f"(SELECT min(buyer_id) FROM f_scored WHERE p_id = '11' AND {_REL})"
+
+
+@query(
+    "buyer_product_images",
+    f"""SELECT s.review_id, s.confidence_score, coalesce(i.images, '') AS images FROM f_scored s
+    LEFT JOIN (SELECT review_id, string_agg(review_img, '|' ORDER BY review_img) AS images FROM f_review_images GROUP BY review_id) i USING (review_id)
+    WHERE {_REL} AND p_id = '11' AND buyer_id = {_BUYER_OF_11}""",
+)
+def _(w):
+    scored = w.review_relevant
+    buyer = scored.where((F.col("p_id") == "11") & (F.col("relevant_status") == "RELEVANT")).agg(F.min("buyer_id").alias("b")).first()["b"]
+    found = serve.buyer_reviews_with_images(scored, w.sources["review_images"], buyer, "11")
+    return found.select("review_id", "confidence_score", F.array_join("images", "|").alias("images"))
+
+
 @query(
     "product_labels",
     "SELECT p.p_id, p.p_name || ' (' || coalesce(c.name, 'N/A') || ')' AS label FROM f_product p LEFT JOIN f_category c ON p.category_id = c.category_id",
@@ -888,15 +911,24 @@ def _(w):
 # --- shop ---------------------------------------------------------------------------------
 @query(
     "cart_totals",
-    "SELECT i.cart_id, CAST(sum(i.qty) AS BIGINT) AS total_qty, round(sum(p.price * i.qty), 4) AS total_price FROM f_cart_items i JOIN f_product p ON i.p_id = p.p_id GROUP BY i.cart_id",
+    """SELECT cart_id, CAST(coalesce(sum(qty) FILTER (known), 0) AS BIGINT) AS total_qty, round(coalesce(sum(price * qty), 0), 4) AS total_price,
+    count(*) FILTER (NOT known) AS rejected_lines FROM f_lines GROUP BY cart_id""",
 )
 def _(w):
     return _rounded(shop.cart_totals(w.sources["cart_items"], w.sources["product"]), total_price=4)
 
 
+_UNKNOWN = "SELECT cart_id, p_id, qty, 'Product does not exist' AS error_details FROM f_lines WHERE NOT known"
+
+
+@query("cart_rejected_lines", _UNKNOWN)
+def _(w):
+    return shop.rejected_lines(w.sources["cart_items"], w.sources["product"])
+
+
 _DEALS = """SELECT cart_id, round(gross, 4) AS total_before, round(cut, 4) AS discount_total, round(greatest(20000, gross - cut), 4) AS total_after FROM (
-    SELECT i.cart_id, sum(p.price * i.qty) AS gross, sum(p.price * i.qty * coalesce(d.discount, 0) / 100) AS cut
-    FROM f_cart_items i JOIN f_product p ON i.p_id = p.p_id LEFT JOIN f_daily_deals d ON d.p_id = i.p_id AND d.deal_date = DATE '2024-01-15' GROUP BY i.cart_id) q"""
+    SELECT cart_id, coalesce(sum(price * qty), 0) AS gross, coalesce(sum(price * qty * coalesce(discount, 0) / 100), 0) AS cut
+    FROM f_lines LEFT JOIN (SELECT p_id, discount FROM f_daily_deals WHERE deal_date = DATE '2024-01-15') cheap USING (p_id) GROUP BY cart_id) q"""
 
 
 def _deal_totals(w, **options):
@@ -938,7 +970,7 @@ def _checkout(w) -> shop.Checkout:
 
 @query(
     "checkout_items",
-    "SELECT i.cart_id + 1000000 AS order_id, i.p_id, i.qty, p.price AS price_at_purchase FROM f_cart_items i JOIN f_product p ON i.p_id = p.p_id",
+    "SELECT cart_id + 1000000 AS order_id, p_id, qty, price AS price_at_purchase FROM f_lines WHERE known",
 )
 def _(w):
     return _checkout(w).order_items
@@ -946,22 +978,30 @@ def _(w):
 
 @query(
     "checkout_shipments",
-    f"SELECT cart_id + 1000000 AS order_id, p_id, 'NP' AS shipment_type, 'processing' AS status, CAST(DATE '{DEAL_DAY}' + 7 AS VARCHAR) AS est_delivery_date FROM f_cart_items",
+    f"""SELECT (cart_id + 1000000) || '-' || p_id AS shipping_id, cart_id + 1000000 AS order_id, p_id, 'NP' AS shipment_type, 'processing' AS status,
+    CAST(DATE '{DEAL_DAY}' + 7 AS VARCHAR) AS est_delivery_date FROM f_lines WHERE known""",
 )
 def _(w):
-    sent = _checkout(w).shipments
-    return sent.select("order_id", "p_id", "shipment_type", "status", F.col("est_delivery_date").cast("string").alias("est_delivery_date"))
+    sent = _checkout(w).shipments.drop("carrier_id", "actual_delivery_date")
+    return _texts(sent, "est_delivery_date")
+
+
+@query("checkout_rejected_lines", _UNKNOWN)
+def _(w):
+    return _checkout(w).rejected_lines
 
 
-_FILLED = "(SELECT cart_id FROM f_cart_items GROUP BY cart_id HAVING sum(qty) > 0)"
+_FILLED = "(SELECT cart_id FROM f_lines WHERE known GROUP BY cart_id HAVING sum(qty) > 0)"
 
 
 @query(
     "checkout_payments",
-    f"SELECT cart_id + 1000000 AS order_id, 'card' AS method, 'completed' AS status FROM f_cart WHERE cart_id IN {_FILLED}",
+    f"""SELECT substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-' || substr(h, 13, 4) || '-' || substr(h, 17, 4) || '-' || substr(h, 21) AS payment_id,
+    order_id, 'card' AS method, 'completed' AS status FROM (
+    SELECT cart_id + 1000000 AS order_id, md5('payment-' || (cart_id + 1000000)) AS h FROM f_cart WHERE cart_id IN {_FILLED}) q""",
 )
 def _(w):
-    return _checkout(w).payments.select("order_id", "method", "status")
+    return _checkout(w).payments.drop("created_at")
 
 
 @query(
@@ -972,33 +1012,29 @@ def _(w):
     return _checkout(w).carts
 
 
-@query("checkout_rejected", f"SELECT cart_id, buyer_id FROM f_cart WHERE cart_id NOT IN {_FILLED}")
+@query(
+    "checkout_rejected",
+    f"""SELECT cart_id, buyer_id, CASE WHEN cart_id IN (SELECT cart_id FROM f_cart_items) THEN 'Cart has nothing to order'
+    ELSE 'Cart is empty or does not exist' END AS error_details FROM f_cart WHERE cart_id NOT IN {_FILLED}""",
+)
 def _(w):
-    return _checkout(w).rejected.select("cart_id", "buyer_id")
+    return _checkout(w).rejected
 
 
 @query(
     "cart_documents",
-    """SELECT c.cart_id, c.buyer_id, 0 AS part, coalesce(i.items, '') AS items FROM f_cart c LEFT JOIN (
-    SELECT cart_id, string_agg(p_id || ':' || qty, '|' ORDER BY p_id, qty) AS items FROM f_cart_items GROUP BY cart_id) i ON c.cart_id = i.cart_id""",
+    """SELECT cart_id, buyer_id, total_qty, round(total_price, 4) AS total_price, 0 AS part, coalesce(i.items, '') AS items FROM f_cart LEFT JOIN (
+    SELECT cart_id, string_agg(p_id || ':' || qty, '|' ORDER BY p_id, qty) AS items FROM f_cart_items GROUP BY cart_id) i USING (cart_id)""",
 )
 def _(w):
     nested = shop.cart_documents(w.sources["cart"], w.sources["cart_items"])
     items = F.transform("items", lambda i: F.concat(i["p_id"], F.lit(":"), i["qty"].cast("string")))
-    return nested.select("cart_id", "buyer_id", "part", F.array_join(items, "|").alias("items"))
+    return _rounded(nested.withColumn("items", F.array_join(items, "|")), total_price=4)
 
 
-@query(
-    "order_documents",
-    f"""SELECT c.cart_id + 1000000 AS order_id, c.buyer_id, 0 AS part, i.items, i.sent AS shipments, 'card' AS method FROM f_cart c JOIN (
-    SELECT cart_id, string_agg(p_id || ':' || qty, '|' ORDER BY p_id, qty) AS items, string_agg(p_id, '|' ORDER BY p_id) AS sent
-    FROM f_cart_items GROUP BY cart_id HAVING sum(qty) > 0) i ON c.cart_id = i.cart_id""",
-)
-def _(w):
+def _order_documents(w, **options) -> DataFrame:
     done = _checkout(w)
-    # Orders have as many lines as their carts, so the stored cart lines tell which are vast.
-    vast = skew.find_hot(w.sources["cart_items"].select(F.col("cart_id").alias("order_id")), "order_id", joins.LIST_ROWS)
-    nested = shop.order_documents(done.orders, done.order_items, done.payments, done.shipments, hot=vast)
+    nested = shop.order_documents(done.orders, done.order_items, done.payments, done.shipments, **options)
     items = F.transform("items", lambda i: F.concat(i["p_id"], F.lit(":"), i["qty"].cast("string")))
     sent = F.transform("shipments", lambda s: s["p_id"])
     return nested.select(
@@ -1007,6 +1043,38 @@ def _(w):
     )
 
 
+_ORDER_DOCUMENTS = f"""SELECT c.cart_id + 1000000 AS order_id, c.buyer_id, i.items, i.sent AS shipments, 'card' AS method FROM f_cart c JOIN (
+    SELECT cart_id, string_agg(p_id || ':' || qty, '|' ORDER BY p_id, qty) AS items, string_agg(p_id, '|' ORDER BY p_id) AS sent
+    FROM f_lines WHERE known GROUP BY cart_id) i ON c.cart_id = i.cart_id"""
+
+
+@query("order_documents", f"SELECT *, 0 AS part FROM ({_ORDER_DOCUMENTS}) d")
+def _(w):
+    return _order_documents(w)
+
+
+@query("order_document_parts", _ORDER_DOCUMENTS.replace("ORDER BY p_id, qty", "ORDER BY p_id || ':' || qty"))
+def _(w):
+    # Orders in parts of about two lines, put together again: no item is torn from its shipment, none is lost.
+    parts = _order_documents(w, part_rows=2)
+    torn = F.transform(F.split("items", r"\|"), lambda x: F.split(x, ":")[0]) != F.split("shipments", r"\|")
+    whole = parts.withColumn("shipments", F.when(torn, "torn").otherwise(F.col("shipments")))
+    together = lambda c: F.array_join(F.array_sort(F.flatten(F.collect_list(F.split(c, r"\|")))), "|").alias(c)
+    return whole.groupBy("order_id", "buyer_id", "method").agg(together("items"), together("shipments"))
+
+
+@query(
+    "image_parts",
+    """SELECT review_id, string_agg(review_img, '|' ORDER BY review_img) AS images, CAST(count(*) AS BIGINT) AS n FROM f_review_images
+    WHERE review_img IS NOT NULL GROUP BY review_id""",
+)
+def _(w):
+    lists = joins.collect_parts(w.sources["review_images"], "review_id", F.col("review_img"), "l", "part", 1)
+    return lists.groupBy("review_id").agg(
+        F.array_join(F.array_sort(F.flatten(F.collect_list("l"))), "|").alias("images"), F.sum(F.size("l")).alias("n")
+    )
+
+
 # --- lake and jobs ---------------------------------------------------------------------------
 @query("csv_lake", "SELECT CAST(review_id AS VARCHAR) AS review_id, buyer_id, CASE WHEN r_desc = '   ' THEN '   ' ELSE r_desc END AS r_desc, title, CAST(rating AS VARCHAR) AS rating FROM f_review")
 def _(w):
@@ -1027,17 +1095,6 @@ def _(w):
     return quality.reconcile({t: (w.sources[t], w.spark.read.parquet(p)) for t, p in paths.items()})
 
 
-@query("extract_failures", "SELECT 1 AS failed, 8 AS total, 'carrier' AS names")
-def _(w):
-    def read(table: str) -> DataFrame:
-        if table == "carrier":
-            raise ConnectionError("source table not reachable")
-        return w.sources[table]
-
-    _paths, status = extract.extract_tables(w.spark, read, scratch_path(w.spark, "lake"))
-    return quality.failed_tables(status)
-
-
 @query(
     "run_statistics",
     """SELECT count(*) AS total_records_processed, count(*) FILTER (rejection_reason IS NULL) AS clean_records,
@@ -1079,3 +1136,128 @@ def _(w):
 @query("table_shape", "SELECT count(*) AS n_rows, 19 AS n_columns FROM f_scored")
 def _(w):
     return readers.shape(w.review_relevant)
+
+
+# --- sources and sinks, written and read back ------------------------------------------------
+@query("rejected_times", f"SELECT CAST(review_id AS VARCHAR) AS review_id, rejection_reason, '{INGESTED_AT}' AS rejected_at FROM f_flagged WHERE rejection_reason IS NOT NULL")
+def _(w):
+    return _texts(w.rejected.select("review_id", "rejection_reason", "rejected_at"), "review_id")
+
+
+_STORED = f"""SELECT review_id, buyer_id, p_id, product_name, category, title, description, rating, text_length, has_image = 1 AS has_image,
+    has_orders = 1 AS has_orders, review_img, '{INGESTED_AT}' AS ingestion_timestamp, '{PIPELINE_VERSION}' AS pipeline_version FROM f_clean"""
+
+
+@query("stored_reviews", _STORED)
+def _(w):
+    path = scratch_path(w.spark, "stored")
+    writers.save_reviews(w.clean, path, F.lit(INGESTED_AT))
+    return _texts(w.spark.read.parquet(path), "ingestion_timestamp")
+
+
+@query(
+    "stored_rejects",
+    """SELECT CAST(review_id AS VARCHAR) AS review_id, rejection_reason, 'run' AS run_id, p_id, buyer_id, CAST(rating AS VARCHAR) AS rating
+    FROM f_flagged WHERE rejection_reason IS NOT NULL""",
+)
+def _(w):
+    path = scratch_path(w.spark, "rejects")
+    writers.save_rejected(w.rejected, path, "run")
+    row = "review_id bigint, run_id string, rejection_reason string, original_data struct<p_id: string, buyer_id: string, rating: int>"
+    back = w.spark.read.schema(row).json(path)
+    return _texts(back.select("review_id", "rejection_reason", "run_id", "original_data.*"), "review_id", "rating")
+
+
+@query("saved_review_relevant", "SELECT review_id, p_id, rating, has_image = 1 AS has_image, round(relevance_score, 6) AS relevance_score, confidence_score, relevant_status FROM f_scored")
+def _(w):
+    path = scratch_path(w.spark, "relevant")
+    writers.save_review_relevant(w.review_relevant, path)
+    saved = w.spark.read.parquet(path)
+    return _rounded(saved, relevance_score=6).select("review_id", "p_id", "rating", "has_image", "relevance_score", "confidence_score", "relevant_status")
+
+
+@query("scoring_input", "SELECT review_id, buyer_id, p_id, product_name, category, title, description, rating, text_length, has_image = 1 AS has_image, has_orders = 1 AS has_orders, review_img FROM f_clean")
+def _(w):
+    w.reviews.createOrReplaceTempView("reviews_to_score")
+    return readers.read_for_scoring(w.spark, "reviews_to_score")
+
+
+@query("precomputed_scores", "SELECT review_id, category_review, round(confidence_score, 6) AS confidence_score FROM f_review_class")
+def _(w):
+    path = scratch_path(w.spark, "scores")
+    share = w.classes.withColumn("confidence_score", F.col("confidence_score") / 100)
+    writers.write_lake(share.select("review_id", "category_review", "confidence_score"), path, "csv")
+    back = readers.read_precomputed_scores(w.spark, path, share.select("review_id", "category_review", "confidence_score").schema)
+    return _rounded(back, confidence_score=6)
+
+
+@query("indexed_csv", "SELECT p_id, p_name, price FROM f_product")
+def _(w):
+    path = scratch_path(w.spark, "indexed")
+    plain = w.sources["product"].select("p_id", "p_name", "price")
+    writers.write_lake(plain.select(F.monotonically_increasing_id().alias("_c0"), "*"), path, "csv")
+    return readers.read_indexed_csv(w.spark, path, plain.schema)
+
+
+@query("stage_nulls", "SELECT CAST(review_id AS VARCHAR) AS review_id, CASE WHEN review_id % 5 IN (0, 1) THEN NULL ELSE title END AS title, CAST(rating AS VARCHAR) AS rating FROM f_review")
+def _(w):
+    path = scratch_path(w.spark, "stage")
+    review = w.sources["review"].select("review_id", "title", "rating")
+    spelled = F.when(F.col("review_id") % 5 == 0, "NULL").when(F.col("review_id") % 5 == 1, "null").otherwise(F.col("title"))
+    writers.write_lake(review.withColumn("title", spelled), path, "csv")
+    return _texts(readers.read_stage_csv(w.spark, path, review.schema), "review_id", "rating")
+
+
+@query(
+    "load_without_images",
+    """SELECT 'review_images' AS table_name, false AS loaded, CAST(0 AS BIGINT) AS n_rows UNION ALL SELECT 'product', true, count(*) FROM f_product
+    UNION ALL SELECT 'category', true, count(*) FROM f_category UNION ALL SELECT 'review', true, count(*) FROM f_review
+    UNION ALL SELECT 'product_reviews', true, count(*) FROM f_product_reviews UNION ALL SELECT 'orders', true, count(*) FROM f_orders""",
+)
+def _(w):
+    root = scratch_path(w.spark, "lake")
+    paths = readers.lake_paths(root)
+    for table, path in paths.items():
+        if table != "review_images":  # optional: its place stays empty
+            writers.write_lake(_declared(w, table), path)
+    tables, status = readers.load_tables(w.spark, paths)
+    counts = reduce(DataFrame.unionAll, [df.agg(F.lit(t).alias("table_name"), scalar.n_rows().alias("n_rows")) for t, df in tables.items()])
+    return status.select("table_name", F.col("error").isNull().alias("loaded")).join(counts, "table_name")
+
+
+def _declared(w, table: str) -> DataFrame:
+    """A source table with all its declared columns, in order."""
+    df = w.sources[table]
+    return df.select(*[(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema_of(table)])
+
+
+def _bulk_load(w) -> str:
+    database = f"bulk_{uuid.uuid4().hex[:12]}"
+    w.spark.sql(f"CREATE DATABASE {database}")
+    root = scratch_path(w.spark, "bulk")
+    files = {t: writers.write_lake(_declared(w, t), f"{root}/{t}", "csv") for t in COLUMNS}
+    extract.bulk_load(w.spark, files, database)
+    return database
+
+
+@query("bulk_load", " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS n_rows FROM f_{t}" for t in COLUMNS))
+def _(w):
+    database = _bulk_load(w)
+    listed = [r["tableName"] for r in readers.list_tables(w.spark, database).where("NOT isTemporary").collect()]
+    return reduce(DataFrame.unionAll, [readers.shape(w.spark.table(f"{database}.{t}")).select(F.lit(t).alias("table_name"), "n_rows") for t in listed])
+
+
+@query("lower_case_names", "SELECT review_id, p_id, rating FROM f_clean")
+def _(w):
+    loud = w.reviews.toDF(*[c.upper() for c in w.reviews.columns])
+    return serve.lower_names(loud).select("review_id", "p_id", "rating")
+
+
+@query(
+    "columns_to_add",
+    """SELECT unnest(['text_length_score', 'is_extreme_rating', 'keyword_score', 'relevance_score', 'category_review', 'confidence_score',
+    'relevant_status']) AS name, count(*) AS n_rows FROM f_clean""",
+)
+def _(w):
+    missing = serve.missing_columns(w.reviews, list(REVIEW_RELEVANT_COLUMNS))
+    return w.reviews.agg(scalar.n_rows().alias("n_rows")).select(F.explode(F.array(*map(F.lit, missing))).alias("name"), "n_rows")
