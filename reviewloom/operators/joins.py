@@ -44,9 +44,10 @@ def product_links(tables: Mapping[str, DataFrame], hot: HotKeys, product_id: str
     if product_id is not None:
         links = links.where(F.col("p_id") == product_id)
         product = product.where(F.col("p_id") == product_id)
-    named = (
-        product.join(category, "category_id", "left")
-        .select("p_id", F.lit(True).alias("_known"), "product_name", "category")
+    # Few categories hold most products, and many products have none.
+    popular = find_hot(product, "category_id")
+    named = salted_join(product, category, popular, spread_hash("p_id")).select(
+        "p_id", F.lit(True).alias("_known"), "product_name", "category"
     )
     joined = salted_join(links, named, hot, spread_hash("review_id"))
     return joined.select(
