@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .markup import _WHITE, BLOCK, SPACED, UNSEEN, Node, Sheet, build
+from .markup import BLOCK, SPACED, UNSEEN, Node, Sheet, build
 from .tables import map_arrow, slices
 
 _RUN = re.compile(r"[ \t\n\f\r]+")
