@@ -6,10 +6,11 @@ and size band. In a tile, hashed bitmaps decide first: each element flips one bi
 which two bitmaps differ bounds the elements that only one set has from below, hence the overlap from
 above. Pairs that pass are settled by an exact intersection of the sorted arrays.
 
-A tile of n classes has n*n/2 pairs, and a group of near copies is one large tile. So tiles are
-worked in two rounds. First each class meets its neighbour in size and the first of its size band
-only; the links found make groups. Then only pairs of different groups meet, all of them: no link between
-groups is lost, while links inside a group that is connected already aren't asked for.
+A tile of n classes has n*n/2 pairs, and a group of near copies is one large tile. In a tile of up to ``FEW``
+classes all pairs meet at once. Larger tiles are worked in rounds. First each class meets its neighbour in size
+and the first of its size band only. Then groups not linked yet are looked at: a tile proposes no more
+pairs than connect its groups. At last all pairs of groups that are still apart meet: no link between groups
+is lost, while links inside a group that is connected already aren't asked for.
 
 The order puts frequent elements last, which keeps tiles small. Which elements are frequent comes
 from a sample of the texts and is held as a bitmap of fixed size; it decides the order alone, never the result.
@@ -27,16 +28,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .components import components
-from .tables import SPACES, map_arrow, slices, stored, whole_text
+from .tables import SPACES, map_arrow, release, slices, stored, whole_text
 from .words import shingle_sets, words_of
 
 #: One text in SAMPLED is looked at for frequent shingles; SEEN texts of the sample make one frequent.
 SAMPLED, SEEN = 32, 8
 #: Bits of the tables of frequent shingles and of wanted texts: 4 MB each, whatever the data.
 TABLE_BITS = 1 << 25
-#: Classes that meet in one block of a tile.
-BLOCK = 2048
-SLICE = 2 << 20
+#: Classes of a tile that all meet at once, and of a larger tile that meet in one block.
+FEW, BLOCK = 8, 512
+#: Elements of all sets that one task holds at a time to settle pairs: 32 MB.
+HELD = 1 << 22
+SLICE = 1 << 20
 
 
 def most_apart(total, percent: int):
@@ -52,7 +55,7 @@ def fit(a, b, percent: int):
 
 def bitmap(values: np.ndarray) -> bytes:
     """Parity of the elements per bit; the width grows with the set, in powers of two."""
-    width = min(8192, max(64, 1 << (2 * len(values) - 1).bit_length()))
+    width = min(2048, max(64, 1 << (len(values) - 1).bit_length()))
     counts = np.bincount((values >> np.uint64(20)).astype(np.int64) & (width - 1), minlength=width)
     return np.packbits((counts & 1).astype(np.uint8), bitorder="little").tobytes()
 
@@ -146,53 +149,93 @@ def classes(signed: DataFrame) -> DataFrame:
     return stored(found, "classes")
 
 
+def _few(token: np.ndarray, node: np.ndarray, n: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """All pairs of fitting sizes with equal tokens, for runs of few rows."""
+    left, right = [], []
+    for d in range(1, min(FEW, len(token))):
+        both = np.flatnonzero((token[d:] == token[:-d]) & fit(n[d:], n[:-d], percent))
+        left.append(node[both])
+        right.append(node[both + d])
+    none = np.zeros(0, np.int64)
+    return np.concatenate([none, *left]), np.concatenate([none, *right])
+
+
+class _Run:
+    """A large run that may go on in the next batch: its last row, and the first of the last row's size band."""
+
+    def __init__(self) -> None:
+        self.token = self.node = self.n = self.band = self.centre = self.centre_n = None
+
+    def rows(self, token, node, n, band, percent: int):
+        """``before`` and ``centre`` (-1 for none) of rows of large runs, the first of which may continue this one."""
+        size = len(token)
+        begins = np.ones(size, bool)
+        begins[1:] = (token[1:] != token[:-1]) | (band[1:] != band[:-1])
+        before = np.full(size, -1, np.int64)
+        before[1:] = np.where((token[1:] == token[:-1]) & fit(n[1:], n[:-1], percent), node[:-1], -1)
+        head = np.maximum.accumulate(np.where(begins, np.arange(size), 0))
+        centre, centre_n = node[head], n[head]
+        if self.token is not None and token[0] == self.token:
+            if fit(n[0], self.n, percent):
+                before[0] = self.node
+            if band[0] == self.band:
+                mine = head == 0
+                centre, centre_n = np.where(mine, self.centre, centre), np.where(mine, self.centre_n, centre_n)
+        self.token, self.node, self.n, self.band = token[-1], node[-1], n[-1], band[-1]
+        self.centre, self.centre_n = centre[-1], centre_n[-1]
+        return before, np.where((centre != node) & fit(n, centre_n, percent), centre, -1)
+
+
 def tiles(found: DataFrame, percent: int) -> DataFrame:
-    """(token, node, n, before, centre) of tiles with two classes or more; stored.
+    """(token, node, n, before, centre): first pairs of all tiles, and the rows of large ones; stored.
 
-    Rows of a tile come in order of size: ``before`` is the row before, ``centre`` the first of the size
-    band, each null if there is none that fits. Only the last row of a batch is carried to the next.
+    Rows of a token come in order of size. Up to ``FEW`` of them give all their pairs as rows without a token, (node,
+    before). Of more, each row has the row before and the first of its size band, null where sizes don't fit; only
+    the last row of such a run is kept from batch to batch.
     """
     step = math.log(100 / percent) if percent < 100 else 1.0
 
     def shared(batches):
-        carried = None  # token, node, n, before, centre's node, centre's n, shared
         names = ["token", "node", "n", "before", "centre"]
-
-        def out(token, node, n, before, centre, keep):
-            columns = [pa.array(x[keep]) for x in (token, node, n)]
-            columns += [pa.array(x[keep], mask=x[keep] < 0) for x in (before, centre)]
+        held = [np.zeros(0, np.int64)] * 3  # rows of the last run while it is small
+        large = _Run()
+
+        def out(small, rows):
+            (a, b), (token, node, n, before, centre) = _few(*small, percent), rows
+            none = np.zeros(len(a), np.int64)
+            missing = np.concatenate([np.ones(len(a), bool), np.zeros(len(token), bool)])
+            columns = [
+                pa.array(np.concatenate([none, token]), mask=missing), pa.array(np.concatenate([a, node])), pa.array(np.concatenate([none, n]), mask=missing),
+                pa.array(np.concatenate([b, before]), mask=np.concatenate([none > 0, before < 0])),
+                pa.array(np.concatenate([none, centre]), mask=np.concatenate([none == 0, centre < 0])),
+            ]
             return pa.RecordBatch.from_arrays(columns, names=names)
 
+        def worked(columns, last: bool):
+            token, node, n = columns
+            if not len(token):
+                return None
+            starts = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
+            sizes = np.diff(np.concatenate([starts, [len(token)]]))
+            many = sizes > FEW
+            many[0] |= large.token is not None and token[0] == large.token
+            keep = np.ones(len(starts), bool)
+            keep[-1] = last or many[-1]
+            of_many, kept = np.repeat(many & keep, sizes), np.repeat(~many & keep, sizes)
+            held[:] = [c[~np.repeat(keep, sizes)] for c in columns]
+            rows = [c[of_many] for c in columns]
+            if len(rows[0]):
+                rows += large.rows(*rows, np.floor(np.log(rows[2]) / step).astype(np.int64), percent)
+            else:
+                rows += [rows[0], rows[0]]
+            return out([c[kept] for c in columns], rows)
+
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            token, node, n = (batch.column(i).to_numpy() for i in range(3))
-            if carried is not None:
-                token, node, n = (np.concatenate([[c], x]) for c, x in zip(carried[:3], (token, node, n), strict=True))
-            rows = len(token)
-            band = np.floor(np.log(n) / step).astype(np.int64)
-            same = np.zeros(rows, bool)
-            same[1:] = token[1:] == token[:-1]
-            begins = ~same
-            begins[1:] |= band[1:] != band[:-1]
-            begins[0] = True
-            head = np.maximum.accumulate(np.where(begins, np.arange(rows), 0))
-            centre, centre_n = node[head], n[head]
-            before = np.full(rows, -1, np.int64)
-            before[1:] = np.where(same[1:] & fit(n[1:], n[:-1], percent), node[:-1], -1)
-            if carried is not None:
-                mine = head == 0
-                centre, centre_n = np.where(mine, carried[4], centre), np.where(mine, carried[5], centre_n)
-                before[0], same[0] = carried[3], carried[6]
-            shown = np.where((centre != node) & fit(n, centre_n, percent), centre, -1)
-            keep = same.copy()
-            keep[:-1] |= same[1:]
-            keep[-1] = False  # not known yet
-            carried = (token[-1], node[-1], n[-1], before[-1], centre[-1], centre_n[-1], bool(same[-1]))
-            yield out(token, node, n, before, shown, keep)
-        if carried is not None and carried[6]:
-            centre = carried[4] if carried[4] != carried[1] and fit(carried[2], carried[5], percent) else -1
-            yield out(*(np.array([x], np.int64) for x in (*carried[:4], centre)), np.array([True]))
+            columns = [np.concatenate([h, c.to_numpy()]) for h, c in zip(held, batch.columns, strict=True)]
+            if (done := worked(columns, False)) is not None:
+                yield done
+        if (done := worked(list(held), True)) is not None:
+            yield done
 
     rows = found.select(F.explode("prefix").alias("token"), "node", "n")
     rows = rows.repartition("token").sortWithinPartitions("token", "n", "node")
@@ -215,16 +258,12 @@ def possible(pairs: DataFrame, found: DataFrame, percent: int) -> DataFrame:
     return map_arrow(pairs.join(left, "a").join(right, "b"), passing, "a long, b long")
 
 
-def verified(pairs: DataFrame, found: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """(a, b, linked) for stored ``pairs``, by exact intersection of the sets of the texts in question.
+def _arrays(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
+    """(id, h, values): ids, hashes and sorted sets of the texts whose hash is among those of ``wanted``, and of few others.
 
-    The texts are read again, and a table of fixed size tells most of the texts that aren't asked for; only the
-    sets of those asked for are shuffled.
+    The texts are read again; a table of fixed size tells most of those that aren't asked for.
     """
-    spark = docs.sparkSession
-    nodes = pairs.select(F.col("a").alias("node")).unionAll(pairs.select("b")).distinct()
-    wanted = stored(found.select("node", "doc_id", "hash").join(nodes, "node", "left_semi"), "wanted")
-    table = spark.sparkContext.broadcast(bit_table(wanted.select(F.col("hash").alias("v"))))
+    table = docs.sparkSession.sparkContext.broadcast(bit_table(wanted.select(F.col("hash").alias("v"))))
 
     def arrays(batches):
         for batch in slices(batches, 1, SLICE):
@@ -235,28 +274,68 @@ def verified(pairs: DataFrame, found: DataFrame, docs: DataFrame, size: int, per
                 lists = pa.ListArray.from_arrays(pa.array(lengths, pa.int32()), pa.array(np.concatenate(sets)))
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), lists], names=["id", "h", "values"])
 
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("h"))
+    return map_arrow(rows, arrays, f"id {kind}, h long, values array<long>")
+
+
+def _together(pairs: DataFrame, found: DataFrame) -> DataFrame:
+    """``pairs`` with ``bucket``: pairs of one neighbourhood share a bucket, so that a set goes to few; stored.
+
+    A neighbourhood is led by the smallest class within two steps. One whose sets have more than ``HELD``
+    elements is cut into shares, and shares are dealt out to as many buckets as all elements fill.
+    """
+    ways = pairs.unionAll(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    near = ways.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("lead"))
+    leads = ways.join(near.select(F.col("a").alias("b"), "lead"), "b").groupBy("a").agg(F.min("lead").alias("lead"))
+    led = stored(pairs.join(leads, "a"), "led-pairs")
+    members = led.select("lead", F.col("a").alias("node")).unionAll(led.select("lead", "b")).distinct()
+    full = members.join(found.select("node", "n"), "node").groupBy(F.col("lead").alias("_lead")).agg(F.sum("n").alias("n"))
+    full = stored(full, "neighbourhoods")
+    buckets = -(-(full.agg(F.sum("n")).head()[0] or 1) // HELD)
+    share = F.pmod(F.xxhash64("a"), F.ceil(F.col("n") / HELD))
+    bucket = F.pmod(F.xxhash64("lead", share), F.lit(buckets)).cast("int")
+    return stored(led.join(full, F.col("lead") == F.col("_lead")).select(bucket.alias("bucket"), "a", "b"), "dealt-pairs")
+
+
+def verified(pairs: DataFrame, found: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """(a, b, linked) for stored ``pairs``, by exact intersection of the sorted sets of their texts; stored.
+
+    Only sets that are asked for travel: to the buckets that ask for them, once each, where they come before the pairs.
+    """
+
     def settled(batches):
+        at, held = None, {}
         for batch in batches:
-            left, right = batch.column("left"), batch.column("right")
-            linked = []
-            for i in range(batch.num_rows):
-                x = left[i].values.to_numpy().view(np.uint64)
-                y = right[i].values.to_numpy().view(np.uint64)
+            done = []
+            values = batch.column("values")
+            for i, (bucket, pair, a, b) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("bucket", "pair", "a", "b")), strict=True)):
+                if bucket != at:
+                    at, held = bucket, {}
+                if not pair:
+                    held[a] = values[i].values.to_numpy().view(np.uint64)
+                    continue
+                x, y = held[a], held[b]
                 small, large = (x, y) if len(x) < len(y) else (y, x)
-                at = np.searchsorted(large, small)
-                at[at == len(large)] = 0
-                common = int((large[at] == small).sum())
-                linked.append(100 * common >= percent * (len(x) + len(y) - common))
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(linked, pa.bool_())], names=["a", "b", "linked"])
-
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("h"))
-    sets = map_arrow(rows, arrays, f"id {kind}, h long, values array<long>")
-    sets = sets.join(wanted, sets["id"].eqNullSafe(wanted["doc_id"]) & (F.col("h") == F.col("hash"))).select("node", "values")
-    sets = stored(sets, "sets")
-    left = sets.select(F.col("node").alias("a"), F.col("values").alias("left"))
-    right = sets.select(F.col("node").alias("b"), F.col("values").alias("right"))
-    return stored(map_arrow(pairs.join(left, "a").join(right, "b"), settled, "a long, b long, linked boolean"), "settled")
+                found_at = np.searchsorted(large, small)
+                found_at[found_at == len(large)] = 0
+                common = int((large[found_at] == small).sum())
+                done.append((a, b, 100 * common >= percent * (len(x) + len(y) - common)))
+            columns = [pa.array([d[k] for d in done], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.bool_()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["a", "b", "linked"])
+
+    dealt = _together(pairs, found)
+    asked = dealt.select("bucket", F.col("a").alias("node")).unionAll(dealt.select("bucket", "b")).distinct()
+    asked = stored(asked.join(found.select("node", "doc_id", "hash"), "node"), "asked")
+    sets = _arrays(docs, asked, size)
+    # No bound on what is asked for is known, so it is never broadcast.
+    asked = sets.join(asked.hint("merge"), sets["id"].eqNullSafe(asked["doc_id"]) & (F.col("h") == F.col("hash")))
+    none = F.lit(None).cast("array<long>")
+    rows = asked.select("bucket", F.lit(False).alias("pair"), F.col("node").alias("a"), F.lit(None).cast("long").alias("b"), "values").unionAll(
+        dealt.select("bucket", F.lit(True), "a", "b", none)
+    )
+    rows = rows.repartition("bucket").sortWithinPartitions("bucket", "pair")
+    return stored(map_arrow(rows, settled, "a long, b long, linked boolean"), "settled")
 
 
 def _ordered(a: str, b: str):
@@ -269,59 +348,86 @@ def near_pairs(tiled: DataFrame) -> DataFrame:
     return partners.select(*_ordered("node", "other")).distinct()
 
 
-def _block_pairs(rows: list, percent: int) -> Iterator[tuple[int, int]]:
-    """Pairs of different groups in one cell of a tile that sizes and bitmaps allow.
+_FAR = np.iinfo(np.int32).max
+
+
+def _distances(rows: list, percent: int) -> np.ndarray:
+    """Per pair (i, j) of rows the bits that differ, or ``_FAR`` where sizes, bitmaps or groups rule the pair out.
 
     rows: (block, node, group, n, bits). A cell of one block pairs all its rows, one of two blocks those of either.
     """
-    rows.sort(key=lambda r: r[3])
-    crossed = len({r[0] for r in rows}) > 1
-    widths = [len(r[4]) * 8 for r in rows]
-    values = [int.from_bytes(r[4], "little") for r in rows]
-    start = 0
-    if len(rows) <= 24:
-        for i, (block, node, group, n, _) in enumerate(rows):
-            while 100 * rows[start][3] < percent * n:
-                start += 1
-            for j in range(start, i):
-                other = rows[j]
-                if other[2] == group or crossed and other[0] == block:
-                    continue
-                x = _folded(values[i], widths[i], widths[j])
-                if (x ^ values[j]).bit_count() <= most_apart(n + other[3], percent):
-                    yield (node, other[1]) if node < other[1] else (other[1], node)
-        return
-    block, node, group, n = (np.array([r[k] for r in rows], np.int64) for k in range(4))
-    width = np.array(widths)
+    block, _, group, n = (np.array([r[k] for r in rows], np.int64) for k in range(4))
+    width = np.array([len(r[4]) * 8 for r in rows])
+    found = np.full((len(rows), len(rows)), _FAR, np.int32)
+    crossed = block.min() != block.max()
     for w in np.unique(width):
         own = np.flatnonzero(width == w)
-        below = np.flatnonzero((width <= w) & (width >= w // 2))
-        for v in np.unique(width[below]):
-            partners = below[width[below] == v]
+        for v in np.unique(width[(width <= w) & (2 * width >= w)]):
+            partners = np.flatnonzero(width == v)
             y = np.array([np.frombuffer(rows[j][4], np.uint64) for j in partners])
-            for part in np.array_split(own, max(1, len(own) * len(partners) * v // (8 * SLICE) + 1)):
-                x = np.array([np.frombuffer(_folded(values[i], widths[i], int(v)).to_bytes(v // 8, "little"), np.uint64) for i in part])
-                if not len(x):
+            for part in np.array_split(own, len(own) * len(partners) * v // (8 * SLICE) + 1):
+                if not len(part):
                     continue
-                different = np.bitwise_count(x[:, None, :] ^ y[None, :, :]).sum(axis=2, dtype=np.int64)
+                x = np.array([
+                    np.frombuffer(_folded(int.from_bytes(rows[i][4], "little"), int(w), int(v)).to_bytes(v // 8, "little"), np.uint64)
+                    for i in part])
+                bits = np.bitwise_count(x[:, None, :] ^ y[None, :, :]).sum(axis=2, dtype=np.int64)
                 i, j = part[:, None], partners[None, :]
-                good = (different <= most_apart(n[i] + n[j], percent)) & (group[i] != group[j]) & fit(n[i], n[j], percent) & (j < i)
+                good = (bits <= most_apart(n[i] + n[j], percent)) & (group[i] != group[j]) & fit(n[i], n[j], percent)
                 if crossed:
                     good &= block[i] != block[j]
-                for p, q in zip(*np.nonzero(good), strict=True):
-                    a, b = int(node[part[p]]), int(node[partners[q]])
-                    yield (a, b) if a < b else (b, a)
-
-
-def group_pairs(tiled: DataFrame, found: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
-    """(a, b): every pair of a tile whose classes are in different groups and that sizes and bitmaps allow.
+                bits = np.where(good, bits, _FAR)
+                found[i, j] = np.minimum(found[i, j], bits)
+                found[partners[:, None], part[None, :]] = np.minimum(found[partners[:, None], part[None, :]], bits.T)
+    return found
+
+
+def _connecting(distances: np.ndarray, group: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Pairs that connect the groups as far as the distances allow, nearest partners first; at most one per group."""
+    open_ = np.ones(len(group), bool)
+    for start in range(len(group)):
+        if not open_[start]:
+            continue
+        reached = group == group[start]
+        open_ &= ~reached
+        front = np.flatnonzero(reached)
+        while len(front) and open_.any():
+            left = np.flatnonzero(open_)
+            near = distances[np.ix_(front, left)]
+            best = near.argmin(axis=0)
+            least = near[best, np.arange(len(left))]
+            hit = np.flatnonzero(least < _FAR)
+            hit = hit[np.argsort(least[hit], kind="stable")]
+            new = group[left[hit]]
+            _, first = np.unique(new, return_index=True)
+            for at in hit[first]:
+                yield int(front[best[at]]), int(left[at])
+            reached = np.isin(group, new) & open_
+            open_ &= ~reached
+            front = np.flatnonzero(reached)
+
+
+def _block_pairs(rows: list, percent: int, connect: bool) -> Iterator[tuple[int, int]]:
+    """Pairs of different groups in one cell of a tile that sizes and bitmaps allow: all, or enough to ``connect`` them."""
+    distances = _distances(rows, percent)
+    if connect:
+        pairs = _connecting(distances, np.array([r[2] for r in rows], np.int64))
+    else:
+        pairs = zip(*np.nonzero(np.triu(distances < _FAR, 1)), strict=True)
+    for i, j in pairs:
+        a, b = rows[i][1], rows[j][1]
+        yield (a, b) if a < b else (b, a)
+
+
+def group_pairs(tiled: DataFrame, found: DataFrame, groups: DataFrame, percent: int, connect: bool) -> DataFrame:
+    """(a, b): pairs of a tile whose classes are in different groups and that sizes and bitmaps allow; see ``_block_pairs``.
 
     A large tile is cut into blocks, and every two blocks meet in a cell of their own.
     """
 
     def cells(batches):
         def done(rows):
-            pairs = list(_block_pairs(rows, percent)) if len(rows) > 1 else []
+            pairs = list(_pair_of_two(rows, percent) if len(rows) == 2 else _block_pairs(rows, percent, connect)) if len(rows) > 1 else []
             return pa.RecordBatch.from_arrays(
                 [pa.array([a for a, _ in pairs], pa.int64()), pa.array([b for _, b in pairs], pa.int64())], names=["a", "b"])
 
@@ -349,22 +455,40 @@ def group_pairs(tiled: DataFrame, found: DataFrame, groups: DataFrame, percent:
     return map_arrow(rows, cells, "a long, b long").distinct()
 
 
+def _pair_of_two(rows: list, percent: int) -> Iterator[tuple[int, int]]:
+    """``_block_pairs`` for two rows, by far the most frequent case."""
+    (p, a, g, n, x), (q, b, h, m, y) = rows
+    if g != h and 100 * min(n, m) >= percent * max(n, m) and apart(x, y) <= most_apart(n + m, percent):
+        yield (a, b) if a < b else (b, a)
+
+
 def _members(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """``signatures`` of (doc_id, text), and (sig, doc_id, hash, component) per class."""
     spark: SparkSession = docs.sparkSession
     table = spark.sparkContext.broadcast(frequent_shingles(docs.select("text"), size))
     signed = stored(signatures(docs, size, percent, table), "signatures")
     found = classes(signed)
+    release(spark)
     tiled = tiles(found, percent)
-    first = stored(possible(near_pairs(tiled), found, percent), "near-pairs")
-    settled = verified(first, found, docs, size, percent)
-    links = settled.where("linked").select("a", "b")
-    groups = components(links)
-    rest = group_pairs(tiled, found, groups, percent).join(settled.select("a", "b"), ["a", "b"], "left_anti")
-    rest = stored(rest, "group-pairs")
-    if not rest.isEmpty():
-        links = links.unionAll(verified(rest, found, docs, size, percent).where("linked").select("a", "b"))
-        groups = components(links)
+    release(spark)
+    large = tiled.where("token IS NOT NULL")
+    settled = None
+    groups = spark.createDataFrame([], "node long, component long")
+    # First pairs of all tiles; of large tiles, pairs that connect groups; all pairs of groups still apart.
+    for step in range(1 if large.isEmpty() else 3):
+        if step:
+            proposed = group_pairs(large, found, groups, percent, connect=step == 1)
+            proposed = proposed.join(settled.select("a", "b"), ["a", "b"], "left_anti")
+        else:
+            proposed = possible(near_pairs(tiled), found, percent)
+        pairs = stored(proposed, "pairs")
+        if pairs.isEmpty():
+            settled = pairs.withColumn("linked", F.lit(False)) if settled is None else settled
+            continue
+        new = verified(pairs, found, docs, size, percent)
+        settled = new if settled is None else settled.unionAll(new)
+        release(spark)
+        groups = components(settled.where("linked").select("a", "b"))
     member = found.select("node", "sig", "doc_id", "hash").join(groups, "node", "left")
     return signed, member.select("sig", "doc_id", "hash", F.coalesce("component", "node").alias("component"))
 

@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-import os
+import gc
 from collections.abc import Callable, Iterator
-from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import scratch_path, share_package
 
 #: White space of the word patterns: space, tab, line feed, vertical tab, form feed, carriage return.
 SPACES = " \t\n\x0b\x0c\r"
@@ -25,16 +24,18 @@ def stored(df: DataFrame, name: str, partition_by: str | None = None) -> DataFra
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def map_arrow(df: DataFrame, function: Callable, schema: str) -> DataFrame:
-    """``mapInArrow`` whose Python workers find this package where the driver found it.
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished plans now, not when the driver happens to collect its garbage.
 
-    On a cluster the package is installed or sent along with the job; then the extra path does no harm.
+    An operator of many steps calls this after large ones, whose results are stored, so that its disk holds little more than those.
     """
-    root = str(Path(__file__).resolve().parents[2])
-    known = df.sparkSession.sparkContext.environment
-    paths = known.get("PYTHONPATH", "").split(os.pathsep)
-    if root not in paths:
-        known["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def map_arrow(df: DataFrame, function: Callable, schema: str) -> DataFrame:
+    """``mapInArrow`` whose Python workers find this package."""
+    share_package(df.sparkSession)
     return df.mapInArrow(function, schema)
 
 

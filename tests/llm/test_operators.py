@@ -4,6 +4,7 @@ import gzip
 import io
 import random
 from collections import Counter
+from html.parser import HTMLParser
 
 import numpy as np
 import pyarrow as pa
@@ -330,6 +331,37 @@ def test_no_text_is_lost(parts):
         render(html)
 
 
+class _Plain(HTMLParser):
+    """Words of a page in order, by the standard library's tokenizer; for pages without hidden parts or tables."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.skipped, self.words, self.glued = 0, [], False
+
+    def handle_starttag(self, tag, attrs):
+        self.skipped += tag in ("script", "style", "title")
+        self.glued = False
+
+    def handle_endtag(self, tag):
+        self.skipped -= tag in ("script", "style", "title")
+        self.glued = False
+
+    def handle_data(self, data):
+        if not self.skipped:
+            self.words += data.split()
+
+
+def test_query_html(spark):
+    """Every visible word of every page, in order; list items have markers besides."""
+    pages = {r["page_id"]: r["html"] for r in spark.read.parquet(f"{FOLDER}/pages.parquet").collect()}
+    found = {r["page_id"]: r["text"] for r in QUERIES["op5_html_extraction"](spark, FOLDER).collect()}
+    assert set(found) == set(pages)
+    for page, html in pages.items():
+        plain = _Plain()
+        plain.feed(html)
+        assert [w for w in found[page].split() if w != "-"] == [w for w in plain.words if w != "-"], page
+
+
 # --- toxicity -------------------------------------------------------------------------------
 
 
