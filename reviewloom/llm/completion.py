@@ -124,7 +124,7 @@ def fillings(lengths: list[int], counts: Counter, capacity: int, wide: int = 48,
     return ([x for x in listed if not dominated(*x)] or listed)[:most]
 
 
-def pack(counts: dict[int, int], capacity: int, nodes: int = 20_000) -> list[Filling]:
+def pack(counts: dict[int, int], capacity: int, nodes: int = 4_000) -> list[Filling]:
     """Fillings that use every piece of the histogram exactly once, in as few bins as the search finds."""
     counts = {n: c for n, c in counts.items() if c}
     if not counts:

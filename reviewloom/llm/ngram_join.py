@@ -37,8 +37,8 @@ SAMPLED, SEEN = 32, 8
 TABLE_BITS = 1 << 25
 #: Classes of a tile that all meet at once, and of a larger tile that meet in one block.
 FEW, BLOCK = 8, 512
-#: Elements of all sets that one task holds at a time to settle pairs: 32 MB.
-HELD = 1 << 22
+#: Elements of all sets that one task holds at a time to settle pairs: 64 MB.
+HELD = 1 << 23
 SLICE = 1 << 20
 
 
@@ -258,25 +258,22 @@ def possible(pairs: DataFrame, found: DataFrame, percent: int) -> DataFrame:
     return map_arrow(pairs.join(left, "a").join(right, "b"), passing, "a long, b long")
 
 
-def _arrays(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """(id, h, values): ids, hashes and sorted sets of the texts whose hash is among those of ``wanted``, and of few others.
+def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(id, text, h): the texts whose hash is among those of ``wanted``, and few others.
 
-    The texts are read again; a table of fixed size tells most of those that aren't asked for.
+    A table of fixed size tells most of those that aren't asked for before anything is shuffled.
     """
     table = docs.sparkSession.sparkContext.broadcast(bit_table(wanted.select(F.col("hash").alias("v"))))
 
-    def arrays(batches):
-        for batch in slices(batches, 1, SLICE):
-            batch = batch.filter(pa.array(_in_table(table.value, batch.column(2).to_numpy())))
-            if batch.num_rows:
-                sets = [values.view(np.int64) for values in _sets(batch, 1, size)]
-                lengths = np.concatenate([[0], np.cumsum([len(v) for v in sets])])
-                lists = pa.ListArray.from_arrays(pa.array(lengths, pa.int32()), pa.array(np.concatenate(sets)))
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), lists], names=["id", "h", "values"])
+    def asked(batches):
+        for batch in batches:
+            kept = batch.filter(pa.array(_in_table(table.value, batch.column(2).to_numpy())))
+            if kept.num_rows:
+                yield kept
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("h"))
-    return map_arrow(rows, arrays, f"id {kind}, h long, values array<long>")
+    rows = docs.select(F.col("doc_id").alias("id"), "text", F.xxhash64("text").alias("h"))
+    return map_arrow(rows, asked, f"id {kind}, text string, h long")
 
 
 def _together(pairs: DataFrame, found: DataFrame) -> DataFrame:
@@ -301,19 +298,20 @@ def _together(pairs: DataFrame, found: DataFrame) -> DataFrame:
 def verified(pairs: DataFrame, found: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
     """(a, b, linked) for stored ``pairs``, by exact intersection of the sorted sets of their texts; stored.
 
-    Only sets that are asked for travel: to the buckets that ask for them, once each, where they come before the pairs.
+    Only texts that are asked for travel, in less space than their sets: to the buckets that ask for them, once each, where
+    they come before the pairs and become sorted arrays.
     """
 
     def settled(batches):
         at, held = None, {}
         for batch in batches:
             done = []
-            values = batch.column("values")
+            texts = batch.column("text")
             for i, (bucket, pair, a, b) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("bucket", "pair", "a", "b")), strict=True)):
                 if bucket != at:
                     at, held = bucket, {}
                 if not pair:
-                    held[a] = values[i].values.to_numpy().view(np.uint64)
+                    held[a] = next(shingle_sets(words_of(texts.slice(i, 1)), size))
                     continue
                 x, y = held[a], held[b]
                 small, large = (x, y) if len(x) < len(y) else (y, x)
@@ -327,12 +325,11 @@ def verified(pairs: DataFrame, found: DataFrame, docs: DataFrame, size: int, per
     dealt = _together(pairs, found)
     asked = dealt.select("bucket", F.col("a").alias("node")).unionAll(dealt.select("bucket", "b")).distinct()
     asked = stored(asked.join(found.select("node", "doc_id", "hash"), "node"), "asked")
-    sets = _arrays(docs, asked, size)
+    texts = _texts(docs, asked)
     # No bound on what is asked for is known, so it is never broadcast.
-    asked = sets.join(asked.hint("merge"), sets["id"].eqNullSafe(asked["doc_id"]) & (F.col("h") == F.col("hash")))
-    none = F.lit(None).cast("array<long>")
-    rows = asked.select("bucket", F.lit(False).alias("pair"), F.col("node").alias("a"), F.lit(None).cast("long").alias("b"), "values").unionAll(
-        dealt.select("bucket", F.lit(True), "a", "b", none)
+    sent = texts.join(asked.hint("merge"), texts["id"].eqNullSafe(asked["doc_id"]) & (F.col("h") == F.col("hash")))
+    rows = sent.select("bucket", F.lit(False).alias("pair"), F.col("node").alias("a"), F.lit(None).cast("long").alias("b"), "text").unionAll(
+        dealt.select("bucket", F.lit(True), "a", "b", F.lit(None).cast("string"))
     )
     rows = rows.repartition("bucket").sortWithinPartitions("bucket", "pair")
     return stored(map_arrow(rows, settled, "a long, b long, linked boolean"), "settled")

@@ -106,7 +106,7 @@ def numbered(pieces: DataFrame, share_rows: int = SHARE_ROWS) -> DataFrame:
     return met.withColumn("_rank", F.col("_own") + F.col("_before") - 1).drop("_share", "_own", "_l", "_s", "_before")
 
 
-def place_pieces(pieces: DataFrame, capacity: int = 2048, nodes: int = 20_000) -> DataFrame:
+def place_pieces(pieces: DataFrame, capacity: int = 2048, nodes: int = 4_000) -> DataFrame:
     """Stored ``pieces`` with sequence_id and offset."""
     histogram = {row["length"]: row["n"] for row in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     where = pieces.sparkSession.sparkContext.broadcast(slots(pack(histogram, capacity, nodes)))
