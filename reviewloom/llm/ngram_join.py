@@ -255,7 +255,8 @@ def possible(pairs: DataFrame, found: DataFrame, percent: int) -> DataFrame:
 
     left = found.select(F.col("node").alias("a"), "n", "bits")
     right = found.select(F.col("node").alias("b"), F.col("n").alias("m"), F.col("bits").alias("others"))
-    return map_arrow(pairs.join(left, "a").join(right, "b"), passing, "a long, b long")
+    # Neither side has a bound, so none is ever broadcast.
+    return map_arrow(pairs.join(left.hint("merge"), "a").join(right.hint("merge"), "b"), passing, "a long, b long")
 
 
 def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
