@@ -2,17 +2,20 @@
 
 However many pieces there are, they have at most ``capacity`` different lengths, so a packing is a list of
 fillings (a multiset of lengths) with the number of times each is used. The largest length
-left opens a bin; undominated fillings of the rest are listed by waste, and the search
-branches on them depth first. A branch is cut as soon as its waste exceeds what a better
-packing could afford. Best-fit decreasing gives the first incumbent; the search ends when a
-packing meets the lower bound or after ``nodes`` fillings. One filling is applied as often as the
-histogram allows, so a descent takes as many steps as there are lengths, not pieces.
+left opens a bin; all undominated fillings of the rest are listed by waste, one at a time as they are
+asked for, and the search branches on them depth first. A branch is cut as soon as its waste exceeds what
+a better packing could afford. Best-fit decreasing gives the first incumbent. One filling is first applied as often
+as the histogram allows, so a descent takes as many steps as there are lengths, not pieces; on the way
+back it is applied once less at a time. So the search is exact if it comes to its end: when a packing meets the
+lower bound or nothing is left to try. Packing is NP-hard, so ``nodes`` steps end it otherwise.
 """
 
 from __future__ import annotations
 
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from collections import Counter
+from collections.abc import Iterator
+from dataclasses import dataclass
 
 #: Times used, and the lengths of a filling in descending order.
 Filling = tuple[int, tuple[int, ...]]
@@ -62,70 +65,81 @@ def best_fit(counts: dict[int, int], capacity: int) -> list[Filling]:
     return [(number, content) for held in bins.values() for content, number in held.items()]
 
 
-def _complete(content: list[int], room: int, lengths: list[int], counts: Counter) -> tuple[int, tuple[int, ...]]:
-    """Add the largest piece that still fits until none does; (waste, content)."""
-    used = Counter(content)
-    at = bisect_right(lengths, room)
-    while at:
+def _sums(lengths: list[int], counts: list[int], room: int) -> list[int]:
+    """Per number of lengths, from the smallest, the sums up to ``room`` that their pieces make: a bit per sum."""
+    sums, every = [1], (1 << (room + 1)) - 1
+    for n, count in zip(lengths, counts, strict=True):
+        made, left, step = sums[-1], min(count, room // n), 1
+        while left:
+            step = min(step, left)
+            made |= made << (n * step) & every
+            left -= step
+            step *= 2
+        sums.append(made)
+    return sums
+
+
+def _subsets(lengths: list[int], sums: list[int], total: int, at: int, counts: Counter, first: int) -> Iterator[tuple[int, ...]]:
+    """Every choice among the first ``at`` lengths that makes ``total``, in descending order, the largest first."""
+    if not total:
+        yield ()
+        return
+    at = min(at, bisect_right(lengths, total))
+    while at and sums[at] >> total & 1:
         n = lengths[at - 1]
-        if n > room:
-            at = bisect_right(lengths, room, 0, at)
-        elif counts[n] > used[n]:
-            used[n] += 1
-            content.append(n)
-            room -= n
-        else:
-            at -= 1
-    return room, tuple(sorted(content, reverse=True))
+        for times in range(min(counts[n] - (n == first), total // n), 0, -1):
+            if sums[at - 1] >> (total - times * n) & 1:
+                for rest in _subsets(lengths, sums, total - times * n, at - 1, counts, first):
+                    yield (n,) * times + rest
+        at -= 1
 
 
-def fillings(lengths: list[int], counts: Counter, capacity: int, wide: int = 48, most: int = 6) -> list[tuple[int, tuple[int, ...]]]:
-    """Undominated fillings around the largest length: (waste, lengths), least waste first.
+@dataclass(eq=False)
+class _Step:
+    """A place in the search: fillings to come, those tried before, and the one in use."""
 
-    Each is maximal, and none can swap a piece for a larger one that would fit. Listing stops
-    at the first without waste, with the largest partners.
-    """
-    first = lengths[-1]
-    found: dict[tuple[int, ...], int] = {}
+    options: Iterator[tuple[int, tuple[int, ...] | None]]
+    tried: set[tuple[int, ...]]
+    content: tuple[int, ...] = ()
+    times: int = 0
+    lost: int = 0
 
-    def add(content: list[int], room: int) -> bool:
-        waste, filled = _complete(content, room, lengths, counts)
-        found.setdefault(filled, waste)
-        return waste == 0
 
-    free = counts.copy()
-    free[first] -= 1
+def fillings(lengths: list[int], counts: Counter, capacity: int) -> Iterator[tuple[int, tuple[int, ...] | None]]:
+    """(waste, lengths) of all undominated fillings around the largest length, least waste first, then largest partners.
+
+    In an undominated one no piece left over fits in, alone or in the place of one smaller or of two that aren't larger
+    together. A dominated one comes as None, so that whoever asks can count it. ``counts`` must be the same
+    whenever the listing goes on.
+    """
+    first = lengths[-1]
     room = capacity - first
-    seconds = [n for n in lengths[: bisect_right(lengths, room)][::-1] if free[n] > 0]
-    done = not seconds and (add([first], room) or True)
-    for n in seconds[:wide]:
-        if done or (done := add([first, n], room - n)):
-            break
-    if not done:
-        for n in seconds[: wide // 3]:
-            free[n] -= 1
-            thirds = [m for m in lengths[: bisect_right(lengths, min(n, room - n))][::-1] if free[m] > 0]
-            free[n] += 1
-            for m in thirds[:wide]:
-                if done := add([first, n, m], room - n - m):
-                    break
-            if done:
-                break
-    listed = sorted(((waste, filled) for filled, waste in found.items()), key=lambda x: (x[0], [-n for n in x[1]]))
+    partners = [n for n in lengths[: bisect_right(lengths, room)] if counts[n] > (n == first)]
 
     def dominated(waste: int, filled: tuple[int, ...]) -> bool:
         used = Counter(filled)
-        for n in set(filled[1:]):
-            at = bisect_right(lengths, n + waste)
-            if at and lengths[at - 1] > n and counts[lengths[at - 1]] > used[lengths[at - 1]]:
-                return True
-        return False
-
-    return ([x for x in listed if not dominated(*x)] or listed)[:most]
-
-
-def pack(counts: dict[int, int], capacity: int, nodes: int = 4_000) -> list[Filling]:
-    """Fillings that use every piece of the histogram exactly once, in as few bins as the search finds."""
+        used[first] += 1
+        kinds = sorted(set(filled))
+        inside = Counter(filled)
+        places = [(0, 0), *((n + 1, n) for n in kinds)]
+        places += [(x + y, x + y) for k, x in enumerate(kinds) for y in kinds[k + (inside[x] == 1) :]]
+        return any(
+            counts[m] > used[m]
+            for least, n in places
+            for m in partners[bisect_left(partners, least) : bisect_right(partners, n + waste)]
+        )
+
+    sums = _sums(partners, [counts[n] - (n == first) for n in partners], room)
+    for waste in range(room + 1):
+        for filled in _subsets(partners, sums, room - waste, len(partners), counts, first):
+            yield waste, None if dominated(waste, filled) else (first, *filled)
+
+
+def pack(counts: dict[int, int], capacity: int, nodes: int = 20_000) -> list[Filling]:
+    """Fillings that use every piece of the histogram exactly once, in as few bins as the search finds.
+
+    The result has the fewest bins possible if it meets the lower bound or the search ends before ``nodes`` steps.
+    """
     counts = {n: c for n, c in counts.items() if c}
     if not counts:
         return []
@@ -134,43 +148,44 @@ def pack(counts: dict[int, int], capacity: int, nodes: int = 4_000) -> list[Fill
     number = sum(times for times, _ in incumbent)
     total = sum(n * c for n, c in counts.items())
     free, lengths = Counter(counts), sorted(counts)
-    path: list[tuple[Filling, list, int, int]] = []  # filling, alternatives, waste before, bins before
     waste = bins = 0
-    options = fillings(lengths, free, capacity)
 
-    def take(filling: Filling, sign: int) -> None:
-        times, content = filling
+    def take(content: tuple[int, ...], times: int) -> None:
+        """Use the filling so often; put it back if ``times`` is negative."""
         for n, c in Counter(content).items():
             if not free[n]:
                 lengths.insert(bisect_right(lengths, n), n)
-            free[n] += sign * times * c
+            free[n] -= times * c
             if not free[n]:
                 lengths.remove(n)
 
-    while number > least and nodes:
+    path = [_Step(fillings(lengths, free, capacity), set())]
+    while number > least and nodes and path:
         nodes -= 1
-        if options:
-            (lost, content), *rest = options
-            times = min(free[n] // c for n, c in Counter(content).items())
+        step = path[-1]
+        if step.times:
+            # Come back: the same filling once less.
+            take(step.content, -1)
+            waste, bins, step.times = waste - step.lost, bins - 1, step.times - 1
+        if not step.times:
+            lost, content = next(step.options, (0, ()))
             # The waste that a packing with one bin less than the incumbent could afford.
-            if waste + lost * times > (number - 1) * capacity - total:
-                times = ((number - 1) * capacity - total - waste) // lost
-            if times <= 0:
-                options = []
+            spare = (number - 1) * capacity - total - waste
+            if content == () or lost > spare:
+                path.pop()
+                continue
+            if content is None or content in step.tried:
                 continue
-            filling = (times, content)
-            path.append((filling, rest, waste, bins))
-            take(filling, -1)
-            waste, bins = waste + lost * times, bins + times
-            if not lengths:
-                if bins < number:
-                    number, incumbent = bins, [f for f, *_ in path]
-                options = []
-            else:
-                options = fillings(lengths, free, capacity)
-        elif path:
-            filling, options, waste, bins = path.pop()
-            take(filling, 1)
+            times = min(free[n] // c for n, c in Counter(content).items())
+            step.lost, step.content, step.times = lost, content, min(times, spare // lost) if lost else times
+            step.tried.add(content)
+            take(content, step.times)
+            waste, bins = waste + lost * step.times, bins + step.times
+        if not lengths:
+            if bins < number:
+                number, incumbent = bins, [(s.times, s.content) for s in path]
         else:
-            break
+            # Packings that use a filling more often, or one tried before it, are searched elsewhere.
+            tried = set(step.tried) if lengths[-1] == step.content[0] else set()
+            path.append(_Step(fillings(lengths, free, capacity), tried))
     return incumbent

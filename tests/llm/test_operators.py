@@ -5,6 +5,7 @@ import io
 import random
 from collections import Counter
 from html.parser import HTMLParser
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +18,7 @@ import brute
 import corpus_pipeline
 from compare import compare, connect
 from reviewloom.llm import lz_fingerprint, mixing, ngram_join, packing, tokens, toxicity, warc, words
-from reviewloom.llm.completion import best_fit, lower_bound, pack
+from reviewloom.llm.completion import best_fit, fillings, lower_bound, pack
 from reviewloom.llm.components import components
 from reviewloom.llm.registry import ORACLE_SQL, QUERIES, documents, tokenizer_path
 from reviewloom.llm.rendering import render
@@ -216,6 +217,37 @@ def test_packing_is_optimal_on_small_cases(items):
         assert not fits(sorted(items, reverse=True), [20] * (number - 1))
 
 
+def _undominated(items, capacity):
+    """All fillings around the largest item that no item left over improves, by trying every subset."""
+    (first, *rest), found = sorted(items, reverse=True), set()
+    for size in range(len(rest) + 1):
+        for chosen in set(combinations(rest, size)):
+            room, left = capacity - first - sum(chosen), Counter(rest) - Counter(chosen)
+            sums = {(0, 0), *((n, 1) for n in chosen), *((x + y, 0) for x, y in combinations(chosen, 2))}
+            if room >= 0 and not any(n + one <= m <= n + room for n, one in sums for m in left):
+                found.add((room, (first, *chosen)))
+    return found
+
+
+@given(st.lists(st.integers(1, 20), min_size=1, max_size=9))
+@settings(max_examples=150, deadline=None)
+def test_all_undominated_fillings_are_listed(items):
+    listed = [f for f in fillings(sorted(set(items)), Counter(items), 20) if f[1]]
+    assert len(listed) == len(set(listed)) and set(listed) == _undominated(items, 20)
+    assert [w for w, _ in listed] == sorted(w for w, _ in listed)
+
+
+def test_fillings_after_one_without_waste():
+    listed = [f for _, f in fillings([4, 5, 6, 7, 9], Counter([9, 7, 6, 5, 4]), 20) if f]
+    assert (9, 7, 4) in listed and (9, 6, 5) in listed
+
+
+def test_packing_that_needs_other_fillings():
+    counts = {13: 2, 23: 1, 24: 2, 12: 5, 4: 2, 2: 1, 14: 1, 10: 1, 7: 1}
+    plan = pack(counts, 40)
+    assert _used(plan, 40) == Counter(counts) and sum(t for t, _ in plan) == lower_bound(counts, 40) == 5
+
+
 def test_packing_of_many_pieces():
     draw = random.Random(4)
     counts = Counter(min(2048, int(draw.lognormvariate(5.8, 1.1)) + 1) for _ in range(200_000))
