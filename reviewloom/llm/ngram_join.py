@@ -10,7 +10,8 @@ A tile of n classes has n*n/2 pairs, and a group of near copies is one large til
 classes all pairs meet at once. Larger tiles are worked in rounds. First each class meets its neighbour in size
 and the first of its size band only. Then groups not linked yet are looked at: a tile proposes no more
 pairs than connect its groups. At last all pairs of groups that are still apart meet: no link between groups
-is lost, while links inside a group that is connected already aren't asked for.
+is lost, while links inside a group that is connected already aren't asked for. That is all ``linked_groups`` and
+``first_of_groups`` need; ``links`` and ``link_counts`` go on to settle the pairs inside each group.
 
 The order puts frequent elements last, which keeps tiles small. Which elements are frequent comes
 from a sample of the texts and is held as a bitmap of fixed size; it decides the order alone, never the result.
@@ -460,8 +461,8 @@ def _pair_of_two(rows: list, percent: int) -> Iterator[tuple[int, int]]:
         yield (a, b) if a < b else (b, a)
 
 
-def _members(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """``signatures`` of (doc_id, text), and (sig, doc_id, hash, component) per class."""
+def _connected(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """``signatures`` and ``classes`` of (doc_id, text), (node, component) of linked classes, and the pairs settled for that."""
     spark: SparkSession = docs.sparkSession
     table = spark.sparkContext.broadcast(frequent_shingles(docs.select("text"), size))
     signed = stored(signatures(docs, size, percent, table), "signatures")
@@ -487,6 +488,12 @@ def _members(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataF
         settled = new if settled is None else settled.unionAll(new)
         release(spark)
         groups = components(settled.where("linked").select("a", "b"))
+    return signed, found, groups, settled
+
+
+def _members(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """``signatures`` of (doc_id, text), and (sig, doc_id, hash, component) per class."""
+    signed, found, groups, _ = _connected(docs, size, percent)
     member = found.select("node", "sig", "doc_id", "hash").join(groups, "node", "left")
     return signed, member.select("sig", "doc_id", "hash", F.coalesce("component", "node").alias("component"))
 
@@ -508,6 +515,47 @@ def linked_groups(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFram
     return met.select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"))
 
 
+def links(docs: DataFrame, size: int = 4, percent: int = 85) -> tuple[DataFrame, DataFrame]:
+    """The whole join: (doc_id, n_shingles, class) for every row of ``docs``, and (a, b) for every two classes that link, a < b.
+
+    Rows of one class have equal sets, so they link with each other too; ``class`` is null for the empty set, which links with
+    nothing. Two rows link if and only if they are of one class or of two classes that link; see ``linked_groups``.
+
+    Linked classes are in one group, and groups are exact. So all pairs of a group that sizes and bitmaps allow meet once, in
+    blocks, and those that connecting the groups hasn't settled are settled here.
+    """
+    docs = docs.select("doc_id", whole_text().alias("text"))
+    signed, found, groups, settled = _connected(docs, size, percent)
+    grouped = stored(groups.join(found.select("node", "n"), "node").select(F.col("component").alias("token"), "node", "n"), "grouped")
+    apart_ = docs.sparkSession.createDataFrame([], groups.schema)  # every class on its own: all pairs are asked for
+    proposed = group_pairs(grouped, found, apart_, percent, connect=False)
+    pairs = stored(proposed.join(settled.select("a", "b"), ["a", "b"], "left_anti"), "link-pairs")
+    release(docs.sparkSession)
+    if not pairs.isEmpty():
+        settled = settled.unionAll(verified(pairs, found, docs, size, percent))
+        release(docs.sparkSession)
+    of_class = found.select(F.col("sig").alias("_sig"), F.col("node").alias("class"))
+    rows = signed.join(of_class, F.col("sig") == F.col("_sig"), "left").select("doc_id", F.col("n").alias("n_shingles"), "class")
+    return rows, settled.where("linked").select("a", "b")
+
+
+def link_counts(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFrame:
+    """(doc_id, n_shingles, n_links) for every row of ``docs``: how many other rows it links with.
+
+    See ``linked_groups`` for links. Rows that repeat an id, or have none, are rows of their own. An empty table gives an
+    empty result. Other columns are not read.
+    """
+    rows, pairs = links(docs, size, percent)
+    rows = stored(rows, "link-rows")
+    counts = rows.where("class IS NOT NULL").groupBy(F.col("class").alias("_class")).agg(F.count(F.lit(1)).alias("_rows"))
+    ways = pairs.unionAll(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    others = ways.join(counts, F.col("b") == F.col("_class")).groupBy(F.col("a").alias("_a")).agg(F.sum("_rows").alias("_others"))
+    per_class = counts.join(others, F.col("_class") == F.col("_a"), "left")
+    per_class = per_class.select("_class", (F.col("_rows") - 1 + F.coalesce("_others", F.lit(0))).alias("_links"))
+    met = rows.join(per_class, F.col("class") == F.col("_class"), "left")
+    return met.select("doc_id", "n_shingles", F.coalesce("_links", F.lit(0).cast("long")).alias("n_links"))
+
+
 def first_of_groups(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs``, with their columns, but one of each group of linked documents: that with the smallest id.
 

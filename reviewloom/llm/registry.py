@@ -42,6 +42,11 @@ def _(spark, folder):
     return ngram_join.linked_groups(documents(spark, folder))
 
 
+@query("op1_ngram_jaccard_links")
+def _(spark, folder):
+    return ngram_join.link_counts(documents(spark, folder))
+
+
 @query("op2_lz_fingerprint")
 def _(spark, folder):
     return lz_fingerprint.compare_next(documents(spark, folder))

@@ -70,6 +70,36 @@ def test_groups_of_many_near_copies(spark, monkeypatch, size, percent, block):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found} == brute.groups(rows, size, percent)
 
 
+def _links(rows, size, percent):
+    """Every two rows that link, by place."""
+    sets = [brute.shingles(t, size) for _, t in rows]
+    near = lambda x, y: x and y and 100 * len(x & y) >= percent * len(x | y)
+    return {(i, j) for i, j in combinations(range(len(rows)), 2) if near(sets[i], sets[j])}
+
+
+@pytest.mark.parametrize("size, percent, block, held", [(4, 85, 2048, 1 << 23), (5, 80, 7, 3000)])
+def test_every_link_is_found(spark, monkeypatch, size, percent, block, held):
+    """Also those inside a group that other links connect, between equal texts, and between rows without ids."""
+    monkeypatch.setattr(ngram_join, "BLOCK", block)
+    monkeypatch.setattr(ngram_join, "HELD", held)
+    texts = [t for _, t in _variants(size, 200, edits=3) + _variants(9, 60, base=400, edits=30)]
+    texts += [texts[0], texts[0], texts[7], "", "", None]
+    stem = [f"w{i}" for i in range(300)]
+    texts += [" ".join([*stem[:i], "x", *stem[i:]]) for i in range(0, 300, 7)]
+    rows = list(enumerate(texts))
+    want = _links(rows, size, percent)
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    members, pairs = ngram_join.links(frame, size, percent)
+    of, linked = {r["doc_id"]: r["class"] for r in members.collect()}, [tuple(r) for r in pairs.collect()]
+    assert len(linked) == len(set(linked)) and all(a < b for a, b in linked)
+    linked = set(linked)
+    met = lambda c, d: None not in (c, d) and (c == d or (min(c, d), max(c, d)) in linked)
+    assert {(i, j) for i, j in combinations(range(len(rows)), 2) if met(of[i], of[j])} == want
+    found = ngram_join.link_counts(frame.withColumn("doc_id", F.when(F.col("doc_id") >= 10, F.col("doc_id"))), size, percent)
+    degree = Counter(x for pair in want for x in pair)
+    assert Counter((r["doc_id"], r["n_links"]) for r in found.collect()) == Counter((i if i >= 10 else None, degree[i]) for i, _ in rows)
+
+
 def test_frequent_shingles_change_nothing(spark, monkeypatch):
     monkeypatch.setattr(ngram_join, "SAMPLED", 1)
     monkeypatch.setattr(ngram_join, "SEEN", 2)
