@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 from html import unescape
 
@@ -12,14 +13,18 @@ _TAG = re.compile(
     re.DOTALL,
 )
 _ATTRIBUTE = re.compile(r"([^\s\"'>/=][^\s/>=]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]*)))?")
-_RULE = re.compile(r"([^{}@]+)\{([^{}]*)\}")
+#: Comments, strings and escapes, in which braces don't count, and the marks that do.
+_CSS = re.compile(r"/\*.*?(?:\*/|\Z)|\"(?:[^\"\\\n]|\\.)*(?:\"|(?=\n)|\Z)|'(?:[^'\\\n]|\\.)*(?:'|(?=\n)|\Z)|\\.|[{};]", re.DOTALL)
 _SIMPLE = re.compile(r"([a-z][a-z0-9]*)?((?:[.#][\w-]+)*)$", re.IGNORECASE)
 _WHITE = " \t\n\f\r"
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes noscript".split())
 #: Never shown, whatever their style (a page with scripts shows no noscript).
-UNSEEN = frozenset("head script style title template noscript iframe noembed noframes datalist object audio video canvas svg math".split())
+UNSEEN = frozenset("head script style title template noscript iframe noembed noframes datalist object audio video canvas".split())
+#: Never shown inside svg, which shows text elements and foreignObject only, and inside math.
+UNDRAWN = frozenset("defs symbol clippath mask marker pattern lineargradient radialgradient filter desc metadata".split())
+NOTES = frozenset("annotation annotation-xml mphantom".split())
 BLOCK = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form"
     " h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre search section summary ul xmp"
@@ -44,6 +49,13 @@ _ENDS = {
     "th": ({"td", "th"}, {"tr", "table"}),
     **{t: (_ROWS_OF | {"caption", "colgroup"}, {"table"}) for t in (*_ROWS_OF, "caption", "colgroup")},
 }
+#: Elements of pages that end an open svg or math, unless one of ``_PAGE_IN`` comes first.
+_BREAKS = frozenset(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p pre ruby s"
+    " small span strong strike sub sup table tt u ul var".split()
+)
+_FOREIGN = frozenset({"svg", "math"})
+_PAGE_IN = frozenset("foreignobject desc mi mo mn ms mtext annotation-xml".split())
 _SCOPE = frozenset("table td th caption template object html".split())
 
 
@@ -68,6 +80,7 @@ class _Builder:
         self.root = Node("html")
         self.stack = [self.root]
         self.styles: list[str] = []
+        self.foreign = False  # whether the page has svg or math
 
     def _open(self, tags, beyond) -> int | None:
         """Place of the innermost open element of ``tags``, None if ``beyond`` comes first."""
@@ -107,6 +120,8 @@ class _Builder:
         self._add(unescape(data) if "&" in data else data)
 
     def start(self, tag: str, attributes: dict[str, str], closed: bool) -> None:
+        if self.foreign and tag in _BREAKS:
+            self._end(_FOREIGN, _PAGE_IN)
         if tag in ("html", "body"):
             if tag == "body":
                 self._end({"head"}, ())
@@ -133,7 +148,8 @@ class _Builder:
                 self.stack.append(row)
         node = Node(tag, attributes)
         self._add(node, of_table or tag in ("script", "style", "template"))
-        if tag not in VOID and not (closed and tag in ("svg", "math")):
+        self.foreign |= tag in _FOREIGN
+        if tag not in VOID and not (closed and (tag in _FOREIGN or self.foreign and self._open(_FOREIGN, _PAGE_IN))):
             self.stack.append(node)
 
     def end(self, tag: str) -> None:
@@ -165,13 +181,15 @@ def build(html: str) -> tuple[Node, list[str]]:
         if tag := match["start"]:
             tag = tag.lower()
             given = match["attributes"]
-            builder.start(tag, _attributes(given) if given else {}, given.endswith("/"))
-            if tag in RAW:
+            attributes = _attributes(given) if given else {}
+            builder.start(tag, attributes, given.endswith("/"))
+            if tag in RAW and builder.stack[-1].tag == tag:
                 close = re.compile(rf"</{tag}(?=[\s/>]|\Z)", re.IGNORECASE).search(html, at)
                 end = close.start() if close else size
                 content = html[at:end]
                 if tag == "style":
-                    builder.styles.append(content)
+                    if _on_screen(attributes.get("media", "")):
+                        builder.styles.append(content)
                 elif tag in ("textarea", "xmp"):
                     builder._add(unescape(content) if tag == "textarea" else content)
                 at = end
@@ -185,13 +203,50 @@ def _declared(style: str) -> dict[str, str]:
     return {n.strip(): v.replace("!important", "").strip() for n, _, v in pairs if n.strip() in ("display", "visibility", "text-align", "white-space")}
 
 
+def _on_screen(media: str) -> bool:
+    """Whether a list of media queries is known to hold on a screen, whatever its size and settings."""
+    queries = [" ".join(q.lower().split()) for q in media.split(",")]
+    return not media.strip() or any(re.fullmatch(r"(only )?(all|screen)|not (?!(all|screen|only)$)[a-z-]+", q) for q in queries)
+
+
+def _applies(prelude: str) -> bool:
+    """Whether the rules in a block are known to apply: those of a layer, and of media queries that hold."""
+    match = re.match(r"@(layer|media)(?![\w-])(.*)", prelude, re.DOTALL | re.IGNORECASE)
+    return bool(match) and (match[1].lower() == "layer" or _on_screen(match[2]))
+
+
+def _rules(css: str) -> Iterator[tuple[str, str]]:
+    """(selectors, declarations) of the style rules that are known to apply on a screen.
+
+    Rules in other at-rules (print, widths, ``@supports``, ``@container``, key frames), and rules in rules, are left out.
+    """
+    css = _CSS.sub(lambda m: "" if m[0].startswith("/*") else m[0], css)
+    blocks: list[tuple[str, list[str]]] = []  # what stands before an open block, and its declarations
+    begin = 0
+    for mark in _CSS.finditer(css):
+        if mark[0] not in ("{", "}", ";"):
+            continue
+        before, begin = css[begin : mark.start()], mark.end()
+        if mark[0] == "{":
+            blocks.append((before.strip(), []))
+        elif blocks:
+            blocks[-1][1].append(before)
+            if mark[0] == "}":
+                prelude, declarations = blocks.pop()
+                if not prelude.startswith("@") and all(_applies(outer) for outer, _ in blocks):
+                    yield prelude, ";".join(declarations)
+
+
 class Sheet:
-    """Rules of a page's style sheets with simple selectors (tag, class, id) that bear on visibility and layout."""
+    """Rules of a page's style sheets with simple selectors (tag, class, id) that bear on visibility and layout.
+
+    Rules that apply only under a condition not known to hold on a screen hide nothing.
+    """
 
     def __init__(self, styles: list[str]) -> None:
         self.rules: list[tuple[str, frozenset[str], frozenset[str], dict[str, str]]] = []
         for style in styles:
-            for selectors, body in _RULE.findall(re.sub(r"/\*.*?\*/", "", style, flags=re.DOTALL)):
+            for selectors, body in _rules(style):
                 if declared := _declared(body):
                     for selector in selectors.split(","):
                         if (match := _SIMPLE.match(selector.strip())) and selector.strip():

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .markup import BLOCK, SPACED, UNSEEN, Node, Sheet, build
+from .markup import BLOCK, NOTES, SPACED, UNDRAWN, UNSEEN, Node, Sheet, build
 from .tables import map_arrow, slices
 
 _RUN = re.compile(r"[ \t\n\f\r]+")
@@ -124,25 +124,32 @@ class _Renderer:
     def lines(self, top: Node, hidden: bool, kept: bool, tables: int) -> list[str]:
         """Rendered children of ``top``; hidden and kept (white space) are inherited."""
         page = _Page()
-        stack: list[tuple] = [(top, iter(top.children), hidden, kept, None)]
+        # The last is "svg" in a drawing, "text" in its text, "math" in a formula.
+        stack: list[tuple] = [(top, iter(top.children), hidden, kept, None, "")]
         while stack:
-            node, children, hidden, kept, leave = stack[-1]
+            node, children, hidden, kept, leave, inside = stack[-1]
             child = next(children, None)
             if child is None:
                 stack.pop()
-                if leave:
+                if leave == "word":
+                    page.space = True
+                elif leave:
                     page.block(leave == "spaced")
                     if node.tag in ("li", "dd", "blockquote"):
                         page.indents.pop()
                 continue
             if isinstance(child, str):
-                if not hidden:
+                if not hidden and inside != "svg":
                     page.text(child, kept)
                 continue
             tag = child.tag
             if tag in UNSEEN or tag == "dialog" and "open" not in child.attributes:
                 continue
+            if inside and tag in (NOTES if inside == "math" else UNDRAWN):
+                continue
             style = self.sheet.style(child)
+            if inside in ("svg", "text"):
+                style = {n: child.attributes[n].strip().lower() for n in ("display", "visibility") if n in child.attributes} | style
             if style.get("display") == "none":
                 continue
             unseen = hidden
@@ -167,10 +174,10 @@ class _Renderer:
                 page.block(True)
                 continue
             as_block = (tag in BLOCK or tag in ("tr", "thead", "tbody", "tfoot") or display in ("block", "flex", "grid", "list-item", "table")) and not display.startswith("inline")
-            inside = iter(child.children)
+            within = iter(child.children)
             if tag == "details" and "open" not in child.attributes:
                 first = next((c for c in child.children if isinstance(c, Node) and c.tag == "summary"), None)
-                inside = iter([first] if first is not None else [])
+                within = iter([first] if first is not None else [])
             leave = None
             if as_block:
                 # A list in a list follows its item without an empty line.
@@ -182,11 +189,17 @@ class _Renderer:
                     page.indents.append([marker, " " * len(marker)])
                 elif tag in ("dd", "blockquote"):
                     page.indents.append([_GAP, _GAP])
-            elif tag in ("td", "th"):
+            elif tag in ("td", "th") or inside == "math" and (tag == "mtd" or node.tag == "mfrac"):
                 page.space = True
+            elif inside == "svg" and tag in ("text", "foreignobject") or inside == "text" and not child.attributes.keys().isdisjoint(("x", "y", "dy")):
+                leave, page.space = "word", True
             if tag in ("pre", "textarea") and child.children and isinstance(child.children[0], str) and child.children[0].startswith("\n"):
                 child.children[0] = child.children[0][1:]
-            stack.append((child, inside, unseen, spaces, leave))
+            if tag in ("svg", "math"):
+                inside = tag
+            elif inside in ("svg", "text") and tag in ("text", "foreignobject"):
+                inside = "text" if tag == "text" else ""
+            stack.append((child, within, unseen, spaces, leave, inside))
         return page.done()
 
     def _rows(self, table: Node) -> tuple[list[Node], list[Node]]:
@@ -262,7 +275,10 @@ class _Renderer:
 
 
 def render(html: str) -> str:
-    """All visible text of a page as it is laid out; empty lines between spaced blocks, never two in a row outside of ``pre``."""
+    """All visible text of a page as it is laid out; empty lines between spaced blocks, never two in a row outside of ``pre``.
+
+    Of drawings (svg) the text elements count, not what ``use`` repeats; of formulas (math) all but annotations, on one line.
+    """
     root, styles = build(html)
     sheet = Sheet(styles)
     style = sheet.style(root)

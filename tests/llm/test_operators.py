@@ -381,6 +381,23 @@ def test_rendering(html, text):
     assert render(html) == text
 
 
+@pytest.mark.parametrize("html, text", [
+    ("<style>@media print{nav,.side{display:none}} @media (max-width:600px){ .main{display:none} }</style><nav>n</nav><div class=side>s</div><div class=main>m</div>", "n\ns\nm"),
+    ("<style>@media print{.a{color:red}.b{display:none}}.c{display:none}</style><p class=b>b<p class=c>c", "b"),
+    ("<style>@media Screen{.a{display:none}}@media not print,(width<9px){.b{display:none}}@layer x{@media all{.c{display:none}}}</style><p class=a>a<p class=b>b<p class=c>c<p>d", "d"),
+    ("<style>@media screen{@media print{.a{display:none}}}@supports (x:y){.b{display:none}}</style><p class=a>a<p class=b>b", "a\n\nb"),
+    ("<style>@import 'x{';@media print{.q::after{content:'}'} .a{display:none}}/*}*/.b{display:none}</style><p class=a>a<p class=b>b", "a"),
+    ("<style>.a{color:red;.b{display:none};display:none}</style><p class=a>a<p class=b>b", "b"),
+    ("<style media=print>p{display:none}</style><style media='screen, print'>.b{display:none}</style><p>a<p class=b>b", "a"),
+    ("a<svg><title>t</title><style/><path d='M0'/><clipPath/><defs><text>no</text></defs>no<g><text x=1>one <tspan>two</tspan></text><text>three<tspan x=0 dy=1em>four</tspan></text></g></svg>b", "a one two three four b"),
+    ("<svg><text display=none>no</text><text visibility=hidden>no</text><foreignObject><div>div</div></foreignObject></svg>", "div"),
+    ("<svg><path><p>after</p>", "after"),
+    ("so <math><semantics><mrow><mi>x</mi><mo>=</mo><mfrac><mn>1</mn><mn>2</mn></mfrac></mrow><annotation>x=1/2</annotation></semantics></math> holds", "so x= 1 2 holds"),
+])
+def test_text_in_conditions_drawings_and_formulas(html, text):
+    assert render(html) == text
+
+
 @given(st.lists(st.sampled_from(["<p>", "</p>", "<table>", "<tr>", "<td colspan=2>", "</table>", "<li>", "<ul>", "</ul>", "<div>", "</div>", "<b>", "</i>", "<th>", "<caption>", "<tbody>", "</td>", "<br>", "<pre>", "</pre>", "<h1>", "<dd>", "<option>", "<", "</", "<a b='"]) | st.integers(10, 99).map(lambda n: f"w{n}w"), max_size=30))
 @settings(max_examples=400, deadline=None)
 def test_no_text_is_lost(parts):
