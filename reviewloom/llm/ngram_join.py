@@ -38,7 +38,7 @@ SAMPLED, SEEN = 32, 8
 TABLE_BITS = 1 << 25
 #: Classes of a tile that all meet at once, and of a larger tile that meet in one block.
 FEW, BLOCK = 8, 512
-#: Elements of all sets that one task holds at a time to settle pairs: 64 MB.
+#: Elements of one share of sets, 64 MB; a task that settles pairs holds two shares at a time.
 HELD = 1 << 23
 SLICE = 1 << 20
 
@@ -279,10 +279,11 @@ def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def _together(pairs: DataFrame, found: DataFrame) -> DataFrame:
-    """``pairs`` with ``bucket``: pairs of one neighbourhood share a bucket, so that a set goes to few; stored.
+    """``pairs`` with ``bucket`` and ``cell``: pairs of one neighbourhood share a cell, so that a set goes to few; stored.
 
     A neighbourhood is led by the smallest class within two steps. One whose sets have more than ``HELD``
-    elements is cut into shares, and shares are dealt out to as many buckets as all elements fill.
+    elements is cut into shares of about as many, and every two shares meet in a cell of their own. Cells are dealt out
+    to as many buckets as their elements fill; a task holds the sets of one cell at a time.
     """
     ways = pairs.unionAll(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
     near = ways.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("lead"))
@@ -291,16 +292,18 @@ def _together(pairs: DataFrame, found: DataFrame) -> DataFrame:
     members = led.select("lead", F.col("a").alias("node")).unionAll(led.select("lead", "b")).distinct()
     full = members.join(found.select("node", "n"), "node").groupBy(F.col("lead").alias("_lead")).agg(F.sum("n").alias("n"))
     full = stored(full, "neighbourhoods")
-    buckets = -(-(full.agg(F.sum("n")).head()[0] or 1) // HELD)
-    share = F.pmod(F.xxhash64("a"), F.ceil(F.col("n") / HELD))
-    bucket = F.pmod(F.xxhash64("lead", share), F.lit(buckets)).cast("int")
-    return stored(led.join(full, F.col("lead") == F.col("_lead")).select(bucket.alias("bucket"), "a", "b"), "dealt-pairs")
+    shares = F.ceil(F.col("n") / HELD)
+    buckets = -(-(full.agg(F.sum(F.col("n") * shares)).head()[0] or 1) // HELD)
+    of_a, of_b = F.pmod(F.xxhash64("a"), shares), F.pmod(F.xxhash64("b"), shares)
+    cell = F.xxhash64("lead", F.least(of_a, of_b), F.greatest(of_a, of_b))
+    dealt = led.join(full, F.col("lead") == F.col("_lead")).select(cell.alias("cell"), "a", "b")
+    return stored(dealt.select(F.pmod("cell", F.lit(buckets)).cast("int").alias("bucket"), "cell", "a", "b"), "dealt-pairs")
 
 
 def verified(pairs: DataFrame, found: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
     """(a, b, linked) for stored ``pairs``, by exact intersection of the sorted sets of their texts; stored.
 
-    Only texts that are asked for travel, in less space than their sets: to the buckets that ask for them, once each, where
+    Only texts that are asked for travel, in less space than their sets: to the cells that ask for them, once each, where
     they come before the pairs and become sorted arrays.
     """
 
@@ -309,9 +312,9 @@ def verified(pairs: DataFrame, found: DataFrame, docs: DataFrame, size: int, per
         for batch in batches:
             done = []
             texts = batch.column("text")
-            for i, (bucket, pair, a, b) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("bucket", "pair", "a", "b")), strict=True)):
-                if bucket != at:
-                    at, held = bucket, {}
+            for i, (cell, pair, a, b) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("cell", "pair", "a", "b")), strict=True)):
+                if cell != at:
+                    at, held = cell, {}
                 if not pair:
                     held[a] = next(shingle_sets(words_of(texts.slice(i, 1)), size))
                     continue
@@ -325,15 +328,15 @@ def verified(pairs: DataFrame, found: DataFrame, docs: DataFrame, size: int, per
             yield pa.RecordBatch.from_arrays(columns, names=["a", "b", "linked"])
 
     dealt = _together(pairs, found)
-    asked = dealt.select("bucket", F.col("a").alias("node")).unionAll(dealt.select("bucket", "b")).distinct()
+    asked = dealt.select("bucket", "cell", F.col("a").alias("node")).unionAll(dealt.select("bucket", "cell", "b")).distinct()
     asked = stored(asked.join(found.select("node", "doc_id", "hash"), "node"), "asked")
     texts = _texts(docs, asked)
     # No bound on what is asked for is known, so it is never broadcast.
     sent = texts.join(asked.hint("merge"), texts["id"].eqNullSafe(asked["doc_id"]) & (F.col("h") == F.col("hash")))
-    rows = sent.select("bucket", F.lit(False).alias("pair"), F.col("node").alias("a"), F.lit(None).cast("long").alias("b"), "text").unionAll(
-        dealt.select("bucket", F.lit(True), "a", "b", F.lit(None).cast("string"))
+    rows = sent.select("bucket", "cell", F.lit(False).alias("pair"), F.col("node").alias("a"), F.lit(None).cast("long").alias("b"), "text").unionAll(
+        dealt.select("bucket", "cell", F.lit(True), "a", "b", F.lit(None).cast("string"))
     )
-    rows = rows.repartition("bucket").sortWithinPartitions("bucket", "pair")
+    rows = rows.repartition("bucket").sortWithinPartitions("bucket", "cell", "pair")
     return stored(map_arrow(rows, settled, "a long, b long, linked boolean"), "settled")
 
 

@@ -100,6 +100,21 @@ def test_every_link_is_found(spark, monkeypatch, size, percent, block, held):
     assert Counter((r["doc_id"], r["n_links"]) for r in found.collect()) == Counter((i if i >= 10 else None, degree[i]) for i, _ in rows)
 
 
+def test_settling_holds_two_shares(spark, monkeypatch):
+    """Of a dense neighbourhood and many small ones, no more than two shares of sets come together."""
+    monkeypatch.setattr(ngram_join, "HELD", 1000)
+    found = spark.range(400).select(F.col("id").alias("node"), F.lit(50).cast("long").alias("n"))
+    dense = [(a, b) for a, b in combinations(range(200), 2)]
+    dealt = ngram_join._together(spark.createDataFrame(dense + [(a, a + 1) for a in range(200, 400, 2)], "a long, b long"), found)
+    rows = dealt.collect()
+    assert sorted((r["a"], r["b"]) for r in rows) == sorted(dense + [(a, a + 1) for a in range(200, 400, 2)])
+    held = {}
+    for r in rows:
+        held.setdefault(tuple(r[c] for c in dealt.columns if c not in ("a", "b")), set()).update((r["a"], r["b"]))
+    # Shares are dealt by a hash, so that one may be twice as large as meant.
+    assert max(len(nodes) * 50 for nodes in held.values()) <= 2 * 2 * 1000
+
+
 def test_frequent_shingles_change_nothing(spark, monkeypatch):
     monkeypatch.setattr(ngram_join, "SAMPLED", 1)
     monkeypatch.setattr(ngram_join, "SEEN", 2)
