@@ -1,8 +1,8 @@
 """Exact Jaccard self-join over word n-grams, and the groups that it links.
 
 Documents with equal sets are one class. Any two sets that are similar enough share an element among the
-first few of a common order of all elements (the prefix), so classes meet in tiles, one per prefix element
-and size band. In a tile, hashed bitmaps decide first: each element flips one bit, and the number of bits in
+first few of a common order of all elements (the prefix), so classes meet in tiles, one per prefix element;
+large ones are cut by size bands, of which only equal and adjacent ones meet. In a tile, hashed bitmaps decide first: each element flips one bit, and the number of bits in
 which two bitmaps differ bounds the elements that only one set has from below, hence the overlap from
 above. Pairs that pass are settled by an exact intersection of the sorted arrays.
 
@@ -194,7 +194,7 @@ def tiles(found: DataFrame, percent: int) -> DataFrame:
     before). Of more, each row has the row before and the first of its size band, null where sizes don't fit; only
     the last row of such a run is kept from batch to batch.
     """
-    step = math.log(100 / percent) if percent < 100 else 1.0
+    step = _step(percent)
 
     def shared(batches):
         names = ["token", "node", "n", "before", "centre"]
@@ -409,6 +409,35 @@ def _connecting(distances: np.ndarray, group: np.ndarray) -> Iterator[tuple[int,
             front = np.flatnonzero(reached)
 
 
+def _step(percent: int) -> float:
+    """Width of a size band in logarithms: sizes that fit are in equal or adjacent bands, whatever the rounding."""
+    return math.log(100 / percent) * (1 + 1e-9) if percent < 100 else 1.0
+
+
+def _cells(marked: DataFrame, percent: int) -> DataFrame:
+    """(token, i, j, block, node, grp, n): rows of tiles with more than one group, once per cell (token, i, j).
+
+    A tile of up to ``BLOCK`` rows is one block. A larger one is cut into size bands and these into blocks; every two blocks
+    of equal or adjacent bands meet in a cell of their own.
+    """
+    marked = marked.withColumn("band", F.floor(F.log("n") / _step(percent)))
+    bands = marked.groupBy("token", "band").agg(F.min("grp").alias("low"), F.max("grp").alias("high"), F.count(F.lit(1)).alias("size"))
+    blocks = F.map_from_entries(F.collect_list(F.struct("band", F.ceil(F.col("size") / BLOCK).alias("blocks"))))
+    mixed = bands.groupBy(F.col("token").alias("t")).agg(F.min("low").alias("low"), F.max("high").alias("high"), F.sum("size").alias("size"), blocks.alias("blocks"))
+    mixed = mixed.where("low <> high").select("t", F.when(F.col("size") > BLOCK, F.col("blocks")).alias("blocks"))
+    code = lambda band, block: F.shiftleft(band, 32) + block
+    of = lambda band: F.coalesce(F.try_element_at("blocks", band), F.lit(0).cast("long"))
+    met = lambda band: F.transform(
+        F.filter(F.sequence(F.lit(0).cast("long"), of(band)), lambda k: k < of(band)), lambda k: code(band, k))
+    one = F.col("blocks").isNull()
+    rows = marked.join(mixed, F.col("token") == F.col("t"))
+    own = code(F.col("band"), F.pmod(F.xxhash64("node"), of(F.col("band"))))
+    rows = rows.withColumn("block", F.when(one, F.lit(0).cast("long")).otherwise(own))
+    partners = F.concat(*[met(F.col("band") + d) for d in (-1, 0, 1)])
+    rows = rows.withColumn("with", F.explode(F.when(one, F.array(F.lit(0).cast("long"))).otherwise(partners)))
+    return rows.select("token", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"), "block", "node", "grp", "n")
+
+
 def _block_pairs(rows: list, percent: int, connect: bool) -> Iterator[tuple[int, int]]:
     """Pairs of different groups in one cell of a tile that sizes and bitmaps allow: all, or enough to ``connect`` them."""
     distances = _distances(rows, percent)
@@ -424,7 +453,7 @@ def _block_pairs(rows: list, percent: int, connect: bool) -> Iterator[tuple[int,
 def group_pairs(tiled: DataFrame, found: DataFrame, groups: DataFrame, percent: int, connect: bool) -> DataFrame:
     """(a, b): pairs of a tile whose classes are in different groups and that sizes and bitmaps allow; see ``_block_pairs``.
 
-    A large tile is cut into blocks, and every two blocks meet in a cell of their own.
+    A large tile is cut into blocks, which meet in cells; see ``_cells``.
     """
 
     def cells(batches):
@@ -446,13 +475,8 @@ def group_pairs(tiled: DataFrame, found: DataFrame, groups: DataFrame, percent:
 
     group = F.coalesce("component", "node").alias("grp")
     marked = tiled.select("token", "node", "n").join(groups, "node", "left").select("token", "node", "n", group)
-    mixed = marked.groupBy("token").agg(F.min("grp").alias("low"), F.max("grp").alias("high"), F.count(F.lit(1)).alias("size"))
-    mixed = mixed.where("low <> high").select(F.col("token").alias("t"), F.ceil(F.col("size") / BLOCK).alias("blocks"))
-    rows = marked.join(mixed, F.col("token") == F.col("t"))
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
-    rows = rows.withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    rows = rows.join(found.select("node", "bits"), "node")
-    rows = rows.select("token", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"), "block", "node", "grp", "n", "bits")
+    rows = _cells(marked, percent).join(found.select("node", "bits"), "node")
+    rows = rows.select("token", "i", "j", "block", "node", "grp", "n", "bits")
     rows = rows.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
     return map_arrow(rows, cells, "a long, b long").distinct()
 

@@ -100,6 +100,25 @@ def test_every_link_is_found(spark, monkeypatch, size, percent, block, held):
     assert Counter((r["doc_id"], r["n_links"]) for r in found.collect()) == Counter((i if i >= 10 else None, degree[i]) for i, _ in rows)
 
 
+@pytest.mark.parametrize("percent", [50, 80, 85, 100])
+def test_size_bands_of_large_tiles(spark, monkeypatch, percent):
+    """Classes of a large tile that sizes allow meet in one cell each, those of distant bands in none."""
+    monkeypatch.setattr(ngram_join, "BLOCK", 7)
+    sizes = [int(1.09**k) + 1 for k in range(60)] * 2 + [4, 8, 16, 17, 20, 64, 80, 100]
+    marked = spark.createDataFrame([(5, i, n, i) for i, n in enumerate(sizes)], "token long, node long, n long, grp long")
+    cells = {}
+    for r in ngram_join._cells(marked, percent).collect():
+        cells.setdefault((r["i"], r["j"]), []).append((r["block"], r["node"], r["n"]))
+    met = Counter()
+    for rows in cells.values():
+        crossed = len({b for b, *_ in rows}) > 1
+        met.update((min(x[1], y[1]), max(x[1], y[1])) for x, y in combinations(rows, 2) if not crossed or x[0] != y[0])
+    assert {(i, j) for i, j in combinations(range(len(sizes)), 2) if ngram_join.fit(sizes[i], sizes[j], percent)} <= set(met)
+    assert max(met.values()) == 1
+    far = (100 / percent) ** 2 * 1.01 if percent < 100 else 2.8**2
+    assert all(max(sizes[i], sizes[j]) <= far * min(sizes[i], sizes[j]) for i, j in met)
+
+
 def test_settling_holds_two_shares(spark, monkeypatch):
     """Of a dense neighbourhood and many small ones, no more than two shares of sets come together."""
     monkeypatch.setattr(ngram_join, "HELD", 1000)
