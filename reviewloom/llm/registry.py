@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import line_dedup, lz_fingerprint, mixing, ngram_join, packing, quality, rendering, sql, tokens, toxicity, warc
+from . import fill_middle, line_dedup, lz_fingerprint, mixing, ngram_join, packing, quality, rendering, sql, tokens, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -90,3 +90,8 @@ def _(spark, folder):
 @query("op10_token_counts")
 def _(spark, folder):
     return tokens.count_tokens(documents(spark, folder), tokenizer_path())
+
+
+@query("op11_fill_in_middle", sql.FILL_MIDDLE)
+def _(spark, folder):
+    return fill_middle.digests(documents(spark, folder))

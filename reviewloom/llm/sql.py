@@ -77,3 +77,27 @@ SELECT page_id, payload_bytes,
     CASE WHEN page_id = first_page THEN 'response' ELSE 'revisit' END AS record_type,
     CASE WHEN page_id <> first_page THEN first_page END AS refers_to
 FROM numbered"""
+
+
+_UNITS = "'[A-Za-z]+|[^A-Za-z]'"
+FILL_MIDDLE = rf"""
+WITH cut AS (
+    SELECT doc_id, coalesce(text, '') AS body, regexp_extract_all(coalesce(text, ''), {_UNITS}) AS units,
+        list_transform(range(4), lambda g: CAST('0x' || substr(sha256('1:' || doc_id), 8 * g + 1, 8) AS BIGINT)) AS h FROM documents),
+planned AS (
+    SELECT doc_id, body, units, len(units)::BIGINT AS n, least(h[1] % (len(units) + 1), h[2] % (len(units) + 1)) AS low,
+        greatest(h[1] % (len(units) + 1), h[2] % (len(units) + 1)) AS high,
+        CASE WHEN body = '' OR contains(body, '<P>') OR contains(body, '<S>') OR contains(body, '<M>') OR h[3] % 100 >= 90 THEN 'plain'
+            WHEN h[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM cut),
+parts AS (
+    SELECT *, array_to_string(units[1:low], '') AS prefix, array_to_string(units[low + 1:high], '') AS middle,
+        array_to_string(units[high + 1:], '') AS suffix FROM planned),
+made AS (
+    SELECT *, CASE form WHEN 'plain' THEN body WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END AS output FROM parts)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+    CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars, sha256(output) AS output_sha256,
+    sha256(CASE form WHEN 'plain' THEN output
+        WHEN 'psm' THEN regexp_replace(output, '^<P>(.*)<S>(.*)<M>(.*)$', '\1\3\2', 's')
+        ELSE regexp_replace(output, '^<S>(.*)<P>(.*)<M>(.*)$', '\2\3\1', 's') END) AS restored_sha256
+FROM made"""
