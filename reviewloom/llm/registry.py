@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fill_middle, line_dedup, lz_fingerprint, mixing, ngram_join, packing, quality, rendering, sql, tokens, toxicity, warc
+from . import divergence, fill_middle, language_id, line_dedup, lz_fingerprint, mixing, ngram_join, packing, quality, rendering, sql, tokens, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -95,3 +95,13 @@ def _(spark, folder):
 @query("op11_fill_in_middle", sql.FILL_MIDDLE)
 def _(spark, folder):
     return fill_middle.digests(documents(spark, folder))
+
+
+@query("op12_language_id")
+def _(spark, folder):
+    return language_id.identify(documents(spark, folder))
+
+
+@query("op13_source_divergence", sql.DIVERGENCE)
+def _(spark, folder):
+    return divergence.audit(documents(spark, folder))

@@ -101,3 +101,31 @@ SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS pre
         WHEN 'psm' THEN regexp_replace(output, '^<P>(.*)<S>(.*)<M>(.*)$', '\1\3\2', 's')
         ELSE regexp_replace(output, '^<S>(.*)<P>(.*)<M>(.*)$', '\2\3\1', 's') END) AS restored_sha256
 FROM made"""
+
+
+_TERMS = r"'[^\x00-\x40\x5B-\x60\x7B-\x7F]+'"
+_P = "1 + (1000000000::HUGEINT * ({} + 2)) // ({} + 2 * vocabulary)"
+DIVERGENCE = f"""
+WITH doc AS (
+    SELECT doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source, {_LOWER.format("coalesce(text, '')")} AS body FROM documents),
+word AS (SELECT doc_id, lang, source, unnest(regexp_extract_all(body, {_TERMS})) AS term FROM doc),
+kept AS (SELECT lang, term, count(*) AS all_n FROM word GROUP BY lang, term HAVING count(DISTINCT doc_id) >= 10),
+used AS (SELECT lang, source, term, count(*) AS n FROM word SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+grp AS (SELECT DISTINCT lang, source FROM doc),
+lang_size AS (SELECT lang, count(*) AS vocabulary, sum(all_n) AS all_size FROM kept GROUP BY lang),
+grp_size AS (SELECT lang, source, sum(n) AS size FROM used GROUP BY ALL),
+share AS (
+    SELECT g.lang, g.source, k.term, coalesce(u.n, 0) AS n, {_P.format("coalesce(u.n, 0)", "coalesce(s.size, 0)")} AS p,
+        {_P.format("k.all_n", "all_size")} AS q
+    FROM grp g JOIN kept k USING (lang) JOIN lang_size USING (lang) LEFT JOIN grp_size s ON g.lang = s.lang AND g.source = s.source
+    LEFT JOIN used u ON u.lang = g.lang AND u.source = g.source AND u.term = k.term),
+apart AS (
+    SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS value
+    FROM share a JOIN share b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+found AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0)::BIGINT AS value
+    FROM grp a JOIN grp b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN apart x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source
+    UNION ALL SELECT lang, source, 'term', term, (((p - q) * (p - q)) // (p + q))::BIGINT FROM share WHERE n > 0 AND p > q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank FROM found)
+SELECT * FROM ranked WHERE part = 'pair' OR rank <= 10"""

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-_GOLDEN = np.uint64(0x9E3779B97F4A7C15)
+GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
@@ -25,7 +25,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def _byte_values(lower: bool) -> np.ndarray:
-    values = mix(np.arange(1, 257, dtype=np.uint64) * _GOLDEN)
+    values = mix(np.arange(1, 257, dtype=np.uint64) * GOLDEN)
     if lower:
         values[65:91] = values[97:123]
     values[_SPACE] = 0
@@ -60,13 +60,13 @@ def _word_hashes(data: np.ndarray, starts_row: np.ndarray, lower: bool, stem: in
     within = np.arange(len(data), dtype=np.int64)
     within -= np.repeat(np.concatenate([[0], at]), np.diff(np.concatenate([[0], at, [len(data)]])))
     # White space has the value 0 and may follow a word in its stretch: it adds nothing but a longer table.
-    powers = np.cumprod(np.full(int(within.max()) + 1, _GOLDEN, np.uint64))
+    powers = np.cumprod(np.full(int(within.max()) + 1, GOLDEN, np.uint64))
     parts = _VALUES[lower][data] * powers[within]
     hashes = mix(np.add.reduceat(parts, at))
     if not stem:
         return at, hashes, hashes[:0]
     parts[within >= stem] = 0
-    return at, hashes, mix(np.add.reduceat(parts, at) + _GOLDEN)
+    return at, hashes, mix(np.add.reduceat(parts, at) + GOLDEN)
 
 
 def words_of(texts: pa.Array, lower: bool = True, stem: int = 0) -> Words:
@@ -91,7 +91,7 @@ def shingle_sets(words: Words, size: int) -> Iterator[np.ndarray]:
     count = max(0, len(hashes) - size + 1)
     runs = np.zeros(count, np.uint64)
     for k in range(size):
-        runs = runs * _GOLDEN + hashes[k : k + count]
+        runs = runs * GOLDEN + hashes[k : k + count]
     runs = mix(runs)
     for low, high in zip(words.first[:-1].tolist(), words.first[1:].tolist(), strict=True):
         if high - low >= size:
@@ -100,7 +100,7 @@ def shingle_sets(words: Words, size: int) -> Iterator[np.ndarray]:
             whole = np.uint64(high - low)
             with np.errstate(over="ignore"):
                 for h in hashes[low:high]:
-                    whole = whole * _GOLDEN + h
+                    whole = whole * GOLDEN + h
             yield mix(np.array([whole], np.uint64))
         else:
             yield np.zeros(0, np.uint64)
