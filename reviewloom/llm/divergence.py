@@ -147,8 +147,8 @@ def pair_sums(kept: DataFrame, sizes: DataFrame, block: int = BLOCK) -> DataFram
     rows = kept.join(sizes, "lang")
     placed = F.transform("by_source", lambda s: F.struct((F.array_position("sources", s["source"]) - 1).cast("int").alias("at"), s["n"].alias("n")))
     rows = rows.select("lang", F.array_sort(placed).alias("counts"), "term", "sources", "sizes", "vocabulary")
-    # The term comes last: many terms may share all their counts.
-    ordered = rows.repartitionByRange("lang", "counts", "term").sortWithinPartitions("lang", "counts").drop("term")
+    # Spark samples the keys of ranges on the driver, so these are short: the first counts, and the term, since many terms may share those.
+    ordered = rows.repartitionByRange("lang", F.slice("counts", 1, 3), "term").sortWithinPartitions("lang", "counts").drop("term")
 
     def sums(batches):
         now, held, size = None, [], 0

@@ -56,7 +56,7 @@ def _framed(batch: pa.RecordBatch, size: int, most_bytes: int = 4 << 20) -> list
     cuts = [_cuts(data, low, high, size) for low, high in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)]
     first = np.concatenate([[0], np.cumsum([len(c) for c in cuts])]).astype(np.int64)
     lows = np.array([low for c in cuts for low in c], np.int64)
-    highs = np.append(lows[1:], edges[-1])
+    highs = np.append(lows[1:], edges[-1])[: len(lows)]
     new_row = np.zeros(len(lows) + 1, dtype=bool)
     new_row[first[:-1]] = True
     units, points = np.zeros(len(lows), np.int64), np.zeros(len(lows), np.int64)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import brute
 import corpus_pipeline
-from reviewloom.llm import line_dedup, lz_fingerprint, mixing, ngram_join, packing, quality, rendering, tokens, toxicity, warc
+from reviewloom.llm import divergence, fill_middle, language_id, line_dedup, lz_fingerprint, mixing, ngram_join, packing, quality, rendering, tokens, toxicity, warc
 from reviewloom.llm.registry import tokenizer_path
 
 COLUMNS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -52,6 +52,9 @@ OPERATORS = {
     "packing": lambda d: packing.pack_documents(d, tokenizer_path()),
     "mixing": mixing.mixture,
     "counts": lambda d: tokens.count_tokens(d, tokenizer_path()),
+    "middle": fill_middle.digests,
+    "language": language_id.identify,
+    "divergence": lambda d: divergence.audit(d, least=2),
     "toxicity": lambda d: toxicity.score(d, toxicity.fit([], __import__("numpy").zeros(0, int))),
 }
 STAGES = dict(corpus_pipeline.STAGES[:-1])
@@ -65,7 +68,7 @@ def _rows(df):
 def test_operator_with_more_columns(docs, crowded, name):
     plain = OPERATORS[name](docs)
     assert _rows(OPERATORS[name](crowded)) == _rows(plain)
-    if name not in ("packing", "mixing"):
+    if name not in ("packing", "mixing", "divergence"):
         assert plain.count() == len(ROWS)
 
 

@@ -36,7 +36,7 @@ def test_queries_and_entry():
     import __spark_entry__ as entry
 
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries()) and set(ORACLE_SQL) <= set(entry.oracle_sql())
-    assert [n for n in range(1, 11) if any(q.startswith(f"op{n}_") for q in QUERIES)] == list(range(1, 11))
+    assert [n for n in range(1, 14) if any(q.startswith(f"op{n}_") for q in QUERIES)] == list(range(1, 14))
 
 
 # --- n-gram join -------------------------------------------------------------------
