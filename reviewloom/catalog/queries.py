@@ -131,7 +131,7 @@ def _(w):
 )
 def _(w):
     sample = joins.review_sample(w.sources)
-    known = skew.find_hot(w.sources["review"], "review_id")
+    known = w.sources.profiles.hot("review", "review_id")
     marked = skew.mark_first(sample, "review_id", clean.keep_order(sample.columns), hot=known)
     return marked.where("is_first").select("review_id", "p_id", "title")
 
@@ -909,13 +909,17 @@ def _(w):
 
 
 # --- shop ---------------------------------------------------------------------------------
+def _line_keys(w) -> shop.LineKeys:
+    return {c: w.sources.profiles.hot("cart_items", c) for c in skew.JOIN_KEYS["cart_items"]}
+
+
 @query(
     "cart_totals",
     """SELECT cart_id, CAST(coalesce(sum(qty) FILTER (known), 0) AS BIGINT) AS total_qty, round(coalesce(sum(price * qty), 0), 4) AS total_price,
     count(*) FILTER (NOT known) AS rejected_lines FROM f_lines GROUP BY cart_id""",
 )
 def _(w):
-    return _rounded(shop.cart_totals(w.sources["cart_items"], w.sources["product"]), total_price=4)
+    return _rounded(shop.cart_totals(w.sources["cart_items"], w.sources["product"], hot=_line_keys(w)), total_price=4)
 
 
 _UNKNOWN = "SELECT cart_id, p_id, qty, 'Product does not exist' AS error_details FROM f_lines WHERE NOT known"
@@ -923,7 +927,7 @@ _UNKNOWN = "SELECT cart_id, p_id, qty, 'Product does not exist' AS error_details
 
 @query("cart_rejected_lines", _UNKNOWN)
 def _(w):
-    return shop.rejected_lines(w.sources["cart_items"], w.sources["product"])
+    return shop.rejected_lines(w.sources["cart_items"], w.sources["product"], hot=_line_keys(w))
 
 
 _DEALS = """SELECT cart_id, round(gross, 4) AS total_before, round(cut, 4) AS discount_total, round(greatest(20000, gross - cut), 4) AS total_after FROM (
@@ -943,7 +947,7 @@ def _deal_totals(w, **options):
 
 @query("deal_totals", _DEALS)
 def _(w):
-    return _deal_totals(w)
+    return _deal_totals(w, hot=_line_keys(w))
 
 
 @query("deal_totals_hot_keys", _DEALS)
@@ -965,7 +969,8 @@ def _(w):
 
 def _checkout(w) -> shop.Checkout:
     s = w.sources
-    return shop.checkout(s["cart"], s["cart_items"], s["product"], F.lit(DEAL_DAY).cast("date"), first_order_id=1_000_000)
+    day = F.lit(DEAL_DAY).cast("date")
+    return shop.checkout(s["cart"], s["cart_items"], s["product"], day, first_order_id=1_000_000, hot=_line_keys(w))
 
 
 @query(
@@ -1033,8 +1038,7 @@ def _(w):
 
 
 def _order_documents(w, **options) -> DataFrame:
-    done = _checkout(w)
-    nested = shop.order_documents(done.orders, done.order_items, done.payments, done.shipments, **options)
+    nested = shop.checkout_documents(_checkout(w), **options)
     items = F.transform("items", lambda i: F.concat(i["p_id"], F.lit(":"), i["qty"].cast("string")))
     sent = F.transform("shipments", lambda s: s["p_id"])
     return nested.select(

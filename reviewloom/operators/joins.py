@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import JOINED_COLUMNS
-from .skew import HotKeys, find_all_hot, find_hot, salted_join, split_hot, spread_hash, two_sided_join
+from .skew import HotKeys, profiles_of, salted_join, split_hot, spread_hash, two_sided_join
 
 # Items that one row of a list holds, about: a list of n items comes in ceil(n / PART_ITEMS) parts.
 PART_ITEMS = 100_000
@@ -32,11 +32,14 @@ def orders_per_buyer(orders: DataFrame) -> DataFrame:
     return orders.groupBy("buyer_id").agg(F.count(F.lit(1)).alias("order_count"))
 
 
-def product_links(tables: Mapping[str, DataFrame], hot: HotKeys, product_id: str | None = None) -> DataFrame:
+def product_links(
+    tables: Mapping[str, DataFrame], hot: HotKeys, popular: HotKeys, product_id: str | None = None
+) -> DataFrame:
     """(review_id, p_id, product_name, category) per link.
 
     Built from the narrow side first, so that the review text takes no part in the
-    shuffle on the product key. A link whose product is unknown keeps null columns.
+    shuffle on the product key. A link whose product is unknown keeps null columns. ``hot``: products with many
+    links; ``popular``: categories with many products (few hold most, and many products have none).
     """
     links = tables["product_reviews"].select("p_id", "review_id")
     product = tables["product"].select("p_id", F.col("p_name").alias("product_name"), "category_id")
@@ -44,8 +47,6 @@ def product_links(tables: Mapping[str, DataFrame], hot: HotKeys, product_id: str
     if product_id is not None:
         links = links.where(F.col("p_id") == product_id)
         product = product.where(F.col("p_id") == product_id)
-    # Few categories hold most products, and many products have none.
-    popular = find_hot(product, "category_id")
     named = salted_join(product, category, popular, spread_hash("p_id")).select(
         "p_id", F.lit(True).alias("_known"), "product_name", "category"
     )
@@ -96,12 +97,11 @@ def join_parts(
     needs no further shuffle. Reviews without an id meet nothing but the orders of their buyer.
     """
     review = tables["review"].select("review_id", "buyer_id", "r_desc", "title", "rating")
-    linked = tables["product_reviews"]
-    many_rows, many_links, hot_buyers, hot_products = find_all_hot(
-        hot_rows, (review, "review_id"), (linked.where(F.col("review_id").isNotNull()), "review_id"),
-        (review, "buyer_id"), (linked, "p_id"),
-    )
-    links = product_links(tables, hot_products, product_id)
+    known = profiles_of(tables, "review", "product_reviews", "product", hot_rows=hot_rows)
+    many_rows, hot_buyers = (known.hot("review", c, hot_rows) for c in ("review_id", "buyer_id"))
+    many_links, hot_products = (known.hot("product_reviews", c, hot_rows) for c in ("review_id", "p_id"))
+    many_links = many_links.without_null()
+    links = product_links(tables, hot_products, known.hot("product", "category_id", hot_rows), product_id)
     images = first_image(tables["review_images"].where(F.col("review_id").isNotNull()))
     how = "left" if product_id is None else "inner"
     keys = many_rows.merge(many_links)
@@ -123,7 +123,7 @@ def join_parts(
         hot, links, many_rows, many_links, spread_hash("buyer_id", "title", "r_desc"), spread_hash("p_id"), how
     )
     # one image row per hot review id
-    hot_images = images.join(keys.table.withColumnRenamed("_hot_key", "review_id"), "review_id", "left_semi")
+    hot_images = images.join(keys.table(images.sparkSession).withColumnRenamed("_hot_key", "review_id"), "review_id", "left_semi")
     return parts, _project(salted_join(hot, hot_images, keys, spread_hash("buyer_id", "title", "p_id"))), keys
 
 
@@ -147,7 +147,8 @@ def top_products(
         F.count(F.lit(1)).alias("_rows"), F.sum("rating").alias("_sum"), F.count("rating").alias("_rated")
     )
     links = tables["product_reviews"].select("p_id", "review_id")
-    pairs = salted_join(links, ratings, find_hot(links, "review_id", hot_rows), spread_hash("p_id"), "inner")
+    many_links = profiles_of(tables, "product_reviews", hot_rows=hot_rows).hot("product_reviews", "review_id", hot_rows)
+    pairs = salted_join(links, ratings, many_links, spread_hash("p_id"), "inner")
     counts = (
         pairs.groupBy("p_id")
         .agg(F.sum("_rows").alias("nb_reviews"), F.sum("_sum").alias("_sum"), F.sum("_rated").alias("_rated"))
@@ -170,12 +171,13 @@ def review_sample(
     tables: Mapping[str, DataFrame], min_reviews: int = 15, top: int = 10, hot_rows: int | None = None
 ) -> DataFrame:
     """Distinct reviews of the ``top`` products by review count, with their flags."""
-    chosen = top_products(tables, min_reviews, 20, hot_rows).orderBy(F.desc("nb_reviews"), "p_id").limit(top)
     # at most `top` rows
+    chosen = top_products(tables, min_reviews, min(top, 20), hot_rows)
     chosen = F.broadcast(chosen.select("p_id", F.col("p_name").alias("product_name"), "category"))
     links = tables["product_reviews"].join(chosen, "p_id").select("review_id", "p_id", "product_name", "category")
     review = tables["review"].select("review_id", "buyer_id", "title", "r_desc", "rating")
-    hot, hot_buyers = find_all_hot(hot_rows, (review, "review_id"), (review, "buyer_id"))
+    known = profiles_of(tables, "review", hot_rows=hot_rows)
+    hot, hot_buyers = (known.hot("review", c, hot_rows) for c in ("review_id", "buyer_id"))
     spread = spread_hash("buyer_id", "title", "r_desc")
     rows = salted_join(review, links.distinct(), hot, spread, "inner")
     images = tables["review_images"].select("review_id").distinct().withColumn("has_image", F.lit(1))

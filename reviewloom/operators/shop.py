@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -9,8 +10,10 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import estimated_delivery
 from .joins import PART_ITEMS, collect_parts
-from .skew import HotKeys, find_hot, salted_join, spread_hash
+from .skew import HotKeys, hot_keys, salted_join, spread_hash
 
+#: Hot products and carts of the cart lines, as ``Profiles`` keep them; worked out from the lines where not given.
+LineKeys = Mapping[str, HotKeys]
 UNKNOWN_PRODUCT = "Product does not exist"
 NO_CART, NOTHING = "Cart is empty or does not exist", "Cart has nothing to order"
 
@@ -25,9 +28,15 @@ def price_items(lines: DataFrame, offers: DataFrame, hot: HotKeys) -> DataFrame:
     return met.withColumn("known", F.coalesce("known", F.lit(False)))
 
 
-def rejected_lines(cart_items: DataFrame, product: DataFrame, hot_rows: int | None = None) -> DataFrame:
+def _best_sellers(cart_items: DataFrame, hot_rows: int | None, hot: LineKeys | None) -> HotKeys:
+    return (hot or hot_keys(cart_items, ["p_id"], hot_rows))["p_id"]
+
+
+def rejected_lines(
+    cart_items: DataFrame, product: DataFrame, hot_rows: int | None = None, hot: LineKeys | None = None
+) -> DataFrame:
     """Cart lines without a known product; they are in no total and no order."""
-    priced = price_items(cart_items, product.select("p_id"), find_hot(cart_items, "p_id", hot_rows))
+    priced = price_items(cart_items, product.select("p_id"), _best_sellers(cart_items, hot_rows, hot))
     return priced.where(~F.col("known")).select("cart_id", "p_id", "qty", F.lit(UNKNOWN_PRODUCT).alias("error_details"))
 
 
@@ -38,9 +47,11 @@ def upsert_cart_items(cart_items: DataFrame, added: DataFrame) -> DataFrame:
     return both.groupBy("cart_id", "p_id").agg(F.sum("qty").alias("qty"))
 
 
-def cart_totals(cart_items: DataFrame, product: DataFrame, hot_rows: int | None = None) -> DataFrame:
+def cart_totals(
+    cart_items: DataFrame, product: DataFrame, hot_rows: int | None = None, hot: LineKeys | None = None
+) -> DataFrame:
     """Totals over the lines with a known product, and how many lines have none (see ``rejected_lines``)."""
-    priced = price_items(cart_items, product.select("p_id", "price"), find_hot(cart_items, "p_id", hot_rows))
+    priced = price_items(cart_items, product.select("p_id", "price"), _best_sellers(cart_items, hot_rows, hot))
     zero = F.lit(0)
     return priced.groupBy("cart_id").agg(
         F.coalesce(F.sum(F.when(F.col("known"), F.col("qty"))), zero).alias("total_qty"),
@@ -57,6 +68,7 @@ def deal_totals(
     minimum_price: float = 0.0,
     totals: DataFrame | None = None,
     hot_rows: int | None = None,
+    hot: LineKeys | None = None,
 ) -> DataFrame:
     """Cart totals after the deals of one day, never below the minimum price.
 
@@ -68,7 +80,7 @@ def deal_totals(
     offers = product.select("p_id", "price").join(deals, "p_id", "left").withColumn(
         "discount", F.coalesce("discount", F.lit(0.0))
     )
-    lines = price_items(cart_items, offers, find_hot(cart_items, "p_id", hot_rows))
+    lines = price_items(cart_items, offers, _best_sellers(cart_items, hot_rows, hot))
     gross = F.col("price") * F.col("qty")
     per_cart = lines.groupBy("cart_id").agg(
         F.coalesce(F.sum(gross), F.lit(0.0)).alias("gross"),
@@ -93,6 +105,8 @@ class Checkout:
     carts: DataFrame
     rejected: DataFrame
     rejected_lines: DataFrame
+    #: (order_id, p_id, item, shipment): each ordered line with what is sent for it.
+    lines: DataFrame
 
 
 def checkout(
@@ -103,6 +117,7 @@ def checkout(
     method: str = "card",
     first_order_id: int = 0,
     hot_rows: int | None = None,
+    hot: LineKeys | None = None,
 ) -> Checkout:
     """Order every cart with something to order, all at once.
 
@@ -111,13 +126,13 @@ def checkout(
     order id is ``first_order_id`` + cart id, to the end. Ids derive from the cart id, so a repeated task writes the
     same ids: a shipping id is "order-product" (one shipment per line), payment ids are name-based UUIDs of the order.
     """
-    priced = price_items(cart_items, product.select("p_id", "price"), find_hot(cart_items, "p_id", hot_rows))
+    hot = hot or hot_keys(cart_items, ["p_id", "cart_id"], hot_rows)
+    priced = price_items(cart_items, product.select("p_id", "price"), hot["p_id"])
     known = F.when(F.col("known"), F.col("qty"))
     filled = priced.groupBy("cart_id").agg(F.sum(known).alias("_qty"), F.count(F.lit(1)).alias("_lines"))
     carts = cart.select("cart_id", "buyer_id").join(filled, "cart_id", "left")
     full = F.coalesce(F.col("_qty") > 0, F.lit(False))
-    vast_carts = find_hot(cart_items, "cart_id", hot_rows)
-    met = salted_join(priced, carts.select("cart_id", full.alias("ordered")), vast_carts, spread_hash("p_id"))
+    met = salted_join(priced, carts.select("cart_id", full.alias("ordered")), hot["cart_id"], spread_hash("p_id"))
     good = F.col("known") & F.coalesce("ordered", F.lit(False))
     lines = met.where(good)
     order_id = F.col("cart_id") + F.lit(first_order_id)
@@ -127,6 +142,10 @@ def checkout(
     )
     order_items = lines.select(order_id.alias("order_id"), "p_id", "qty", F.col("price").alias("price_at_purchase"))
     shipments = lines.select(*shipment_columns(order_id, day))
+    sent = lines.select(
+        order_id.alias("order_id"), "p_id", F.struct("p_id", "qty", F.col("price").alias("price_at_purchase")).alias("item"),
+        F.struct(*shipment_columns(order_id, day)).alias("shipment"),
+    )
     digest = F.md5(F.concat(F.lit("payment-"), F.col("order_id").cast("string")))
     parts = [F.substring(digest, *p) for p in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]
     payments = orders.select(
@@ -140,7 +159,7 @@ def checkout(
     rejected = carts.where(~full).select("cart_id", "buyer_id", why.alias("error_details"))
     refused = F.when(~F.col("known"), UNKNOWN_PRODUCT).when(F.col("ordered").isNull(), NO_CART).otherwise(NOTHING)
     unknown = met.where(~good).select("cart_id", "p_id", "qty", refused.alias("error_details"))
-    return Checkout(orders, order_items, shipments, payments, emptied, rejected, unknown)
+    return Checkout(orders, order_items, shipments, payments, emptied, rejected, unknown, sent)
 
 
 def shipment_columns(order_id: Column, day: Column) -> list[Column]:
@@ -152,6 +171,11 @@ def shipment_columns(order_id: Column, day: Column) -> list[Column]:
     ]
 
 
+#: What a document tells of an item and of a shipment.
+ITEM = ("p_id", "qty", "price_at_purchase")
+SHIPMENT = ("p_id", "shipping_id", "carrier_id", "shipment_type", "status", "est_delivery_date")
+
+
 def order_documents(
     orders: DataFrame,
     order_items: DataFrame,
@@ -163,12 +187,19 @@ def order_documents(
 
     An item and its shipment are brought together first and stay in one part.
     """
-    sent = shipments.select(
-        "order_id", "p_id",
-        F.struct("p_id", "shipping_id", "carrier_id", "shipment_type", "status", "est_delivery_date").alias("shipment"),
-    )
-    item = F.struct("p_id", "qty", "price_at_purchase").alias("item")
-    both = order_items.select("order_id", "p_id", item).join(sent, ["order_id", "p_id"], "full")
+    sent = shipments.select("order_id", "p_id", F.struct(*SHIPMENT).alias("shipment"))
+    both = order_items.select("order_id", "p_id", F.struct(*ITEM).alias("item")).join(sent, ["order_id", "p_id"], "full")
+    return _documents(orders, payments, both, part_rows)
+
+
+def checkout_documents(done: Checkout, part_rows: int = PART_ITEMS) -> DataFrame:
+    """``order_documents`` of a checkout, whose lines carry their shipments: nothing has to be joined for them."""
+    names = [f"shipment.{c}" for c in SHIPMENT]
+    lines = done.lines.select("order_id", F.struct(*[F.col(f"item.{c}") for c in ITEM]).alias("item"), F.struct(*names).alias("shipment"))
+    return _documents(done.orders, done.payments, lines, part_rows)
+
+
+def _documents(orders: DataFrame, payments: DataFrame, both: DataFrame, part_rows: int) -> DataFrame:
     lines = collect_parts(both, "order_id", F.struct("item", "shipment"), "lines", "part", part_rows)
     present = lambda name: F.filter(F.transform("lines", lambda x: x[name]), lambda x: x.isNotNull())
     nested = lines.select("order_id", "part", present("item").alias("items"), present("shipment").alias("shipments"))

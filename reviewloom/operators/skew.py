@@ -1,82 +1,125 @@
 """Joins and first-per-key that stay balanced when one key holds much of the data.
 
-A *hot* key is one whose rows take more than one share: ``hot_rows`` rows, or, where that is not given, as many
-as make up ``SHARE_BYTES`` at the average row size of the table. Hot keys are looked up before a plan is built, by a
-count over the key column alone. They are kept as a stored table, however many there are: its size is known to the
-optimiser, which sends it to all tasks if it is small and shuffles it otherwise. Each hot key is cut into
-as many shares as its rows make up, and no task sees much more than a share of one key. Without hot keys the
-plans are plain joins and windows.
-
-The null key counts as a key here: rows without a key can be the hottest of all.
+A *hot* key is one with ``LEAST_ROWS`` rows or more (some 240 MB of reviews) and at least one row in ``FAIR`` of its table: what a
+single core of a large cluster has to work on anyhow. All join keys of a table are summed up in one aggregate before a plan is built, by
+mergeable summaries of frequent items with ``TRACKED`` counters per column. A summary counts a key too low by at
+most 3.5 / m of all rows, m being the power of two above 4/3 of ``TRACKED``, and lists it if twice that is passed; ``FAIR`` is below
+m / 7, so every hot key is listed (``guaranteed`` says so for other numbers). There are ``FAIR`` hot keys at most, so they
+may be sent to all tasks.
+
+Each hot key is cut into as many shares as its rows make up, and no task sees much more than a share of one key.
+Without hot keys the plans are plain joins and windows. The null key counts as a key here: rows without a
+key can be the hottest of all.
 """
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
-from functools import reduce
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..session import stored
+LEAST_ROWS = 100_000
+FAIR, TRACKED = 4_096, 16_384
+#: Summaries of the tasks meet in as many groups before the last one.
+MERGERS = 64
 
-SHARE_BYTES = 256 << 20
-SAMPLED = 2_000
+
+def guaranteed(fair: int = FAIR, tracked: int = TRACKED) -> bool:
+    """Whether every key with one row in ``fair`` or more is listed by summaries of ``tracked`` counters."""
+    slots = 1
+    while slots * 3 < tracked * 4:
+        slots *= 2
+    return 2 * 3.5 * fair <= slots
 
 
 @dataclass(frozen=True)
 class HotKeys:
-    """The hot values of one key column with their shares, as (_hot_key, _shares); false when there are none."""
+    """The hot values of one key column with their shares; false when there are none."""
 
     key: str
-    table: DataFrame | None = None
+    kind: T.DataType = field(default_factory=T.StringType)
+    shares: Mapping = field(default_factory=dict)
 
     def __bool__(self) -> bool:
-        return self.table is not None
+        return bool(self.shares)
+
+    def table(self, spark) -> DataFrame:
+        """(_hot_key, _shares): at most ``FAIR`` rows for a table, hence the hint."""
+        schema = T.StructType([T.StructField("_hot_key", self.kind), T.StructField("_shares", T.IntegerType())])
+        return F.broadcast(spark.createDataFrame(list(self.shares.items()), schema))
 
     def merge(self, other: HotKeys) -> HotKeys:
-        """Keys hot in either table; a key's pairs are cut by both."""
-        tables = [h.table for h in (self, other) if h]
-        if len(tables) < 2:
-            return HotKeys(self.key, tables[0] if tables else None)
-        both = reduce(DataFrame.unionAll, tables).groupBy("_hot_key")
-        # At most two rows per key: the product of their shares.
-        return HotKeys(self.key, both.agg((F.min("_shares") * F.when(F.count("*") > 1, F.max("_shares")).otherwise(1)).alias("_shares")))
+        """Keys hot in either table; the pairs of a key that is hot in both are cut by both."""
+        both = {k: self.shares.get(k, 1) * other.shares.get(k, 1) for k in {**self.shares, **other.shares}}
+        return HotKeys(self.key, self.kind if self else other.kind, both)
 
-    def shares(self) -> dict:
-        """Shares by key, for tests and reports."""
-        return {r["_hot_key"]: r["_shares"] for r in self.table.collect()} if self else {}
+    def without_null(self) -> HotKeys:
+        return HotKeys(self.key, self.kind, {k: n for k, n in self.shares.items() if k is not None})
 
 
-def rows_per_share(df: DataFrame) -> int:
-    """Rows of ``df`` that make up ``SHARE_BYTES``, by the size that the optimiser knows and a count from file footers."""
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    rows = df.count()
-    return max(1, SHARE_BYTES * rows // max(size, rows, 1)) if rows else 1
+def hot_keys(df: DataFrame, columns: Sequence[str], hot_rows: int | None = None) -> dict[str, HotKeys]:
+    """The hot values of several columns of a table, from one aggregate over these columns: a single Spark job.
+
+    ``hot_rows``: rows that make a key hot, instead of ``LEAST_ROWS``; one row in ``FAIR`` is the least in any case. Counts are
+    upper bounds, too high by no more than the summary's error, so a key has a share too many at worst.
+    """
+    state = lambda name, c, n: F.call_function(f"approx_top_k_{name}", c, F.lit(n))
+    names = [f"_c{i}" for i in range(len(columns))]
+    rows = df.select(*[F.col(c).alias(n) for c, n in zip(columns, names, strict=True)], F.spark_partition_id().alias("_p"))
+    per_group = rows.groupBy(F.pmod("_p", F.lit(MERGERS)).alias("_g")).agg(
+        F.count(F.lit(1)).alias("_n"), *[state("accumulate", F.col(n), TRACKED).alias(n) for n in names]
+    )
+    # One group, so that a table without rows has no summary to be read.
+    met = per_group.groupBy(F.lit(True).alias("_all")).agg(F.sum("_n").alias("_n"), *[state("combine", F.col(n), TRACKED).alias(n) for n in names])
+    least = F.greatest(F.lit(LEAST_ROWS if hot_rows is None else hot_rows).cast("long"), F.ceil(F.col("_n") / FAIR))
+    lists = [F.filter(state("estimate", F.col(n), TRACKED), lambda x: x["count"] >= F.col("_least")).alias(n) for n in names]
+    found = met.withColumn("_least", least).select("_least", *lists).head()
+    shares = {c: {x["item"]: -(-x["count"] // found["_least"]) for x in found[n]} if found else {} for c, n in zip(columns, names, strict=True)}
+    return {c: HotKeys(c, df.schema[c].dataType, shares[c]) for c in columns}
 
 
 def find_hot(df: DataFrame, key: str, hot_rows: int | None = None) -> HotKeys:
-    """Keys with about ``hot_rows`` rows or more (by default as ``rows_per_share`` says for ``df``).
+    """``hot_keys`` of one column."""
+    return hot_keys(df, [key], hot_rows)[key]
 
-    Counted over a sample in which such a key still has some 2,000 rows; a miss by a few percent changes the
-    balance of a join, never its result. The sample keeps the count's shuffle small: without it every distinct
-    key would travel.
-    """
-    hot_rows = rows_per_share(df) if hot_rows is None else hot_rows
-    fraction = min(1.0, SAMPLED / hot_rows)
-    keys = df.select(F.col(key).alias("_hot_key"))
-    if fraction < 1.0:
-        keys = keys.sample(fraction=fraction, seed=7)
-    counted = keys.groupBy("_hot_key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= hot_rows * fraction)
-    table = stored(counted.select("_hot_key", F.ceil(F.col("n") / (fraction * hot_rows)).cast("int").alias("_shares")), "hot-keys")
-    return HotKeys(key, None if table.isEmpty() else table)
+
+#: Columns of each table by which large joins meet.
+JOIN_KEYS = {
+    "review": ("review_id", "buyer_id"), "product_reviews": ("p_id", "review_id"), "product": ("category_id",),
+    "cart_items": ("p_id", "cart_id"),
+}
+
+
+class Profiles:
+    """Hot join keys of the tables of one mapping, summed up at first use and kept: at most one job per table."""
+
+    def __init__(self, tables: Mapping[str, DataFrame]) -> None:
+        self._tables, self._found = tables, {}
+
+    def prepare(self, *names: str, hot_rows: int | None = None) -> Profiles:
+        """Sum up several tables side by side."""
+        missing = [n for n in names if (n, hot_rows) not in self._found]
+
+        def one(name: str) -> dict[str, HotKeys]:
+            df = self._tables[name]
+            return hot_keys(df, [c for c in JOIN_KEYS[name] if c in df.columns], hot_rows)
+
+        if missing:
+            with ThreadPoolExecutor(len(missing)) as pool:
+                self._found |= zip([(n, hot_rows) for n in missing], pool.map(one, missing), strict=True)
+        return self
+
+    def hot(self, name: str, key: str, hot_rows: int | None = None) -> HotKeys:
+        return self.prepare(name, hot_rows=hot_rows)._found[name, hot_rows][key]
 
 
-def find_all_hot(hot_rows: int | None, *columns: tuple[DataFrame, str]) -> list[HotKeys]:
-    """``find_hot`` for several (table, key) pairs, as Spark jobs side by side."""
-    with ThreadPoolExecutor(len(columns)) as pool:
-        return list(pool.map(lambda c: find_hot(c[0], c[1], hot_rows), columns))
+def profiles_of(tables: Mapping[str, DataFrame], *names: str, hot_rows: int | None = None) -> Profiles:
+    """The profiles that ``tables`` keeps for its whole life, or new ones."""
+    return (getattr(tables, "profiles", None) or Profiles(tables)).prepare(*names, hot_rows=hot_rows)
 
 
 def spread_hash(*columns: str) -> Column:
@@ -92,7 +135,7 @@ def _marked(df: DataFrame, hot: HotKeys, shares: str = "_shares") -> DataFrame:
     """Add the number of shares of each row's key, 1 for an ordinary key."""
     if not hot:
         return df.withColumn(shares, F.lit(1))
-    marks = hot.table
+    marks = hot.table(df.sparkSession)
     return (
         df.join(marks, df[hot.key].eqNullSafe(marks["_hot_key"]), "left")
         .withColumn(shares, F.coalesce("_shares", F.lit(1)))
@@ -158,14 +201,15 @@ def two_sided_join(
 
 
 def _only(df: DataFrame, hot: HotKeys) -> DataFrame:
-    return df.join(hot.table, df[hot.key].eqNullSafe(hot.table["_hot_key"]), "left_semi")
+    marks = hot.table(df.sparkSession)
+    return df.join(marks, df[hot.key].eqNullSafe(marks["_hot_key"]), "left_semi")
 
 
 def split_hot(df: DataFrame, hot: HotKeys) -> tuple[DataFrame, DataFrame | None]:
     """(rows of ordinary keys, rows of hot keys or None)."""
     if not hot:
         return df, None
-    marks = hot.table
+    marks = hot.table(df.sparkSession)
     return df.join(marks, df[hot.key].eqNullSafe(marks["_hot_key"]), "left_anti"), _only(df, hot)
 
 

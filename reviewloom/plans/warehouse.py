@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.clean import clean_rows, join_and_flag, rejected_rows
+from ..operators.skew import Profiles
 from ..session import scratch_path
 from ..sources.driver_tables import (
     BUILDERS, CORPUS_LEXICON, STORED_CONFIDENCE, STORED_RELEVANCE, BaseTables, review_class,
@@ -35,6 +36,8 @@ class Sources(Mapping[str, DataFrame]):
     def __init__(self, spark: SparkSession, base: BaseTables):
         self._spark, self._base = spark, base
         self._built: dict[str, DataFrame] = {}
+        #: Hot join keys, kept as long as the tables.
+        self.profiles = Profiles(self)
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._built:

@@ -129,6 +129,8 @@ def test_checkout(spark, shop_data, hot_rows):
     documents = shop.order_documents(done.orders, done.order_items, done.payments, done.shipments, hot_rows).collect()
     assert sorted((d["order_id"] - 500, i["p_id"]) for d in documents for i in d["items"] or []) == sorted(items)
     assert sorted((d["order_id"] - 500, i["p_id"]) for d in documents for i in d["shipments"] or []) == sorted(items)
+    together = shop.checkout_documents(done, hot_rows).collect()
+    assert sorted(map(repr, together)) == sorted(map(repr, documents))
     carts = shop.cart_documents(cart, cart_items, hot_rows).collect()
     assert sorted((d["cart_id"], i["p_id"], i["qty"]) for d in carts for i in d["items"]) == sorted((c, p, q) for (c, p), q in items.items())
     assert [d["items"] for d in carts if d["cart_id"] == 11] == [[]]
