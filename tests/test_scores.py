@@ -3,9 +3,11 @@
 import datetime
 import math
 import random
+import struct
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from reviewloom.functions import scalar, scoring, sentiment
 from reviewloom.operators import classify, distribution
@@ -158,6 +160,51 @@ def test_exact_quantiles(spark, name):
     assert [found[p] for p in probabilities] == pytest.approx(list(np.quantile(values, probabilities)), rel=1e-12)
 
 
+def test_doubles_as_ordered_longs(spark):
+    draw = random.Random(2)
+    values = [struct.unpack("<d", draw.randbytes(8))[0] for _ in range(3000)]
+    values += [0.0, -0.0, 5e-324, -5e-324, 2.0**-1022, 2.0**-1022 - 5e-324, 1.7976931348623157e308, float("inf"), float("-inf")]
+    values += [x for e in range(-1070, 1023, 7) for x in (2.0**e, math.nextafter(2.0**e, 0), math.nextafter(2.0**e, math.inf))]
+    values = [v for v in values if not math.isnan(v)]
+    df = spark.createDataFrame([(v,) for v in values], "v double").select("v", distribution.ordered_long(F.col("v")).alias("k"))
+    for v, k in df.collect():
+        assert abs(k) == struct.unpack("<q", struct.pack("<d", abs(v)))[0] and (k < 0) == (v < 0)
+        assert distribution.from_ordered(k) == v
+
+
+def test_quantiles_of_several_columns(spark):
+    draw = random.Random(4)
+    a = [draw.gauss(0, 1) * 10 ** draw.randint(-300, 300) for _ in range(700)]
+    b = [draw.choice([-1.0, 0.0, 2.5]) for _ in range(700)]
+    wanted = {"a": [0.0, 0.3, 0.5, 1.0], "b": [0.1, 0.5], "none": [0.5]}
+    df = spark.createDataFrame([(x, y, None) for x, y in zip(a, b, strict=True)], "a double, b double, none double").repartition(3)
+    found = distribution.quantile_values(df, wanted)
+    for name, values in (("a", a), ("b", b)):
+        assert [found[name][p] for p in wanted[name]] == pytest.approx(list(np.quantile(values, wanted[name])), rel=1e-12)
+    assert found["none"] == {0.5: None}
+    assert distribution.quantile_values(df.where("b > 9"), wanted)["a"] == dict.fromkeys(wanted["a"])
+
+
+def test_values_that_differ_in_the_last_bits(spark):
+    values = [1.0 + i * 2.0**-52 for i in range(2000)] + [1e300] * 5
+    df = spark.createDataFrame([(v,) for v in values], "v double").repartition(3)
+    assert distribution.quantile_values(df, {"v": [0.0, 1.0, 400 / 2004]})["v"] == {0.0: 1.0, 1.0: 1e300, 400 / 2004: values[400]}
+
+
+@pytest.mark.parametrize("name", ["heavy", "ties", "outlier", "constant"])
+def test_density_of_odd_values(spark, name):
+    values = np.array(VALUES[name])
+    df = spark.createDataFrame([(float(v),) for v in values] + [(None,)], "v double").repartition(3)
+    curve = sorted(distribution.density(df, "v", 50).collect())
+    assert [r["place"] for r in curve] == list(range(50))
+    if name == "constant":
+        assert all(r["density"] is None for r in curve)
+        return
+    h = np.std(values, ddof=1) * len(values) ** -0.2
+    want = [np.mean(np.exp(-(((x - values) / h) ** 2) / 2)) / (h * np.sqrt(2 * np.pi)) for x in [r["x"] for r in curve]]
+    assert [r["density"] for r in curve] == pytest.approx(want, rel=1e-9, abs=1e-12 / h)
+
+
 def test_histogram_and_density(spark):
     values = VALUES["uniform"]
     df = spark.createDataFrame([(v,) for v in values], "v double")
