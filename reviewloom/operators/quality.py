@@ -1,7 +1,7 @@
 """Expectations, integrity checks and the quality report.
 
-Checks return rows and never raise. All checks of a table's own columns are one aggregate over it; all checks of keys
-are one count per (key space, key) over a single scan of each table, so repeated keys combine map-side.
+Checks return rows and never raise. All checks of a table's own columns are one aggregate over it. References between
+tables compare bitmaps of keys (``keysets.py``); repeated keys are one count per (key space, key) over a single scan of each table.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from ..schemas import (
     CHECKS, DECLARED_REASONS, FOREIGN_KEYS, KNOWN_REASONS, PRIMARY_KEYS, REQUIRED, TEXT_LIMITS, UNIQUE_KEYS,
     ForeignKey,
 )
+from . import keysets
 
 
 def _union(frames: Sequence[DataFrame]) -> DataFrame:
@@ -115,7 +116,7 @@ def expect_references(child, column, parent, parent_column, name: str | None = N
 def quality_report(tables: Mapping[str, DataFrame]) -> DataFrame:
     """The source checks as (name, passed, failed, checked).
 
-    Two passes over ``review`` and ``product`` (own columns, keys), one over every other table.
+    References go through key sets (``keysets.py``): one scan of each table's keys, besides one of its own columns.
     """
     review, product, links = tables["review"], tables["product"], tables["product_reviews"]
     zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
@@ -144,22 +145,19 @@ def quality_report(tables: Mapping[str, DataFrame]) -> DataFrame:
         ),
         expect_type(links, "review_id", "bigint", "review_id_type").select("name", "failed", "checked"),
     ]
-    keys = [ForeignKey("product_reviews", "p_id", "product", "p_id")]
-    names = {keys[0].name: "product_references"}
-    for name, key in (
-        ("buyer_references", ForeignKey("review", "buyer_id", "buyer", "buyer_id")),
-        ("category_references", ForeignKey("product", "category_id", "category", "category_id")),
+    keys = [("product_references", "product_reviews", "p_id", "product", "p_id")]
+    for key in (
+        ("buyer_references", "review", "buyer_id", "buyer", "buyer_id"),
+        ("category_references", "product", "category_id", "category", "category_id"),
     ):
-        if key.parent in tables:
+        if key[3] in tables:
             keys.append(key)
-            names[key.name] = name
-    spaces = [("review", ("review_id",)), *_key_spaces(tables, keys)]
-    counted = _key_counts(tables, spaces, keys)
-    repeated = F.sum(F.when(F.col("n0") > 1, F.col("n0")).otherwise(0))
-    frames.append(own(counted.where("space = 0"), check("review_id_unique", F.coalesce(repeated, zero), F.coalesce(F.sum("n0"), zero))))
-    found = _orphan_rows(counted, tables, spaces, keys)
-    label = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])
-    frames.append(found.select(label[F.col("foreign_key")].alias("name"), F.col("orphan_keys").alias("failed"), F.col("keys").alias("checked")))
+    copies = review.groupBy("review_id").agg(n_rows().alias("n"))
+    repeated = F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n"))), zero)
+    frames.append(own(copies, check("review_id_unique", repeated, F.coalesce(F.sum("n"), zero))))
+    found = keysets.references(tables, [k[1:] for k in keys], count_rows=False)
+    name = F.get(F.array(*[F.lit(k[0]) for k in keys]), F.col("pair"))
+    frames.append(found.select(name.alias("name"), F.col("orphan_keys").alias("failed"), F.col("keys").alias("checked")))
     ok = F.when(F.col("name") == "review_text_not_empty", percent(F.col("failed"), F.col("checked")) < 10.0)
     return _union(frames).select("name", ok.otherwise(F.col("failed") == 0).alias("passed"), "failed", "checked")
 
@@ -195,10 +193,6 @@ def _key(columns: Sequence[str]) -> Column:
     return F.array(*[F.col(c).cast("string") for c in columns])
 
 
-#: A key space: the columns whose values are the known keys, as (table, columns).
-Space = tuple[str, tuple[str, ...]]
-
-
 def _given(tables: Mapping[str, DataFrame], keys: Sequence[ForeignKey]) -> list[ForeignKey]:
     def has(table: str, column: str) -> bool:
         return table in tables and column in tables[table].columns
@@ -206,77 +200,30 @@ def _given(tables: Mapping[str, DataFrame], keys: Sequence[ForeignKey]) -> list[
     return [k for k in keys if has(k.table, k.column) and has(k.parent, k.parent_column)]
 
 
-def _key_spaces(tables: Mapping[str, DataFrame], keys: Sequence[ForeignKey]) -> list[Space]:
-    return list(dict.fromkeys((k.parent, (k.parent_column,)) for k in _given(tables, keys)))
-
-
-def _slots(tables, spaces: Sequence[Space], keys: Sequence[ForeignKey]) -> dict[str, tuple[int, int]]:
-    """Place of each foreign key: its space, and its number among those pointing there, from 1."""
-    found: dict[str, tuple[int, int]] = {}
-    taken = [0] * len(spaces)
-    for k in _given(tables, keys):
-        space = spaces.index((k.parent, (k.parent_column,)))
-        taken[space] += 1
-        found[k.name] = (space, taken[space])
-    return found
-
+def foreign_key_orphans(tables: Mapping[str, DataFrame], keys: Sequence[ForeignKey] = FOREIGN_KEYS) -> DataFrame:
+    """Orphans per declared foreign key whose two columns are given; null keys pass. All keys at once, by ``keysets``."""
+    given = _given(tables, keys)
+    found = keysets.references(tables, [(k.table, k.column, k.parent, k.parent_column) for k in given])
+    name = F.get(F.array(*[F.lit(k.name) for k in given]), F.col("pair"))
+    return found.select(name.alias("foreign_key"), "keys", "orphan_keys", "orphan_rows")
 
-def _key_counts(tables: Mapping[str, DataFrame], spaces: Sequence[Space], keys: Sequence[ForeignKey]) -> DataFrame:
-    """(space, k, n0, n1, ...): rows per key of the space's own table (n0) and of each child column.
 
-    Every table is scanned once, whatever the number of its keys; keys are null only where a column is.
-    """
-    slots = _slots(tables, spaces, keys)
-    entries: dict[str, list[tuple[int, int, tuple[str, ...]]]] = {}
+def _key_counts(tables: Mapping[str, DataFrame], spaces: Sequence[tuple[str, tuple[str, ...]]]) -> DataFrame:
+    """(space, k, n): rows per key of each (table, columns); every table is scanned once, keys are null where a column is."""
+    entries: dict[str, list[tuple[int, tuple[str, ...]]]] = {}
     for i, (table, columns) in enumerate(spaces):
-        entries.setdefault(table, []).append((i, 0, columns))
-    for k in _given(tables, keys):
-        if k.name in slots:
-            entries.setdefault(k.table, []).append((*slots[k.name], (k.column,)))
+        entries.setdefault(table, []).append((i, columns))
     parts = []
     for table, wanted in entries.items():
-        rows = F.array(*[F.struct(F.lit(i).alias("space"), F.lit(s).alias("slot"), _key(c).alias("k")) for i, s, c in wanted])
+        rows = F.array(*[F.struct(F.lit(i).alias("space"), _key(c).alias("k")) for i, c in wanted])
         parts.append(tables[table].select(F.inline(rows)))
-    most = max([0, *(s for _, s in slots.values())])
-    counts = [F.count_if(F.col("slot") == s).alias(f"n{s}") for s in range(most + 1)]
-    return _union(parts).groupBy("space", "k").agg(*counts)
+    return _union(parts).groupBy("space", "k").agg(n_rows().alias("n"))
 
 
 def _has_null() -> Column:
     return F.exists("k", lambda x: x.isNull())
 
 
-def _orphan_rows(counted: DataFrame, tables, spaces: Sequence[Space], keys: Sequence[ForeignKey]) -> DataFrame:
-    """(foreign_key, keys, orphan_keys, orphan_rows) from the counts per key."""
-    slots = _slots(tables, spaces, keys)
-    most = max([0, *(s for _, s in slots.values())])
-    per_space = counted.where(~_has_null()).groupBy("space").agg(
-        *[x for s in range(1, most + 1) for x in (
-            F.count_if(F.col(f"n{s}") > 0).alias(f"keys{s}"),
-            F.count_if((F.col(f"n{s}") > 0) & (F.col("n0") == 0)).alias(f"bad{s}"),
-            F.sum(F.when(F.col("n0") == 0, F.col(f"n{s}")).otherwise(0)).alias(f"rows{s}"),
-        )]
-    )
-    one = lambda s: F.struct(F.lit(s).alias("slot"), F.col(f"keys{s}").alias("keys"), F.col(f"bad{s}").alias("orphan_keys"), F.col(f"rows{s}").alias("orphan_rows"))
-    found = per_space.select("space", F.inline(F.array(*[one(s) for s in range(1, most + 1)])))
-    spark = next(iter(tables.values())).sparkSession
-    declared = spark.createDataFrame([(*place, name) for name, place in slots.items()], "space int, slot int, foreign_key string")
-    zero = F.lit(0).cast("long")
-    return declared.join(found, ["space", "slot"], "left").select(
-        "foreign_key", *[F.coalesce(c, zero).alias(c) for c in ("keys", "orphan_keys", "orphan_rows")]
-    )
-
-
-def foreign_key_orphans(tables: Mapping[str, DataFrame], keys: Sequence[ForeignKey] = FOREIGN_KEYS) -> DataFrame:
-    """Orphans per declared foreign key whose two columns are given; null keys pass.
-
-    A parent key column forms a space; its own rows and those of every child column pointing at it are counted per
-    (space, key) in one aggregate over one scan of each table. Nothing is joined.
-    """
-    spaces = _key_spaces(tables, keys)
-    return _orphan_rows(_key_counts(tables, spaces, keys), tables, spaces, keys)
-
-
 def key_violations(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Repeated and null keys per declared primary or unique key (nulls are allowed in unique keys).
 
@@ -286,11 +233,11 @@ def key_violations(tables: Mapping[str, DataFrame]) -> DataFrame:
     for table, df in tables.items():
         declared = [("primary", PRIMARY_KEYS[table])] + [("unique", k) for k in UNIQUE_KEYS.get(table, ())]
         rules += [(table, kind, columns) for kind, columns in declared if set(columns) <= set(df.columns)]
-    counted = _key_counts(tables, [(table, columns) for table, _, columns in rules], ())
+    counted = _key_counts(tables, [(table, columns) for table, _, columns in rules])
     null = _has_null()
     found = counted.groupBy("space").agg(
-        F.count_if((F.col("n0") > 1) & ~null).alias("repeated_keys"),
-        F.coalesce(F.sum(F.when(null, F.col("n0"))), F.lit(0)).alias("null_rows"),
+        F.count_if((F.col("n") > 1) & ~null).alias("repeated_keys"),
+        F.coalesce(F.sum(F.when(null, F.col("n"))), F.lit(0)).alias("null_rows"),
     )
     spark = next(iter(tables.values())).sparkSession
     listed = [(i, t, kind, ",".join(columns)) for i, (t, kind, columns) in enumerate(rules)]
