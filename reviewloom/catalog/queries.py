@@ -21,7 +21,7 @@ from ..plans import jobs
 from ..plans.warehouse import INGESTED_AT, Warehouse, warehouse
 from ..schemas import COLUMNS, REVIEW_RELEVANT_COLUMNS, schema_of
 from ..session import scratch_path
-from ..sources import extract, readers, writers
+from ..sources import extract, readers, snapshots, writers
 from ..sources.driver_tables import CORPUS_KEYWORDS, CORPUS_LEXICON, DEAL_DAY
 from .views import KEEP_ORDER, keyword_counts, sentiment_views, with_views
 
@@ -1111,7 +1111,7 @@ def _(w):
     jobs.process_tables(
         {t: w.sources[t] for t in names}, scratch_path(w.spark, "reviews"), scratch_path(w.spark, "rejected"), metadata
     )
-    runs = w.spark.read.schema("statistics map<string,bigint>").json(metadata)
+    runs = snapshots.read_published(w.spark, metadata)
     keys = ("total_records_processed", "clean_records", "rejected_records", "warehouse_inserts", "reject_inserts")
     return runs.select(*[F.col("statistics")[k].alias(k) for k in keys])
 
@@ -1156,7 +1156,7 @@ _STORED = f"""SELECT review_id, buyer_id, p_id, product_name, category, title, d
 def _(w):
     path = scratch_path(w.spark, "stored")
     writers.save_reviews(w.clean, path, F.lit(INGESTED_AT))
-    return _texts(w.spark.read.parquet(path), "ingestion_timestamp")
+    return _texts(snapshots.read_published(w.spark, path), "ingestion_timestamp")
 
 
 @query(
@@ -1166,17 +1166,18 @@ def _(w):
 )
 def _(w):
     path = scratch_path(w.spark, "rejects")
-    writers.save_rejected(w.rejected, path, "run")
-    row = "review_id bigint, run_id string, rejection_reason string, original_data struct<p_id: string, buyer_id: string, rating: int>"
-    back = w.spark.read.schema(row).json(path)
-    return _texts(back.select("review_id", "rejection_reason", "run_id", "original_data.*"), "review_id", "rating")
+    for _ in range(2):  # the second attempt replaces the first
+        writers.save_rejected(w.rejected, path, "run")
+    back = snapshots.read_published(w.spark, path)
+    row = [F.col(f"original_data.{c}").alias(c) for c in ("p_id", "buyer_id", "rating")]
+    return _texts(back.select("review_id", "rejection_reason", "run_id", *row), "review_id", "rating")
 
 
 @query("saved_review_relevant", "SELECT review_id, p_id, rating, has_image = 1 AS has_image, round(relevance_score, 6) AS relevance_score, confidence_score, relevant_status FROM f_scored")
 def _(w):
     path = scratch_path(w.spark, "relevant")
     writers.save_review_relevant(w.review_relevant, path)
-    saved = w.spark.read.parquet(path)
+    saved = snapshots.read_published(w.spark, path)
     return _rounded(saved, relevance_score=6).select("review_id", "p_id", "rating", "has_image", "relevance_score", "confidence_score", "relevant_status")
 
 

@@ -15,7 +15,8 @@ from ..operators.classify import with_precomputed
 from ..operators.clean import FULL_RULES, REASON, Rule, clean_rows, join_and_flag, rejected_rows
 from ..session import remove_path, scratch_path
 from ..sources.readers import load_tables
-from ..sources.writers import run_metadata, save_metadata, save_rejected, save_reviews
+from ..sources.snapshots import published
+from ..sources.writers import as_reject_documents, as_reviews, reject_table, run_metadata, save_metadata
 
 
 def new_run_id() -> str:
@@ -56,26 +57,36 @@ def process_tables(
 ) -> dict[str, int]:
     """Join, clean, store clean and rejected rows, record the run; returns its statistics.
 
-    The flagged rows are staged under ``staging`` (by default in the shared folder) and deleted when both sinks are written.
+    The flagged rows are staged under ``staging`` (by default in the shared folder), which is deleted in any case. All data are written
+    before the first table is published, and each is published in one step. A run repeated under its ``run_id`` replaces
+    what it left behind, in whichever step it failed.
     """
     run_id = run_id or new_run_id()
     spark = next(iter(tables.values())).sparkSession
-    flagged = join_and_flag(tables, product_id, rules, hot_rows)
     staging = staging or scratch_path(spark, "flagged")
-    staged, counts = stage_flagged(flagged, staging)
-    clean = clean_rows(staged.where(F.col("verdict") == "clean").drop("verdict"), fill=rules is FULL_RULES)
+    try:
+        staged, counts = stage_flagged(join_and_flag(tables, product_id, rules, hot_rows), staging)
+        clean = clean_rows(staged.where(F.col("verdict") == "clean").drop("verdict"), fill=rules is FULL_RULES)
+        reviews, rejects = published(spark, reviews_table), reject_table(spark, reject_path)
+        new_reviews = reviews.write(as_reviews(clean, ingested_at), run_id)
+        new_rejects = None
+        if counts["rejected"]:
+            rejected = rejected_rows(staged.where(F.col("verdict") == "rejected").drop("verdict"))
+            new_rejects = rejects.write(as_reject_documents(rejected, run_id), run_id)
+        reviews.publish(new_reviews)
+        if new_rejects:
+            rejects.publish(new_rejects, append=True)
+    finally:
+        remove_path(spark, staging)
     statistics = {
         "total_records_processed": counts["total"],
         "clean_records": counts["clean"],
         "rejected_records": counts["rejected"],
-        "warehouse_inserts": save_reviews(clean, reviews_table, ingested_at),
-        "reject_inserts": 0,
+        "warehouse_inserts": new_reviews[0].n_rows,
+        "reject_inserts": new_rejects[0].n_rows if new_rejects else 0,
     }
-    if counts["rejected"]:
-        rejected = rejected_rows(staged.where(F.col("verdict") == "rejected").drop("verdict"))
-        statistics["reject_inserts"] = save_rejected(rejected, reject_path, run_id)
-    save_metadata(run_metadata(spark, run_id, statistics), metadata_path)
-    remove_path(spark, staging)
+    save_metadata(run_metadata(spark, run_id, statistics), metadata_path, run_id)
+    reviews.vacuum()
     return statistics
 
 

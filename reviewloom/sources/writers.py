@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import PIPELINE_VERSION
 from ..schemas import REVIEW_RELEVANT_COLUMNS, REVIEWS_COLUMNS
+from .snapshots import Snapshots, published
 
 
 def write_lake(df: DataFrame, path: str, fmt: str = "parquet") -> str:
@@ -38,28 +39,34 @@ def as_reviews(clean: DataFrame, ingested_at: Column | None = None, version: str
     )
 
 
-def replace_table(df: DataFrame, target: str) -> None:
-    """Replace a catalog table, or a parquet folder where ``target`` is a path."""
-    writer = df.write.mode("overwrite").format("parquet")
-    writer.save(target) if "/" in target else writer.saveAsTable(target)
+def replace_table(df: DataFrame, target: str) -> int:
+    """Replace a catalog table, or the published table of a folder where ``target`` is a path; returns the rows written.
+
+    Readers see the old rows until all new ones are written (see ``snapshots.py``). States before the last two are deleted.
+    """
+    table = published(df.sparkSession, target)
+    rows = table.replace(df)
+    table.vacuum()
+    return rows
 
 
 def save_reviews(clean: DataFrame, target: str = "reviews", ingested_at: Column | None = None) -> int:
     """Full refresh of the warehouse table; returns the rows written, counted during the write."""
-    seen = Observation()
-    replace_table(as_reviews(clean, ingested_at).observe(seen, F.count(F.lit(1)).alias("n")), target)
-    return seen.get["n"]
+    return replace_table(as_reviews(clean, ingested_at), target)
+
+
+def reject_table(spark: SparkSession, path: str) -> Snapshots:
+    """Reject documents, by reason."""
+    return Snapshots(spark, path, "json", ("rejection_reason",))
+
+
+def as_reject_documents(rejected: DataFrame, run_id: str) -> DataFrame:
+    return rejected.withColumn("run_id", F.lit(run_id))
 
 
 def save_rejected(rejected: DataFrame, path: str, run_id: str) -> int:
-    """Append reject documents, by reason; the run id tells reruns apart."""
-    seen = Observation()
-    (
-        rejected.withColumn("run_id", F.lit(run_id))
-        .observe(seen, F.count(F.lit(1)).alias("n"))
-        .write.mode("append").partitionBy("rejection_reason").json(path)
-    )
-    return seen.get["n"]
+    """Append reject documents; those of an earlier attempt of the same run are replaced."""
+    return reject_table(rejected.sparkSession, path).append(as_reject_documents(rejected, run_id), run_id)
 
 
 def run_metadata(
@@ -71,8 +78,9 @@ def run_metadata(
     ).select("run_id", "pipeline_version", F.current_timestamp().alias("execution_timestamp"), "statistics")
 
 
-def save_metadata(metadata: DataFrame, path: str) -> None:
-    metadata.write.mode("append").json(path)
+def save_metadata(metadata: DataFrame, path: str, run_id: str) -> None:
+    """Append a run's metadata; a repeated run has one row."""
+    Snapshots(metadata.sparkSession, path, "json").append(metadata, run_id)
 
 
 def as_review_relevant(scored: DataFrame) -> DataFrame:
