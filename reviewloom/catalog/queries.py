@@ -37,12 +37,12 @@ class Entry:
 REGISTRY: dict[str, Entry] = {}
 
 
-def query(name: str, sql: str | None = None, extra: dict[str, str] | None = None):
-    """Register a builder taking the warehouse of a folder."""
+def query(name: str, sql: str | None = None, extra: dict[str, str] | None = None, plain: bool = False):
+    """Register a builder taking the warehouse of a folder; ``plain``: the SQL is that of another query, with its views."""
 
     def add(build: Callable[[Warehouse], DataFrame]):
         REGISTRY[name] = Entry(
-            lambda spark, folder: build(warehouse(spark, folder)), with_views(sql, extra) if sql else None
+            lambda spark, folder: build(warehouse(spark, folder)), sql if plain or not sql else with_views(sql, extra)
         )
         return build
 
@@ -888,6 +888,61 @@ def _(w):
     found = serve.buyer_reviews_with_images(scored, w.sources["review_images"], buyer, "11")
     return found.select("review_id", "confidence_score", F.array_join("images", "|").alias("images"))
 
+# --- the same requests from stored layouts: one bucket, the folders of a page, the words of a text --------------------
+@query("served_product_reviews", REGISTRY["product_reviews"].sql, plain=True)
+def _(w):
+    return _flat_review(serve.as_review(serve.ranked_reviews(w.ranking.lookup("11"), "relevance_score", 10).drop("by", "rank")))
+
+
+@query("served_by_confidence", REGISTRY["by_confidence"].sql, plain=True)
+def _(w):
+    return serve.as_short(serve.ranked_reviews(w.ranking.lookup("11"), "confidence_score", 5))
+
+
+@query("served_best_of_products", REGISTRY["best_reviews_of_products"].sql, plain=True)
+def _(w):
+    wanted = w.sources["product"].where(F.col("p_desc").startswith("STANDARD"))
+    return serve.ranked_reviews(w.ranking.lookup_many(wanted), "relevance_score", 10).select("p_id", "review_id", "rank")
+
+
+@query("served_buyer_product_reviews", REGISTRY["buyer_product_reviews"].sql, plain=True)
+def _(w):
+    buyer = w.relevant_by_pair.rows.where(F.col("p_id") == "11").agg(F.min("buyer_id").alias("b")).first()["b"]
+    return _flat_review(serve.as_review(w.relevant_by_pair.lookup(buyer, "11")))
+
+
+@query("served_shipments", REGISTRY["lookup_shipments"].sql, plain=True)
+def _(w):
+    return w.keyed("shipment", "order_id").lookup(7).select("shipping_id", "p_id", "status")
+
+
+@query("served_customer", REGISTRY["lookup_customer"].sql, plain=True)
+def _(w):
+    return w.keyed("customer", "email").lookup("Customer#000000013").select("c_id", "fname", "email")
+
+
+@query("served_orders_of_buyers", "SELECT order_id, buyer_id FROM f_orders WHERE buyer_id IN (SELECT buyer_id FROM f_review WHERE rating = 5)")
+def _(w):
+    # A batch of keys: the orders stay in their buckets, the buyers come to them.
+    wanted = w.sources["review"].where("rating = 5").select("buyer_id")
+    return w.keyed("orders", "buyer_id").lookup_many(wanted).select("order_id", "buyer_id")
+
+
+@query("served_page", "SELECT p_id, p_name FROM f_product ORDER BY p_id LIMIT 50 OFFSET 100")
+def _(w):
+    return w.product_pages.page(100, 50)
+
+
+@query("served_last_page", "SELECT p_id, p_name FROM f_product ORDER BY p_id DESC LIMIT 30")
+def _(w):
+    last = sum(n for _, _, n in w.product_pages.starts)
+    return w.product_pages.page(last - 30, 100)
+
+
+@query("served_search", "SELECT p_id, p_name, price FROM f_product WHERE contains(lower(p_name), 'blue ')")
+def _(w):
+    return w.product_names.search("BLUE ")
+
 
 @query(
     "product_labels",

@@ -96,6 +96,23 @@ def best_reviews_per_product(
     return rows.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= limit)
 
 
+def review_ranking(scored: DataFrame, limit: int = 50) -> DataFrame:
+    """The ``limit`` best relevant reviews of every product by each score: ``by``, ``rank`` and the review.
+
+    Made once to be stored by product (``sources/layout.py``): no product has more than ``limit`` rows per score,
+    however many reviews it has, and requests read them in order.
+    """
+    ranked = [
+        best_reviews_per_product(scored, limit, score).withColumn("by", F.lit(score)) for score in ("relevance_score", "confidence_score")
+    ]
+    return ranked[0].unionByName(ranked[1])
+
+
+def ranked_reviews(ranking: DataFrame, by: str, limit: int) -> DataFrame:
+    """The first ``limit`` rows of a ranking of one score, for one product or many."""
+    return ranking.where((F.col("by") == by) & (F.col("rank") <= limit))
+
+
 def buyer_product_reviews(scored: DataFrame, buyer_id: str, p_id: str) -> DataFrame:
     rows = scored.where(
         (F.col("buyer_id") == buyer_id) & (F.col("p_id") == p_id) & (F.col("relevant_status") == RELEVANT)
@@ -111,6 +128,11 @@ def _short(rows: DataFrame) -> list[Column]:
     ]
 
 
+def as_short(rows: DataFrame) -> DataFrame:
+    """The short record of a review, confidence 0 where there is none."""
+    return rows.select(*_short(rows))
+
+
 def reviews_by_confidence(scored: DataFrame, p_id: str, limit: int = 5) -> DataFrame:
     rows = scored.where((F.col("p_id") == p_id) & (F.col("relevant_status") == RELEVANT))
     return rows.orderBy(*_ranking("confidence_score")).limit(limit).select(*_short(rows))

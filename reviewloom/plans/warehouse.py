@@ -16,7 +16,9 @@ from pyspark.sql import functions as F
 
 from ..operators.clean import clean_rows, join_and_flag, rejected_rows
 from ..operators.skew import Profiles
+from ..operators.serve import RELEVANT, review_ranking
 from ..session import scratch_path
+from ..sources import layout
 from ..sources.driver_tables import (
     BUILDERS, CORPUS_LEXICON, STORED_CONFIDENCE, STORED_RELEVANCE, BaseTables, review_class,
 )
@@ -61,6 +63,7 @@ class Warehouse:
     spark: SparkSession
     folder: str
     statistics: dict = field(default_factory=dict)
+    _keyed: dict = field(default_factory=dict)
 
     @cached_property
     def base(self) -> BaseTables:
@@ -103,6 +106,31 @@ class Warehouse:
         return self.spark.read.schema(scored.schema).parquet(path)
 
 
+    # --- layouts for single requests, built at first use ---
+    @cached_property
+    def ranking(self) -> layout.Bucketed:
+        return layout.store_bucketed(review_ranking(self.review_relevant), "review_ranking", ["p_id"], ["by", "rank"])
+
+    @cached_property
+    def relevant_by_pair(self) -> layout.Bucketed:
+        relevant = self.review_relevant.where(F.col("relevant_status") == RELEVANT)
+        return layout.store_bucketed(relevant, "relevant_by_pair", ["buyer_id", "p_id"], ["relevance_score"])
+
+    def keyed(self, table: str, *keys: str) -> layout.Bucketed:
+        """A source table bucketed by some of its columns."""
+        if (table, keys) not in self._keyed:
+            self._keyed[table, keys] = layout.store_bucketed(self.sources[table], table, list(keys))
+        return self._keyed[table, keys]
+
+    @cached_property
+    def product_pages(self) -> layout.Pages:
+        return layout.Pages(self.sources["product"].select("p_id", "p_name"), ["p_id"])
+
+    @cached_property
+    def product_names(self) -> layout.TrigramIndex:
+        return layout.TrigramIndex(self.sources["product"].select("p_id", "p_name", "price"), "p_name")
+
+
 _OPEN: dict[tuple[str, str], Warehouse] = {}
 
 
