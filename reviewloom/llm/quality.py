@@ -1,11 +1,14 @@
 """Quality rules with thresholds that adapt to each language and source.
 
 Every document gets its figures in one pass without a shuffle. For each (lang, source) the
-distribution of each figure is held as a quantile sketch of logarithmic buckets: a count
-per bucket, so sketches merge by adding counts, in any order and with the same result. A
-figure may stray from the group's quartiles by ``REACH`` times their distance (in logarithms)
-before the document is rejected; a group with fewer than ``LEAST`` documents is judged by the merged
-sketch of its language, and that of all languages where this is small too.
+distribution of each ratio of figures is held as a quantile sketch of logarithmic buckets: a count
+per bucket, so sketches merge by adding counts, in any order and with the same result. Zeros are in no bucket: the
+shares are judged among texts that have any.
+
+Limits follow from the quartiles of these sketches alone. Quartiles of a group are drawn towards those of its language, and these
+towards those of all texts, as if each had ``WEIGHT`` documents more of the wider kind: a large group stands for itself, a small one
+moves smoothly to the wider sketch. A ratio may lie above the upper quartile by its reach times the spread of the quartiles and
+``SLACK`` buckets (for ``word_length`` also below the lower one).
 
 All of it is column expressions: no Python runs on the executors.
 """
@@ -13,6 +16,7 @@ All of it is column expressions: no Python runs on the executors.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -22,15 +26,18 @@ from .tables import SPACES, stored, whole_text
 FIGURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 #: Relative width of a bucket.
 GAMMA = 1.02
-#: Distance allowed beyond a quartile, in quartile distances, and documents that a sketch needs.
-REACH, LEAST = 4.0, 200
-#: Per figure: (numerator, denominator, added to both so that zero has a bucket, smallest allowed distance as a factor).
+#: Documents of the wider sketch that a group's quartiles are mixed with.
+WEIGHT = 200
+#: Buckets allowed beside that, a tenth of the value: quartiles may coincide.
+SLACK = 5
+#: Per ratio: (numerator, denominator, quartile that its spread is measured from, reach in spreads, whether low values are odd too).
 RATIOS = {
-    "word_length": ("word_chars", "n_words", 0.0, 1.8),
-    "symbol_share": ("n_symbols", "n_words", 0.02, 8.0),
-    "dup_line_share": ("n_dup_lines", "n_lines", 0.05, 7.0),
-    "repeat_share": ("n_repeat_words", "n_words", 0.05, 8.0),
+    "word_length": ("word_chars", "n_words", "q1", 4.0, True),
+    "symbol_share": ("n_symbols", "n_words", "q2", 3.0, False),
+    "dup_line_share": ("n_dup_lines", "n_lines", "q2", 3.0, False),
+    "repeat_share": ("n_repeat_words", "n_words", "q2", 3.0, False),
 }
+QUARTILES = {"q1": 0.25, "q2": 0.5, "q3": 0.75}
 
 
 def figures(docs: DataFrame, text_column: str = "text") -> DataFrame:
@@ -78,10 +85,10 @@ def figures(docs: DataFrame, text_column: str = "text") -> DataFrame:
 
 
 def _bucket(ratio: str) -> Column:
-    """Logarithmic bucket of a ratio; null where the document has no words or lines."""
-    above, below, added, _ = RATIOS[ratio]
-    value = (F.col(above) + F.lit(added) * F.col(below)) / F.col(below)
-    return F.when((F.col(below) > 0) & (F.col(above) + F.lit(added) > 0), F.ceil(F.log(value) / math.log(GAMMA)).cast("int"))
+    """Logarithmic bucket of a ratio; null where it is zero, or the document has no words or lines."""
+    above, below, *_ = RATIOS[ratio]
+    value = F.col(above) / F.col(below)
+    return F.when((F.col(below) > 0) & (F.col(above) > 0), F.ceil(F.log(value) / math.log(GAMMA)).cast("int"))
 
 
 def with_buckets(df: DataFrame) -> DataFrame:
@@ -97,28 +104,39 @@ def sketches(df: DataFrame) -> DataFrame:
 
 
 def _quartiles(sketch: DataFrame, *keys: str) -> DataFrame:
-    """(keys, ratio, total, q1, q3) of sketches merged per key."""
+    """(keys, ratio, total, q1, q2, q3) of sketches merged per key."""
     merged = sketch.groupBy(*keys, "ratio", "bucket").agg(F.sum("n").alias("n"))
     group = Window.partitionBy(*keys, "ratio")
     upto = F.sum("n").over(group.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0))
     ranked = merged.withColumns({"upto": upto, "total": F.sum("n").over(group)})
     first = lambda share: F.min(F.when(F.col("upto") >= share * F.col("total"), F.col("bucket")))
-    return ranked.groupBy(*keys, "ratio").agg(F.max("total").alias("total"), first(0.25).alias("q1"), first(0.75).alias("q3"))
-
-
-def thresholds(sketch: DataFrame, least: int = LEAST, reach: float = REACH) -> DataFrame:
-    """(lang, source, and per ratio its lowest and highest bucket): one row per (lang, source) of the sketches."""
-    own = _quartiles(sketch, "lang", "source")
-    by_lang = _quartiles(sketch, "lang").select(*[F.col(c).alias(f"l_{c}") for c in ("lang", "ratio", "total", "q1", "q3")])
-    all_ = _quartiles(sketch).select(*[F.col(c).alias(f"a_{c}") for c in ("ratio", "total", "q1", "q3")])
-    df = own.join(by_lang, F.col("lang").eqNullSafe(F.col("l_lang")) & (F.col("ratio") == F.col("l_ratio")))
-    df = df.join(all_, F.col("ratio") == F.col("a_ratio"))
-    pick = lambda c: F.when(F.col("total") >= least, F.col(c)).when(
-        F.col("l_total") >= least, F.col(f"l_{c}")).otherwise(F.col(f"a_{c}"))
-    slack = F.create_map(*[F.lit(x) for r, v in RATIOS.items() for x in (r, math.ceil(math.log(v[3]) / math.log(GAMMA)))])
-    df = df.select("lang", "source", "ratio", pick("q1").alias("q1"), pick("q3").alias("q3"))
-    far = F.greatest((F.col("q3") - F.col("q1")) * reach, slack[F.col("ratio")])
-    df = df.select("lang", "source", "ratio", (F.col("q1") - far).alias("low"), (F.col("q3") + far).alias("high"))
+    return ranked.groupBy(*keys, "ratio").agg(F.max("total").alias("total"), *[first(p).alias(q) for q, p in QUARTILES.items()])
+
+
+def thresholds(sketch: DataFrame, weight: float = WEIGHT) -> DataFrame:
+    """(lang, source, and per ratio its lowest and highest bucket): one row per (lang, source) of the sketches.
+
+    A limit is null where no text of any group has the ratio.
+    """
+    values = ("total", *QUARTILES)
+    named = lambda df, side, *keys: df.select(*[F.col(c).alias(f"{side}_{c}") for c in (*keys, "ratio", *values)])
+    own = named(_quartiles(sketch, "lang", "source"), "o", "lang", "source")
+    by_lang, all_ = named(_quartiles(sketch, "lang"), "l", "lang"), named(_quartiles(sketch), "a")
+    groups = sketch.where(F.col("ratio") == "word_length").select("lang", "source").distinct()
+    df = groups.select("lang", "source", F.explode(F.array(*map(F.lit, RATIOS))).alias("ratio"))
+    same = lambda side, *keys: reduce(lambda x, k: x & F.col(k).eqNullSafe(F.col(f"{side}_{k}")), keys, F.col("ratio") == F.col(f"{side}_ratio"))
+    df = df.join(own, same("o", "lang", "source"), "left").join(by_lang, same("l", "lang"), "left").join(all_, same("a"), "left")
+
+    def mixed(total: str, value: str, wider: Column) -> Column:
+        n = F.col(total)
+        return F.coalesce((n * F.col(value) + weight * wider) / (n + weight), wider)
+
+    drawn = {q: mixed("o_total", f"o_{q}", mixed("l_total", f"l_{q}", F.col(f"a_{q}").cast("double"))) for q in QUARTILES}
+    df = df.select("lang", "source", "ratio", *[v.alias(q) for q, v in drawn.items()])
+    cases = {r: (F.col("ratio") == r, base, reach, both) for r, (_, _, base, reach, both) in RATIOS.items()}
+    far = F.coalesce(*[F.when(here, (F.col("q3") - F.col(base)) * reach + SLACK) for here, base, reach, _ in cases.values()])
+    low = F.coalesce(*[F.when(here, F.col("q1") - F.col("far")) for here, _, _, both in cases.values() if both])
+    df = df.withColumn("far", far).select("lang", "source", "ratio", low.alias("low"), (F.col("q3") + F.col("far")).alias("high"))
     one = lambda r, c: F.max(F.when(F.col("ratio") == r, F.col(c))).alias(f"_{r}_{c}")
     return df.groupBy("lang", "source").agg(*[one(r, c) for r in RATIOS for c in ("low", "high")])
 
@@ -133,8 +151,7 @@ def _judged(df: DataFrame, limits: DataFrame) -> DataFrame:
     met = df.join(limits, F.col("lang").eqNullSafe(F.col("_lang")) & F.col("source").eqNullSafe(F.col("_source")), "left")
     odd = F.lit(False)
     for r in RATIOS:
-        odd = odd | F.coalesce(F.col(f"_{r}") > F.col(f"_{r}_high"), F.lit(False))
-    odd = odd | F.coalesce(F.col("_word_length") < F.col("_word_length_low"), F.lit(False))
+        odd = odd | F.coalesce((F.col(f"_{r}") > F.col(f"_{r}_high")) | (F.col(f"_{r}") < F.col(f"_{r}_low")), F.lit(False))
     return met.withColumn("kept", ~F.col("base_failed") & ~odd)
 
 
@@ -155,6 +172,8 @@ def quality_verdicts(docs: DataFrame, id_column: str = "doc_id") -> DataFrame:
 def keep_good(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that pass, with their columns. Two passes over the texts, no shuffle of them.
 
+    Nulls in lang and source are groups like any other; rows without a text go. An empty table stays empty.
+
     The limits come from a stored table with one narrow row per (lang, source), so its size is known when
     Spark chooses how to join. ``docs`` needs lang, source and text; other columns are kept.
     """

@@ -15,7 +15,10 @@ SELECT k.doc_id, count(*) AS n_lines,
         AS kept_sha256
 FROM keyed k LEFT JOIN holder h ON k.line_key = h.line_key GROUP BY k.doc_id"""
 
-#: Same buckets and limits as the operator: GAMMA 1.02, REACH 4, LEAST 200, and the smallest distances of RATIOS.
+#: A group's quartile drawn towards its language's, and that towards the one of all, each by 200 documents.
+_WIDER = "coalesce((l.n * l.q{0} + 200 * a.q{0}) / (l.n + 200), a.q{0})"
+_DRAWN = ", ".join(f"coalesce((o.n * o.q{i} + 200 * {_WIDER.format(i)}) / (o.n + 200), {_WIDER.format(i)}) AS q{i}" for i in (1, 2, 3))
+#: Same buckets and reaches as the operator: GAMMA 1.02, WEIGHT 200, SLACK 5, and those of RATIOS.
 QUALITY = r"""
 WITH cut AS (
     SELECT doc_id, lang, source, coalesce(text, '') AS body,
@@ -37,31 +40,30 @@ base AS (
     FROM cut LEFT JOIN repeated USING (doc_id)),
 measured AS (
     SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
-        CASE WHEN n_words > 0 AND word_chars > 0 THEN [
-            ceil(ln(word_chars / n_words) / ln(1.02)), ceil(ln((n_symbols + 0.02 * n_words) / n_words) / ln(1.02)),
-            ceil(ln((n_dup_lines + 0.05 * n_rows) / n_rows) / ln(1.02)),
-            ceil(ln((n_repeat_words + 0.05 * n_words) / n_words) / ln(1.02))] END AS grade
+        list_transform([word_chars / n_words, n_symbols / n_words, n_dup_lines / n_rows, n_repeat_words / n_words],
+            lambda x: CASE WHEN x > 0 THEN ceil(ln(x) / ln(1.02)) END) AS grade
     FROM base),
 long_form AS (
     SELECT lang, source, unnest([1, 2, 3, 4]) AS ratio, unnest(grade) AS bucket FROM measured WHERE NOT base_failed),
 quart AS (
-    SELECT ratio, lang, source, grouping(lang, source) AS grp, count(*) AS total,
-        quantile_disc(bucket, 0.25) AS q1, quantile_disc(bucket, 0.75) AS q3
-    FROM long_form GROUP BY GROUPING SETS ((ratio, lang, source), (ratio, lang), (ratio))),
-chosen AS (
-    SELECT o.ratio, o.lang, o.source,
-        CASE WHEN o.total >= 200 THEN o.q1 WHEN l.total >= 200 THEN l.q1 ELSE a.q1 END AS q1,
-        CASE WHEN o.total >= 200 THEN o.q3 WHEN l.total >= 200 THEN l.q3 ELSE a.q3 END AS q3
-    FROM quart o JOIN quart l ON o.grp = 0 AND l.grp = 1 AND o.ratio = l.ratio AND o.lang = l.lang
-    JOIN quart a ON a.grp = 3 AND a.ratio = o.ratio),
+    SELECT ratio, lang, source, grouping(lang, source) AS grp, count(*) AS n,
+        quantile_disc(bucket, 0.25) AS q1, quantile_disc(bucket, 0.5) AS q2, quantile_disc(bucket, 0.75) AS q3
+    FROM long_form WHERE bucket IS NOT NULL GROUP BY GROUPING SETS ((ratio, lang, source), (ratio, lang), (ratio))),
+drawn AS (
+    SELECT g.ratio, g.lang, g.source, {DRAWN}
+    FROM (SELECT DISTINCT lang, source, ratio FROM long_form) g
+    LEFT JOIN quart o ON o.grp = 0 AND o.ratio = g.ratio AND o.lang IS NOT DISTINCT FROM g.lang AND o.source IS NOT DISTINCT FROM g.source
+    LEFT JOIN quart l ON l.grp = 1 AND l.ratio = g.ratio AND l.lang IS NOT DISTINCT FROM g.lang
+    LEFT JOIN quart a ON a.grp = 3 AND a.ratio = g.ratio),
 bounds AS (
-    SELECT ratio, lang, source, greatest(4 * (q3 - q1), ceil(ln([1.8, 8.0, 7.0, 8.0][ratio]) / ln(1.02))) AS far,
-        q1 - far AS low, q3 + far AS high FROM chosen),
+    SELECT ratio, lang, source, CASE WHEN ratio = 1 THEN q1 - ((q3 - q1) * 4.0E0 + 5) END AS low,
+        q3 + (CASE WHEN ratio = 1 THEN (q3 - q1) * 4.0E0 ELSE (q3 - q2) * 3.0E0 END + 5) AS high FROM drawn),
 odd AS (
     SELECT DISTINCT doc_id FROM (SELECT doc_id, lang, source, unnest([1, 2, 3, 4]) AS ratio, unnest(grade) AS bucket FROM measured) m
-    JOIN bounds b USING (ratio, lang, source) WHERE bucket > high OR (ratio = 1 AND bucket < low))
+    JOIN bounds b ON b.ratio = m.ratio AND b.lang IS NOT DISTINCT FROM m.lang AND b.source IS NOT DISTINCT FROM m.source
+    WHERE bucket > high OR bucket < low)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-    NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM odd) AS kept FROM measured"""
+    NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM odd) AS kept FROM measured""".replace("{DRAWN}", _DRAWN)
 
 
 _BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
