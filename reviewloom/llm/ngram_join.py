@@ -364,8 +364,11 @@ def _distances(rows: list, percent: int) -> np.ndarray:
     crossed = block.min() != block.max()
     for w in np.unique(width):
         own = np.flatnonzero(width == w)
-        for v in np.unique(width[(width <= w) & (2 * width >= w)]):
+        for v in np.unique(width[width <= w]):
             partners = np.flatnonzero(width == v)
+            least, most = n[own].min(), n[partners].max()
+            if most < least and not fit(least, most, percent):
+                continue
             y = np.array([np.frombuffer(rows[j][4], np.uint64) for j in partners])
             for part in np.array_split(own, len(own) * len(partners) * v // (8 * SLICE) + 1):
                 if not len(part):

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 import brute
 import corpus_pipeline
 from compare import compare, connect
-from reviewloom.llm import lz_fingerprint, mixing, ngram_join, packing, tokens, toxicity, warc, words
+from reviewloom.llm import lz_fingerprint, mixing, ngram_join, packing, quality, tokens, toxicity, warc, words
 from reviewloom.llm.completion import best_fit, fillings, lower_bound, pack
 from reviewloom.llm.components import components
 from reviewloom.llm.registry import ORACLE_SQL, QUERIES, documents, tokenizer_path
@@ -39,6 +39,52 @@ def test_queries_and_entry():
     assert [n for n in range(1, 14) if any(q.startswith(f"op{n}_") for q in QUERIES)] == list(range(1, 14))
 
 
+# --- quality rules -----------------------------------------------------------------
+
+
+def _figures_of(spark, rows):
+    """(lang, source, n_words, word_chars, n_symbols) as rows of figures with their buckets."""
+    schema = "doc_id long, lang string, source string, n_words long, word_chars long, n_symbols long"
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], schema)
+    more = {"n_lines": F.lit(10), "n_dup_lines": F.lit(0), "n_repeat_words": F.lit(0), "base_failed": F.lit(False)}
+    return quality.with_buckets(df.withColumns(more))
+
+
+def test_limits_follow_the_source(spark):
+    """Sources of one language whose usual level of symbols and usual words differ; a small one is drawn to the language."""
+    draw = random.Random(1)
+    level = {"plain": 0.01, "code": 0.2, "few": 0.2}
+    rows = []
+    for source, n in (("plain", 3000), ("code", 3000), ("few", 20)):
+        for _ in range(n):
+            share = level[source] * draw.choice([1, 1.1, 1.2, 1.3])
+            rows.append(("en", source, 1000, int(1000 * (5 if source == "plain" else 7) * draw.uniform(0.97, 1.03)), int(1000 * share)))
+    rows += [("de", None, 1000, 6000, 0)] * 40
+    found = _figures_of(spark, rows)
+    limits = {(r["lang"], r["source"]): r for r in quality.thresholds(quality.sketches(found)).collect()}
+    high = {s: 1.02 ** limits["en", s]["_symbol_share_high"] for s in level}
+    assert 0.013 < high["plain"] < 0.1 and 0.26 < high["code"] < 2 and high["plain"] < high["few"]
+    words = {s: (1.02 ** limits["en", s]["_word_length_low"], 1.02 ** limits["en", s]["_word_length_high"]) for s in level}
+    assert words["plain"][0] < words["code"][0] and words["plain"][1] < words["code"][1] and words["plain"][1] < words["few"][1]
+    # No text of the group has a symbol: the limit is that of the wider sketch. No text at all has repeated lines: no limit.
+    assert limits["de", None]["_symbol_share_high"] is not None and limits["de", None]["_dup_line_share_high"] is None
+    judged = quality._judged(found, quality.thresholds(quality.sketches(found)))
+    assert judged.where("NOT kept").count() == 0
+    odd = _figures_of(spark, [("en", "plain", 1000, 5000, 200), ("en", "code", 1000, 7000, 200), ("en", "plain", 1000, 12000, 10), ("en", "plain", 1000, 5000, 0)])
+    judged = quality._judged(odd, quality.thresholds(quality.sketches(found)))
+    assert [r["kept"] for r in judged.orderBy("doc_id").collect()] == [False, True, False, True]
+
+
+def test_sketches_merge(spark):
+    """Limits from sketches of parts, added up, are those of the whole."""
+    draw = random.Random(2)
+    rows = [(draw.choice(["en", None]), draw.choice("ab"), 100, draw.randint(300, 900), draw.randint(0, 50)) for _ in range(600)]
+    whole = quality.sketches(_figures_of(spark, rows))
+    parts = quality.sketches(_figures_of(spark, rows[:100])).unionAll(quality.sketches(_figures_of(spark, rows[100:])))
+    together = lambda s: sorted(map(repr, quality.thresholds(s).collect()))
+    assert together(whole) == together(parts) and len(together(whole)) == 4
+
+
 # --- n-gram join -------------------------------------------------------------------
 
 
@@ -77,7 +123,7 @@ def _links(rows, size, percent):
     return {(i, j) for i, j in combinations(range(len(rows)), 2) if near(sets[i], sets[j])}
 
 
-@pytest.mark.parametrize("size, percent, block, held", [(4, 85, 2048, 1 << 23), (5, 80, 7, 3000)])
+@pytest.mark.parametrize("size, percent, block, held", [(4, 85, 2048, 1 << 23), (5, 80, 7, 3000), (4, 42, 2048, 1 << 23), (3, 30, 50, 1 << 23)])
 def test_every_link_is_found(spark, monkeypatch, size, percent, block, held):
     """Also those inside a group that other links connect, between equal texts, and between rows without ids."""
     monkeypatch.setattr(ngram_join, "BLOCK", block)
