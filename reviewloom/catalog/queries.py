@@ -508,6 +508,19 @@ def _(w):
     return docs.select("doc_id", sentiment.compound("text").alias("compound"))
 
 
+@query(
+    "fitted_valences",
+    r"""SELECT * FROM (WITH told AS (SELECT CASE WHEN rating >= 4 THEN 1 WHEN rating <= 2 THEN 0 END AS kind, description FROM f_clean WHERE description IS NOT NULL),
+    kinds AS (SELECT count(*) FILTER (kind = 1) AS p, count(*) FILTER (kind = 0) AS n FROM told),
+    used AS (SELECT kind, unnest(list_distinct(regexp_extract_all(lower(description), '[\p{L}'']+'))) AS word FROM told WHERE kind IS NOT NULL),
+    counted AS (SELECT word, count(*) FILTER (kind = 1) AS a, count(*) FILTER (kind = 0) AS b FROM used GROUP BY word HAVING count(*) >= 5 AND length(word) > 1)
+    SELECT word, a AS n_positive, b AS n_negative, round(greatest(-4.0E0, least(4.0E0, 2.0E0 * (
+        ln((a + 10.0E0 * (a + b) / (p + n)) / (p + 10.0E0)) - ln((b + 10.0E0 * (a + b) / (p + n)) / (n + 10.0E0))))), 6) AS valence FROM counted, kinds) q""",
+)
+def _(w):
+    return _rounded(sentiment.fitted_valences(w.reviews), valence=6)
+
+
 _SCORES = ("text_length_score", "keyword_score", "relevance_score")
 
 

@@ -62,7 +62,8 @@ def keep_order(columns: list[str]) -> list[Column]:
     return [F.col(c).asc_nulls_first() for c in ranked if c in columns]
 
 
-def _apply(df: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
+def apply_rules(df: DataFrame, rules: tuple[Rule, ...] = FULL_RULES) -> DataFrame:
+    """Reason and details of rows of which ``is_first`` says whether they are the kept copy."""
     active = [r for r in rules if r.needs is None or r.needs in df.columns]
     reason = details = None
     for rule in reversed(active):
@@ -79,7 +80,7 @@ def flag_rejects(
 
     ``hot``: hot review ids where they are known; otherwise they are counted over ``df``.
     """
-    return _apply(mark_first(df, "review_id", keep_order(df.columns), hot_rows, hot=hot), rules)
+    return apply_rules(mark_first(df, "review_id", keep_order(df.columns), hot_rows, hot=hot), rules)
 
 
 def join_and_flag(
@@ -94,7 +95,7 @@ def join_and_flag(
     marked = [first_of_regular(part, "review_id", order) for part in parts]
     if hot is not None:
         marked.append(first_of_hot(hot, order, keys, spread_hash("p_id", "buyer_id", "title", "description")))
-    return _apply(reduce(DataFrame.unionByName, marked), rules)
+    return apply_rules(reduce(DataFrame.unionByName, marked), rules)
 
 
 def fill_defaults(df: DataFrame) -> DataFrame:

@@ -121,15 +121,17 @@ class Snapshots:
         self.publish(written, append=True)
         return written[0].n_rows
 
-    def read(self, version: int | None = None) -> DataFrame:
+    def read(self, version: int | None = None, without_run: str | None = None) -> DataFrame:
+        """The newest state or a given one; ``without_run``: but for what this run wrote."""
         state = self.state(version)
         if not state.version:
             raise LookupError(f"{self.root} was never published")
-        if not state.segments:
+        segments = [s for s in state.segments if without_run is None or s.run_id != without_run]
+        if not segments:
             return self.spark.createDataFrame([], state.schema)
         schema = T.StructType([*state.schema.fields, T.StructField("segment", T.StringType())])
         rows = self.spark.read.schema(schema).option("basePath", f"{self.root}/data").format(state.fmt)
-        return rows.load([self._path(s.segment) for s in state.segments]).select(*state.schema.names)
+        return rows.load([self._path(s.segment) for s in segments]).select(*state.schema.names)
 
     def vacuum(self, keep: int = 2) -> int:
         """Delete segments and manifests that only states before the last ``keep`` have; returns the number of segments.

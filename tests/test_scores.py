@@ -228,3 +228,43 @@ def test_threshold_sweep(spark):
         kept = int(((c >= np.quantile(c, pc)) & (r >= np.quantile(r, pr))).sum())
         assert (row["kept"], row["dropped"]) == (kept, 400 - kept)
         assert row["kept_pct"] == pytest.approx(kept / 4)
+
+
+def test_published_values_of_rules():
+    """Texts and compounds published with the method, under its valences for the words they hold."""
+    words = {"horrible": -2.5, "good": 1.9, "great": 3.1, "uncompelling": -0.9, "smart": 1.7, "handsome": 2.2, "funny": 1.9}
+    lexicon = sentiment.replace(sentiment.DEFAULT_LEXICON, valence=words)
+    for text, want in (
+        ("At least it isn't a horrible book.", 0.431), ("The book was good.", 0.4404), ("The book was kind of good.", 0.3832),
+        ("VADER is smart, handsome, and funny.", 0.8316), ("VADER is smart, handsome, and funny!", 0.8439), ("VADER is very smart, handsome, and funny.", 0.8545),
+        ("VADER is not smart, handsome, nor funny.", -0.7424),
+        ("The plot was good, but the characters are uncompelling and the dialog is not great.", -0.7042),
+    ):
+        assert sentiment.score_text(text, lexicon) == want
+
+
+def test_idioms_and_special_negations():
+    lexicon = sentiment.replace(sentiment.DEFAULT_LEXICON, valence={"good": 2.0, "bad": -2.0, "broken": -2.0, "die": -3.0, "heart": 1.0})
+    score = lambda total: round(total / (total * total + 15) ** 0.5, 4)
+    found = lambda text: sentiment.score_text(text, lexicon)
+    # The longest phrase counts once, in place of its words; modifiers before it hold.
+    assert found("this cake is to die for") == score(3.0) and found("a broken heart") == score(-2.9) and found("broken phone") == score(-2.0)
+    assert found("waiting at the bus stop") == 0.0 and found("it's not to die for") == score(3.0 * -0.74)
+    assert found("the kiss of good") == score(2.0) and found("to die of heart") == score(-2.0)
+    assert found("kind of good") == score(2.0 - 0.293)
+    assert found("the least good") == score(2.0 * -0.74) and found("at least good") == score(2.0) and found("the very least good") == score((2.0 + 0.293 * 0.95))
+    assert found("it was never good") == score(2.0 * -0.74) and found("never so good") == score((2.0 + 0.293) * 1.25)
+    assert found("never was this good") == score(2.0 * 1.25) and found("without a doubt good") == score(2.0) and found("without it good") == score(2.0 * -0.74)
+
+
+def test_fitted_valences(spark):
+    rows = [("Good good toy", 5)] * 30 + [("bad toy", 1)] * 30 + [("odd good", 2)] * 2 + [("rare toy", 5)] * 4 + [("toy", 3)] * 50 + [(None, 5), ("bad", None), ("", 1)]
+    df = spark.createDataFrame(rows, "description string, rating int").repartition(3)
+    found = {r["word"]: r for r in sentiment.fitted_valences(df).collect()}
+    assert set(found) == {"good", "toy", "bad"} and (found["good"]["n_positive"], found["good"]["n_negative"]) == (30, 2)
+    p, n, prior = 34, 33, 10
+    want = 2 * math.log(((30 + prior * 32 / (p + n)) / (p + prior)) / ((2 + prior * 32 / (p + n)) / (n + prior)))
+    assert found["good"]["valence"] == pytest.approx(want) and found["bad"]["valence"] < -2 and abs(found["toy"]["valence"]) < 0.3
+    lexicon = sentiment.learned_lexicon(sentiment.fitted_valences(df))
+    assert set(lexicon.valence) == {"good", "bad"} and sentiment.score_text("a good toy", lexicon) > 0 > sentiment.score_text("not good", lexicon)
+    assert sentiment.fitted_valences(df.limit(0)).collect() == []
