@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from .. import PIPELINE_VERSION
 from ..functions import scalar, scoring, sentiment
-from ..operators import classify, clean, distribution, joins, kpi, quality, serve, shop, skew
+from ..operators import classify, clean, distribution, joins, kpi, quality, serve, shop, skew, topics
 from ..plans import jobs
 from ..plans.warehouse import INGESTED_AT, Warehouse, warehouse
 from ..schemas import COLUMNS, REVIEW_RELEVANT_COLUMNS, schema_of
@@ -592,6 +592,37 @@ def _(w):
     return _rounded(found, confidence_score=6).drop("text")
 
 
+def _learned_sql() -> str:
+    """One round: seeds, centroids, posterior."""
+    k = range(len(CORPUS_KEYWORDS))
+    each = lambda text: ", ".join(text.replace("#", str(t)) for t in k)
+    seeds = ", ".join(f"sum(n) FILTER (word IN ({', '.join(repr(x) for x in words)})) AS h{t}" for t, words in zip(k, CORPUS_KEYWORDS.values()))
+    hits = " + ".join(f"coalesce(h{t}, 0)" for t in k)
+    total = " + ".join(f"e{t}" for t in k)
+    topic = " ".join(f"WHEN e{t} = top THEN '{name}'" for t, name in zip(k, CORPUS_KEYWORDS))
+    return rf"""SELECT * FROM (WITH used AS (
+        SELECT doc_id, word, count(*) AS n FROM (SELECT doc_id, unnest(regexp_extract_all(lower(text), '\p{{L}}+')) AS word FROM documents) w GROUP BY ALL),
+    vocab AS (SELECT word, ln((SELECT count(DISTINCT doc_id) FROM used) / count(*)) AS idf FROM used GROUP BY word HAVING count(*) >= 5),
+    weighed AS (SELECT doc_id, word, n * idf AS v FROM used JOIN vocab USING (word) WHERE n * idf > 0),
+    vec AS (SELECT doc_id, word, v / sqrt(sum(v * v) OVER (PARTITION BY doc_id)) AS v FROM weighed),
+    hit AS (SELECT doc_id, {seeds} FROM used GROUP BY doc_id),
+    share AS (SELECT doc_id, {each(f"CASE WHEN {hits} > 0 THEN coalesce(h#, 0) / ({hits}) ELSE 0.25E0 END AS s#")} FROM hit),
+    sums AS (SELECT word, {each("sum(v * s#) AS c#")} FROM vec JOIN share USING (doc_id) GROUP BY word),
+    size AS (SELECT {each("sqrt(sum(c# * c#)) AS l#")} FROM sums),
+    prior AS (SELECT {each("sum(s#) / count(*) AS w#")} FROM share),
+    cosine AS (SELECT doc_id, {each("sum(v * c# / l#) AS x#")} FROM vec JOIN sums USING (word) CROSS JOIN size GROUP BY doc_id),
+    power AS (SELECT doc_id, {each("exp(12.0E0 * coalesce(x#, 0) + ln(w#)) AS e#")} FROM share LEFT JOIN cosine USING (doc_id) CROSS JOIN prior)
+    SELECT d.doc_id, CASE {topic} END AS category_review, round(coalesce(top / ({total}), 0), 6) AS confidence_score
+    FROM documents d LEFT JOIN (SELECT *, greatest({each("e#")}) AS top FROM power) p USING (doc_id)) q"""
+
+
+@query("learned_topics", _learned_sql())
+def _(w):
+    docs = w.base["documents"].select("doc_id", "text")
+    found = topics.learn(docs, "doc_id", "text", CORPUS_KEYWORDS, rounds=1)
+    return _rounded(topics.assign(docs, "doc_id", "text", found), confidence_score=6)
+
+
 def _sweep_sql() -> str:
     parts = [
         f"""SELECT '{n}' AS strategy, round(tc, 6) AS confidence_threshold, round(tr, 6) AS relevance_threshold,
