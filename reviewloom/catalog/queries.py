@@ -20,7 +20,7 @@ from ..operators import classify, clean, distribution, joins, kpi, quality, serv
 from ..plans import jobs
 from ..plans.warehouse import INGESTED_AT, Warehouse, warehouse
 from ..schemas import COLUMNS, REVIEW_RELEVANT_COLUMNS, schema_of
-from ..session import scratch_path
+from ..session import scratch_path, stored
 from ..sources import extract, readers, snapshots, writers
 from ..sources.driver_tables import CORPUS_KEYWORDS, CORPUS_LEXICON, DEAL_DAY
 from .views import KEEP_ORDER, keyword_counts, sentiment_views, with_views
@@ -1335,20 +1335,78 @@ def _declared(w, table: str) -> DataFrame:
     return df.select(*[(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema_of(table)])
 
 
-def _bulk_load(w) -> str:
-    database = f"bulk_{uuid.uuid4().hex[:12]}"
-    w.spark.sql(f"CREATE DATABASE {database}")
-    root = scratch_path(w.spark, "bulk")
-    files = {t: writers.write_lake(_declared(w, t), f"{root}/{t}", "csv") for t in COLUMNS}
-    extract.bulk_load(w.spark, files, database)
-    return database
+#: What a loaded table is compared by: rows, and a sum over all values of each column as text.
+_WEIGHT = "length(CAST({0} AS VARCHAR)) + 7 * ascii(CAST({0} AS VARCHAR))"
 
 
-@query("bulk_load", " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS n_rows FROM f_{t}" for t in COLUMNS))
+def _loaded_sql() -> str:
+    parts = []
+    for table, columns in _given().items():
+        parts += [
+            f"SELECT '{table}' AS table_name, '{c}' AS column_name, count(nullif(CAST({c} AS VARCHAR), '')) AS n_values, CAST(coalesce(sum({_WEIGHT.format(c)}), 0) AS BIGINT) AS weight FROM f_{table}"
+            for c in columns if (table, c) not in _REAL
+        ]
+    return " UNION ALL ".join(parts)
+
+
+#: Columns of real numbers: their spelling as text is a matter of the engine. They are compared by their sums.
+_REAL = {(t, c.split()[0]) for t, text in COLUMNS.items() for c in text.split(",") if c.split()[1] in ("double", "float") or c.split()[1].startswith("decimal")}
+
+
+@query("bulk_load", _loaded_sql())
 def _(w):
-    database = _bulk_load(w)
-    listed = [r["tableName"] for r in readers.list_tables(w.spark, database).where("NOT isTemporary").collect()]
-    return reduce(DataFrame.unionAll, [readers.shape(w.spark.table(f"{database}.{t}")).select(F.lit(t).alias("table_name"), "n_rows") for t in listed])
+    """CSV files loaded into a database, compared by column; the database is dropped when its figures are taken.
+
+    An empty text is null after that, as CSV tells no difference here.
+    """
+    database = f"bulk_{uuid.uuid4().hex[:12]}"
+    w.spark.sql(f"CREATE DATABASE {database}")
+    try:
+        root = scratch_path(w.spark, "bulk")
+        files = {t: writers.write_lake(_declared(w, t), f"{root}/{t}", "csv") for t in COLUMNS}
+        extract.bulk_load(w.spark, files, database)
+        given = _given()
+        listed = [r["tableName"] for r in readers.list_tables(w.spark, database).where("NOT isTemporary").collect()]
+        parts = []
+        for table in listed:
+            names = [c for c in given[table] if (table, c) not in _REAL]
+            text = {c: F.col(c).cast("string") for c in names}
+            rows = F.array(*[F.struct(F.lit(c).alias("column_name"), F.count(c).alias("n_values"), F.coalesce(F.sum(F.length(text[c]) + 7 * F.ascii(text[c])), F.lit(0)).cast("long").alias("weight")) for c in names])
+            one = w.spark.table(f"{database}.{table}").agg(rows.alias("r"))
+            parts.append(one.select(F.lit(table).alias("table_name"), F.inline("r")))
+        return stored(reduce(DataFrame.unionAll, parts), "bulk-figures")
+    finally:
+        w.spark.sql(f"DROP DATABASE IF EXISTS {database} CASCADE")
+
+
+@query("failed_tables", "SELECT 2 AS failed, 8 AS total, 'orders, review_images' AS names, (SELECT count(*) FROM f_review) AS reviews_loaded")
+def _(w):
+    """An extraction of which two tables fail, one as it is asked for and one as its rows are read, and the report of it."""
+    def read(table):
+        if table == "orders":
+            raise ConnectionError("source does not answer")
+        df = w.sources[table]
+        broken = F.raise_error(F.lit("page cannot be read"))
+        return df.withColumn("review_img", F.when(F.col("review_id") >= 0, broken.cast("string"))) if table == "review_images" else df
+
+    paths, status = extract.extract_tables(w.spark, read, scratch_path(w.spark, "lake"))
+    reviews = w.spark.read.parquet(paths["review"]).agg(scalar.n_rows()).scalar()
+    return quality.failed_tables(status).withColumn("reviews_loaded", reviews)
+
+
+@query("sampled_rows", "SELECT 50 AS n, 50 AS different, 50 AS known FROM f_product LIMIT 1")
+def _(w):
+    # The same rows however the table is laid out, all of them rows of the table.
+    product = w.sources["product"].select("p_id", "p_name")
+    first, second = (readers.sample_rows(df, 50, 3, "p_id") for df in (product, product.repartition(7)))
+    both = first.join(second, ["p_id", "p_name"]).join(product, ["p_id", "p_name"])
+    return both.agg(scalar.n_rows().cast("int").alias("n"), F.count_distinct("p_id").cast("int").alias("different"), scalar.n_rows().cast("int").alias("known"))
+
+
+@query("csv_lines", "SELECT CAST(review_id AS VARCHAR) AS review_id, r_desc, title FROM f_review")
+def _(w):
+    path = writers.write_lake(w.sources["review"], scratch_path(w.spark, "review_lines"), "csv-lines")
+    return _texts(readers.read_lake_table(w.spark, "review", path, "csv-lines").select("review_id", "r_desc", "title"), "review_id")
 
 
 @query("lower_case_names", "SELECT review_id, p_id, rating FROM f_clean")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
@@ -80,3 +80,26 @@ def number_or_zero(column: str) -> Column:
 def percent(part: Column, whole: Column) -> Column:
     """part / whole * 100, and 0 for an empty whole."""
     return F.when(whole > 0, part / whole * 100).otherwise(F.lit(0.0))
+
+
+#: Characters that would end a record's line, and the escape itself, with how they are written. No escape holds another's start.
+_ESCAPES = (("\\", "\\b"), ("\n", "\\n"), ("\r", "\\r"))
+
+
+def _texts(df: DataFrame, pairs) -> DataFrame:
+    def put(column: str) -> Column:
+        value = F.col(column)
+        for old, new in pairs:
+            value = F.replace(value, F.lit(old), F.lit(new))
+        return value
+
+    return df.withColumns({f.name: put(f.name) for f in df.schema.fields if f.dataType.simpleString() == "string"})
+
+
+def one_line(df: DataFrame) -> DataFrame:
+    """Texts without line ends, to be read back by ``many_lines``."""
+    return _texts(df, _ESCAPES)
+
+
+def many_lines(df: DataFrame) -> DataFrame:
+    return _texts(df, [(new, old) for old, new in reversed(_ESCAPES)])

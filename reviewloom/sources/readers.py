@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.scalar import null_spellings
+from ..functions.scalar import many_lines, null_spellings
 from ..functions.sentiment import Lexicon, lexicon_from_rows
 from ..operators.classify import scale_confidence
 from ..schemas import JOIN_TABLES, REQUIRED_TABLES, SCORING_COLUMNS, schema_of
@@ -93,7 +93,9 @@ def lake_paths(root: str, prefix: str = "raw", tables: tuple[str, ...] = JOIN_TA
 
 
 def read_lake_table(spark: SparkSession, table: str, path: str, fmt: str = "parquet", multiline: bool = True) -> DataFrame:
-    """A lake table under its schema. CSV without line ends inside fields (``multiline`` off) is read in splits."""
+    """A lake table under its schema. CSV without line ends inside fields (``multiline`` off, or ``csv-lines``) is read in splits."""
+    if fmt == "csv-lines":
+        return many_lines(read_csv(spark, path, schema_of(table), multiline=False))
     if fmt == "csv":
         return read_csv(spark, path, schema_of(table), multiline=multiline)
     return spark.read.schema(schema_of(table)).format(fmt).load(path)
@@ -159,9 +161,14 @@ def list_tables(spark: SparkSession, database: str | None = None) -> DataFrame:
     return spark.sql("SHOW TABLES" + (f" IN {database}" if database else ""))
 
 
-def sample_rows(df: DataFrame, n: int, fraction: float | None = None, seed: int = 0) -> DataFrame:
-    """Some ``n`` rows to look at; of a random sample if a fraction is given."""
-    return (df if fraction is None else df.sample(fraction=fraction, seed=seed)).limit(n)
+def sample_rows(df: DataFrame, n: int, seed: int = 0, *keys: str) -> DataFrame:
+    """``n`` rows drawn by a hash of ``keys`` (all columns by default) and the seed: the same ones for any layout of the table.
+
+    Spark keeps the ``n`` smallest hashes of each task, so no more than these are brought together.
+    """
+    keys = keys or tuple(df.columns)
+    rows = df.withColumn("_draw", F.xxhash64(*keys, F.lit(seed)))
+    return rows.orderBy("_draw", *keys).limit(n).drop("_draw")
 
 
 def shape(df: DataFrame) -> DataFrame:

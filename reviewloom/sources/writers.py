@@ -8,12 +8,19 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import PIPELINE_VERSION
+from ..functions.scalar import one_line
 from ..schemas import REVIEW_RELEVANT_COLUMNS, REVIEWS_COLUMNS
 from .snapshots import Snapshots, published
 
 
 def write_lake(df: DataFrame, path: str, fmt: str = "parquet") -> str:
-    """Overwrite one lake table; CSV has a header and doubles quotes."""
+    """Overwrite one lake table; CSV has a header and doubles quotes.
+
+    ``csv-lines`` is CSV whose records are one line each: line ends and backslashes in texts are written as ``\\n``, ``\\r`` and
+    ``\\b``, so that a large file is read in splits.
+    """
+    if fmt == "csv-lines":
+        df, fmt = one_line(df), "csv"
     writer = df.write.mode("overwrite")
     if fmt == "csv":
         writer.csv(path, header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)

@@ -3,6 +3,7 @@
 import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from reviewloom.functions.sentiment import compound
 from reviewloom.operators import quality, serve
@@ -143,7 +144,7 @@ def test_catalog_and_precomputed_scores(spark, tables, tmp_path):
     scores = readers.read_precomputed_scores(spark, str(tmp_path / "s.csv"), StructType.fromDDL(schema))
     assert scores.first()["confidence_score"] == 50.0
     assert tuple(readers.shape(scores).first()) == (1, 3)
-    assert readers.sample_rows(tables["review"], 2, 1.0).count() == 2
+    assert readers.sample_rows(tables["review"], 2).count() == 2 and readers.sample_rows(tables["review"], 9).count() == 4
     (tmp_path / "lex.txt").write_text("plouf\t2.0\t0.5\t[1, 2]\n:)\t1.5\t0.1\t[]\n")
     lexicon = readers.read_lexicon(spark, str(tmp_path / "lex.txt"))
     df = spark.createDataFrame([("plouf :)",), ("good",)], "t string")
@@ -218,3 +219,27 @@ def test_staging_is_deleted(spark, tables, tmp_path):
 def test_splittable_csv(spark, tables, tmp_path):
     path = writers.write_lake(tables["category"], str(tmp_path / "c"), "csv")
     assert readers.read_lake_table(spark, "category", path, "csv", multiline=False).count() == tables["category"].count()
+
+
+def test_one_line_csv(spark, tmp_path):
+    texts = ["a\nb", "a\\nb", "\\", "\\\\n\r\n", "\r", 'q"\\"', "\\b", "plain", None]
+    df = spark.createDataFrame([(i, t, "d") for i, t in enumerate(texts)], schema_of("category"))
+    path = writers.write_lake(df.coalesce(1), str(tmp_path / "c"), "csv-lines")
+    lines = next((tmp_path / "c").glob("*.csv")).read_text().split("\n")
+    assert len([x for x in lines if x]) == len(texts) + 1
+    found = readers.read_lake_table(spark, "category", path, "csv-lines")
+    assert {r[0]: r[1] for r in found.collect()} == dict(enumerate(texts))
+
+
+def test_samples_do_not_depend_on_the_layout(spark):
+    df = spark.range(1000).select("id", (F.col("id") % 7).alias("k"))
+    draws = [sorted(readers.sample_rows(df.repartition(n), 40, seed).collect()) for n in (1, 5) for seed in (1, 2)]
+    assert draws[0] == draws[2] != draws[1] == draws[3] and len(draws[0]) == 40
+
+
+def test_reviews_of_a_pair_are_in_order(spark):
+    """Several reviews of one buyer and product, equal scores among them."""
+    rows = [(i, "b", "p", s, "RELEVANT" if i % 5 else "IRRELEVANT", True, False, 1, "a.png, b.png", "d") for i, s in enumerate([3.0, None, 9.0, 9.0, 1.0, 7.0, 3.0, 3.0])]
+    columns = "review_id long, buyer_id string, p_id string, relevance_score double, relevant_status string, has_image boolean, has_orders boolean, is_extreme_rating int, review_img string, description string"
+    found = serve.buyer_product_reviews(spark.createDataFrame(rows, columns).repartition(3), "b", "p").collect()
+    assert [r["review_id"] for r in found] == [2, 3, 6, 7, 4, 1] and found[0]["images"] == ["a.png", "b.png"]
