@@ -15,7 +15,6 @@ _TAG = re.compile(
 _ATTRIBUTE = re.compile(r"([^\s\"'>/=][^\s/>=]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]*)))?")
 #: Comments, strings and escapes, in which braces don't count, and the marks that do.
 _CSS = re.compile(r"/\*.*?(?:\*/|\Z)|\"(?:[^\"\\\n]|\\.)*(?:\"|(?=\n)|\Z)|'(?:[^'\\\n]|\\.)*(?:'|(?=\n)|\Z)|\\.|[{};]", re.DOTALL)
-_SIMPLE = re.compile(r"([a-z][a-z0-9]*)?((?:[.#][\w-]+)*)$", re.IGNORECASE)
 _WHITE = " \t\n\f\r"
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -65,6 +64,8 @@ class Node:
     attributes: dict[str, str] = field(default_factory=dict)
     parent: Node | None = None
     children: list[Node | str] = field(default_factory=list)
+    #: How far selectors are matched down to here: (by this element or one around it, by this element).
+    matched: tuple[frozenset, frozenset] | None = None
 
 
 def _attributes(text: str) -> dict[str, str]:
@@ -79,42 +80,69 @@ class _Builder:
     def __init__(self) -> None:
         self.root = Node("html")
         self.stack = [self.root]
+        #: Places in the stack of the open elements of each tag, so that none has to be looked for.
+        self.places: dict[str, list[int]] = {}
+        #: What doesn't belong in a table stands before it; it is put there when the page has ended.
+        self.before: dict[Node, list[Node | str]] = {}
         self.styles: list[str] = []
         self.foreign = False  # whether the page has svg or math
 
+    def _push(self, node: Node) -> None:
+        self.places.setdefault(node.tag, []).append(len(self.stack))
+        self.stack.append(node)
+
+    def _cut(self, at: int) -> None:
+        """Close all elements from a place of the stack on."""
+        for node in self.stack[at:]:
+            self.places[node.tag].pop()
+        del self.stack[at:]
+
+    def _innermost(self, tags) -> int:
+        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=0)
+
     def _open(self, tags, beyond) -> int | None:
-        """Place of the innermost open element of ``tags``, None if ``beyond`` comes first."""
-        for at in range(len(self.stack) - 1, 0, -1):
-            tag = self.stack[at].tag
-            if tag in tags:
-                return at
-            if tag in beyond:
-                return None
-        return None
+        """Place of the innermost open element of ``tags``, None if one of ``beyond`` is further in."""
+        at = self._innermost(tags)
+        return at if at and at >= self._innermost(beyond) else None
 
     def _end(self, tags, beyond) -> bool:
         at = self._open(tags, beyond)
         if at:
-            del self.stack[at:]
+            self._cut(at)
         return bool(at)
 
     def _add(self, child: Node | str, of_table: bool = False) -> None:
         parent = self.stack[-1]
         if parent.tag in _TABLE_PARTS and not of_table:
-            # What doesn't belong in a table stands before it.
-            at = next(i for i in range(len(self.stack) - 1, -1, -1) if self.stack[i].tag == "table" or not i)
-            table = self.stack[at]
-            parent = table.parent or self.root
-            where = parent.children.index(table) if table.parent else len(parent.children)
-            parent.children.insert(where, child)
+            table = self.stack[self._innermost(("table",))]
+            if table.parent:
+                self.before.setdefault(table, []).append(child)
+                parent = table.parent
+            else:
+                parent = self.root
+                parent.children.append(child)
         else:
             parent.children.append(child)
         if isinstance(child, Node):
             child.parent = parent
 
+    def finish(self) -> Node:
+        """The tree, with what stood wrongly in tables put before them."""
+        for parent in {table.parent: None for table in self.before}:
+            waiting, done = parent.children[::-1], []
+            while waiting:
+                child = waiting.pop()
+                # A table that stands before another may have something before it, too.
+                if first := self.before.pop(child, None) if isinstance(child, Node) else None:
+                    waiting += [child, *reversed(first)]
+                else:
+                    done.append(child)
+            parent.children = done
+        return self.root
+
     def text(self, data: str) -> None:
         if self.stack[-1].tag == "head" and data.strip(_WHITE):
-            self.stack.pop()
+            self._cut(len(self.stack) - 1)
         if self.stack[-1].tag in _TABLE_PARTS and not data.strip(_WHITE):
             return
         self._add(unescape(data) if "&" in data else data)
@@ -129,11 +157,11 @@ class _Builder:
                 self.root.attributes.setdefault(name, value)
             return
         if self.stack[-1].tag == "head" and tag not in _IN_HEAD:
-            self.stack.pop()
+            self._cut(len(self.stack) - 1)
         if tag in _CLOSES_P:
             self._end({"p"}, _SCOPE | {"button"})
         if tag in _HEADINGS and self.stack[-1].tag in _HEADINGS:
-            self.stack.pop()
+            self._cut(len(self.stack) - 1)
         if tag in _ENDS:
             self._end(*_ENDS[tag])
         of_table = False
@@ -145,12 +173,12 @@ class _Builder:
             elif tag in ("td", "th") and self._open({"tr"}, {"table"}) is None:
                 row = Node("tr")
                 self._add(row, True)
-                self.stack.append(row)
+                self._push(row)
         node = Node(tag, attributes)
         self._add(node, of_table or tag in ("script", "style", "template"))
         self.foreign |= tag in _FOREIGN
         if tag not in VOID and not (closed and (tag in _FOREIGN or self.foreign and self._open(_FOREIGN, _PAGE_IN))):
-            self.stack.append(node)
+            self._push(node)
 
     def end(self, tag: str) -> None:
         if tag in ("html", "body"):
@@ -195,12 +223,23 @@ def build(html: str) -> tuple[Node, list[str]]:
                 at = end
         elif match["end"]:
             builder.end(match["end"].lower())
-    return builder.root, builder.styles
+    return builder.finish(), builder.styles
 
 
-def _declared(style: str) -> dict[str, str]:
-    pairs = (d.partition(":") for d in style.lower().split(";"))
-    return {n.strip(): v.replace("!important", "").strip() for n, _, v in pairs if n.strip() in ("display", "visibility", "text-align", "white-space")}
+#: Property: (value, whether it is marked as important).
+Declared = dict[str, tuple[str, bool]]
+
+
+def _declared(style: str) -> Declared:
+    found: Declared = {}
+    for declaration in style.lower().split(";"):
+        name, _, value = declaration.partition(":")
+        if (name := name.strip()) in ("display", "visibility", "text-align", "white-space"):
+            value, mark, _ = value.partition("!")
+            important = bool(mark) and declaration.rpartition("!")[2].strip() == "important"
+            if important or not found.get(name, ("", False))[1]:
+                found[name] = (value.strip(), important)
+    return found
 
 
 def _on_screen(media: str) -> bool:
@@ -237,32 +276,136 @@ def _rules(css: str) -> Iterator[tuple[str, str]]:
                     yield prelude, ";".join(declarations)
 
 
+_COMPOUND = re.compile(r"(?:\*|[a-z][a-z0-9-]*)?(?:[.#][\w-]+|\[\s*[\w-]+\s*(?:=\s*(?:\"[^\"]*\"|'[^']*'|[\w-]+)\s*)?\]|:not\([^()]*\))*", re.IGNORECASE)
+_PART = re.compile(r":not\(([^()]*)\)|([.#])([\w-]+)|\[\s*([\w-]+)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([\w-]+))\s*)?\]", re.IGNORECASE)
+
+
+@dataclass(frozen=True)
+class Compound:
+    """Tests of one element: tag, id, classes, attributes (None: any value), and compounds that must not match."""
+
+    tag: str
+    ids: frozenset[str]
+    classes: frozenset[str]
+    attributes: tuple[tuple[str, str | None], ...]
+    nots: tuple[Compound, ...]
+
+    @property
+    def weight(self) -> tuple[int, int, int]:
+        own = (len(self.ids), len(self.classes) + len(self.attributes), int(bool(self.tag)))
+        return tuple(sum(w) for w in zip(own, *[n.weight for n in self.nots], strict=True))
+
+    @property
+    def key(self) -> str:
+        """What an element must have to be tested at all."""
+        return next((f"#{i}" for i in self.ids), next((f".{c}" for c in self.classes), self.tag))
+
+    def match(self, node: Node, classes: set[str]) -> bool:
+        given = node.attributes
+        return (
+            (not self.tag or self.tag == node.tag) and self.ids <= {given.get("id", "")} and self.classes <= classes
+            and all(n in given and (v is None or given[n] == v) for n, v in self.attributes)
+            and not any(n.match(node, classes) for n in self.nots)
+        )
+
+
+def _compound(text: str) -> Compound | None:
+    if not text or not _COMPOUND.fullmatch(text):
+        return None
+    tag = re.match(r"\*|[a-z][a-z0-9-]*", text, re.IGNORECASE)
+    ids, classes, attributes, nots = set(), set(), [], []
+    for part in _PART.finditer(text):
+        if part[2]:
+            (ids if part[2] == "#" else classes).add(part[3])
+        elif part[4]:
+            attributes.append((part[4].lower(), next((v for v in part.group(5, 6, 7) if v is not None), None)))
+        else:
+            found = [_compound(x.strip()) for x in part[1].split(",")]
+            if None in found:
+                return None
+            nots += found
+    name = tag[0].lower() if tag and tag[0] != "*" else ""
+    return Compound(name, frozenset(ids), frozenset(classes), tuple(attributes), tuple(nots))
+
+
+def _selector(text: str) -> list[tuple[str, Compound]] | None:
+    """(what joins it to the one before, compound) from the outermost on; None for a selector with anything else in it."""
+    spaced = re.sub(r"\s*>\s*", " > ", text.strip())
+    # Blanks inside of brackets join nothing.
+    words = re.findall(r"(?:\[[^\]]*\]|\([^()]*\)|[^\s\[(])+", spaced)
+    found, joint = [], " "
+    for word in words:
+        if word == ">":
+            if joint == ">" or not found:
+                return None
+            joint = ">"
+            continue
+        compound = _compound(word)
+        if compound is None:
+            return None
+        found.append((joint, compound))
+        joint = " "
+    return found if found and joint == " " else None
+
+
 class Sheet:
-    """Rules of a page's style sheets with simple selectors (tag, class, id) that bear on visibility and layout.
+    """Rules of a page's style sheets that bear on visibility and layout, with the cascade: importance, inline styles, weight, order.
 
-    Rules that apply only under a condition not known to hold on a screen hide nothing.
+    Selectors are compounds of tag, class, id, attribute and ``:not``, joined as descendants or children; rules with other
+    selectors, and rules that apply only under a condition not known to hold on a screen, hide nothing. A selector is followed
+    from the outside in: each element takes over how far it has matched around it, so no element looks at those around it again.
     """
 
     def __init__(self, styles: list[str]) -> None:
-        self.rules: list[tuple[str, frozenset[str], frozenset[str], dict[str, str]]] = []
+        #: What an element has: the (selector, place in it, joint, compound) to be tested.
+        self.tests: dict[str, list[tuple[int, int, str, Compound]]] = {}
+        self.rules: list[tuple[int, tuple[int, int, int], Declared]] = []  # (last place, weight, declarations) per selector
         for style in styles:
             for selectors, body in _rules(style):
                 if declared := _declared(body):
-                    for selector in selectors.split(","):
-                        if (match := _SIMPLE.match(selector.strip())) and selector.strip():
-                            names = re.findall(r"[.#][\w-]+", match[2])
-                            classes = frozenset(n[1:] for n in names if n[0] == ".")
-                            self.rules.append(((match[1] or "").lower(), classes, frozenset(n[1:] for n in names if n[0] == "#"), declared))
+                    for text in re.findall(r"(?:\[[^\]]*\]|\([^()]*\)|[^,\[(])+", selectors):
+                        if parts := _selector(text):
+                            for place, (joint, compound) in enumerate(parts):
+                                self.tests.setdefault(compound.key, []).append((len(self.rules), place, joint, compound))
+                            weight = tuple(map(sum, zip(*[c.weight for _, c in parts], strict=True)))
+                            self.rules.append((len(parts) - 1, weight, declared))
+
+    def _matched(self, node: Node) -> tuple[frozenset, frozenset]:
+        """Follow the selectors down to ``node``, from the innermost element around it that has been reached."""
+        path = []
+        at: Node | None = node
+        while at is not None and at.matched is None:
+            path.append(at)
+            at = at.parent
+        around, outer = at.matched if at is not None else (frozenset(), frozenset())
+        for at in reversed(path):
+            classes = set(at.attributes.get("class", "").split())
+            keys = ["", at.tag, *[f".{c}" for c in classes]]
+            if "id" in at.attributes:
+                keys.append(f"#{at.attributes['id']}")
+            here = frozenset(
+                (rule, place) for key in keys for rule, place, joint, compound in self.tests.get(key, ())
+                if (not place or (rule, place - 1) in (outer if joint == ">" else around)) and compound.match(at, classes)
+            )
+            around, outer = (around if here <= around else around | here), here
+            at.matched = (around, outer)
+        return around, outer
 
     def style(self, node: Node) -> dict[str, str]:
-        found: dict[str, str] = {}
+        best: dict[str, tuple[tuple, str]] = {}
         if "hidden" in node.attributes:
-            found["display"] = "none"
+            best["display"] = ((False, -1), "none")
+
+        def offer(declared: Declared, rank: tuple) -> None:
+            for name, (value, important) in declared.items():
+                if name not in best or (important, *rank) >= best[name][0]:
+                    best[name] = ((important, *rank), value)
+
         if self.rules:
-            classes, name = set(node.attributes.get("class", "").split()), node.attributes.get("id", "")
-            for tag, wanted, ids, declared in self.rules:
-                if (not tag or tag == node.tag) and wanted <= classes and ids <= {name}:
-                    found |= declared
+            for rule, place in self._matched(node)[1]:
+                last, weight, declared = self.rules[rule]
+                if place == last:
+                    offer(declared, (0, weight, rule))
         if "style" in node.attributes:
-            found |= _declared(node.attributes["style"])
-        return found
+            offer(_declared(node.attributes["style"]), (1,))
+        return {name: value for name, (_, value) in best.items()}

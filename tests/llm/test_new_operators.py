@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -14,7 +15,9 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from reviewloom.llm import divergence, fill_middle, language_id, seekable
+from reviewloom.llm.markup import Node, Sheet
 from reviewloom.llm.registry import QUERIES, documents
+from reviewloom.llm.rendering import render
 
 FOLDER = "/root/testdata/sf0.001"
 UNITS = re.compile(r"[A-Za-z]+|[^A-Za-z]", re.S)
@@ -259,3 +262,75 @@ def test_runs_meet_exactly(rows):
 def test_shares_of_great_counts():
     counts = np.array([0, 7, 10**15, 4 * 10**15], np.int64)
     assert divergence.shares(counts, 9 * 10**15, 1000).tolist() == [1 + 10**9 * (int(c) + 2) // (9 * 10**15 + 2000) for c in counts]
+
+
+# --- style rules and size of pages --------------------------------------------------
+
+
+@pytest.mark.parametrize("html, text", [
+    ("<style>#a{display:none} .b{display:block}</style><p id=a class=b>hid</p>seen", "seen"),
+    ("<style>.b{display:none} p.b{display:block}</style><p class=b>seen</p><i class=b>hid</i>", "seen"),
+    ("<style>p{display:none!important}</style><p style='display:block'>hid</p>seen", "seen"),
+    ("<style>p{display:none!important}</style><p style='display:block !important'>seen</p>", "seen"),
+    ("<style>p{display:none} p{display:block}</style><p>seen</p>", "seen"),
+    ("<style>p{display:none !important} p{display:block}</style><p>hid</p>seen", "seen"),
+    ("<style>.nav .x{display:none}</style><div class=nav><i><b class=x>hid</b></i></div><b class=x>seen</b>", "seen"),
+    ("<style>div > p{display:none}</style><div><p>hid</p><section><p>seen</p></section></div>", "seen"),
+    ("<style>div>p,span{display:none}</style><div><p>hid</p></div><span>hid</span>seen", "seen"),
+    ("<style>p:not(.k){display:none}</style><p>hid<p class=k>seen", "seen"),
+    ("<style>p:not(.k, #i){display:none}</style><p>hid<p id=i>seen", "seen"),
+    ("<style>[data-x='1']{display:none} [q]{display:none}</style><p data-x=1>hid<p data-x=2>seen<p q>hid", "seen"),
+    ("<style>[title='']{display:none}</style><p title=''>hid<p title=x>seen", "seen"),
+    ("<style>a + b, a ~ i, b:hover, ::before{display:none}</style><a>1</a><b>2</b><i>3</i>", "123"),
+    ("<p hidden>hid</p><style>.s{display:block}</style><p hidden class=s>seen</p>", "seen"),
+    ("<style>.v{visibility:hidden} .v .w{visibility:visible}</style><div class=v>hid<b class=w>seen</b></div>", "seen"),
+])
+def test_cascade(html, text):
+    assert render(html) == text
+
+
+def test_large_and_deep_pages_take_linear_time():
+    pages = ["<div>" * 20_000 + "x", "<style>.a .b .c{display:none} div > p{display:none}</style><div class=a>" + "<div class=b>" * 20_000 + "x",
+             "<table>" + "<tr>text in the wrong place " * 12_000 + "</table>", "<table>" * 4_000 + "x" + "</p>" * 4_000, "<b><p>x" * 8_000]
+    for html in pages:
+        start = time.perf_counter()
+        assert "x" in render(html)
+        assert time.perf_counter() - start < 3
+
+
+def _matches(node, selector):
+    """A selector as (joint, tag, class) from the outermost on, tried in every way."""
+    *outer, (joint, tag, name) = selector
+    if (tag and node.tag != tag) or (name and name not in node.attributes.get("class", "").split()):
+        return False
+    if not outer:
+        return True
+    around = node.parent
+    while around is not None:
+        if _matches(around, outer):
+            return True
+        around = None if joint == ">" else around.parent
+    return False
+
+
+_PART = st.tuples(st.sampled_from([" ", ">"]), st.sampled_from(["", "div", "p", "i"]), st.sampled_from(["", "a", "b"])).filter(lambda x: x[1] or x[2])
+
+
+@given(st.lists(st.lists(_PART, min_size=1, max_size=4), min_size=1, max_size=4), st.lists(st.tuples(st.integers(0, 9), st.sampled_from(["div", "p", "i"]), st.sampled_from(["", "a", "b", "a b"])), min_size=1, max_size=14))
+@settings(max_examples=300, deadline=None)
+def test_selectors_against_all_ways(selectors, tree):
+    nodes = [Node("html")]
+    for place, tag, classes in tree:
+        parent = nodes[place % len(nodes)]
+        nodes.append(Node(tag, {"class": classes}, parent))
+        parent.children.append(nodes[-1])
+    text = ["".join((f" {j} " if i else "") + t + (f".{c}" if c else "") for i, (j, t, c) in enumerate(s)) for s in selectors]
+    for node in reversed(nodes):  # in any order
+        node_sheet = Sheet([",".join(text) + "{display:none}"])
+        for other in nodes:
+            other.matched = None
+        assert (node_sheet.style(node).get("display") == "none") == any(_matches(node, s) for s in selectors)
+    sheet = Sheet([",".join(text) + "{display:none}"])
+    for other in nodes:
+        other.matched = None
+    assert [sheet.style(n).get("display") == "none" for n in nodes] == [any(_matches(n, s) for s in selectors) for n in nodes]
