@@ -26,7 +26,6 @@ SAMPLE = 4_000
 STEM = 5
 #: A feature is kept if this many documents of the sample have it and its likelihood ratio (G) against chance is as high.
 LEAST_DOCUMENTS, LEAST_RATIO = 4, 20.0
-MOST_FEATURES = 50_000
 
 
 @dataclass(frozen=True)
@@ -117,8 +116,6 @@ def fit(features: list[np.ndarray], grade: np.ndarray, rounds: int = 400, decay:
     yes, no = np.bincount(column, positive[row], len(unique)), np.bincount(column, ~positive[row], len(unique))
     strength = np.where(yes + no >= LEAST_DOCUMENTS, _likelihood_ratio(yes, no, positive.sum(), (~positive).sum()), 0)
     kept = np.flatnonzero(strength >= LEAST_RATIO)
-    if len(kept) > MOST_FEATURES:
-        kept = np.sort(kept[np.argsort(-strength[kept], kind="stable")[:MOST_FEATURES]])
     place = np.full(len(unique), -1)
     place[kept] = np.arange(len(kept))
     mine = place[column] >= 0
