@@ -2,7 +2,9 @@
 
 Batches are cut by bytes, and only lengths return. Long texts are split where a token can't reach across: the
 pattern of a byte-level BPE always ends a match before a space that stands between two characters
-other than white space, and merges stay inside a match.
+other than white space, and merges stay inside a match. Characters count as such only where no version of Unicode could take them for
+white space: visible ASCII, letters and digits. The library gets the parts of all texts of a batch that need it in one call.
+Files of other kinds, and those whose added tokens swallow spaces, are not split.
 
 The ids are those of the ``tokenizers`` library. Where that is proven, a faster engine makes them from the same file:
 it merges the two neighbours whose joined bytes have the lowest rank, while the file lists pairs. The two agree
@@ -17,6 +19,7 @@ from __future__ import annotations
 import json
 import os
 import re
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -36,7 +39,7 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 SETTLED = "\x00-\x1b\x20-\x84\x86-\u021f\u0410-\u044f\u2010-\u2027\u2030-\u2046\u20ac\u3041-\u3094\u30a1-\u30fa\u4e00-\u9fa5\uac00-\ud7a3"
 UNSETTLED = re.compile(f"[^{SETTLED}]")
 LONG = 1 << 16
-_CUT = re.compile(r"(?<=\S) (?=\S)")
+_CUT = re.compile(r"(?<=[!-~\w]) (?=[!-~\w])")
 
 
 def _byte_characters() -> dict[str, int]:
@@ -71,17 +74,21 @@ class Encoder:
         self.fast = None
         if path.endswith(".model"):
             pieces = SentencePieceProcessor(model_file=path)
-            self.whole = lambda text: pieces.encode(text, num_threads=1)
+            self.batch = lambda texts: pieces.encode(texts, num_threads=1)
+            self.splits = False
             return
         tokenizer = Tokenizer.from_file(path)
-        self.whole = lambda text: tokenizer.encode(text, add_special_tokens=False).ids
+        self.batch = lambda texts: [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         with open(path, encoding="utf-8") as file:
             kind = json.load(file)
         steps, model = kind.get("pre_tokenizer") or {}, kind["model"]
         specials = {t["content"] for t in kind.get("added_tokens", ())}
         plain = not any(kind.get(k) for k in ("normalizer", "truncation", "padding"))
         plain = plain and not any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges"))
-        if plain and steps.get("type") == "ByteLevel" and steps.get("use_regex", True) and not steps.get("add_prefix_space"):
+        swallow = any(t.get("lstrip") or t.get("rstrip") or " " in t["content"] for t in kind.get("added_tokens", ()))
+        byte_level = plain and steps.get("type") == "ByteLevel" and steps.get("use_regex", True) and not steps.get("add_prefix_space")
+        self.splits = byte_level and not swallow
+        if byte_level:
             if ranks := model.get("type") == "BPE" and _agrees(model, specials):
                 self.fast = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
                 self.special = re.compile("|".join(map(re.escape, specials)) or r"(?!)")
@@ -96,15 +103,26 @@ class Encoder:
         self.settled |= new
         return True
 
-    def encode(self, text: str) -> list[np.ndarray]:
-        """Ids of a whole text, in parts: one part, or several for a long text."""
-        if not self._proven(text):
-            return [np.asarray(self.whole(text), np.uint32)]
+    def _parts(self, text: str) -> list[str]:
         parts, start = [], 0
         while len(text) - start > LONG and (cut := _CUT.search(text, start + LONG)):
             parts.append(text[start : cut.start()])
             start = cut.start()
-        return [self.fast.encode_to_numpy(part, disallowed_special=()) for part in [*parts, text[start:]]]
+        return [*parts, text[start:]]
+
+    def encode_all(self, texts: list[str]) -> Iterator[list[np.ndarray]]:
+        """Ids of whole texts, each in parts: one part, or several for a long text."""
+        proven = [self._proven(text) for text in texts]
+        parts = [self._parts(text) if fast or self.splits else [text] for text, fast in zip(texts, proven, strict=True)]
+        left = iter(self.batch([p for own, fast in zip(parts, proven, strict=True) if not fast for p in own]))
+        for own, fast in zip(parts, proven, strict=True):
+            if fast:
+                yield [self.fast.encode_to_numpy(p, disallowed_special=()) for p in own]
+            else:
+                yield [np.asarray(next(left), np.uint32) for _ in own]
+
+    def encode(self, text: str) -> list[np.ndarray]:
+        return next(self.encode_all([text]))
 
 
 @lru_cache(maxsize=4)
@@ -124,7 +142,7 @@ def count_tokens(docs: DataFrame, path: str, limit: int = 512, id_column: str =
     def lengths(batches):
         tokens = encoder(path)
         for batch in slices(batches, 1):
-            counts = [sum(map(len, tokens.encode(text))) for text in batch.column(1).to_pylist()]
+            counts = [sum(map(len, parts)) for parts in tokens.encode_all(batch.column(1).to_pylist())]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pc.binary_length(batch.column(1)).cast(pa.int64()),
                  pa.array(counts, pa.int64())], names=["id", "n_bytes", "n_tokens"])

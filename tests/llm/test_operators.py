@@ -276,6 +276,21 @@ def test_long_texts_are_cut_without_effect(spark):
     assert np.concatenate(parts).tolist() == Tokenizer.from_file(tokenizer_path()).encode(text, add_special_tokens=False).ids
 
 
+def test_long_texts_of_the_library_are_cut_too(monkeypatch):
+    """Characters of unsettled classes and special strings: split all the same, in one batch, with the ids of the whole texts."""
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(tokens, "LONG", 40)
+    draw = random.Random(3)
+    words = ["λόγος", "<|endoftext|>", "👍🏽", "हिन्दी", "don't", "  ", "\u3000", "\u0301", "x²", "!", "\n", "Σ", "a\u0301b", "\u200b", "١٢٣", "\x85", "\u2028", "ab", "\ufeff"]
+    texts = [" ".join(draw.choice(words) for _ in range(300)) for _ in range(40)] + ["", "λ", "plain words " * 30]
+    library = Tokenizer.from_file(tokenizer_path())
+    found = list(tokens.encoder(tokenizer_path()).encode_all(texts))
+    assert sum(len(parts) > 4 for parts in found) >= 40
+    for text, parts in zip(texts, found, strict=True):
+        assert [i for p in parts for i in p] == library.encode(text, add_special_tokens=False).ids
+
+
 @pytest.mark.parametrize("name", ["word_bpe_49k.json", "piece_bpe_32k.model"])
 def test_other_tokenizers(spark, name):
     path = tokenizer_path(name)
