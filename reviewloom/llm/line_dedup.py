@@ -1,28 +1,35 @@
 """Line dedup over levelled sorted runs of line hashes.
 
-Documents come in batches by ascending id. A run is a stored, sorted table of (hash, owner): the lines
-seen so far, each with the smallest document that holds it. A batch is merge-anti-joined with the
-runs; what is left is new, gets the batch's smallest document as owner, and becomes a run of level 0. Whenever
-``FANOUT`` runs of a level have come together, they are compacted into one of the next level, so a batch
-meets about ``FANOUT * log(batches)`` runs. At the end each line's owner is known, and a line goes
-wherever its document isn't the owner.
-
+Documents come in batches by ascending id. A run is a stored table of (hash, owner): the lines seen so far, each
+with the smallest document that holds it. A batch is merge-anti-joined with the runs; what is left is new, gets the
+batch's smallest document as owner, and becomes a run of level 0. Two runs of a level are compacted into one of the
+next by a merge join, so a batch meets about ``log2(batches)`` runs. At the end each line's owner is known, and a line
+goes wherever its document isn't the owner.
+
+Runs are bucketed by the hash into as many buckets as a shuffle has partitions, one sorted file each. So a batch is
+shuffled once, for its own aggregate, and then meets bucket after bucket: runs are neither shuffled nor sorted again.
 Only (hash, document, place) travels until the end, 16 bytes of hash a line; the texts are shuffled
 once, with the places to drop. All of it is DataFrame operations: no Python runs on the executors.
 """
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
 from .tables import SPACES, stored, whole_text
 
-BATCHES = 4
-FANOUT = 2
+#: Batches: one per so many bytes of text, ``BATCHES`` at least and ``MOST_BATCHES`` at most; a batch may have any size.
+BATCH_BYTES = 8 << 40
+BATCHES, MOST_BATCHES = 4, 64
 LEAST_CHARS = 10
+_SORTED_SCANS = "spark.sql.legacy.bucketedTableScan.outputOrdering"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _LAST = (1 << 63) - 1
 
@@ -44,55 +51,97 @@ def line_places(docs: DataFrame, least_chars: int = LEAST_CHARS) -> DataFrame:
     ``copy`` tells rows with one id and different texts apart. A null id comes after all others.
     """
     text = whole_text()
-    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("doc"), text.alias("text"))
+    rows = docs.select(_id().alias("doc"), text.alias("text"))
     rows = rows.select("doc", F.xxhash64("text").alias("copy"), F.posexplode(_lines(F.col("text"))).alias("place", "line"))
     keyed = rows.select("doc", "copy", "place", line_key(F.col("line")).alias("key")).where(F.length("key") >= least_chars)
     return keyed.select(F.xxhash64("key").alias("a"), F.xxhash64(F.lit(1), F.col("key")).alias("b"), "doc", "copy", "place")
 
 
-def _batch_edges(places: DataFrame, batches: int) -> list[int]:
-    """Ids at which a new batch begins: ``batches - 1`` numbers at most."""
-    shares = [i / batches for i in range(1, batches)]
-    edges = places.agg(F.percentile_approx("doc", F.array(*map(F.lit, shares))).alias("e")).head()["e"] if shares else []
-    return sorted(set(edges or []))
-
-
-def _sorted_run(run: DataFrame, level: int) -> DataFrame:
-    return stored(run.sortWithinPartitions("a", "b"), f"line-run-{level}")
-
-
-def owners(places: DataFrame, batches: int = BATCHES, fanout: int = FANOUT) -> list[DataFrame]:
-    """The runs (a, b, owner) after all batches; a line is in exactly one of them."""
-    edges = _batch_edges(places, batches)
-    levels: list[list[DataFrame]] = []
-    for low, high in zip([None, *edges], [*edges, None], strict=True):
-        batch = places
-        if low is not None:
-            batch = batch.where(F.col("doc") >= low)
-        if high is not None:
-            batch = batch.where(F.col("doc") < high)
-        fresh = batch.groupBy("a", "b").agg(F.min("doc").alias("owner"))
-        for run in [r for level in levels for r in level]:
-            fresh = fresh.join(run.select("a", "b").hint("merge"), ["a", "b"], "left_anti")
-        new, level = fresh, 0
-        while True:
-            if level == len(levels):
-                levels.append([])
-            levels[level].append(_sorted_run(new, level))
-            if len(levels[level]) < fanout:
-                break
-            new = reduce(DataFrame.unionAll, levels[level]).repartition("a", "b")
-            levels[level] = []
+def _id() -> Column:
+    return F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST))
+
+
+def _batch_edges(docs: DataFrame, batches: int | None) -> list[int]:
+    """Ids at which a new batch begins, from one aggregate: ``MOST_BATCHES`` quantiles, of which the batches take some."""
+    quantiles = F.array(*[F.lit(i / MOST_BATCHES) for i in range(1, MOST_BATCHES)])
+    size = F.sum(F.octet_length(whole_text()).cast("long")).alias("bytes")
+    seen = docs.agg(size, F.percentile_approx(_id(), quantiles).alias("edges")).head()
+    batches = min(batches or max(BATCHES, (seen["bytes"] or 0) // BATCH_BYTES), MOST_BATCHES)
+    edges = seen["edges"] or []
+    return sorted({edges[i * MOST_BATCHES // batches - 1] for i in range(1, batches)}) if edges else []
+
+
+def _batch_of(edges: list[int]) -> Column:
+    """How many of the edges are at or below the document's id."""
+    return reduce(Column.__add__, [(F.col("doc") >= e).cast("int") for e in edges], F.lit(0))
+
+
+@contextmanager
+def _run_tables(spark: SparkSession) -> Iterator[str]:
+    """A database in the shared folder, dropped with its tables at the end; scans of sorted buckets keep their order meanwhile."""
+    name = f"line_runs_{uuid.uuid4().hex}"
+    before = spark.conf.get(_SORTED_SCANS)
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{scratch_path(spark, name)}'")
+    spark.conf.set(_SORTED_SCANS, "true")
+    try:
+        yield name
+    finally:
+        spark.conf.set(_SORTED_SCANS, before)
+        spark.sql(f"DROP DATABASE {name} CASCADE")
+
+
+def _buckets(spark: SparkSession) -> int:
+    """As many as a shuffle has partitions: then a batch that was just aggregated meets the runs as it is."""
+    return min(int(spark.conf.get("spark.sql.shuffle.partitions")), int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets")))
+
+
+def _sorted_run(run: DataFrame, database: str) -> DataFrame:
+    """Stored with one sorted file per bucket, as the rows come dealt by (a, b) already."""
+    spark, name = run.sparkSession, f"{database}.run_{uuid.uuid4().hex}"
+    run.write.format("parquet").bucketBy(_buckets(spark), "a", "b").sortBy("a", "b").saveAsTable(name)
+    return spark.table(name)
+
+
+def new_lines(batch: DataFrame, runs: list[DataFrame]) -> DataFrame:
+    """(a, b, owner): the lines of ``batch`` that no run holds."""
+    fresh = batch.groupBy("a", "b").agg(F.min("doc").alias("owner"))
+    for run in runs:
+        fresh = fresh.join(run.select("a", "b").hint("merge"), ["a", "b"], "left_anti")
+    return fresh
+
+
+def compacted(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Two runs as one: no line is in both, so the full outer merge join is their merge in order."""
+    right = right.select(*[F.col(c).alias(f"_{c}") for c in ("a", "b", "owner")])
+    met = left.join(right.hint("merge"), (F.col("a") == F.col("_a")) & (F.col("b") == F.col("_b")), "full_outer")
+    return met.select(*[F.coalesce(F.col(c), F.col(f"_{c}")).alias(c) for c in ("a", "b", "owner")])
+
+
+def owners(places: DataFrame, batches: int, database: str) -> list[DataFrame]:
+    """The runs (a, b, owner) after all batches of ``places``; a line is in exactly one of them."""
+    levels: list[DataFrame | None] = []
+    for number in range(batches):
+        new = _sorted_run(new_lines(places.where(F.col("batch") == number), [r for r in levels if r is not None]), database)
+        level = 0
+        while level < len(levels) and levels[level] is not None:
+            new, levels[level] = _sorted_run(compacted(levels[level], new), database), None
             level += 1
-    return [r for level in levels for r in level]
+        levels[level : level + 1] = [new]
+    return [r for r in levels if r is not None]
 
 
-def dropped_places(docs: DataFrame, batches: int = BATCHES, least_chars: int = LEAST_CHARS) -> DataFrame:
+def dropped_places(docs: DataFrame, batches: int | None = None, least_chars: int = LEAST_CHARS) -> DataFrame:
     """(doc, copy, places): per row of ``docs`` that loses lines, their places in ascending order."""
-    places = stored(line_places(docs, least_chars), "line-places")
-    runs = reduce(DataFrame.unionAll, owners(places, batches))
-    gone = places.join(runs, ["a", "b"]).where(F.col("doc") != F.col("owner"))
-    return gone.groupBy("doc", "copy").agg(F.array_sort(F.collect_set("place")).alias("places"))
+    edges = _batch_edges(docs, batches)
+    with _run_tables(docs.sparkSession) as database:
+        name = f"{database}.places"
+        rows = line_places(docs, least_chars).withColumn("batch", _batch_of(edges))
+        rows.write.format("parquet").partitionBy("batch").saveAsTable(name)
+        places = docs.sparkSession.table(name)
+        runs = reduce(DataFrame.unionAll, owners(places, len(edges) + 1, database))
+        gone = places.join(runs, ["a", "b"]).where(F.col("doc") != F.col("owner"))
+        # Stored, as the runs go.
+        return stored(gone.groupBy("doc", "copy").agg(F.array_sort(F.collect_set("place")).alias("places")), "line-drops")
 
 
 def _kept_text(lines: Column, places: Column, text: Column) -> Column:
@@ -101,12 +150,12 @@ def _kept_text(lines: Column, places: Column, text: Column) -> Column:
     return F.when(places.isNull(), text).otherwise(joined)
 
 
-def _deduped(docs: DataFrame, batches: int, least_chars: int) -> DataFrame:
+def _deduped(docs: DataFrame, batches: int | None, least_chars: int) -> DataFrame:
     """(_row, _kept, _lines, _dropped): each row of ``docs`` with its text after the lines went, and two counts."""
     gone = dropped_places(docs, batches, least_chars)
     gone = gone.select(F.col("doc").alias("_doc"), F.col("copy").alias("_copy"), F.col("places").alias("_places"))
     row = docs.select(
-        F.struct(*docs.columns).alias("_row"), F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("_id"),
+        F.struct(*docs.columns).alias("_row"), _id().alias("_id"),
         F.xxhash64(whole_text()).alias("_hash"), whole_text().alias("_text"),
     )
     met = row.join(gone.hint("shuffle_hash"), (F.col("_id") == F.col("_doc")) & (F.col("_hash") == F.col("_copy")), "left")
@@ -117,13 +166,13 @@ def _deduped(docs: DataFrame, batches: int, least_chars: int) -> DataFrame:
     )
 
 
-def dedup_documents(docs: DataFrame, batches: int = BATCHES, least_chars: int = LEAST_CHARS) -> DataFrame:
+def dedup_documents(docs: DataFrame, batches: int | None = None, least_chars: int = LEAST_CHARS) -> DataFrame:
     """``docs`` with the lines that go dropped from ``text``, and ``n_chars`` to match where there is one.
 
     A line goes if its key has ``least_chars`` code points or more and a document with a smaller id holds
     the key too; within the smallest document all its lines stay. A null or empty text is one empty line and
     becomes the empty text. Rows that repeat an id are one document. A null id comes after all others. An
-    empty table gives an empty result. Other columns are kept as they are.
+    empty table gives an empty result. Other columns are kept as they are. Ids are whole numbers or texts that spell one.
     """
     new = {"text": F.col("_kept")}
     if "n_chars" in docs.columns:
@@ -132,7 +181,7 @@ def dedup_documents(docs: DataFrame, batches: int = BATCHES, least_chars: int =
     return kept.select(*[new.get(c, F.col("_row").getField(c)).alias(c) for c in docs.columns])
 
 
-def line_report(docs: DataFrame, batches: int = BATCHES) -> DataFrame:
+def line_report(docs: DataFrame, batches: int | None = None) -> DataFrame:
     """(doc_id, n_lines, n_dropped, kept_sha256) for every row; see ``dedup_documents``."""
     kept = _deduped(docs.select("doc_id", "text"), batches, LEAST_CHARS)
     return kept.select(
