@@ -95,39 +95,48 @@ def _buckets(spark: SparkSession) -> int:
     return min(int(spark.conf.get("spark.sql.shuffle.partitions")), int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets")))
 
 
-def _sorted_run(run: DataFrame, database: str) -> DataFrame:
-    """Stored with one sorted file per bucket, as the rows come dealt by (a, b) already."""
+def _sorted_run(run: DataFrame, database: str) -> str:
+    """The name of a table with one sorted file per bucket, as the rows come dealt by (a, b) already."""
     spark, name = run.sparkSession, f"{database}.run_{uuid.uuid4().hex}"
     run.write.format("parquet").bucketBy(_buckets(spark), "a", "b").sortBy("a", "b").saveAsTable(name)
-    return spark.table(name)
+    return name
 
 
-def new_lines(batch: DataFrame, runs: list[DataFrame]) -> DataFrame:
+def _as_files(spark: SparkSession, run: str) -> DataFrame:
+    """The rows of a run, its buckets left out of account."""
+    place = spark.sql(f"DESCRIBE FORMATTED {run}").where("col_name = 'Location'").first()["data_type"]
+    return spark.read.schema(spark.table(run).schema).parquet(place)
+
+
+def new_lines(batch: DataFrame, runs: list[str]) -> DataFrame:
     """(a, b, owner): the lines of ``batch`` that no run holds."""
     fresh = batch.groupBy("a", "b").agg(F.min("doc").alias("owner"))
     for run in runs:
-        fresh = fresh.join(run.select("a", "b").hint("merge"), ["a", "b"], "left_anti")
+        fresh = fresh.join(batch.sparkSession.table(run).select("a", "b").hint("merge"), ["a", "b"], "left_anti")
     return fresh
 
 
-def compacted(left: DataFrame, right: DataFrame) -> DataFrame:
+def compacted(spark: SparkSession, older: str, newer: str) -> DataFrame:
     """Two runs as one: no line is in both, so the full outer merge join is their merge in order."""
-    right = right.select(*[F.col(c).alias(f"_{c}") for c in ("a", "b", "owner")])
+    left, right = spark.table(older), spark.table(newer).select(*[F.col(c).alias(f"_{c}") for c in ("a", "b", "owner")])
     met = left.join(right.hint("merge"), (F.col("a") == F.col("_a")) & (F.col("b") == F.col("_b")), "full_outer")
     return met.select(*[F.coalesce(F.col(c), F.col(f"_{c}")).alias(c) for c in ("a", "b", "owner")])
 
 
-def owners(places: DataFrame, batches: int, database: str) -> list[DataFrame]:
+def owners(places: DataFrame, batches: int, database: str) -> list[str]:
     """The runs (a, b, owner) after all batches of ``places``; a line is in exactly one of them."""
-    levels: list[DataFrame | None] = []
+    spark, levels = places.sparkSession, []
     for number in range(batches):
-        new = _sorted_run(new_lines(places.where(F.col("batch") == number), [r for r in levels if r is not None]), database)
+        new = _sorted_run(new_lines(places.where(F.col("batch") == number), [r for r in levels if r]), database)
         level = 0
-        while level < len(levels) and levels[level] is not None:
-            new, levels[level] = _sorted_run(compacted(levels[level], new), database), None
+        while level < len(levels) and levels[level]:
+            merged = _sorted_run(compacted(spark, levels[level], new), database)
+            for run in (levels[level], new):
+                spark.sql(f"DROP TABLE {run}")
+            new, levels[level] = merged, None
             level += 1
         levels[level : level + 1] = [new]
-    return [r for r in levels if r is not None]
+    return [r for r in levels if r]
 
 
 def dropped_places(docs: DataFrame, batches: int | None = None, least_chars: int = LEAST_CHARS) -> DataFrame:
@@ -138,8 +147,9 @@ def dropped_places(docs: DataFrame, batches: int | None = None, least_chars: int
         rows = line_places(docs, least_chars).withColumn("batch", _batch_of(edges))
         rows.write.format("parquet").partitionBy("batch").saveAsTable(name)
         places = docs.sparkSession.table(name)
-        runs = reduce(DataFrame.unionAll, owners(places, len(edges) + 1, database))
-        gone = places.join(runs, ["a", "b"]).where(F.col("doc") != F.col("owner"))
+        # Read as plain files: where both sides are shuffled, Spark cuts up the places of a line that very many documents hold.
+        runs = [_as_files(docs.sparkSession, run) for run in owners(places, len(edges) + 1, database)]
+        gone = places.join(reduce(DataFrame.unionAll, runs), ["a", "b"]).where(F.col("doc") != F.col("owner"))
         # Stored, as the runs go.
         return stored(gone.groupBy("doc", "copy").agg(F.array_sort(F.collect_set("place")).alias("places")), "line-drops")
 

@@ -22,7 +22,7 @@ def places(spark):
 def test_runs_are_neither_shuffled_nor_sorted_again(spark, places):
     with line_dedup._run_tables(spark) as database:
         runs = [line_dedup._sorted_run(line_dedup.new_lines(places.where(where), []), database) for where in ("batch = 0", "batch = 1 AND a > 0")]
-        merge = _plan(line_dedup.compacted(*runs))
+        merge = _plan(line_dedup.compacted(spark, *runs))
         assert "SortMergeJoin" in merge and "Exchange" not in merge and "Sort " not in merge
         # Only the batch is shuffled, for its aggregate; its rows are sorted once for all runs.
         met = _plan(line_dedup.new_lines(places.where("batch = 2"), runs))
@@ -34,7 +34,9 @@ def test_owners_are_the_smallest_documents(spark, places, batches):
     with line_dedup._run_tables(spark) as database:
         runs = line_dedup.owners(places, batches, database)
         assert len(runs) == batches.bit_count()
-        found = sorted(tuple(r) for run in runs for r in run.collect())
+        found = sorted(tuple(r) for run in runs for r in spark.table(run).collect())
+        assert spark.sql(f"SHOW TABLES IN {database}").count() == len(runs)
+        assert line_dedup._as_files(spark, runs[0]).count() == spark.table(runs[0]).count()
     want = places.where(F.col("batch") < batches).groupBy("a", "b").agg(F.min("doc").alias("owner")).collect()
     assert found == sorted(tuple(r) for r in want)
 
