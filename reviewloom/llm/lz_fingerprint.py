@@ -18,7 +18,7 @@ from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .tables import map_arrow, slices, whole_text
@@ -26,7 +26,10 @@ from .tables import map_arrow, slices, whole_text
 K = 128
 #: UTF-8 bytes of text that one range holds, about.
 RANGE_BYTES = 8 << 20
-MOST_RANGES = 10_000
+#: Quantiles of the ids that are asked for; each range between two is sliced further as the data grow.
+COARSE = 1024
+#: Ranges whose two numbers are broadcast (about 200 MB).
+MOST_SENT = 4_000_000
 
 
 def parse(data: bytes, start: int, begin: int, phrases: set[bytes]) -> int:
@@ -98,48 +101,73 @@ def _both(text: str, following: str, k: int) -> tuple[np.ndarray, np.ndarray, st
     return own, own if rest is phrases else smallest(rest, k), changed
 
 
-def _range_of(df: DataFrame, edges: list[int]) -> DataFrame:
-    """``df`` with ``range``: how many of the ascending ``edges`` are at or below ``id``, by binary search."""
-    df = df.withColumn("range", F.lit(0))
-    step = 1 << max(0, len(edges).bit_length() - 1)
-    held = F.lit(edges or [0]).cast("array<long>")
-    while edges and step:
-        ahead = F.coalesce(F.get(held, F.col("range") + (step - 1)) <= F.col("id"), F.lit(False))
-        df = df.withColumn("range", F.col("range") + F.when(ahead, step).otherwise(0))
+def _range_of(df: DataFrame, edges: list[int], slices_each: int) -> DataFrame:
+    """``df`` with ``coarse``, how many of the ascending ``edges`` are at or below ``id``, and ``range``, which cuts it in equal slices.
+
+    ``edges`` begin with the smallest id and end with the largest; rows without an id come before all. Neither step ever puts a larger id into a smaller range.
+    """
+    df = df.withColumn("coarse", F.lit(0))
+    inner, held = edges[1:-1], F.lit(edges).cast("array<long>")
+    step = 1 << max(0, len(inner).bit_length() - 1)
+    while inner and step:
+        ahead = F.coalesce(F.get(F.lit(inner).cast("array<long>"), F.col("coarse") + (step - 1)) <= F.col("id"), F.lit(False))
+        df = df.withColumn("coarse", F.col("coarse") + F.when(ahead, step).otherwise(0))
         step //= 2
-    return df
+    low, high = (F.get(held, F.col("coarse") + i).cast("double") for i in (0, 1))
+    part = (F.col("id").cast("double") - low) / F.greatest(high - low, F.lit(1.0)) * slices_each
+    part = F.least(F.greatest(F.floor(part), F.lit(0)), F.lit(slices_each - 1))
+    return df.withColumn("range", F.col("coarse").cast("long") * slices_each + part.cast("long"))
+
+
+def _lenders(rows: DataFrame, above: dict[int, int]) -> DataFrame:
+    """(top, borrower): per range its largest id, whose first row goes to the next higher range that has rows too.
+
+    ``above`` has per coarse range the first range of the next one with rows.
+    """
+    ranges = rows.groupBy("coarse", "range").agg(F.max("id").alias("top"))
+    following = F.lead("range").over(Window.partitionBy("coarse").orderBy("range"))
+    onward = F.get(F.lit([above.get(c, 0) for c in range(max(above, default=0) + 1)]).cast("array<long>"), F.col("coarse"))
+    return ranges.select("top", F.coalesce(following, onward).alias("borrower"))
 
 
-def _with_first_of_next(rows: DataFrame, range_bytes: int) -> DataFrame:
+def _with_first_of_next(rows: DataFrame, range_bytes: int, coarse: int) -> DataFrame:
     """Rows with ``range`` and ``lent``: each range in one partition and in order, after it the first rows of the range below.
 
-    Ranges are cut by an approximate quantile of the ids and number ``MOST_RANGES`` at most; only their edges and
-    largest ids come to the driver. A range may have any size: it is sorted by Spark and read as a stream.
+    There is a range to about ``range_bytes`` of text, however many that are: up to ``coarse`` ranges from approximate quantiles of the
+    ids, each cut into equal slices of its ids. Only the quantiles and one range for each come to the driver. A range may
+    have any size: it is sorted by Spark and read as a stream.
     """
-    seen = rows.agg(F.sum(F.octet_length("text").cast("long")).alias("bytes")).head()["bytes"] or 0
-    shares = int(min(MOST_RANGES, seen // range_bytes + 1))
-    quantiles = F.array(*[F.lit(i / shares) for i in range(1, shares)])
-    edges = sorted(set(rows.agg(F.percentile_approx("id", quantiles, 100 * shares).alias("e")).head()["e"] or [])) if shares > 1 else []
-    ranged = _range_of(rows, edges)
-    tops = {r["range"]: r["id"] for r in ranged.groupBy("range").agg(F.max("id").alias("id")).collect()}
-    held = sorted(tops)
-    above = {r: held[(i + 1) % len(held)] for i, r in enumerate(held)}
-    largest = F.lit([tops.get(r, 0) for r in range(len(edges) + 1)]).cast("array<long>")
-    borrower = F.lit([above.get(r, 0) for r in range(len(edges) + 1)]).cast("array<int>")
+    quantiles = F.array(*[F.lit(i / coarse) for i in range(1, coarse)])
+    low = F.min(F.when(~F.col("none"), F.col("id"))).alias("low")
+    figures = [F.sum(F.octet_length("text").cast("long")).alias("bytes"), low, F.max("id").alias("high")]
+    seen = rows.agg(*figures, F.percentile_approx("id", quantiles, 10 * coarse).alias("edges")).head()
+    shares = (seen["bytes"] or 0) // range_bytes + 1
+    wanted = min(coarse, shares)
+    taken = [seen["edges"][i * coarse // wanted - 1] for i in range(1, wanted)] if seen["edges"] else []
+    low, high = seen["low"] or 0, seen["high"] or 0
+    edges = [low, *sorted({e for e in taken if e > low}), high]
+    ranged = _range_of(rows, edges, -(-shares // wanted))
+    firsts = {r["coarse"]: r["first"] for r in ranged.groupBy("coarse").agg(F.min("range").alias("first")).collect()}
+    held = sorted(firsts)
+    above = {c: firsts[held[(i + 1) % len(held)]] for i, c in enumerate(held)}
+    lenders = _lenders(ranged, above)
+    # Two numbers for each range; beyond ``MOST_SENT`` Spark joins the two by id.
+    lenders = F.broadcast(lenders) if len(edges) * -(-shares // wanted) <= MOST_SENT else lenders
+    met = ranged.join(lenders, F.col("id") == F.col("top"), "left")
     own = F.struct(F.col("range"), F.lit(False).alias("lent"))
-    lent = F.struct(F.get(borrower, F.col("range")).alias("range"), F.lit(True).alias("lent"))
-    to = F.when(F.col("id") == F.get(largest, F.col("range")), F.array(own, lent)).otherwise(F.array(own))
-    dealt = ranged.withColumn("to", F.explode(to)).select("to.range", "to.lent", "id", "none", "text")
+    lent = F.struct(F.col("borrower").alias("range"), F.lit(True).alias("lent"))
+    to = F.when(F.col("borrower").isNotNull(), F.array(own, lent)).otherwise(F.array(own))
+    dealt = met.withColumn("to", F.explode(to)).select("to.range", "to.lent", "id", "none", "text")
     return dealt.repartition("range").sortWithinPartitions("range", "lent", F.desc("id"), "none", F.desc("text"))
 
 
-def compare_next(docs: DataFrame, k: int = K, range_bytes: int = RANGE_BYTES) -> DataFrame:
+def compare_next(docs: DataFrame, k: int = K, range_bytes: int = RANGE_BYTES, coarse: int = COARSE) -> DataFrame:
     """(doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next) for every row of ``docs``.
 
     The next document has the next smaller id; after the last comes the first, so a single document follows itself.
     Rows that repeat an id come in descending order of their texts, rows without an id after all others. A null
     text is empty: its edited text is empty too, and the two are alike (1.0). An empty table gives an empty
-    result. Other columns are not read.
+    result. Other columns are not read. Ids are whole numbers or texts that spell one.
     """
     none = F.col("doc_id").isNull()
     # Without an id: below all ids, and told from the smallest by ``none``.
@@ -181,5 +209,5 @@ def compare_next(docs: DataFrame, k: int = K, range_bytes: int = RANGE_BYTES) ->
     names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
     kinds = [pa.int64(), pa.int64(), *[pa.string()] * 3, *[pa.float64()] * 2]
     schema = ", ".join(f"{n} {t}" for n, t in zip(names, ["long", "long", "string", "string", "string", "double", "double"], strict=True))
-    found = map_arrow(_with_first_of_next(rows, range_bytes), compared, schema)
+    found = map_arrow(_with_first_of_next(rows, range_bytes, coarse), compared, schema)
     return found.withColumn("doc_id", F.col("doc_id").cast(docs.schema["doc_id"].dataType))

@@ -230,14 +230,14 @@ def test_components(spark, seed):
 # --- fingerprints --------------------------------------------------------------------
 
 
-@pytest.mark.parametrize("range_bytes", [2_000, 1 << 30])
-def test_query_fingerprints(spark, range_bytes):
+@pytest.mark.parametrize("range_bytes, coarse", [(2_000, 1024), (2_000, 3), (20_000, 1), (1 << 30, 1024)])
+def test_query_fingerprints(spark, range_bytes, coarse):
     texts = {r["doc_id"]: r["text"] or "" for r in documents(spark, FOLDER).collect()}
     order = sorted(texts, reverse=True)
     following = dict(zip(order, [*order[1:], order[0]], strict=True))
     edited = brute.edited(texts.items())
     marks = {i: lz_fingerprint.smallest(brute.lz_phrases(t)) for i, t in texts.items()}
-    for row in lz_fingerprint.compare_next(documents(spark, FOLDER), range_bytes=range_bytes).collect():
+    for row in lz_fingerprint.compare_next(documents(spark, FOLDER), range_bytes=range_bytes, coarse=coarse).collect():
         i = row["doc_id"]
         changed = lz_fingerprint.smallest(brute.lz_phrases(edited[i]))
         assert row["edited_sha256"] == brute.sha256(edited[i]) and row["n_chars"] == len(texts[i])
