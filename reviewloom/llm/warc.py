@@ -28,6 +28,8 @@ from ..session import scratch_path
 from .tables import map_arrow, slices, stored
 
 BLOCK = 1 << 20
+#: Bytes of archives that one task reads, about.
+TASK_BYTES = 256 << 20
 LEVEL = 1
 _DATE = "2000-01-01T00:00:00Z"
 _HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
@@ -145,17 +147,18 @@ def described(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
 
 
 def write_monolithic(rows: DataFrame, folder: str, archive_bytes: int = 32 << 20) -> DataFrame:
-    """(archive, records): archives of about ``archive_bytes`` plain bytes, each one gzip stream, from ``described`` rows."""
+    """(archive, records, bytes): archives of about ``archive_bytes`` plain bytes, each one gzip stream, from ``described`` rows."""
 
     def written(batches):
         archive = stream = engine = None
         size = records = 0
-        done: list[tuple[str, int]] = []
+        done: list[tuple[str, int, int]] = []
 
         def close() -> None:
             stream.write(engine.flush())
+            length = stream.tell()
             stream.close()
-            done.append((archive, records))
+            done.append((archive, records, length))
 
         for batch in slices(batches, 2):
             for page, url, payload, digest, kind, refers_to in zip(*(c.to_pylist() for c in batch.columns), strict=True):
@@ -171,20 +174,41 @@ def write_monolithic(rows: DataFrame, folder: str, archive_bytes: int = 32 << 20
         if archive is not None:
             close()
         yield pa.RecordBatch.from_arrays(
-            [pa.array([a for a, _ in done], pa.string()), pa.array([n for _, n in done], pa.int64())], names=["archive", "records"])
+            [pa.array([a for a, *_ in done], pa.string()), *(pa.array([d[i] for d in done], pa.int64()) for i in (1, 2))],
+            names=["archive", "records", "bytes"])
 
     text = rows.select(F.col("page_id").cast("string").alias("page_id"), "url", "payload", "digest", "kind",
                        F.col("refers_to").cast("string").alias("refers_to"))
-    return stored(map_arrow(text, written, "archive string, records long"), "archives")
+    return stored(map_arrow(text, written, "archive string, records long, bytes long"), "archives")
 
 
-def _one_each(manifest: DataFrame) -> DataFrame:
-    """Archives dealt out one to a task; the manifest has a row per archive."""
-    return manifest.repartition(max(1, manifest.count()))
+def _sized(manifest: DataFrame) -> DataFrame:
+    """``manifest`` with ``bytes``, the size of each archive, looked up where it isn't known."""
+    if "bytes" in manifest.columns:
+        return manifest
+
+    def looked_up(batches):
+        for batch in batches:
+            sizes = []
+            for archive in batch.column(batch.schema.get_field_index("archive")).to_pylist():
+                system, path = file_system(archive)
+                sizes.append(system.get_file_info(path).size)
+            yield batch.append_column("bytes", pa.array(sizes, pa.int64()))
+
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in manifest.schema)
+    return stored(map_arrow(manifest, looked_up, f"{schema}, bytes long"), "archive-sizes")
+
+
+def _dealt(manifest: DataFrame, columns: list[str], task_bytes: int) -> DataFrame:
+    """Archives dealt to tasks of about ``task_bytes``, in turn; few archives are still spread over all cores."""
+    sized = _sized(manifest)
+    seen = sized.agg(F.sum("bytes").alias("bytes"), F.count(F.lit(1)).alias("n")).head()
+    tasks = max((seen["bytes"] or 0) // task_bytes + 1, manifest.sparkSession.sparkContext.defaultParallelism)
+    return sized.select(*columns).repartition(max(1, min(seen["n"], tasks)))
 
 
-def normalise(manifest: DataFrame, folder: str) -> DataFrame:
-    """(archive, sidecar, records): each archive of ``manifest`` with every record as a gzip member of its own.
+def normalise(manifest: DataFrame, folder: str, task_bytes: int = TASK_BYTES) -> DataFrame:
+    """(archive, sidecar, records, bytes): each archive of ``manifest`` with every record as a gzip member of its own.
 
     The sidecar has a line of JSON per record: its id, offset and length in the archive. Takes any gzip archive, of one
     stream or many. Memory holds one block, one record and its member, and the index of one archive.
@@ -206,15 +230,15 @@ def normalise(manifest: DataFrame, folder: str) -> DataFrame:
                         offset += len(member)
                 with _sink(f"{archive}.idx") as sink:
                     sink.write("".join(f"{x}\n" for x in index).encode())
-                out.append((archive, f"{archive}.idx", len(index)))
-            yield pa.RecordBatch.from_pylist([dict(zip(("archive", "sidecar", "records"), x, strict=True)) for x in out], schema=kinds)
+                out.append((archive, f"{archive}.idx", len(index), offset))
+            yield pa.RecordBatch.from_pylist([dict(zip(("archive", "sidecar", "records", "bytes"), x, strict=True)) for x in out], schema=kinds)
 
-    kinds = pa.schema([("archive", pa.string()), ("sidecar", pa.string()), ("records", pa.int64())])
-    found = map_arrow(_one_each(manifest.select("archive")), rewritten, "archive string, sidecar string, records long")
+    kinds = pa.schema([("archive", pa.string()), ("sidecar", pa.string()), ("records", pa.int64()), ("bytes", pa.int64())])
+    found = map_arrow(_dealt(manifest, ["archive"], task_bytes), rewritten, "archive string, sidecar string, records long, bytes long")
     return stored(found, "normalised")
 
 
-def read_records(manifest: DataFrame, with_payload: bool = False) -> DataFrame:
+def read_records(manifest: DataFrame, with_payload: bool = False, task_bytes: int = TASK_BYTES) -> DataFrame:
     """(page_id, url, payload_bytes, payload_digest, record_type, refers_to, and the payload if wanted) by offset.
 
     The digest of a response is made from the payload that was read and must be the one in the header.
@@ -257,7 +281,7 @@ def read_records(manifest: DataFrame, with_payload: bool = False) -> DataFrame:
                 yield pa.RecordBatch.from_pylist(rows, schema=kinds)
 
     schema = "page_id string, url string, payload_bytes long, payload_digest string, record_type string, refers_to string"
-    return map_arrow(_one_each(manifest.select("archive", "sidecar")), records, schema + ", payload binary" * with_payload)
+    return map_arrow(_dealt(manifest, ["archive", "sidecar"], task_bytes), records, schema + ", payload binary" * with_payload)
 
 
 def round_trip(pages: DataFrame, least_bytes: int = 0) -> DataFrame:

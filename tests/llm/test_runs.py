@@ -1,11 +1,11 @@
-"""Sorted runs of line hashes: their plans, their compaction, and what is left behind."""
+"""Sorted runs of line hashes: their plans, their compaction, and what is left behind; archives and ranges dealt by bytes."""
 
 import os
 
 import pytest
 from pyspark.sql import functions as F
 
-from reviewloom.llm import line_dedup
+from reviewloom.llm import line_dedup, lz_fingerprint, warc
 from reviewloom.session import shared_dir
 
 
@@ -59,3 +59,26 @@ def test_batches_follow_from_bytes(spark, monkeypatch):
     monkeypatch.setattr(line_dedup, "BATCH_BYTES", 5_000)
     assert len(line_dedup._batch_edges(docs, None)) == 19
     assert line_dedup._batch_edges(docs, 1) == [] and line_dedup._batch_edges(docs.limit(0), None) == []
+
+
+def test_archives_are_dealt_by_bytes(spark, tmp_path):
+    pages = spark.range(60).select(F.col("id").alias("page_id"), F.lit(None).cast("string").alias("url"), F.repeat(F.sha2(F.col("id").cast("string"), 256), 40).alias("html"))
+    plain = warc.write_monolithic(warc.described(pages.coalesce(1)), str(tmp_path / "plain"), archive_bytes=10_000)
+    sizes = {r["archive"]: r["bytes"] for r in plain.collect()}
+    assert len(sizes) > 10 and all(os.path.getsize(a) == n for a, n in sizes.items())
+    assert {r["archive"]: r["bytes"] for r in warc._sized(plain.drop("bytes")).collect()} == sizes
+    spread = spark.sparkContext.defaultParallelism
+    assert warc._dealt(plain, ["archive"], 1 << 30).rdd.getNumPartitions() == min(len(sizes), spread)
+    assert warc._dealt(plain, ["archive"], 1).rdd.getNumPartitions() == len(sizes)
+    few = warc.normalise(plain, str(tmp_path / "out"))
+    assert {r["archive"]: r["bytes"] for r in few.collect()} == {r["archive"]: os.path.getsize(r["archive"]) for r in few.collect()}
+    assert warc.read_records(few, task_bytes=1).select("page_id").distinct().count() == 60
+
+
+@pytest.mark.parametrize("slices_each", [1, 4, 1000])
+def test_ranges_keep_the_order_of_ids(spark, slices_each):
+    ids = sorted({-(1 << 63), 0, 1, 2, 3, 10, 500, 501, 10**6, 10**15, 10**15 + 1, (1 << 63) - 1})
+    rows = spark.createDataFrame([(i,) for i in ids], "id long")
+    ranged = lz_fingerprint._range_of(rows, [0, 3, 501, 10**15, (1 << 63) - 1], slices_each)
+    found = [(r["coarse"], r["range"]) for r in ranged.orderBy("id").collect()]
+    assert found == sorted(found) and all(r // slices_each == c for c, r in found) and {c for c, _ in found} == {0, 1, 2, 3}
