@@ -6,7 +6,8 @@ left opens a bin; all undominated fillings of the rest are listed by waste, one
 asked for, and the search branches on them depth first. A branch is cut as soon as its waste exceeds what
 a better packing could afford. Best-fit decreasing gives the first incumbent. One filling is first applied as often
 as the histogram allows, so a descent takes as many steps as there are lengths, not pieces; on the way
-back it is applied once less at a time. So the search is exact if it comes to its end: when a packing meets the
+back it is applied once less at a time. Only the last steps keep their listings open, so the search's memory doesn't grow with the
+number of lengths; one that was closed is listed again when the search comes back to it. So the search is exact if it comes to its end: when a packing meets the
 lower bound or nothing is left to try. Packing is NP-hard, so ``nodes`` steps end it otherwise.
 """
 
@@ -16,6 +17,10 @@ from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
+
+#: Steps of the search, from the last, whose listings stay open; one holds the sums of all lengths left, up to half a megabyte.
+OPEN = 64
 
 #: Times used, and the lengths of a filling in descending order.
 Filling = tuple[int, tuple[int, ...]]
@@ -98,8 +103,10 @@ def _subsets(lengths: list[int], sums: list[int], total: int, at: int, counts: C
 class _Step:
     """A place in the search: fillings to come, those tried before, and the one in use."""
 
-    options: Iterator[tuple[int, tuple[int, ...] | None]]
+    options: Iterator[tuple[int, tuple[int, ...] | None]] | None
     tried: set[tuple[int, ...]]
+    #: Fillings asked for, so that a listing that was closed goes on where it was.
+    given: int = 0
     content: tuple[int, ...] = ()
     times: int = 0
     lost: int = 0
@@ -168,7 +175,10 @@ def pack(counts: dict[int, int], capacity: int, nodes: int = 20_000) -> list[Fil
             take(step.content, -1)
             waste, bins, step.times = waste - step.lost, bins - 1, step.times - 1
         if not step.times:
+            if step.options is None:
+                step.options = islice(fillings(lengths, free, capacity), step.given, None)
             lost, content = next(step.options, (0, ()))
+            step.given += 1
             # The waste that a packing with one bin less than the incumbent could afford.
             spare = (number - 1) * capacity - total - waste
             if content == () or lost > spare:
@@ -188,4 +198,6 @@ def pack(counts: dict[int, int], capacity: int, nodes: int = 20_000) -> list[Fil
             # Packings that use a filling more often, or one tried before it, are searched elsewhere.
             tried = set(step.tried) if lengths[-1] == step.content[0] else set()
             path.append(_Step(fillings(lengths, free, capacity), tried))
+            if len(path) > OPEN:
+                path[-OPEN - 1].options = None
     return incumbent

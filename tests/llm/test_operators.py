@@ -3,6 +3,7 @@
 import gzip
 import io
 import random
+import tracemalloc
 from collections import Counter
 from html.parser import HTMLParser
 from itertools import combinations
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 import brute
 import corpus_pipeline
 from compare import compare, connect
-from reviewloom.llm import lz_fingerprint, mixing, ngram_join, packing, quality, tokens, toxicity, warc, words
+from reviewloom.llm import completion, lz_fingerprint, mixing, ngram_join, packing, quality, tokens, toxicity, warc, words
 from reviewloom.llm.completion import best_fit, fillings, lower_bound, pack
 from reviewloom.llm.components import components
 from reviewloom.llm.registry import ORACLE_SQL, QUERIES, documents, tokenizer_path
@@ -381,6 +382,20 @@ def test_packing_of_many_pieces():
     assert sum(t for t, _ in plan) == lower_bound(counts, 2048)
 
 
+def test_memory_of_the_search_does_not_grow_with_its_depth(monkeypatch):
+    draw = random.Random(1)
+    counts = Counter(draw.randint(333, 1000) for _ in range(5000))
+    plans, peaks = [], []
+    for most in (completion.OPEN, 10**9):
+        monkeypatch.setattr(completion, "OPEN", most)
+        tracemalloc.start()
+        plans.append(pack(counts, 2048, 3000))
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+    assert plans[0] == plans[1] and _used(plans[0], 2048) == counts
+    assert peaks[0] < 20_000_000 < peaks[1]
+
+
 def test_pieces_of_a_hot_length_are_numbered_in_shares(spark):
     pieces = spark.range(5000).select(F.col("id").alias("doc_id"), F.lit(0).alias("piece"), F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 40 + 1).cast("long").alias("length"), F.lit(1).cast("long").alias("ids_crc32"))
     found = packing.numbered(pieces, share_rows=100).groupBy("length").agg(F.array_sort(F.collect_list("_rank")).alias("r")).collect()
