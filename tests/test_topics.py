@@ -86,3 +86,22 @@ def test_empty_tables(spark):
     assert topics.assign(empty, "id", "t", learned).collect() == []
     some = spark.createDataFrame([(1, "great"), (None, "great"), (2, None)], "id long, t string")
     assert sorted(r["id"] for r in topics.assign(some, "id", "t", learned).collect()) == [1, 2]
+
+
+def test_texts_are_counted_where_they_are_read_and_rows_of_one_key_together(spark):
+    rows = [(1, "Great love"), (1, "great"), (1, None), (2, "late, late ünd"), (3, ""), (None, "great")]
+    frame = lambda rows: spark.createDataFrame(rows, "id long, t string")
+    found = {(r["key"], r["word"]): r["n"] for r in topics.bags(frame(rows), "id", "t").selectExpr("key", "inline(bag)").collect()}
+    assert found == {(1, "great"): 2, (1, "love"): 1, (2, "late"): 2, (2, "ünd"): 1}
+    once = topics.bags(frame(rows[2:5]), "id", "t")
+    assert "Exchange" not in once._jdf.queryExecution().executedPlan().toString()
+    assert [(r["key"], len(r["bag"])) for r in once.collect()] == [(2, 2)]
+    # Repeated keys teach and are told as one text with all their words.
+    base = [(i, t) for i, t, _ in texts(3, 60)]
+    twice = base + [(i, t.upper()) for i, t in base[:20]]
+    joined = [(i, f"{t} {t.upper()}" if i < 20 else t) for i, t in base]
+    told = []
+    for rows in (twice, joined):
+        learned = topics.learn(frame(rows), "id", "t", SEEDS, 2, least=2)
+        told.append({r["id"]: (r["category_review"], pytest.approx(r["confidence_score"])) for r in topics.assign(frame(rows), "id", "t", learned).collect()})
+    assert told[0] == told[1]
