@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -204,18 +204,21 @@ def reviews_with_images(reviews: DataFrame, review_images: DataFrame, part_rows:
     )
 
 
-def collect_parts(df: DataFrame, key: str, value: Column, items: str, part: str, part_rows: int = PART_ITEMS) -> DataFrame:
+def collect_parts(
+    df: DataFrame, key: str, value: Column, items: str, part: str, part_rows: int = PART_ITEMS, whole: Callable[[Column], Column] | None = None
+) -> DataFrame:
     """Sorted lists of ``value`` per key, of about ``part_rows`` items each; null values are left out.
 
     A key of n items has ceil(n / part_rows) parts, numbered from 0, of which some may be empty and
     missing. The part of an item follows from the item and its number among equal ones, never from where it
     was read, so the rows are the same for any layout of the input. Items are counted per (key, item) first:
-    many equal ones travel as one row, and no task holds a key's items beyond a part.
+    many equal ones travel as one row, and no task holds a key's items beyond a part. ``whole``: what an item
+    stands for, where more follows from it and the key; it decides the part and doesn't travel.
     """
     counted = df.select(key, value.alias("_item")).where(F.col("_item").isNotNull())
     counted = counted.groupBy(key, "_item").agg(F.count(F.lit(1)).alias("_c"))
     sizes = counted.groupBy(F.col(key).alias("_key")).agg(F.ceil(F.sum("_c") / part_rows).alias("_parts"))
     rows = counted.join(sizes, F.col(key).eqNullSafe(F.col("_key")))
     rows = rows.withColumn("_number", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_c"))))
-    rows = rows.withColumn(part, F.pmod(F.xxhash64("_item", "_number"), F.col("_parts")).cast("int"))
+    rows = rows.withColumn(part, F.pmod(F.xxhash64(whole(F.col("_item")) if whole else "_item", "_number"), F.col("_parts")).cast("int"))
     return rows.groupBy(key, part).agg(F.sort_array(F.collect_list("_item")).alias(items))

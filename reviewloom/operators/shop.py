@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalar import estimated_delivery
+from ..session import stored
 from .joins import PART_ITEMS, collect_parts
 from .skew import HotKeys, hot_keys, salted_join, spread_hash
 
@@ -107,6 +108,8 @@ class Checkout:
     rejected_lines: DataFrame
     #: (order_id, p_id, item, shipment): each ordered line with what is sent for it.
     lines: DataFrame
+    #: Of the orders.
+    day: Column
 
 
 def checkout(
@@ -159,13 +162,14 @@ def checkout(
     rejected = carts.where(~full).select("cart_id", "buyer_id", why.alias("error_details"))
     refused = F.when(~F.col("known"), UNKNOWN_PRODUCT).when(F.col("ordered").isNull(), NO_CART).otherwise(NOTHING)
     unknown = met.where(~good).select("cart_id", "p_id", "qty", refused.alias("error_details"))
-    return Checkout(orders, order_items, shipments, payments, emptied, rejected, unknown, sent)
+    return Checkout(orders, order_items, shipments, payments, emptied, rejected, unknown, sent, day)
 
 
-def shipment_columns(order_id: Column, day: Column) -> list[Column]:
+def shipment_columns(order_id: Column, day: Column, p_id: Column | None = None) -> list[Column]:
     """The shipment of an order line."""
+    p_id = F.col("p_id") if p_id is None else p_id
     return [
-        F.concat_ws("-", order_id.cast("string"), F.col("p_id")).alias("shipping_id"), order_id.alias("order_id"), F.col("p_id"),
+        F.concat_ws("-", order_id.cast("string"), p_id).alias("shipping_id"), order_id.alias("order_id"), p_id.alias("p_id"),
         F.lit(None).cast("int").alias("carrier_id"), F.lit("NP").alias("shipment_type"), F.lit("processing").alias("status"),
         estimated_delivery(day).alias("est_delivery_date"), F.lit(None).cast("date").alias("actual_delivery_date"),
     ]
@@ -193,16 +197,25 @@ def order_documents(
 
 
 def checkout_documents(done: Checkout, part_rows: int = PART_ITEMS) -> DataFrame:
-    """``order_documents`` of a checkout, whose lines carry their shipments: nothing has to be joined for them."""
-    names = [f"shipment.{c}" for c in SHIPMENT]
-    lines = done.lines.select("order_id", F.struct(*[F.col(f"item.{c}") for c in ITEM]).alias("item"), F.struct(*names).alias("shipment"))
-    return _documents(done.orders, done.payments, lines, part_rows)
+    """``order_documents`` of a checkout: shipments follow from their lines, so lines alone travel and nothing is joined for them.
+
+    The lines are stored, since they are read twice.
+    """
+    lines = stored(done.lines.select("order_id", *[F.col(f"item.{c}") for c in ITEM]), "ordered-lines")
+    sent = lambda x: F.struct(*[F.struct(*shipment_columns(F.col("order_id"), done.day, x["p_id"]))[c].alias(c) for c in SHIPMENT])
+    both = lambda x: F.struct(x.alias("item"), sent(x).alias("shipment"))
+    items = collect_parts(lines, "order_id", F.struct(*ITEM), "items", "part", part_rows, both)
+    return _with_payments(done.orders, done.payments, items).withColumn("shipments", F.transform("items", sent))
 
 
 def _documents(orders: DataFrame, payments: DataFrame, both: DataFrame, part_rows: int) -> DataFrame:
     lines = collect_parts(both, "order_id", F.struct("item", "shipment"), "lines", "part", part_rows)
     present = lambda name: F.filter(F.transform("lines", lambda x: x[name]), lambda x: x.isNotNull())
     nested = lines.select("order_id", "part", present("item").alias("items"), present("shipment").alias("shipments"))
+    return _with_payments(orders, payments, nested)
+
+
+def _with_payments(orders: DataFrame, payments: DataFrame, nested: DataFrame) -> DataFrame:
     paid = payments.select("order_id", F.struct("payment_id", "method", "status", "created_at").alias("payment"))
     return orders.join(paid, "order_id", "left").join(nested, "order_id", "left").withColumn(
         "part", F.coalesce("part", F.lit(0))

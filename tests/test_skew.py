@@ -135,3 +135,12 @@ def test_parts_do_not_depend_on_the_layout(spark, part_rows):
     ]
     assert found[0] == found[1] == found[2]
     assert max(len(items) for k, _, items in found[0]) <= part_rows + 6 * part_rows**0.5 + 6
+
+
+def test_items_that_stand_for_more_travel_alone_and_fall_into_the_same_parts(spark):
+    rows = spark.range(300).selectExpr("id % 7 AS k", "cast(id % 11 as string) AS v")
+    whole = lambda v: F.struct(v.alias("v"), F.concat(F.lit("sent-"), v).alias("more"))
+    wide = collect_parts(rows, "k", whole(F.col("v")), "items", "part", 5).withColumn("items", F.transform("items", lambda x: x["v"]))
+    narrow = collect_parts(rows, "k", F.col("v"), "items", "part", 5, whole)
+    found = [sorted((r["k"], r["part"], r["items"]) for r in df.collect()) for df in (wide, narrow)]
+    assert found[0] == found[1] and len(found[0]) > 14
