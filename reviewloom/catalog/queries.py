@@ -1363,7 +1363,7 @@ def _(w):
     w.spark.sql(f"CREATE DATABASE {database}")
     try:
         root = scratch_path(w.spark, "bulk")
-        files = {t: writers.write_lake(_declared(w, t), f"{root}/{t}", "csv") for t in COLUMNS}
+        files = {t: writers.write_lake(_declared(w, t), f"{root}/{t}", "csv", "gzip") for t in COLUMNS}
         extract.bulk_load(w.spark, files, database)
         given = _given()
         listed = [r["tableName"] for r in readers.list_tables(w.spark, database).where("NOT isTemporary").collect()]

@@ -13,17 +13,18 @@ from ..schemas import REVIEW_RELEVANT_COLUMNS, REVIEWS_COLUMNS
 from .snapshots import Snapshots, published
 
 
-def write_lake(df: DataFrame, path: str, fmt: str = "parquet") -> str:
+def write_lake(df: DataFrame, path: str, fmt: str = "parquet", compression: str = "none") -> str:
     """Overwrite one lake table; CSV has a header and doubles quotes.
 
     ``csv-lines`` is CSV whose records are one line each: line ends and backslashes in texts are written as ``\\n``, ``\\r`` and
-    ``\\b``, so that a large file is read in splits.
+    ``\\b``, so that a large file is read in splits. ``compression``: of CSV; a compressed file is read whole, as one with records
+    of several lines is anyhow.
     """
     if fmt == "csv-lines":
         df, fmt = one_line(df), "csv"
     writer = df.write.mode("overwrite")
     if fmt == "csv":
-        writer.csv(path, header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+        writer.csv(path, header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, compression=compression)
     else:
         writer.format(fmt).save(path)
     return path

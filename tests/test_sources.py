@@ -243,3 +243,17 @@ def test_reviews_of_a_pair_are_in_order(spark):
     columns = "review_id long, buyer_id string, p_id string, relevance_score double, relevant_status string, has_image boolean, has_orders boolean, is_extreme_rating int, review_img string, description string"
     found = serve.buyer_product_reviews(spark.createDataFrame(rows, columns).repartition(3), "b", "p").collect()
     assert [r["review_id"] for r in found] == [2, 3, 6, 7, 4, 1] and found[0]["images"] == ["a.png", "b.png"]
+
+
+def test_bulk_load_of_compressed_files(spark, tmp_path):
+    from reviewloom.sources import writers
+
+    df = spark.createDataFrame([(1, 'quick "post"\nand more'), (2, None), (None, "a,b")], "carrier_id int, carrier_name string").coalesce(1)
+    path = writers.write_lake(df, str(tmp_path / "carrier"), "csv", "gzip")
+    assert [p.name.endswith(".csv.gz") for p in (tmp_path / "carrier").glob("part-*")] == [True]
+    spark.sql("CREATE DATABASE IF NOT EXISTS zipped")
+    try:
+        extract.bulk_load(spark, {"carrier": path}, "zipped")
+        assert sorted(map(tuple, spark.table("zipped.carrier").collect()), key=str) == sorted(map(tuple, df.collect()), key=str)
+    finally:
+        spark.sql("DROP DATABASE zipped CASCADE")
