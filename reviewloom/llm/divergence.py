@@ -24,7 +24,9 @@ from .tables import map_arrow, slices, stored, whole_text
 #: Documents of a language in which a kept term occurs at least; ranks of single terms.
 LEAST, RANKS = 10, 10
 #: Entries of a task's partial counts before they leave it, and counts (terms by sources) of a block.
-HELD, BLOCK = 200_000, 1 << 21
+HELD, BLOCK = 500_000, 1 << 21
+#: Rows of a batch of partial counts.
+EMITTED = 50_000
 #: A-Z as a-z, other ASCII as spaces; bytes of longer characters stay.
 _TABLE = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 
@@ -36,34 +38,35 @@ def term_counts(docs: DataFrame) -> DataFrame:
     """
 
     def partial(batches):
-        held: dict[tuple[str, str], dict[bytes, list[int]]] = {}
+        # Per (lang, source) the occurrences and the rows of each term, both in the order in which terms were first met.
+        held: dict[tuple[str, str], tuple[Counter, Counter]] = {}
         size = 0
 
         def emit():
-            rows = [(lang, source, term, n, d) for (lang, source), terms in held.items() for term, (n, d) in terms.items()]
-            lang, source, term, n, d = zip(*rows, strict=True)
-            kinds = (pa.string(), pa.string(), pa.binary(), pa.int64(), pa.int64())
-            arrays = [pa.array(v, t) for v, t in zip((lang, source, term, n, d), kinds, strict=True)]
-            arrays[2] = arrays[2].cast(pa.string())
-            return pa.RecordBatch.from_arrays(arrays, names=["lang", "source", "term", "n", "n_docs"])
-
+            parts = []
+            for (lang, source), (n, n_docs) in held.items():
+                lang, source = (pa.repeat(pa.scalar(x, pa.string()), len(n)) for x in (lang, source))
+                counts = [pa.array(c.values(), pa.int64(), size=len(c)) for c in (n, n_docs)]
+                parts.append(pa.RecordBatch.from_arrays([lang, source, pa.array(n, pa.binary(), size=len(n)).cast(pa.string()), *counts], names=names))
+            # Few large batches: there may be many small groups.
+            return pa.Table.from_batches(parts).combine_chunks().to_batches(max_chunksize=EMITTED)
+
+        names = ["lang", "source", "term", "n", "n_docs"]
         for batch in slices(batches, 2):
             texts = batch.column(2).cast(pa.large_binary())
             for lang, source, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), texts, strict=True):
-                terms = held.setdefault((lang, source), {})
-                size -= len(terms)
-                for term, n in Counter(text.as_py().translate(_TABLE).split()).items():
-                    if (entry := terms.get(term)) is None:
-                        terms[term] = [n, 1]
-                    else:
-                        entry[0] += n
-                        entry[1] += 1
-                size += len(terms)
+                if not (terms := text.as_py().translate(_TABLE).split()):
+                    continue
+                n, n_docs = held.setdefault((lang, source), (Counter(), Counter()))
+                size -= len(n)
+                n.update(terms)
+                n_docs.update(iter(dict.fromkeys(terms)))  # in the order of ``n``; a dict itself would be added by value
+                size += len(n)
                 if size >= HELD:
-                    yield emit()
+                    yield from emit()
                     held, size = {}, 0
         if size:
-            yield emit()
+            yield from emit()
 
     rows = docs.select(whole_text("lang").alias("lang"), whole_text("source").alias("source"), whole_text().alias("text"))
     found = map_arrow(rows, partial, "lang string, source string, term string, n long, n_docs long")

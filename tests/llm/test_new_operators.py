@@ -334,3 +334,13 @@ def test_selectors_against_all_ways(selectors, tree):
     for other in nodes:
         other.matched = None
     assert [sheet.style(n).get("display") == "none" for n in nodes] == [any(_matches(n, s) for s in selectors) for n in nodes]
+
+
+def test_partial_counts_of_a_task_leave_it_once(spark):
+    words = ["".join(chr(97 + int(c)) for c in str(k)) for k in range(3000)]
+    rows = [(i, "en", f"s{i % 3}", " ".join(words)) for i in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, source string, text string").coalesce(1)
+    counts = divergence.term_counts(docs)
+    assert {tuple(r) for r in counts.groupBy("source").agg(F.count("*"), F.sum("n"), F.sum("n_docs")).collect()} == {
+        ("s0", 3000, 34 * 3000, 34 * 3000), ("s1", 3000, 33 * 3000, 33 * 3000), ("s2", 3000, 33 * 3000, 33 * 3000)}
+    assert divergence.HELD >= 500_000
