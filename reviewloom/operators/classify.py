@@ -27,8 +27,12 @@ KEYWORDS: Mapping[str, tuple[str, ...]] = {
 
 
 def with_precomputed(df: DataFrame, classes: DataFrame) -> DataFrame:
-    """Join (review_id, category_review, confidence_score on 0..100) computed earlier."""
-    return df.join(classes.select("review_id", "category_review", "confidence_score"), "review_id", "left")
+    """Join (review_id, category_review, confidence_score on 0..100) computed earlier.
+
+    The narrow classes are held in hash tables, so that the texts are shuffled but not sorted (and spilled) for the join.
+    """
+    known = classes.select("review_id", "category_review", "confidence_score")
+    return df.join(known.hint("shuffle_hash"), "review_id", "left")
 
 
 def scale_confidence(classes: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalar import is_blank
+from ..schemas import JOINED_COLUMNS
 from .joins import join_parts
 from .skew import HotKeys, first_of_hot, first_of_regular, mark_first, spread_hash
 
@@ -56,7 +57,7 @@ FULL_RULES = (DUPLICATE, MISSING, RATING, DESCRIPTION)
 LIGHT_RULES = (DUPLICATE, MISSING, RATING, BUYER)
 
 
-def keep_order(columns: list[str]) -> list[Column]:
+def keep_order(columns: Sequence[str]) -> list[Column]:
     """Which copy of a review is kept: lowest p_id, nulls first, then the other columns."""
     ranked = ["p_id", "buyer_id", "rating", "title", "description"]
     return [F.col(c).asc_nulls_first() for c in ranked if c in columns]
@@ -89,10 +90,14 @@ def join_and_flag(
     rules: tuple[Rule, ...] = FULL_RULES,
     hot_rows: int | None = None,
 ) -> DataFrame:
-    """Join and flag as one plan: the duplicate check reuses the partitioning of the join."""
-    parts, hot, keys = join_parts(tables, product_id, hot_rows)
-    order = keep_order(parts[0].columns)
-    marked = [first_of_regular(part, "review_id", order) for part in parts]
+    """Join and flag as one plan: the duplicate check reuses the partitioning of the join.
+
+    A review id of one review has its first row from its links alone (which differ in nothing but the product); only ids of several
+    reviews are put in order with their texts.
+    """
+    order = keep_order(JOINED_COLUMNS)
+    parts, hot, keys = join_parts(tables, product_id, hot_rows, keep_order(["p_id"]))
+    marked = [part if "is_first" in part.columns else first_of_regular(part, "review_id", order) for part in parts]
     if hot is not None:
         marked.append(first_of_hot(hot, order, keys, spread_hash("p_id", "buyer_id", "title", "description")))
     return apply_rules(reduce(DataFrame.unionByName, marked), rules)

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import JOINED_COLUMNS
-from .skew import HotKeys, profiles_of, salted_join, split_hot, spread_hash, two_sided_join
+from .skew import HotKeys, first_of_regular, profiles_of, salted_join, split_hot, spread_hash, two_sided_join
 
 # Items that one row of a list holds, about: a list of n items comes in ceil(n / PART_ITEMS) parts.
 PART_ITEMS = 100_000
@@ -70,7 +70,12 @@ def _ordering_buyers(review: DataFrame, orders: DataFrame, hot_buyers: HotKeys)
     return known.groupBy("review_id").agg(F.collect_set("buyer_id").alias("_buyers"))
 
 
-def _project(df: DataFrame) -> DataFrame:
+def _repeated_ids(review: DataFrame) -> DataFrame:
+    """(review_id) of several reviews. Only ids take part."""
+    return review.groupBy("review_id").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("review_id")
+
+
+def _project(df: DataFrame, *more: str) -> DataFrame:
     return df.select(
         "buyer_id",
         "review_id",
@@ -84,17 +89,23 @@ def _project(df: DataFrame) -> DataFrame:
         "p_id",
         "product_name",
         "category",
-    ).select(*JOINED_COLUMNS)
+        *more,
+    ).select(*JOINED_COLUMNS, *more)
 
 
 def join_parts(
-    tables: Mapping[str, DataFrame], product_id: str | None = None, hot_rows: int | None = None
+    tables: Mapping[str, DataFrame], product_id: str | None = None, hot_rows: int | None = None,
+    first_by: list[Column] | None = None,
 ) -> tuple[list[DataFrame], DataFrame | None, HotKeys]:
     """The six-table join in parts: ordinary reviews with and without an id, and hot review ids (if any) with their keys.
 
     All other sides are first brought to narrow rows per review id. The text of the ordinary part is shuffled by
     review_id once, for all joins, and leaves partitioned by it, so that a window over review_id (see clean.py)
-    needs no further shuffle. Reviews without an id meet nothing but the orders of their buyer.
+    needs no further shuffle. It passes by the other sides' rows, held in hash tables, and isn't sorted. Reviews without
+    an id meet nothing but the orders of their buyer.
+
+    ``first_by``: the order of a review's links. With it, ids of a single review are a part of their own, with ``is_first``
+    for the row of the first link (or of none): found among the links, it takes no sort of the texts either.
     """
     review = tables["review"].select("review_id", "buyer_id", "r_desc", "title", "rating")
     known = profiles_of(tables, "review", "product_reviews", "product", hot_rows=hot_rows)
@@ -109,9 +120,22 @@ def join_parts(
     regular, hot = split_hot(review, keys)
     buyers = _ordering_buyers(regular, tables["orders"], hot_buyers)
     named, unnamed = regular.where(F.col("review_id").isNotNull()), regular.where(F.col("review_id").isNull())
-    named = named.join(links, "review_id", how).join(images, "review_id", "left").join(buyers, "review_id", "left")
     ordered = F.coalesce(F.array_contains("_buyers", F.col("buyer_id")), F.lit(False)).cast("int")
-    parts = [_project(named.withColumn("has_orders", ordered))]
+    # Links of hot ids stay out of the hash tables, which hold few rows per id.
+    few_links = split_hot(links.where(F.col("review_id").isNotNull()), keys)[0]
+
+    def met(rows: DataFrame, links: DataFrame, *more: str) -> DataFrame:
+        rows = rows.join(links.hint("shuffle_hash"), "review_id", how)
+        rows = rows.join(images.hint("shuffle_hash"), "review_id", "left").join(buyers.hint("shuffle_hash"), "review_id", "left")
+        return _project(rows.withColumn("has_orders", ordered), *more)
+
+    if first_by is None:
+        parts = [met(named, few_links)]
+    else:
+        repeated = _repeated_ids(named).hint("shuffle_hash")
+        single = met(named.join(repeated, "review_id", "left_anti"), first_of_regular(few_links, "review_id", first_by), "is_first")
+        single = single.withColumn("is_first", F.coalesce("is_first", F.lit(True)))
+        parts = [single, met(named.join(repeated, "review_id", "left_semi"), few_links)]
     if how == "left":
         empty = [F.lit(None).cast("string").alias(c) for c in ("p_id", "product_name", "category", "review_img")]
         parts.append(_project(_with_orders_flag(unnamed, tables["orders"], hot_buyers).select("*", *empty)))

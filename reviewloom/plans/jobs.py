@@ -13,7 +13,7 @@ from ..functions.scoring import CONFIDENCE_THRESHOLD, RELEVANCE_THRESHOLD, WEIGH
 from ..functions.sentiment import DEFAULT_LEXICON, Lexicon
 from ..operators.classify import with_precomputed
 from ..operators.clean import FULL_RULES, REASON, Rule, clean_rows, join_and_flag, rejected_rows
-from ..session import remove_path, scratch_path
+from ..session import STAGED_CODEC, remove_path, scratch_path
 from ..sources.readers import load_tables
 from ..sources.snapshots import published
 from ..sources.writers import as_reject_documents, as_reviews, reject_table, run_metadata, save_metadata
@@ -24,10 +24,10 @@ def new_run_id() -> str:
 
 
 def stage_flagged(flagged: DataFrame, path: str) -> tuple[DataFrame, dict[str, int]]:
-    """Write the flagged rows once, clean and rejected apart, and count both on the way.
+    """Write the flagged rows once, with their verdict, and count clean and rejected ones on the way.
 
     All sinks read this table, so the joins run once and a lost executor costs its own
-    tasks only.
+    tasks only. The verdict is a column: folders by it would have every task sort its texts first.
     """
     seen = Observation()
     clean = F.col(REASON).isNull()
@@ -36,7 +36,7 @@ def stage_flagged(flagged: DataFrame, path: str) -> tuple[DataFrame, dict[str, i
             seen, F.count(F.lit(1)).alias("total"), F.count_if(clean).alias("clean"), F.count_if(~clean).alias("rejected")
         )
         .withColumn("verdict", F.when(clean, "clean").otherwise("rejected"))
-        .write.mode("error").partitionBy("verdict").parquet(path)
+        .write.mode("error").option("compression", STAGED_CODEC).parquet(path)
     )
     spark = flagged.sparkSession
     schema = flagged.withColumn("verdict", F.lit("")).schema

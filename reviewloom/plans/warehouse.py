@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..operators.clean import clean_rows, join_and_flag, rejected_rows
 from ..operators.skew import Profiles
 from ..operators.serve import RELEVANT, review_ranking
-from ..session import scratch_path
+from ..session import STAGED_CODEC, scratch_path
 from ..sources import layout
 from ..sources.driver_tables import (
     BUILDERS, CORPUS_LEXICON, STORED_CONFIDENCE, STORED_RELEVANCE, BaseTables, review_class,
@@ -102,7 +102,7 @@ class Warehouse:
         )
         scored = as_review_relevant(scored)
         path = scratch_path(self.spark, "review_relevant")
-        scored.write.parquet(path)
+        scored.write.option("compression", STAGED_CODEC).parquet(path)
         return self.spark.read.schema(scored.schema).parquet(path)
 
 

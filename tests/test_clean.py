@@ -6,8 +6,11 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from reviewloom.operators.clean import FULL_RULES, LIGHT_RULES, clean_and_validate, flag_rejects
+from reviewloom.operators.classify import with_precomputed
+from reviewloom.operators.clean import FULL_RULES, LIGHT_RULES, clean_and_validate, flag_rejects, join_and_flag
+from reviewloom.operators.joins import join_reviews
 from reviewloom.operators.quality import reason_vocabulary
+from reviewloom.plans.jobs import stage_flagged
 
 SCHEMA = (
     "review_id bigint, rating int, title string, description string, buyer_id string, p_id string, "
@@ -140,3 +143,58 @@ def test_a_third_of_all_rows_are_copies(spark, hot_rows):
         (None, "missing_required_fields"): 1, (None, "duplicate_review_id"): 49,
     }
     assert flagged.count() == len(rows)
+
+
+# Reviews 1 and 4 have several links, 2 comes three times (twice the same), 3 has no link, 5 an unknown product.
+REVIEWS = [
+    (1, "B1", "one", "t", 5), (2, "B2", "b", "t", 4), (2, "B2", "a", "t", 4), (2, "B2", "a", "t", 4), (3, "B3", "three", None, 1),
+    (4, None, "four", "t", 3), (5, "B1", "five", "t", 9), (None, "B1", "six", "t", 2), (None, None, "seven", "t", 2),
+]
+LINKS = [("p2", 1), ("p1", 1), ("p3", 1), ("p1", 2), ("p2", 2), ("gone", 4), ("p1", 4), ("p1", 4), ("gone", 5), ("p1", None)]
+
+
+@pytest.fixture(scope="module")
+def linked(spark):
+    make = spark.createDataFrame
+    return {
+        "review": make(REVIEWS, "review_id bigint, buyer_id string, r_desc string, title string, rating int").repartition(3),
+        "product_reviews": make(LINKS, "p_id string, review_id bigint").repartition(2),
+        "product": make([(f"p{i}", f"name {i}", i) for i in (1, 2, 3)], "p_id string, p_name string, category_id int"),
+        "category": make([(1, "Books"), (2, "Toys")], "category_id int, name string"),
+        "review_images": make([(1, "z"), (1, "y"), (2, "x")], "review_id bigint, review_img string"),
+        "orders": make([(7, "B1"), (8, "B1")], "order_id bigint, buyer_id string"),
+    }
+
+
+@pytest.mark.parametrize("hot_rows", [None, 2, 1])
+def test_first_row_of_each_joined_review(linked, hot_rows):
+    key = lambda row: [(v is not None, v if v is not None else "") for v in row]
+    expected = []
+    for id_ in {r[0] for r in REVIEWS}:
+        mine = [(p if p != "gone" else None) for p, r in LINKS if r == id_ and id_ is not None] or [None]
+        rows = sorted(([p, b, n, t, d] for r, b, d, t, n in REVIEWS if r == id_ for p in mine), key=key)
+        expected += [(id_, *row, i == 0) for i, row in enumerate(rows)]
+    found = join_and_flag(linked, hot_rows=hot_rows).collect()
+    columns = ("review_id", "p_id", "buyer_id", "rating", "title", "description")
+    found = [(*(r[c] for c in columns), r["rejection_reason"] != "duplicate_review_id") for r in found]
+    assert sorted(found, key=key) == sorted(expected, key=key)
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_texts_are_not_sorted_for_the_joins(spark, linked, tmp_path):
+    joined = _plan(join_and_flag(linked))
+    assert "ShuffledHashJoin [review_id" in joined and "SortMergeJoin [review_id" not in joined
+    # Only repeated ids and rows without an id are put in order with their texts.
+    firsts = [line for line in joined.splitlines() if "row_number" in line and "Window [" in line]
+    assert len(firsts) == 3 and sum("rating" in line for line in firsts) == 2
+    classes = spark.createDataFrame([(1, "x", 1.0), (1, "y", 2.0)], "review_id bigint, category_review string, confidence_score double")
+    topics = with_precomputed(join_reviews(linked), classes)
+    assert "SortMergeJoin [review_id" not in _plan(topics)
+    assert topics.where("review_id = 1").count() == 6 and topics.count() == join_reviews(linked).count() + 3
+    staged, counts = stage_flagged(join_and_flag(linked), str(tmp_path / "flagged"))
+    # Folders by verdict would take a sort of each task's texts.
+    assert not list((tmp_path / "flagged").glob("verdict=*"))
+    assert counts["clean"] == staged.where("verdict = 'clean'").count() and counts["rejected"] == staged.where("verdict = 'rejected'").count()
